@@ -1,0 +1,2 @@
+"""Sources: the observation feed derived from the events table, message hygiene,
+JSON side-input readers and connector adapters (Kafka/files)."""

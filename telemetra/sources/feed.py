@@ -1,0 +1,118 @@
+"""Observation feed derived from the ``events`` table (FIXTURES.md F5).
+
+Each event becomes one raw observation message (JSON text as bytes) with a
+deterministic arrival time, so the whole pipeline can be replayed in batch or
+streamed from files. Faults, repeats and delays are rules over ``event_id``.
+"""
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from telemetra.constants import BROKEN_TIME, GARBAGE_PAYLOAD
+from telemetra.functions.timeparse import millis_to_iso
+
+# --- fixed values: event type -> (metric, sensor type) -----------------------------
+EVENT_SENSOR = {
+    "view": ("temperature", "analog"),
+    "signup": ("humidity", "analog"),
+    "purchase": ("electricity", "counter"),
+    "click": ("door", "state"),
+    "error": ("move", "alarm"),
+}
+# --- fixed values: fixture rules --------------------------------------------------
+THINGS = 5                     # thing_id = 'thing-' || user_id % 5
+REPEAT_MOD, REPEAT_REM = 50, 3  # a second copy where event_id % 50 = 3
+PUBLISH_STEP_MS, PUBLISH_MOD = 200, 7
+LONG_DELAY_MOD, LONG_DELAY_MS = 101, 129_600_000
+SHORT_DELAY_MOD, SHORT_DELAY_MS = 97, 34_560_000
+COPY_DELAY_MS = 1_000
+FAULT_MOD = 211                # 1 blank metric, 2 broken time, 3 blank datastream, 4 garbage
+
+
+def _lookup(col: Column, idx: int) -> Column:
+    expr = None
+    for k, v in EVENT_SENSOR.items():
+        expr = (F.when(col == k, F.lit(v[idx])) if expr is None
+                else expr.when(col == k, F.lit(v[idx])))
+    return expr
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a source that arrives in fewer splits than the cluster has cores.
+
+    Decoding is CPU-bound per row; a small table stored as one row group would
+    otherwise run in a single task. With many input splits (the normal case at
+    scale) this is a no-op and adds no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
+def observation_rows(events: DataFrame) -> DataFrame:
+    """Structured observations (before encoding), one row per delivered message."""
+    events = spread(events.select("event_id", "ts", "user_id", "event_type", "value", "props"))
+    e = events.select(
+        "event_id", "user_id", "event_type", "value", "props",
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"),
+    )
+    e = e.withColumn("copy", F.explode(F.when(F.col("event_id") % REPEAT_MOD == REPEAT_REM,
+                                              F.array(F.lit(0), F.lit(1)))
+                                       .otherwise(F.array(F.lit(0)))))
+    metric = _lookup(F.col("event_type"), 0)
+    sensor_type = _lookup(F.col("event_type"), 1)
+    thing = F.concat(F.lit("thing-"), (F.col("user_id") % THINGS).cast("string"))
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    value_json = (F.when(sensor_type.isin("analog", "counter"),
+                         F.coalesce(F.col("value").cast("string"), F.lit("null")))
+                  .when(sensor_type == "state",
+                        F.when(k % 2 == 0, F.lit('"ON"')).otherwise(F.lit('"OFF"')))
+                  .otherwise(F.when(F.col("value") > 100, F.lit("true")).otherwise(F.lit("false"))))
+    publish_ms = F.col("ms") + PUBLISH_STEP_MS * (F.col("event_id") % PUBLISH_MOD)
+    delay = (F.when(F.col("event_id") % LONG_DELAY_MOD == 0, F.lit(LONG_DELAY_MS))
+             .when(F.col("event_id") % SHORT_DELAY_MOD == 0, F.lit(SHORT_DELAY_MS))
+             .otherwise(F.lit(0)))
+    fault = F.col("event_id") % FAULT_MOD
+    return e.select(
+        "event_id", "copy",
+        thing.alias("thing_id"),
+        F.when(fault == 3, F.lit("   ")).otherwise(F.concat(thing, F.lit(":"), metric)).alias("datastream_id"),
+        F.when(fault == 1, F.lit("   ")).otherwise(metric).alias("metric"),
+        sensor_type.alias("sensor_type"),
+        F.col("event_id").cast("int").alias("seq"),
+        F.when(fault == 2, F.lit(BROKEN_TIME)).otherwise(millis_to_iso(F.col("ms"))).alias("event_time"),
+        value_json.alias("value_json"),
+        millis_to_iso(publish_ms).alias("publish_time"),
+        (publish_ms + delay + COPY_DELAY_MS * F.col("copy")).alias("arrival_ms"),
+        (fault == 4).alias("garbage"),
+    )
+
+
+def encode_json(rows: DataFrame) -> Column:
+    """JSON object text of one observation; ``value`` keeps its own JSON type."""
+    fixed = F.to_json(F.struct("thing_id", "datastream_id", "metric", "sensor_type", "seq",
+                               "event_time", "publish_time"))
+    # splice the heterogeneous value into the fixed-schema object
+    return F.concat(F.regexp_replace(fixed, "}$", ""), F.lit(',"value":'),
+                    F.col("value_json"), F.lit("}"))
+
+
+def observation_feed(events: DataFrame) -> DataFrame:
+    """Raw message feed: ``payload BINARY, arrival_ms, arrival_seq, arrival_ts``.
+
+    ``arrival_seq`` (= event_id * 2 + copy) breaks arrival-time ties, so the
+    arrival order is ``(arrival_ms, arrival_seq)``.
+    """
+    rows = observation_rows(events)
+    text = F.when(F.col("garbage"), F.lit(GARBAGE_PAYLOAD)).otherwise(encode_json(rows))
+    return rows.select(
+        F.encode(text, "UTF-8").alias("payload"),
+        "arrival_ms",
+        (F.col("event_id") * 2 + F.col("copy")).alias("arrival_seq"),
+        F.timestamp_millis("arrival_ms").alias("arrival_ts"),
+    )
+
+
+def read_events(spark, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
