@@ -41,7 +41,8 @@ def _floor_div(x: Column, d: int) -> Column:
 
 
 def watermark_thresholds(ok: DataFrame, spec: WindowSpec) -> DataFrame:
-    """Per window index: ``fire_at`` and ``expire_at`` arrival keys (NULL = never)."""
+    """Per window index: ``fire_at`` / ``expire_at`` arrival keys (NULL = never) and
+    ``n_rows`` (rows whose event falls in the window; 0 for threshold-only indexes)."""
     W = spec.window_ms
     a = arrival_key()
     null_key = F.lit(None).cast("struct<arrival_ms:bigint,arrival_seq:bigint>")
@@ -49,11 +50,12 @@ def watermark_thresholds(ok: DataFrame, spec: WindowSpec) -> DataFrame:
     fire_idx = _floor_div(F.col("event_ms") - spec.fire_offset, W) - 1
     exp_idx = _floor_div(F.col("event_ms") - spec.expire_offset, W) - 1
     entries = ok.select(F.inline(F.array(
-        F.struct(idx.alias("idx"), null_key.alias("f"), null_key.alias("e")),
-        F.struct(fire_idx.alias("idx"), a.alias("f"), null_key.alias("e")),
-        F.struct(exp_idx.alias("idx"), null_key.alias("f"), a.alias("e")),
+        F.struct(idx.alias("idx"), null_key.alias("f"), null_key.alias("e"), F.lit(1).alias("n")),
+        F.struct(fire_idx.alias("idx"), a.alias("f"), null_key.alias("e"), F.lit(0).alias("n")),
+        F.struct(exp_idx.alias("idx"), null_key.alias("f"), a.alias("e"), F.lit(0).alias("n")),
     )))
-    per_idx = (entries.groupBy("idx").agg(F.min("f").alias("f"), F.min("e").alias("e"))
+    per_idx = (entries.groupBy("idx").agg(F.min("f").alias("f"), F.min("e").alias("e"),
+                                          F.sum("n").alias("n_rows"))
                .withColumn("blk", F.floor(F.col("idx") / BLOCK).cast("bigint")))
     # level 1: per block minimum, then minimum over all later blocks (tiny table)
     blocks = per_idx.groupBy("blk").agg(F.min("f").alias("bf"), F.min("e").alias("be"))
@@ -62,12 +64,13 @@ def watermark_thresholds(ok: DataFrame, spec: WindowSpec) -> DataFrame:
     # level 2: suffix minimum inside each block, partitioned by block
     inside = Window.partitionBy("blk").orderBy(F.col("idx").desc()).rowsBetween(
         Window.unboundedPreceding, 0)
-    per_idx = per_idx.select("idx", "blk", F.min("f").over(inside).alias("sf"),
+    per_idx = per_idx.select("idx", "blk", "n_rows", F.min("f").over(inside).alias("sf"),
                              F.min("e").over(inside).alias("se"))
     return (per_idx.join(F.broadcast(blocks), "blk", "left")
             .select(F.col("idx").alias("widx"),
                     F.least("sf", "lf").alias("fire_at"),
-                    F.least("se", "le").alias("expire_at")))
+                    F.least("se", "le").alias("expire_at"),
+                    "n_rows"))
 
 
 def _join_small(big: DataFrame, small: DataFrame, on: str, n_small: int) -> DataFrame:
@@ -86,7 +89,7 @@ def classify_lateness(ok: DataFrame, spec: WindowSpec, materialize_thresholds: b
     thr = materialize(watermark_thresholds(ok, spec), materialize_thresholds)
     n_thr = thr.count()
     rows = ok.withColumn("widx", _floor_div(F.col("event_ms"), W))
-    j = _join_small(rows, thr, "widx", n_thr)
+    j = _join_small(rows, thr.drop("n_rows"), "widx", n_thr)
     a = arrival_key()
     too_late = F.col("expire_at").isNotNull() & (F.col("expire_at") < a)
     on_time = F.col("fire_at").isNull() | (a <= F.col("fire_at"))

@@ -1,0 +1,334 @@
+"""Reference SQL (DuckDB dialect) for the registered queries.
+
+Written from the definitions, not from the Spark plans: the watermark is the plain
+running maximum over the global arrival order and panes come from a self-join, so
+agreement with the Spark plans (threshold tables, partial aggregates, running
+late-state merge) is a real cross-check. Only the ``events`` view is read.
+"""
+from __future__ import annotations
+
+from telemetra.constants import (BROKEN_TIME, FIXTURE_SPEC, GARBAGE_PAYLOAD, HOUR_MS, WindowSpec)
+from telemetra.functions.timeparse import ISO_PATTERN
+from telemetra.sources import feed as FD
+
+
+def _case(col: str, mapping: dict[str, str]) -> str:
+    return "CASE " + " ".join(f"WHEN {col} = '{k}' THEN '{v}'" for k, v in mapping.items()) + " END"
+
+
+def _iso(ms: str) -> str:
+    return f"(strftime(make_timestamp(({ms}) * 1000), '%Y-%m-%dT%H:%M:%S.%g') || '+00:00')"
+
+
+def feed_cte() -> str:
+    metric = _case("event_type", {k: v[0] for k, v in FD.EVENT_SENSOR.items()})
+    stype = _case("event_type", {k: v[1] for k, v in FD.EVENT_SENSOR.items()})
+    return f"""
+ev AS (
+  SELECT event_id, user_id, event_type, value, props, epoch_us(ts) // 1000 AS ms FROM events),
+cp AS (
+  SELECT ev.*, c.copy FROM ev CROSS JOIN (VALUES (0), (1)) c(copy)
+  WHERE c.copy = 0 OR ev.event_id % {FD.REPEAT_MOD} = {FD.REPEAT_REM}),
+fx AS (
+  SELECT *, {metric} AS metric0, {stype} AS stype,
+         'thing-' || CAST(user_id % {FD.THINGS} AS VARCHAR) AS thing,
+         event_id % {FD.FAULT_MOD} AS fault,
+         ms + {FD.PUBLISH_STEP_MS} * (event_id % {FD.PUBLISH_MOD}) AS pub_ms,
+         CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+  FROM cp),
+fj AS (
+  SELECT event_id, copy,
+         pub_ms + CASE WHEN event_id % {FD.LONG_DELAY_MOD} = 0 THEN {FD.LONG_DELAY_MS}
+                       WHEN event_id % {FD.SHORT_DELAY_MOD} = 0 THEN {FD.SHORT_DELAY_MS} ELSE 0 END
+                + {FD.COPY_DELAY_MS} * copy AS arrival_ms,
+         event_id * 2 + copy AS arrival_seq,
+         CASE WHEN fault = 4 THEN '{GARBAGE_PAYLOAD}' ELSE
+         '{{"thing_id":"' || thing || '","datastream_id":"' ||
+         CASE WHEN fault = 3 THEN '   ' ELSE thing || ':' || metric0 END ||
+         '","metric":"' || CASE WHEN fault = 1 THEN '   ' ELSE metric0 END ||
+         '","sensor_type":"' || stype || '","seq":' || CAST(event_id AS VARCHAR) ||
+         ',"event_time":"' || CASE WHEN fault = 2 THEN '{BROKEN_TIME}' ELSE {_iso('ms')} END ||
+         '","publish_time":"' || {_iso('pub_ms')} || '","value":' ||
+         CASE WHEN stype IN ('analog', 'counter') THEN coalesce(CAST(value AS VARCHAR), 'null')
+              WHEN stype = 'state' THEN CASE WHEN k % 2 = 0 THEN '"ON"' ELSE '"OFF"' END
+              ELSE CASE WHEN value > 100 THEN 'true' ELSE 'false' END END || '}}' END AS payload
+  FROM fx)"""
+
+
+_STRING_FIELDS = ("thing_id", "datastream_id", "metric", "sensor_type", "event_time", "publish_time")
+
+
+def decoded_cte() -> str:
+    kinds = ",\n         ".join(
+        f"CASE WHEN is_obj THEN json_type(payload, '$.{f}') END AS {f}_kind,\n"
+        f"         CASE WHEN is_obj THEN json_extract_string(payload, '$.{f}') END AS {f}"
+        for f in _STRING_FIELDS)
+    blank = lambda f: f"regexp_replace({f}, '^\\s+|\\s+$', '', 'g') = ''"
+    bad_str = lambda f: f"({f}_kind IS NULL OR {f}_kind <> 'VARCHAR' OR {blank(f)})"
+    ts = lambda f: (f"CASE WHEN regexp_full_match({f}, '{ISO_PATTERN}') "
+                    f"THEN TRY_CAST({f} AS TIMESTAMPTZ) END")
+    return f"""
+d0 AS (
+  SELECT arrival_ms, arrival_seq, octet_length(encode(payload)) AS size_bytes,
+         coalesce(json_valid(payload) AND left(payload, 1) = '{{', false) AS is_obj, payload
+  FROM fj),
+d1 AS (
+  SELECT arrival_ms, arrival_seq, size_bytes, is_obj,
+         {kinds},
+         CASE WHEN is_obj THEN json_type(payload, '$.seq') END AS seq_kind,
+         CASE WHEN is_obj THEN TRY_CAST(json_extract_string(payload, '$.seq') AS BIGINT) END AS seq,
+         CASE WHEN is_obj THEN json_type(payload, '$.value') END AS vk,
+         CASE WHEN is_obj THEN json_extract_string(payload, '$.value') END AS vtext
+  FROM d0),
+d2 AS (
+  SELECT *,
+    CASE WHEN vk IS NULL OR vk = 'NULL' THEN 'null' WHEN vk = 'VARCHAR' THEN 'string'
+         WHEN vk = 'BOOLEAN' THEN 'bool' WHEN vk IN ('BIGINT', 'UBIGINT', 'DOUBLE') THEN 'number'
+         ELSE 'other' END AS value_kind,
+    {ts('event_time')} AS ev_ts, {ts('publish_time')} AS pub_ts
+  FROM d1),
+dec AS (
+  SELECT arrival_ms, arrival_seq, size_bytes, thing_id, datastream_id, metric, sensor_type,
+    event_time, publish_time, seq, value_kind,
+    CASE WHEN value_kind = 'number' THEN CAST(vtext AS DOUBLE)
+         WHEN value_kind = 'bool' THEN CASE WHEN vtext = 'true' THEN 1.0 ELSE 0.0 END END AS num,
+    CASE WHEN value_kind = 'bool' THEN CASE WHEN vtext = 'true' THEN 'True' ELSE 'False' END
+         WHEN value_kind IN ('string', 'number') THEN vtext END AS sval,
+    CASE WHEN value_kind = 'bool' THEN vtext = 'true'
+         WHEN value_kind = 'number' THEN CAST(vtext AS DOUBLE) <> 0
+         WHEN value_kind = 'string' THEN length(vtext) > 0 ELSE false END AS bval,
+    CASE WHEN NOT is_obj THEN 'decode_failed'
+         WHEN {bad_str('thing_id')} THEN 'invalid_thing_id'
+         WHEN {bad_str('datastream_id')} THEN 'invalid_datastream_id'
+         WHEN {bad_str('metric')} THEN 'invalid_metric'
+         WHEN sensor_type_kind IS NULL OR sensor_type_kind <> 'VARCHAR'
+              OR sensor_type NOT IN ('analog', 'counter', 'state', 'alarm') THEN 'invalid_sensor_type'
+         WHEN seq_kind IS NULL OR seq_kind NOT IN ('BIGINT', 'UBIGINT') THEN 'invalid_seq'
+         WHEN {bad_str('event_time')} OR ev_ts IS NULL THEN 'invalid_event_time'
+         WHEN value_kind = 'null' THEN 'invalid_value'
+         WHEN {bad_str('publish_time')} OR pub_ts IS NULL THEN 'invalid_publish_time'
+         WHEN sensor_type = 'analog' AND value_kind <> 'number' THEN 'invalid_analog_value'
+         WHEN sensor_type = 'counter' AND value_kind <> 'number' THEN 'invalid_counter_value'
+         WHEN sensor_type = 'state' AND NOT (value_kind = 'string' AND vtext IN ('ON', 'OFF'))
+              THEN 'invalid_state_value'
+         WHEN sensor_type = 'alarm' AND value_kind <> 'bool' THEN 'invalid_alarm_value'
+    END AS error,
+    epoch_ms(ev_ts) AS event_ms, epoch_ms(pub_ts) AS publish_ms
+  FROM d2)"""
+
+
+def ok_cte() -> str:
+    return """
+ok AS (
+  SELECT thing_id, datastream_id, metric, sensor_type, seq, event_time, publish_time, value_kind,
+         num, sval, bval, event_ms, publish_ms, arrival_ms, arrival_seq
+  FROM dec WHERE error IS NULL)"""
+
+
+def _wstart(ms: str, w: int) -> str:
+    return f"({ms} - ((({ms}) % {w}) + {w}) % {w})"
+
+
+def classified_cte(spec: WindowSpec) -> str:
+    W, B, L = spec.window_ms, spec.bound_ms, spec.lateness_ms
+    return f"""
+wm AS (
+  SELECT *, max(event_ms) OVER (ORDER BY arrival_ms, arrival_seq
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {B} - 1 AS wm,
+         {_wstart('event_ms', W)} AS window_start
+  FROM ok),
+cls AS (
+  SELECT *, window_start + {W} AS window_end,
+         CASE WHEN wm >= window_start + {W} + {L} THEN 'too_late'
+              WHEN wm IS NULL OR wm < window_start + {W} - 1 THEN 'on_time'
+              ELSE 'late_accepted' END AS lateness
+  FROM wm),
+acc AS (
+  SELECT * FROM cls WHERE lateness <> 'too_late'
+  QUALIFY row_number() OVER (PARTITION BY datastream_id, window_start, seq
+                             ORDER BY arrival_ms, arrival_seq) = 1)"""
+
+
+def _state_select(a: str) -> str:
+    o = f"{a}.arrival_ms, {a}.arrival_seq"
+    last = f"{a}.event_ms DESC, {a}.arrival_ms DESC, {a}.arrival_seq DESC"
+    first = f"{a}.event_ms, {a}.arrival_ms, {a}.arrival_seq"
+    return f"""count(*) AS n, max({a}.event_ms) AS max_ev, max({a}.publish_ms) AS max_pub,
+    max({a}.arrival_ms) AS max_arr,
+    first({a}.sensor_type ORDER BY {o}) AS sensor_type, first({a}.metric ORDER BY {o}) AS metric,
+    min({a}.num) FILTER (WHERE NOT isnan({a}.num)) AS vmin,
+    max({a}.num) FILTER (WHERE NOT isnan({a}.num)) AS vmax, sum({a}.num) AS vsum,
+    first({a}.num ORDER BY {first}) AS cfirst, first({a}.num ORDER BY {last}) AS clast,
+    count(*) FILTER (WHERE {a}.sval = 'ON') AS n_on_v, count(*) FILTER (WHERE {a}.sval = 'OFF') AS n_off_v,
+    count(DISTINCT {a}.sval) FILTER (WHERE {a}.sensor_type IN ('state', 'alarm')
+                                      AND {a}.sval NOT IN ('ON', 'OFF')) AS n_other,
+    first({a}.sval ORDER BY {last}) AS slast,
+    count(*) FILTER (WHERE {a}.bval) AS tc, count(*) FILTER (WHERE NOT {a}.bval) AS fc,
+    first({a}.bval ORDER BY {last}) AS alast"""
+
+
+def result_select(W: int, src: str = "g") -> str:
+    """Wide result columns (same names/types as the Spark ``finalize``)."""
+    st = f"{src}.sensor_type"
+    return f"""{src}.datastream_id,
+  strftime(make_timestamp({src}.window_start * 1000), '%H:%M:%S') || ' - ' ||
+    strftime(make_timestamp(({src}.window_start + {W}) * 1000), '%H:%M:%S') AS "window",
+  {src}.n AS count, {st} AS sensor_type, {src}.metric, {src}.window_start,
+  {src}.window_start + {W} AS window_end, {src}.result_ms AS result_time,
+  greatest({src}.max_ev, 0) AS max_event_time, greatest({src}.max_pub, 0) AS max_publish_time,
+  CASE WHEN greatest({src}.max_ev, 0) > 0 THEN {src}.result_ms - greatest({src}.max_ev, 0) ELSE 0 END AS latency,
+  CASE WHEN greatest({src}.max_pub, 0) > 0 THEN {src}.result_ms - greatest({src}.max_pub, 0) ELSE 0 END
+    AS end_to_end_latency,
+  CAST({src}.pane AS INTEGER) AS fire_index, {src}.pane > 1 AS is_late_firing,
+  round(CASE WHEN {st} = 'counter' THEN coalesce({src}.cfirst, 0.0) END, 6) AS first_value,
+  round(CASE WHEN {st} = 'counter' THEN coalesce({src}.clast, 0.0) END, 6) AS last_value,
+  round(CASE WHEN {st} = 'counter' THEN coalesce({src}.clast, 0.0) - coalesce({src}.cfirst, 0.0) END, 6) AS delta,
+  round(CASE WHEN {st} = 'analog' THEN {src}.vmin END, 6) AS min_value,
+  round(CASE WHEN {st} = 'analog' THEN {src}.vmax END, 6) AS max_value,
+  CASE WHEN {st} = 'analog' THEN round({src}.vsum / {src}.n, 6) END AS average,
+  CAST(CASE WHEN {st} = 'state' THEN CAST({src}.n_on_v > 0 AS INT) + CAST({src}.n_off_v > 0 AS INT) + {src}.n_other
+       WHEN {st} = 'alarm' THEN CAST({src}.tc > 0 AS INT) + CAST({src}.fc > 0 AS INT) END AS BIGINT)
+    AS distinct_counts,
+  CASE WHEN {st} = 'state' THEN {src}.n_on_v END AS on_count,
+  CASE WHEN {st} = 'state' THEN {src}.n_off_v END AS off_count,
+  CASE WHEN {st} = 'state' THEN {src}.slast END AS last_state,
+  CASE WHEN {st} = 'alarm' THEN {src}.tc END AS true_count,
+  CASE WHEN {st} = 'alarm' THEN {src}.fc END AS false_count,
+  CASE WHEN {st} = 'alarm' THEN round({src}.tc / {src}.n, 6) END AS true_ratio,
+  CASE WHEN {st} = 'alarm' THEN {src}.tc > 0 END AS triggered,
+  CASE WHEN {st} = 'alarm' THEN {src}.alast END AS alarm_last_value"""
+
+
+def panes_cte(spec: WindowSpec) -> str:
+    W, B = spec.window_ms, spec.bound_ms
+    return f"""
+cnt AS (
+  SELECT *, count(*) FILTER (WHERE lateness = 'on_time')
+              OVER (PARTITION BY datastream_id, window_start) AS n_on
+  FROM acc),
+numbered AS (
+  SELECT *, CASE WHEN lateness = 'on_time' THEN 1
+                 ELSE row_number() OVER (PARTITION BY datastream_id, window_start, lateness
+                                         ORDER BY arrival_ms, arrival_seq)
+                      + CASE WHEN n_on > 0 THEN 1 ELSE 0 END END AS pane
+  FROM cnt),
+pl AS (SELECT DISTINCT datastream_id, window_start, pane, n_on FROM numbered),
+fw AS (
+  SELECT w.window_start,
+         (SELECT min(o.arrival_ms) FROM ok o WHERE o.event_ms >= w.window_start + {W} + {B}) AS fire_ms
+  FROM (SELECT DISTINCT window_start FROM acc) w),
+pg AS (
+  SELECT p.datastream_id, p.window_start, p.pane, any_value(p.n_on) AS n_on, {_state_select('a')}
+  FROM pl p JOIN numbered a
+    ON a.datastream_id = p.datastream_id AND a.window_start = p.window_start AND a.pane <= p.pane
+  GROUP BY p.datastream_id, p.window_start, p.pane),
+g AS (
+  SELECT pg.*, CASE WHEN pg.pane = 1 AND pg.n_on > 0 THEN coalesce(fw.fire_ms, pg.max_arr)
+                    ELSE pg.max_arr END AS result_ms
+  FROM pg JOIN fw USING (window_start)),
+results AS (SELECT {result_select(W)} FROM g)"""
+
+
+def plain_cte(window_ms: int, name: str = "plain") -> str:
+    W = window_ms
+    return f"""
+pw AS (SELECT *, {_wstart('event_ms', W)} AS window_start FROM ok
+       QUALIFY row_number() OVER (PARTITION BY datastream_id, {_wstart('event_ms', W)}, seq
+                                  ORDER BY arrival_ms, arrival_seq) = 1),
+pgg AS (SELECT a.datastream_id, a.window_start, 1 AS pane, {_state_select('a')}
+        FROM pw a GROUP BY a.datastream_id, a.window_start),
+pg2 AS (SELECT *, max_arr AS result_ms FROM pgg),
+{name} AS (SELECT {result_select(W, 'pg2')} FROM pg2)"""
+
+
+def with_(*ctes: str, select: str) -> str:
+    return "WITH " + ",".join(ctes) + "\n" + select
+
+
+# --------------------------------------------------------------------------- queries
+
+def base(spec: WindowSpec = FIXTURE_SPEC) -> tuple[str, ...]:
+    return (feed_cte(), decoded_cte(), ok_cte(), classified_cte(spec))
+
+
+def oracle_queries(spec: WindowSpec = FIXTURE_SPEC) -> dict[str, str]:
+    W, L = spec.window_ms, spec.lateness_ms
+    f, d, o, c = base(spec)
+    q: dict[str, str] = {}
+    q["obs_typed"] = with_(f, d, select="""
+SELECT arrival_seq, error, thing_id, datastream_id, metric, sensor_type, seq, value_kind,
+       round(num, 6) AS num, CASE WHEN value_kind <> 'number' THEN sval END AS sval, bval,
+       event_ms, publish_ms FROM dec""")
+    q["ok_observations"] = with_(f, d, o, select="""
+SELECT thing_id, datastream_id, metric, sensor_type, seq, event_time, publish_time, value_kind,
+       round(num, 6) AS num, bval, event_ms, publish_ms, arrival_ms, arrival_seq FROM ok""")
+    q["dlq_records"] = with_(f, d, select="""
+SELECT error,
+       CASE WHEN error = 'decode_failed' THEN 'payload is not a JSON object' END AS error_details,
+       strftime(make_timestamp(arrival_ms * 1000), '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS timestamp,
+       CASE WHEN error = 'decode_failed' THEN size_bytes END AS size_bytes,
+       CASE WHEN error <> 'decode_failed' THEN left(coalesce(thing_id, ''), 100) END AS thing_id,
+       CASE WHEN error <> 'decode_failed' THEN left(coalesce(datastream_id, ''), 100) END AS datastream_id,
+       CASE WHEN error <> 'decode_failed' THEN left(coalesce(metric, ''), 100) END AS metric,
+       CASE WHEN error <> 'decode_failed' THEN left(coalesce(sensor_type, ''), 50) END AS sensor_type,
+       CASE WHEN error <> 'decode_failed' THEN seq END AS seq,
+       arrival_ms, arrival_seq
+FROM dec WHERE error IS NOT NULL""")
+    q["dlq_reasons"] = with_(f, d, select="""
+SELECT error AS reason, count(*) AS dlq_count FROM dec WHERE error IS NOT NULL GROUP BY error""")
+    metric_map = _case("metric", __import__("telemetra.constants", fromlist=["x"]).METRIC_TYPE)
+    by_value = ("CASE WHEN value_kind = 'string' THEN 'state' WHEN value_kind = 'bool' THEN 'alarm' "
+                "ELSE 'analog' END")
+    q["type_by_metric"] = with_(f, d, select=f"""
+SELECT arrival_seq, metric, value_kind, coalesce({metric_map}, {by_value}) AS type_by_metric
+FROM dec WHERE error IS NULL OR error <> 'decode_failed'""")
+    q["type_by_value"] = with_(f, d, select=f"""
+SELECT arrival_seq, value_kind, {by_value} AS type_by_value,
+       coalesce(CASE WHEN sensor_type IN ('analog', 'counter', 'state', 'alarm') THEN sensor_type END,
+                {metric_map}, {by_value}) AS identify_type
+FROM dec WHERE error IS NULL OR error <> 'decode_failed'""")
+    q["lateness_classes"] = with_(f, d, o, c, select="""
+SELECT arrival_ms, arrival_seq, datastream_id, seq, window_start, window_end, lateness FROM cls""")
+    B = spec.bound_ms
+    q["watermark_replay"] = with_(f, d, o, c, select=f"""
+SELECT w.window_start,
+  (SELECT min(o.arrival_ms) FROM ok o WHERE o.event_ms >= w.window_start + {W} + {B}) AS fire_arrival_ms,
+  (SELECT min(o.arrival_ms) FROM ok o WHERE o.event_ms >= w.window_start + {W} + {L} + {B} + 1)
+    AS expire_arrival_ms,
+  w.n AS n_rows
+FROM (SELECT window_start, count(*) AS n FROM cls GROUP BY window_start) w""")
+    q["late_records"] = with_(f, d, o, c, select=f"""
+SELECT thing_id, datastream_id, metric, sensor_type, seq, event_time, publish_time,
+       round(greatest(0.0, (arrival_ms - (window_end + {L})) / 1000.0), 3) AS late_by_sec
+FROM cls WHERE lateness = 'too_late'""")
+    q["dedup_seq"] = with_(f, d, o, c, select="""
+SELECT datastream_id, window_start, seq, arrival_ms, arrival_seq, lateness FROM acc""")
+    p = panes_cte(spec)
+    q["window_panes"] = with_(f, d, o, c, p, select="SELECT * FROM results")
+    q["late_firing_report"] = with_(f, d, o, c, p, select="""
+SELECT datastream_id, window_start, fire_index,
+       '[LATE FIRING] key=' || datastream_id || ' metric=' || metric || ' window=' || "window" ||
+       ' fire_index=' || CAST(fire_index AS VARCHAR) AS line
+FROM results WHERE is_late_firing""")
+    q["latency_metrics"] = with_(f, d, o, c, p, select="""
+SELECT datastream_id, window_start, fire_index, result_time, latency, end_to_end_latency,
+       (window_end - window_start) / 1000.0 AS window_duration_sec,
+       round(CASE WHEN (window_end - window_start) > 0
+                  THEN count / ((window_end - window_start) / 1000.0) ELSE 0.0 END, 6) AS throughput
+FROM results""")
+    pl = plain_cte(W)
+    for t in ("analog", "counter", "state", "alarm"):
+        q[f"window_{t}"] = with_(f, d, o, pl, select=f"""
+SELECT {', '.join(f'"{c}"' for c in TYPE_COLUMNS[t])} FROM plain WHERE sensor_type = '{t}'""")
+    return q
+
+
+COMMON = ("datastream_id", "window", "count", "sensor_type", "metric", "window_start", "window_end",
+          "max_event_time", "max_publish_time")
+TYPE_COLUMNS = {
+    "analog": COMMON + ("min_value", "max_value", "average"),
+    "counter": COMMON + ("first_value", "last_value", "delta"),
+    "state": COMMON + ("distinct_counts", "on_count", "off_count", "last_state"),
+    "alarm": COMMON + ("distinct_counts", "true_count", "false_count", "true_ratio", "triggered",
+                       "alarm_last_value"),
+}
