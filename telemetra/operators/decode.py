@@ -120,7 +120,7 @@ def decode_observations(raw: DataFrame, payload_col: str = "payload") -> DataFra
             .when(kind == "string", F.length("_vstr") > 0)
             .otherwise(F.lit(False)))
     keep = [c for c in p.columns if not c.startswith("_")]
-    return p.select(
+    out = p.select(
         *keep,
         num.alias("num"), sval.alias("sval"), bval.alias("bval"),
         validation_error().alias("error"),
@@ -128,6 +128,19 @@ def decode_observations(raw: DataFrame, payload_col: str = "payload") -> DataFra
         F.unix_millis("_event_time_ts").alias("event_ms"),
         F.unix_millis("_publish_time_ts").alias("publish_ms"),
     )
+    return evaluation_barrier(out)
+
+
+def evaluation_barrier(df: DataFrame) -> DataFrame:
+    """Keep later filters from being pushed into (and re-evaluating) ``df``'s projections.
+
+    Filters such as ``error IS NULL`` would otherwise be pushed below the decode
+    projections with every alias inlined, repeating the JSON parse once per field
+    reference (55 copies). A one-row-per-row generator is a boundary predicate
+    pushdown does not cross; it costs one struct build per row.
+    """
+    cols = df.columns
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in cols]))))
 
 
 OK_COLUMNS = ("thing_id", "datastream_id", "metric", "sensor_type", "seq", "event_time",

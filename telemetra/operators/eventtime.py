@@ -86,7 +86,7 @@ def classify_lateness(ok: DataFrame, spec: WindowSpec, materialize_thresholds: b
     ``too_late`` (watermark >= window_end + lateness), else ``late_accepted``.
     """
     W = spec.window_ms
-    thr = materialize(watermark_thresholds(ok, spec), materialize_thresholds)
+    thr = materialize(watermark_thresholds(ok, spec), materialize_thresholds, "thresholds")
     n_thr = thr.count()
     rows = ok.withColumn("widx", _floor_div(F.col("event_ms"), W))
     j = _join_small(rows, thr.drop("n_rows"), "widx", n_thr)

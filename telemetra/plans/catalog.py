@@ -19,6 +19,7 @@ from telemetra.operators.windows import (dedup_first_arrival, late_firing_report
                                          plain_window_results, windowed_results)
 from telemetra.plans.oracle import TYPE_COLUMNS
 from telemetra.plans.pipeline import fixture_feed, fixture_ok
+from telemetra.session import materialize
 
 SPEC = FIXTURE_SPEC
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,11 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
+def _ok_cut(spark, sf_dir):
+    """Decoded ok rows written once; window plans read them twice."""
+    return materialize(fixture_ok(spark, sf_dir), True, "ok")
+
+
 def _decoded(spark, sf_dir):
     return D.decode_observations(fixture_feed(spark, sf_dir))
 
@@ -72,12 +78,12 @@ def q_type_by_value(spark, sf_dir):
 
 
 def q_lateness_classes(spark, sf_dir):
-    return classify_lateness(fixture_ok(spark, sf_dir), SPEC).select(
+    return classify_lateness(_ok_cut(spark, sf_dir), SPEC).select(
         "arrival_ms", "arrival_seq", "datastream_id", "seq", "window_start", "window_end", "lateness")
 
 
 def q_watermark_replay(spark, sf_dir):
-    thr = watermark_thresholds(fixture_ok(spark, sf_dir), SPEC)
+    thr = watermark_thresholds(_ok_cut(spark, sf_dir), SPEC)
     return thr.filter(F.col("n_rows") > 0).select(
         (F.col("widx") * SPEC.window_ms).alias("window_start"),
         F.col("fire_at.arrival_ms").alias("fire_arrival_ms"),
@@ -86,17 +92,17 @@ def q_watermark_replay(spark, sf_dir):
 
 
 def q_late_records(spark, sf_dir):
-    return rounded(late_records(classify_lateness(fixture_ok(spark, sf_dir), SPEC), SPEC))
+    return rounded(late_records(classify_lateness(_ok_cut(spark, sf_dir), SPEC), SPEC))
 
 
 def q_dedup_seq(spark, sf_dir):
-    cls = classify_lateness(fixture_ok(spark, sf_dir), SPEC)
+    cls = classify_lateness(_ok_cut(spark, sf_dir), SPEC)
     return dedup_first_arrival(cls.filter(F.col("lateness") != "too_late")).select(
         "datastream_id", "window_start", "seq", "arrival_ms", "arrival_seq", "lateness")
 
 
 def _results(spark, sf_dir):
-    return windowed_results(fixture_ok(spark, sf_dir), SPEC)[0]
+    return windowed_results(_ok_cut(spark, sf_dir), SPEC)[0]
 
 
 def q_window_panes(spark, sf_dir):

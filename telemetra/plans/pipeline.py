@@ -30,7 +30,7 @@ def replay(raw: DataFrame, spec: WindowSpec = FIXTURE_SPEC, flush: bool = True,
            cut_lineage: bool = True) -> Replay:
     """Run the processor stage over a bounded raw feed (``payload`` + arrival columns)."""
     decoded = decode_observations(raw)
-    ok = materialize(ok_observations(decoded), cut_lineage)
+    ok = materialize(ok_observations(decoded), cut_lineage, "ok")
     results, late = windowed_results(ok, spec, flush=flush, materialize_thresholds=cut_lineage)
     return Replay(decoded, ok, dlq_records(decoded), results, late)
 

@@ -22,6 +22,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # generated methods above HotSpot's 8000-byte JIT limit would run interpreted
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", driver_memory)
     )
     spark = builder.getOrCreate()
@@ -44,17 +46,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def materialize(df: DataFrame, enabled: bool = True) -> DataFrame:
-    """Cut lineage by a reliable checkpoint in the session's checkpoint directory.
+def materialize(df: DataFrame, enabled: bool = True, name: str = "table") -> DataFrame:
+    """Cut lineage by writing ``df`` as Parquet under the session's checkpoint directory.
 
-    Used where a derived table is scanned more than once (e.g. watermark thresholds
-    and the classification join both read the decoded observations) so that an
-    executor loss re-reads the checkpoint rather than re-decoding the raw payloads.
+    Used where a derived table is scanned more than once (e.g. the watermark
+    thresholds and the classification join both read the decoded observations):
+    an executor loss then re-reads the written table instead of re-decoding raw
+    payloads, and later scans get column pruning and filter pushdown. The
+    directory is ``spark.checkpoint.dir`` (a shared folder on a cluster).
     """
     if not enabled:
         return df
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
