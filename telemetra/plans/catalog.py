@@ -17,7 +17,9 @@ from telemetra.operators import decode as D
 from telemetra.operators.eventtime import classify_lateness, late_records, watermark_thresholds
 from telemetra.operators.windows import (dedup_first_arrival, late_firing_report,
                                          plain_window_results, windowed_results)
+from telemetra.operators import points as P
 from telemetra.plans.oracle import TYPE_COLUMNS
+from telemetra.sources import topics as TP
 from telemetra.plans.pipeline import fixture_feed, fixture_ok
 from telemetra.session import materialize
 
@@ -129,6 +131,64 @@ def _plain_by_type(t: str) -> Query:
     return q
 
 
+def _results_messages(spark, sf_dir):
+    return P.results_json(_results(spark, sf_dir))
+
+
+def q_required_fields_gate(spark, sf_dir):
+    g = P.required_fields_gate(_results_messages(spark, sf_dir))
+    return rounded(g.select(*P.GATE_STR, *P.GATE_INT, "fire_index", "window_duration_sec", "throughput"))
+
+
+def _points(t: str) -> Query:
+    def q(spark, sf_dir):
+        return rounded(P.processed_points(P.required_fields_gate(_results_messages(spark, sf_dir)), t))
+    q.__name__ = f"q_points_{t}"
+    return q
+
+
+def _dlq_topic(spark, sf_dir):
+    return TP.dlq_topic(D.dlq_records(_decoded(spark, sf_dir)))
+
+
+def q_dlq_points(spark, sf_dir):
+    return P.dlq_points(_dlq_topic(spark, sf_dir))
+
+
+def q_double_encoded_unwrap(spark, sf_dir):
+    m = _dlq_topic(spark, sf_dir)
+    v = P.unwrap_json(F.col("value"))
+    return m.select("arrival_seq", F.try_variant_get(v, "$.error", "string").alias("error"),
+                    F.try_variant_get(v, "$.thing_id", "string").alias("thing_id"),
+                    F.try_variant_get(v, "$.seq", "bigint").alias("seq"))
+
+
+def _late_topic(spark, sf_dir):
+    cls = classify_lateness(_ok_cut(spark, sf_dir), SPEC)
+    return TP.late_topic(late_records(cls, SPEC, keep_arrival=True))
+
+
+def q_late_points(spark, sf_dir):
+    return rounded(P.late_points(_late_topic(spark, sf_dir)))
+
+
+LATE_POINT_ID = ["measurement", "datastream_id", "metric", "seq", "time_ms"]
+
+
+def q_upsert_latest(spark, sf_dir):
+    pts = P.late_points(_late_topic(spark, sf_dir).withColumn("_order", F.struct("arrival_ms", "arrival_seq")))
+    return rounded(P.upsert_latest(pts, LATE_POINT_ID, ["_order"]))
+
+
+def q_payload_hygiene(spark, sf_dir):
+    topic = TP.results_topic(_results(spark, sf_dir), SPEC.window_ms)
+    clean = P.payload_hygiene(topic, "value")
+    v = F.try_parse_json(F.col("text"))
+    return clean.select(F.try_variant_get(v, "$.datastream_id", "string").alias("datastream_id"),
+                        F.try_variant_get(v, "$.window_start", "bigint").alias("window_start"),
+                        F.try_variant_get(v, "$.fire_index", "bigint").alias("fire_index"))
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "obs_typed": q_obs_typed,
@@ -147,4 +207,12 @@ def queries() -> dict[str, Query]:
     }
     for t in ("analog", "counter", "state", "alarm"):
         q[f"window_{t}"] = _plain_by_type(t)
+    q["required_fields_gate"] = q_required_fields_gate
+    for t in ("analog", "counter", "state", "alarm"):
+        q[f"points_{t}"] = _points(t)
+    q["dlq_points"] = q_dlq_points
+    q["double_encoded_unwrap"] = q_double_encoded_unwrap
+    q["late_points"] = q_late_points
+    q["upsert_latest"] = q_upsert_latest
+    q["payload_hygiene"] = q_payload_hygiene
     return q

@@ -1,0 +1,59 @@
+"""Message topics derived from pipeline outputs, as the downstream consumers see them.
+
+The replay writes results, late records and DLQ records as JSON text; these
+helpers add the delivery faults the consumers must tolerate, by fixed rules over
+stable keys (so DuckDB can reproduce them): double-encoded JSON strings and
+damaged payloads (FIXTURES.md F7).
+"""
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from telemetra.operators.decode import dlq_json
+from telemetra.operators.points import late_json, results_json
+
+# --- fixed values: fixture fault rules ------------------------------------------------
+DOUBLE_ENCODE_MOD = 3        # DLQ / late message double-encoded when arrival_seq % 3 = 0
+HYGIENE_MOD = 9              # result payload fault by (window index + fire_index) % 9:
+# 1 null, 2 empty, 3 leading NUL byte, 4 blank, 5 invalid UTF-8 byte inside, 6 not JSON
+
+
+def json_string_literal(text: Column) -> Column:
+    """Encode text as a JSON string literal (quotes and backslashes escaped)."""
+    esc = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    return F.concat(F.lit('"'), esc, F.lit('"'))
+
+
+def _maybe_double(df: DataFrame) -> DataFrame:
+    twice = F.col("arrival_seq") % DOUBLE_ENCODE_MOD == 0
+    return df.withColumn("value", F.when(twice, json_string_literal(F.col("value")))
+                         .otherwise(F.col("value")))
+
+
+def dlq_topic(dlq: DataFrame) -> DataFrame:
+    """DLQ messages: ``value`` text, ``timestamp_ms`` (broker time = arrival), arrival_seq."""
+    msgs = dlq_json(dlq).withColumnRenamed("arrival_ms", "timestamp_ms")
+    return _maybe_double(msgs)
+
+
+def late_topic(late_with_arrival: DataFrame) -> DataFrame:
+    """Late-record messages with arrival columns for ordering."""
+    return _maybe_double(late_json(late_with_arrival))
+
+
+def results_topic(results: DataFrame, window_ms: int) -> DataFrame:
+    """Result messages as bytes, some damaged by rule (payload BINARY ``value``)."""
+    msgs = results_json(results)
+    k = ((F.col("window_start") / F.lit(window_ms)).cast("bigint") + F.col("fire_index")) % HYGIENE_MOD
+    raw = F.encode(F.col("value"), "UTF-8")
+    bad_byte = F.concat(F.encode(F.substring("value", 1, 10), "UTF-8"), F.unhex(F.lit("FF")),
+                        F.encode(F.expr("substring(value, 11)"), "UTF-8"))
+    payload = (F.when(k == 1, F.lit(None).cast("binary"))
+               .when(k == 2, F.encode(F.lit(""), "UTF-8"))
+               .when(k == 3, F.concat(F.unhex(F.lit("00")), raw))
+               .when(k == 4, F.encode(F.lit("  \n "), "UTF-8"))
+               .when(k == 5, bad_byte)
+               .when(k == 6, F.encode(F.expr("substring(value, 1, length(value) - 1)"), "UTF-8"))
+               .otherwise(raw))
+    return msgs.select(payload.alias("value"), "result_time", "datastream_id", "window_start",
+                       "fire_index")
