@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType
 
-from telemetra.constants import FIXTURE_SPEC
+from telemetra.constants import FEATURES, FIXTURE_SPEC
 from telemetra.functions.typing import identify_type, type_by_metric, type_by_value
 from telemetra.operators import decode as D
 from telemetra.operators.eventtime import classify_lateness, late_records, watermark_thresholds
@@ -20,7 +20,9 @@ from telemetra.operators.windows import (dedup_first_arrival, late_firing_report
 from telemetra.operators import points as P
 from telemetra.plans.oracle import TYPE_COLUMNS
 from telemetra.sources import topics as TP
-from telemetra.plans.pipeline import fixture_feed, fixture_ok
+from telemetra.operators import detector as DT
+from telemetra.operators import sequential as SQ
+from telemetra.plans.pipeline import fixture_feed, fixture_ok, hourly_results
 from telemetra.session import materialize
 
 SPEC = FIXTURE_SPEC
@@ -215,4 +217,99 @@ def queries() -> dict[str, Query]:
     q["late_points"] = q_late_points
     q["upsert_latest"] = q_upsert_latest
     q["payload_hygiene"] = q_payload_hygiene
+    q.update(detector_queries())
+    return q
+
+
+# --------------------------------------------------------------------------- detector
+
+def _detector_input(spark, sf_dir):
+    """Hourly window results over the fixture, written once (read by several stages)."""
+    return materialize(hourly_results(spark, sf_dir), True, "hourly")
+
+
+def _features(spark, sf_dir):
+    return DT.features(_detector_input(spark, sf_dir))
+
+
+DET_KEYS = ("datastream_id", "window_start", "fire_index")
+
+
+def q_calendar_features(spark, sf_dir):
+    return _features(spark, sf_dir).select(*DET_KEYS, "branch", "time", "day_of_week")
+
+
+def _points_of(branch: str) -> Query:
+    def q(spark, sf_dir):
+        f = _features(spark, sf_dir).filter(F.col("branch") == branch)
+        return rounded(DT.anomaly_points(f.withColumn("anomaly_score", F.lit(None).cast("double"))))
+    q.__name__ = f"q_points_of_{branch}"
+    return q
+
+
+def _feature_query(b: str) -> Query:
+    names = FEATURES[b]
+
+    def q(spark, sf_dir):
+        f = _features(spark, sf_dir).filter(F.col("branch") == b)
+        return rounded(f.select(*DET_KEYS, *[F.col(f"f{i}").alias(n) for i, n in enumerate(names)]))
+    q.__name__ = f"q_features_{b}"
+    return q
+
+
+def _z(spark, sf_dir):
+    return DT.zscores(_features(spark, sf_dir))
+
+
+def q_zscores(spark, sf_dir):
+    z = _z(spark, sf_dir)
+    return z.select(*DET_KEYS, "n", *[F.get(F.col("zs"), i).alias(f"z{i}")
+                                      for i in range(DT.MAX_FEATURES)])
+
+
+def _hst(spark, sf_dir):
+    return DT.hst_scores(_z(spark, sf_dir))
+
+
+def q_hst_scores(spark, sf_dir):
+    return rounded(_hst(spark, sf_dir).select(*DET_KEYS, "n", "anomaly_score"))
+
+
+def q_anomaly_statistical(spark, sf_dir):
+    return rounded(DT.anomaly_points(DT.statistical_anomalies(_hst(spark, sf_dir))))
+
+
+def _events(spark, sf_dir, **kw):
+    return SQ.detect(_features(spark, sf_dir), **kw)
+
+
+def q_adwin_drift(spark, sf_dir):
+    return rounded(SQ.drift_points(_events(spark, sf_dir)))
+
+
+def q_anomaly_full(spark, sf_dir):
+    ev = _events(spark, sf_dir).filter(F.col("kind") == "anomaly")
+    return rounded(ev.select("measurement", "sensor_type", "metric", "datastream_id", "anomaly_type",
+                             "time_ms", "anomaly_value", "average", "delta", "distinct_counts",
+                             "true_count", "anomaly_score"))
+
+
+def q_detector_state(spark, sf_dir):
+    ev = _events(spark, sf_dir, emit_state=True).filter(F.col("kind") == "state")
+    return ev.select("datastream_id", F.col("n").alias("count"), "reset_count",
+                     F.octet_length("state").alias("state_bytes"))
+
+
+def detector_queries() -> dict[str, Query]:
+    q: dict[str, Query] = {"calendar_features": q_calendar_features,
+                           "hardware_faults": _points_of("fault"),
+                           "smoke_events": _points_of("smoke")}
+    for b in FEATURES:
+        q[f"features_{b}"] = _feature_query(b)
+    q["zscores"] = q_zscores
+    q["hst_scores"] = q_hst_scores
+    q["anomaly_statistical"] = q_anomaly_statistical
+    q["adwin_drift"] = q_adwin_drift
+    q["anomaly_full"] = q_anomaly_full
+    q["detector_state"] = q_detector_state
     return q

@@ -7,6 +7,8 @@ late-state merge) is a real cross-check. Only the ``events`` view is read.
 """
 from __future__ import annotations
 
+import re
+
 from telemetra.constants import (BROKEN_TIME, FIXTURE_SPEC, GARBAGE_PAYLOAD, HOUR_MS, WindowSpec)
 from telemetra.functions.timeparse import ISO_PATTERN
 from telemetra.sources import feed as FD
@@ -167,10 +169,10 @@ def _state_select(a: str) -> str:
     first({a}.bval ORDER BY {last}) AS alast"""
 
 
-def result_select(W: int, src: str = "g") -> str:
+def result_select(W: int, src: str = "g", digits: int | None = 6) -> str:
     """Wide result columns (same names/types as the Spark ``finalize``)."""
     st = f"{src}.sensor_type"
-    return f"""{src}.datastream_id,
+    out = f"""{src}.datastream_id,
   strftime(make_timestamp({src}.window_start * 1000), '%H:%M:%S') || ' - ' ||
     strftime(make_timestamp(({src}.window_start + {W}) * 1000), '%H:%M:%S') AS "window",
   {src}.n AS count, {st} AS sensor_type, {src}.metric, {src}.window_start,
@@ -197,6 +199,9 @@ def result_select(W: int, src: str = "g") -> str:
   CASE WHEN {st} = 'alarm' THEN round({src}.tc / {src}.n, 6) END AS true_ratio,
   CASE WHEN {st} = 'alarm' THEN {src}.tc > 0 END AS triggered,
   CASE WHEN {st} = 'alarm' THEN {src}.alast END AS alarm_last_value"""
+    if digits is None:   # full precision (detector input)
+        out = re.sub(r"round\(([^\n]*?), 6\)( END)? AS", r"\1\2 AS", out)
+    return out
 
 
 def panes_cte(spec: WindowSpec) -> str:
@@ -229,7 +234,7 @@ g AS (
 results AS (SELECT {result_select(W)} FROM g)"""
 
 
-def plain_cte(window_ms: int, name: str = "plain") -> str:
+def plain_cte(window_ms: int, name: str = "plain", digits: int | None = 6) -> str:
     W = window_ms
     return f"""
 pw AS (SELECT *, {_wstart('event_ms', W)} AS window_start FROM ok
@@ -238,7 +243,7 @@ pw AS (SELECT *, {_wstart('event_ms', W)} AS window_start FROM ok
 pgg AS (SELECT a.datastream_id, a.window_start, 1 AS pane, {_state_select('a')}
         FROM pw a GROUP BY a.datastream_id, a.window_start),
 pg2 AS (SELECT *, max_arr AS result_ms FROM pgg),
-{name} AS (SELECT {result_select(W, 'pg2')} FROM pg2)"""
+{name} AS (SELECT {result_select(W, 'pg2', digits)} FROM pg2)"""
 
 
 def with_(*ctes: str, select: str) -> str:
@@ -377,6 +382,8 @@ WHERE ((window_start // {W}) + fire_index) % 9 NOT IN (1, 2, 3, 4, 6)""")
     for t in ("analog", "counter", "state", "alarm"):
         q[f"window_{t}"] = with_(f, d, o, pl, select=f"""
 SELECT {', '.join(f'"{c}"' for c in TYPE_COLUMNS[t])} FROM plain WHERE sensor_type = '{t}'""")
+    from telemetra.plans.oracle_detector import detector_queries
+    q.update(detector_queries((f, d, o), plain_cte, with_))
     return q
 
 
