@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from telemetra.constants import (ANOMALY_THRESHOLD, FAULT_LIMITS, FEATURES,
                                  MEASUREMENT_ANOMALY, MIN_SAMPLES_FOR_ANOMALY)
 from telemetra.operators.hst import BRANCHES, forest, path_keys_batch  # noqa: F401
+from telemetra.operators.decode import evaluation_barrier
 from telemetra.operators.scan import prefix_sums
 from telemetra.session import materialize
 
@@ -87,7 +88,8 @@ def _feature(name: str) -> Column:
 def features(results: DataFrame) -> DataFrame:
     """M1-M7: branch, fault value and feature columns ``f0..f5`` (NULL past the branch's width)."""
     d = calendar(results.select(*INPUT_COLUMNS))
-    d = d.withColumn("branch", branch()).withColumn("anomaly_value", fault_value())
+    # the branch expression is large; a barrier keeps later filters from inlining it
+    d = evaluation_barrier(d.select("*", branch().alias("branch"), fault_value().alias("anomaly_value")))
     fcols = []
     for i in range(MAX_FEATURES):
         e = None

@@ -22,6 +22,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # constraint inference grows with the size of CASE chains pushed through
+        # projections (fault limits, validation reasons) and can stall the optimizer
+        .config("spark.sql.constraintPropagation.enabled", "false")
         # generated methods above HotSpot's 8000-byte JIT limit would run interpreted
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", driver_memory)
