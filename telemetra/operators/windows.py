@@ -104,8 +104,8 @@ def merge_state(left: str, right: str) -> list[Column]:
     return out
 
 
-def finalize(state: DataFrame, window_ms: int) -> DataFrame:
-    """A8 + A9: wide result row from state + ``pane`` + ``result_ms`` columns."""
+def finalize(state: DataFrame, window_ms: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """A8 + A9: wide result row from state + ``pane`` + ``result_ms`` columns (+ ``keep``)."""
     st = F.col("first_row.sensor_type")
     is_ = lambda t: st == t
     n = F.col("n")
@@ -148,6 +148,7 @@ def finalize(state: DataFrame, window_ms: int) -> DataFrame:
         F.when(is_("alarm"), F.col("tc") / n).alias("true_ratio"),
         F.when(is_("alarm"), F.col("tc") > 0).alias("triggered"),
         F.when(is_("alarm"), F.col("alast.v")).alias("alarm_last_value"),
+        *[F.col(c) for c in keep],
     )
 
 
@@ -159,8 +160,12 @@ def dedup_first_arrival(rows: DataFrame, keys=("datastream_id", "window_start",
             .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in (*ARRIVAL, *rest)]))
 
 
-def panes(accepted: DataFrame, window_ms: int, flush: bool = True) -> DataFrame:
-    """One result row per firing from deduplicated, classified rows."""
+def panes(accepted: DataFrame, window_ms: int, flush: bool = True,
+          carry: tuple[str, ...] = ()) -> DataFrame:
+    """One result row per firing from deduplicated, classified rows.
+
+    ``carry`` columns of a late row are passed to the pane it fires (NULL on pane 1).
+    """
     on = accepted.filter(F.col("lateness") == "on_time")
     late = accepted.filter(F.col("lateness") == "late_accepted")
     base = on.groupBy(*KEY).agg(*pane_aggregates(), F.max("fire_arrival_ms").alias("fire_ms"))
@@ -172,14 +177,14 @@ def panes(accepted: DataFrame, window_ms: int, flush: bool = True) -> DataFrame:
     running = Window.partitionBy(*KEY).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     run = late.select(*KEY, *running_aggregates(running),
                       F.row_number().over(Window.partitionBy(*KEY).orderBy(*order)).alias("j"),
-                      F.col("arrival_ms").alias("result_ms"))
-    run = run.select(*KEY, "j", "result_ms", *[F.col(c).alias("r_" + c) for c in STATE])
+                      F.col("arrival_ms").alias("result_ms"), *carry)
+    run = run.select(*KEY, "j", "result_ms", *carry, *[F.col(c).alias("r_" + c) for c in STATE])
     b = base.select(*KEY, *[F.col(c).alias("b_" + c) for c in STATE])
     merged = run.join(b, list(KEY), "left").select(
         *KEY, *merge_state("b_", "r_"),
         (F.col("j") + F.when(F.col("b_n").isNotNull(), 1).otherwise(0)).alias("pane"),
-        "result_ms")
-    return finalize(first.unionByName(merged), window_ms)
+        "result_ms", *carry)
+    return finalize(first.unionByName(merged, allowMissingColumns=True), window_ms, carry)
 
 
 def windowed_results(ok: DataFrame, spec: WindowSpec, flush: bool = True,

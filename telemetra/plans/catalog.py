@@ -218,6 +218,7 @@ def queries() -> dict[str, Query]:
     q["upsert_latest"] = q_upsert_latest
     q["payload_hygiene"] = q_payload_hygiene
     q.update(detector_queries())
+    q["stream_panes"] = q_stream_panes
     return q
 
 
@@ -313,3 +314,22 @@ def detector_queries() -> dict[str, Query]:
     q["anomaly_full"] = q_anomaly_full
     q["detector_state"] = q_detector_state
     return q
+
+
+# --------------------------------------------------------------------------- streaming
+
+STREAM_BATCHES = 8
+
+
+def q_stream_panes(spark, sf_dir):
+    """The fixture feed replayed through the streaming processor (8 micro-batches)."""
+    from telemetra.session import scratch_path
+    from telemetra.streaming.processor import raw_file_stream, replay_as_files, run_stream
+    root = scratch_path(spark, "stream")
+    raw = materialize(fixture_feed(spark, sf_dir), True, "feed")
+    glob = replay_as_files(raw, f"{root}/in", STREAM_BATCHES)
+    q = run_stream(raw_file_stream(spark, glob), f"{root}/out", SPEC, f"{root}/ckpt")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return rounded(spark.read.parquet(f"{root}/out/results"))
