@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from telemetra.constants import (DLQ_STAGE, MEASUREMENT_DLQ, MEASUREMENT_LATE,
                                  MEASUREMENT_PROCESSED)
 from telemetra.functions.timeparse import parse_iso
+from telemetra.operators.decode import evaluation_barrier
 
 COMMON_RESULT = ("datastream_id", "window", "count", "sensor_type", "metric")
 TAIL_RESULT = ("window_start", "window_end", "result_time", "max_event_time", "max_publish_time",
@@ -40,8 +41,9 @@ def results_json(results: DataFrame) -> DataFrame:
 
     text = (F.when(st == "counter", obj("counter")).when(st == "analog", obj("analog"))
             .when(st == "state", obj("state")).otherwise(obj("alarm")))
-    return results.select(text.alias("value"), "result_time", "datastream_id", "window_start",
-                          "fire_index")
+    # keep the serialiser and a downstream parser out of one generated method
+    return evaluation_barrier(results.select(text.alias("value"), "result_time", "datastream_id",
+                                             "window_start", "fire_index"))
 
 
 LATE_FIELDS = ("thing_id", "datastream_id", "metric", "sensor_type", "seq", "event_time",

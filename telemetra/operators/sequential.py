@@ -137,27 +137,45 @@ def _frame(records: list[dict], columns: list[tuple[str, str]]) -> pd.DataFrame:
                          for n, t in columns})
 
 
-def _runner(threshold: float, emit_scores: bool, emit_state: bool):
-    fcols = [f"f{i}" for i in range(MAX_FEATURES)]
-    columns = [tuple(c.split(" ")) for c in EVENT_SCHEMA.replace(", ", ",").split(",")]
+EVENT_COLUMNS = [tuple(c.split(" ")) for c in EVENT_SCHEMA.replace(", ", ",").split(",")]
+FEATURE_COLUMNS = [f"f{i}" for i in range(MAX_FEATURES)]
+
+
+def process_rows(entry: Entry | None, key, pdf: pd.DataFrame, threshold: float,
+                 emit_scores: bool) -> tuple[Entry | None, list[dict]]:
+    """Feed one stream's rows (already in emission order) through its model entry."""
+    out: list[dict] = []
+    feats = pdf[FEATURE_COLUMNS].to_numpy(dtype=float, na_value=np.nan)
+    for i, row in enumerate(pdf.itertuples(index=False)):
+        if entry is None:
+            entry = Entry(row.branch)
+        width = forest(row.branch).n_features if row.branch in BRANCHES else 0
+        out.extend(_step(entry, row, feats[i, :width], threshold, emit_scores))
+    return entry, out
+
 
+def _runner(threshold: float, emit_scores: bool, emit_state: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, entry = None, None
         for pdf in batches:
             out: list[dict] = []
-            feats = pdf[fcols].to_numpy(dtype=float, na_value=np.nan)
-            for i, row in enumerate(pdf.itertuples(index=False)):
-                k = getattr(row, KEY)
+            keys = pdf[KEY].to_numpy()
+            # the partition is sorted by key: cut the batch into runs of one key
+            cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+            for part in np.split(np.arange(len(pdf)), cuts):
+                if not len(part):
+                    continue
+                k = keys[part[0]]
                 if k != key:
                     if emit_state and entry is not None:
                         out.append(_snapshot(key, entry))
-                    key, entry = k, Entry(row.branch)
-                width = forest(row.branch).n_features if row.branch in BRANCHES else 0
-                out.extend(_step(entry, row, feats[i, :width], threshold, emit_scores))
+                    key, entry = k, None
+                entry, ev = process_rows(entry, k, pdf.iloc[part], threshold, emit_scores)
+                out.extend(ev)
             if out:
-                yield _frame(out, columns)
+                yield _frame(out, EVENT_COLUMNS)
         if emit_state and entry is not None:
-            yield _frame([_snapshot(key, entry)], columns)
+            yield _frame([_snapshot(key, entry)], EVENT_COLUMNS)
 
     return run
 
@@ -181,3 +199,26 @@ def drift_points(events: DataFrame) -> DataFrame:
     return events.filter(F.col("kind") == "drift").select(
         "measurement", "sensor_type", "metric", KEY, "detector", "time_ms", "drift_value",
         "count_before_reset", "reset_count")
+
+
+def detect_stream(feat: DataFrame, threshold: float = ANOMALY_THRESHOLD) -> DataFrame:
+    """M12 on a streaming DataFrame: one model entry per stream kept in Spark state.
+
+    ``applyInPandasWithState`` with no timeout: every micro-batch's rows of a stream
+    are ordered and fed to its entry; the pickled entry is the state (M16), so it is
+    checkpointed with the query and restored after a failure.
+    """
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    def fn(key, pdfs, state):
+        entry = pickle.loads(state.get[0]) if state.exists else None
+        out: list[dict] = []
+        for pdf in pdfs:
+            entry, ev = process_rows(entry, key[0], pdf.sort_values(list(ORDER)), threshold, False)
+            out.extend(ev)
+        if entry is not None:
+            state.update((pickle.dumps(entry, protocol=pickle.HIGHEST_PROTOCOL),))
+        yield _frame(out, EVENT_COLUMNS)
+
+    return feat.groupBy(KEY).applyInPandasWithState(fn, EVENT_SCHEMA, "entry binary", "append",
+                                                    GroupStateTimeout.NoTimeout)

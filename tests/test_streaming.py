@@ -49,3 +49,26 @@ def test_stream_equals_batch_one_record_per_batch(spark):
                if d.startswith("v="))
     st = spark.read.parquet(os.path.join(tmp, "out", "state", "rows", f"v={last}"))
     assert st.filter(F.col("window_start") == 0).count() == 0
+
+
+def test_stream_detector_equals_batch(spark):
+    from telemetra.operators import detector as DT, sequential as SQ
+    from test_detector import frame, level_stream
+    feat = DT.features(frame(spark, level_stream()))
+    tmp = tempfile.mkdtemp(prefix="stream-det-", dir=os.environ.get("TMPDIR", "/tmp"))
+    n = 600
+    for b, (lo, hi) in enumerate([(0, 200), (200, 450), (450, n)]):
+        part = feat.filter((F.col("window_start") >= lo * 3_600_000) & (F.col("window_start") < hi * 3_600_000))
+        part.coalesce(1).write.parquet(os.path.join(tmp, "in", f"b={b}"))
+        time.sleep(1.1)   # file source order = modification time
+    src = (spark.readStream.schema(feat.schema).option("maxFilesPerTrigger", 1)
+           .parquet(os.path.join(tmp, "in", "b=*", "*.parquet")))
+    q = (SQ.detect_stream(src).writeStream.format("parquet").outputMode("append")
+         .option("path", os.path.join(tmp, "out")).option("checkpointLocation", os.path.join(tmp, "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    cols = ["kind", "datastream_id", "time_ms", "anomaly_score", "drift_value", "count_before_reset"]
+    got = spark.read.parquet(os.path.join(tmp, "out")).select(*cols)
+    want = SQ.detect(feat).select(*cols)
+    assert want.count() > 0
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
