@@ -10,10 +10,10 @@ Without drift resets every step is set-oriented:
 * running standardisation (M8): exclusive / inclusive prefix sums of x and x^2 per
   stream, two-level (``scan.prefix_sums``) so a long stream is not one sort,
 * half-space-tree score (M9): sample n of a stream is in block (n-1) // window; its
-  path through each tree is a higher-order-function walk over the branch's split
-  arrays (a 4-row table, joined by broadcast), node masses are a hash aggregate of
-  learned paths per (stream, block), and a sample is scored against the masses of
-  the block before its own: one equi-join on (stream, block).
+  path through each tree is walked in Arrow batches over the branch's constant
+  split tables, node masses are a hash aggregate of learned paths per (stream,
+  block, node), and a sample is scored against the masses of the block before its
+  own: one equi-join on (stream, block, node) and one aggregate per sample.
 
 The sequential form with ADWIN resets (``sequential.detect``) uses the same trees
 and must agree with this one on streams where no drift fires.
@@ -21,7 +21,7 @@ and must agree with this one on streams where no drift fires.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from telemetra.constants import (ANOMALY_THRESHOLD, FAULT_LIMITS, FEATURES,
                                  MEASUREMENT_ANOMALY, MIN_SAMPLES_FOR_ANOMALY)
@@ -132,15 +132,6 @@ def zscores(feat: DataFrame) -> DataFrame:
                       F.slice(F.array(*zl), 1, width).alias("zl"))
 
 
-def trees_table(spark: SparkSession) -> DataFrame:
-    """The split arrays of every branch: 4 rows, fixed size."""
-    rows = []
-    for b in BRANCHES:
-        fr = forest(b)
-        rows.append((b, [list(f) for f in fr.feats], [list(t) for t in fr.thrs]))
-    return spark.createDataFrame(rows, "branch string, feats array<array<int>>, thrs array<array<double>>")
-
-
 def _path_keys(branch: pd.Series, z: pd.Series) -> pd.Series:
     return pd.Series(path_keys_batch(branch.to_numpy(), list(z)))
 

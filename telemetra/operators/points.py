@@ -163,8 +163,10 @@ def dlq_points(messages: DataFrame, text_col: str = "value", ts_col: str = "time
         F.lit(1).cast("bigint").alias("dlq_count"), F.col(ts_col).alias("time_ms"))
 
 
-def late_points(messages: DataFrame, text_col: str = "value") -> DataFrame:
-    """Late-event points; records without a parseable event_time are skipped."""
+def late_points(messages: DataFrame, text_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Late-event points; records without a parseable event_time are skipped.
+
+    ``keep`` columns of the message pass through (e.g. an ordering for the upsert)."""
     v = unwrap_json(F.col(text_col))
     m = messages.select("*", v.alias("_v")).filter(_is_object(F.col("_v")))
     vv = F.col("_v")
@@ -178,7 +180,7 @@ def late_points(messages: DataFrame, text_col: str = "value") -> DataFrame:
         seq_text.alias("seq"),
         F.coalesce(_get(vv, "late_by_sec", "double"), F.lit(0.0)).alias("late_by_seconds"),
         F.lit(1).cast("bigint").alias("late_count"),
-        t.alias("time_ms"),
+        t.alias("time_ms"), *keep,
     ).filter(F.col("time_ms").isNotNull())
 
 

@@ -178,7 +178,8 @@ LATE_POINT_ID = ["measurement", "datastream_id", "metric", "seq", "time_ms"]
 
 
 def q_upsert_latest(spark, sf_dir):
-    pts = P.late_points(_late_topic(spark, sf_dir).withColumn("_order", F.struct("arrival_ms", "arrival_seq")))
+    pts = P.late_points(_late_topic(spark, sf_dir).withColumn("_order", F.struct("arrival_ms", "arrival_seq")),
+                        keep=("_order",))
     return rounded(P.upsert_latest(pts, LATE_POINT_ID, ["_order"]))
 
 
