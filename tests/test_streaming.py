@@ -72,3 +72,24 @@ def test_stream_detector_equals_batch(spark):
     want = SQ.detect(feat).select(*cols)
     assert want.count() > 0
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_late_point_sink_on_text_stream(spark):
+    import json
+    from telemetra.operators.points import late_points
+    from telemetra.streaming.consumers import point_sink, text_file_stream
+    tmp = tempfile.mkdtemp(prefix="stream-late-", dir=os.environ.get("TMPDIR", "/tmp"))
+    os.makedirs(os.path.join(tmp, "in"))
+    rec = {"datastream_id": "d", "metric": "m", "seq": 3, "event_time": "2026-03-09T12:00:00+00:00",
+           "late_by_sec": 1.5}
+    lines = [json.dumps(rec), json.dumps(json.dumps({**rec, "late_by_sec": 2.5})),
+             json.dumps({**rec, "seq": 4}), json.dumps({k: v for k, v in rec.items() if k != "event_time"})]
+    with open(os.path.join(tmp, "in", "a.txt"), "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    q = point_sink(text_file_stream(spark, os.path.join(tmp, "in")),
+                   lambda b: late_points(b.withColumn("_o", F.monotonically_increasing_id()), keep=("_o",)),
+                   ["measurement", "datastream_id", "metric", "seq", "time_ms"], ["_o"],
+                   os.path.join(tmp, "out"), os.path.join(tmp, "ck"))
+    q.awaitTermination(120)
+    got = {(r["seq"], r["late_by_seconds"]) for r in spark.read.parquet(os.path.join(tmp, "out")).collect()}
+    assert got == {("3", 2.5), ("4", 1.5)}     # same identity: the later message wins
