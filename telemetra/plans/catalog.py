@@ -220,6 +220,7 @@ def queries() -> dict[str, Query]:
     q["payload_hygiene"] = q_payload_hygiene
     q.update(detector_queries())
     q["stream_panes"] = q_stream_panes
+    q["datastream_keys"] = q_datastream_keys
     return q
 
 
@@ -334,3 +335,15 @@ def q_stream_panes(spark, sf_dir):
     if q.exception() is not None:
         raise q.exception()
     return rounded(spark.read.parquet(f"{root}/out/results"))
+
+
+# --------------------------------------------------------------------------- keys (K1, K2)
+
+def q_datastream_keys(spark, sf_dir):
+    """K1/K2 over the distinct (thing, metric, type) of the ok observations."""
+    from telemetra.functions.keys import datastream_key, thing_key
+    ok = fixture_ok(spark, sf_dir).select("thing_id", "metric", "sensor_type").distinct()
+    index = F.substring_index("thing_id", "-", -1).cast("int")
+    return ok.select("thing_id", "metric", "sensor_type",
+                     datastream_key(F.col("thing_id"), F.col("metric")).alias("datastream_key"),
+                     thing_key(F.col("sensor_type"), index).alias("thing_key"))

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import re
 
-from telemetra.constants import (BROKEN_TIME, FIXTURE_SPEC, GARBAGE_PAYLOAD, HOUR_MS, WindowSpec)
+from telemetra.constants import (BROKEN_TIME, FIXTURE_SPEC, GARBAGE_PAYLOAD, HOUR_MS,
+                                 NAMESPACE_DNS_HEX, NAMESPACE_URL_HEX, WindowSpec)
 from telemetra.functions.timeparse import ISO_PATTERN
 from telemetra.sources import feed as FD
 
@@ -246,6 +247,14 @@ pg2 AS (SELECT *, max_arr AS result_ms FROM pgg),
 {name} AS (SELECT {result_select(W, 'pg2', digits)} FROM pg2)"""
 
 
+def _uuid5_sql(ns_hex: str, name: str) -> str:
+    """uuid5 text: SHA-1 of namespace bytes + name, version nibble 5, variant bits 10xx."""
+    h = f"sha1(unhex('{ns_hex}') || encode({name}))"
+    var = (f"substr('0123456789abcdef', (((strpos('0123456789abcdef', substr({h}, 17, 1)) - 1) & 3) | 8) + 1, 1)")
+    return (f"(substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-5' || substr({h}, 14, 3) || '-' || "
+            f"{var} || substr({h}, 18, 3) || '-' || substr({h}, 21, 12))")
+
+
 def with_(*ctes: str, select: str) -> str:
     return "WITH " + ",".join(ctes) + "\n" + select
 
@@ -382,6 +391,12 @@ WHERE ((window_start // {W}) + fire_index) % 9 NOT IN (1, 2, 3, 4, 6)""")
     for t in ("analog", "counter", "state", "alarm"):
         q[f"window_{t}"] = with_(f, d, o, pl, select=f"""
 SELECT {', '.join(f'"{c}"' for c in TYPE_COLUMNS[t])} FROM plain WHERE sensor_type = '{t}'""")
+    q["datastream_keys"] = with_(f, d, o, select=f"""
+SELECT thing_id, metric, sensor_type,
+       {_uuid5_sql(NAMESPACE_URL_HEX, "thing_id || ':' || metric")} AS datastream_key,
+       {_uuid5_sql(NAMESPACE_DNS_HEX, "'iot-simulator:' || sensor_type || ':' || "
+                   "CAST(CAST(split_part(thing_id, '-', 2) AS INTEGER) AS VARCHAR)")} AS thing_key
+FROM (SELECT DISTINCT thing_id, metric, sensor_type FROM ok)""")
     from telemetra.plans.oracle_detector import detector_queries
     q.update(detector_queries((f, d, o), plain_cte, with_))
     return q
