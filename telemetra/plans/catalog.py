@@ -221,6 +221,15 @@ def queries() -> dict[str, Query]:
     q.update(detector_queries())
     q["stream_panes"] = q_stream_panes
     q["datastream_keys"] = q_datastream_keys
+    return {k: _in_utc(f) for k, f in q.items()}
+
+
+def _in_utc(f: Query) -> Query:
+    """Labels, hours and weekdays are UTC by definition: pin the session time zone."""
+    def q(spark, sf_dir):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return f(spark, sf_dir)
+    q.__name__ = getattr(f, "__name__", "query")
     return q
 
 
