@@ -121,6 +121,21 @@ def _step(e: Entry, row, feats: np.ndarray, threshold: float, emit_scores: bool)
     return out
 
 
+def load_entry(blob, branch: str | None) -> Entry:
+    """M16 repair: an unreadable snapshot gives a fresh entry; missing fields get defaults."""
+    fresh = Entry(branch)
+    try:
+        e = pickle.loads(blob)
+    except Exception:
+        return fresh
+    if not isinstance(e, Entry):
+        return fresh
+    for name, value in vars(fresh).items():
+        if not hasattr(e, name):
+            setattr(e, name, value)
+    return e
+
+
 def _snapshot(key: str, e: Entry) -> dict:
     """The stream's model entry as bytes, with its counters alongside."""
     return {"kind": "state", "datastream_id": key, "n": e.count, "reset_count": e.reset_count,
@@ -146,7 +161,11 @@ def process_rows(entry: Entry | None, key, pdf: pd.DataFrame, threshold: float,
     """Feed one stream's rows (already in emission order) through its model entry."""
     out: list[dict] = []
     feats = pdf[FEATURE_COLUMNS].to_numpy(dtype=float, na_value=np.nan)
+    has_state = "resume_state" in pdf.columns
     for i, row in enumerate(pdf.itertuples(index=False)):
+        if has_state and row.resume_state is not None:   # a resumed snapshot sorts first
+            entry = load_entry(row.resume_state, None)
+            continue
         if entry is None:
             entry = Entry(row.branch)
         width = forest(row.branch).n_features if row.branch in BRANCHES else 0
@@ -181,7 +200,8 @@ def _runner(threshold: float, emit_scores: bool, emit_state: bool):
 
 
 def detect(feat: DataFrame, threshold: float = ANOMALY_THRESHOLD, emit_scores: bool = False,
-           emit_state: bool = False, partitions: int | None = None) -> DataFrame:
+           emit_state: bool = False, partitions: int | None = None,
+           resume: DataFrame | None = None) -> DataFrame:
     """Run the per-stream detector over ``detector.features`` rows.
 
     Output rows (``EVENT_SCHEMA``): ``kind`` = anomaly (M14) / drift (M15), plus
@@ -189,6 +209,14 @@ def detect(feat: DataFrame, threshold: float = ANOMALY_THRESHOLD, emit_scores: b
     (``state``, M16) when ``emit_state``.
     """
     n = partitions or int(feat.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if resume is not None:
+        # snapshots (``datastream_id, state``) travel with the rows and sort before them
+        first = F.lit(-(2 ** 62)).cast("bigint")
+        snaps = resume.select(F.col(KEY), F.col("state").alias("resume_state"),
+                              first.alias("result_time"), first.alias("window_start"),
+                              F.lit(0).alias("fire_index"))
+        feat = feat.withColumn("resume_state", F.lit(None).cast("binary")).unionByName(
+            snaps, allowMissingColumns=True)
     ordered = (feat.repartition(n, KEY)
                .sortWithinPartitions(KEY, *ORDER))
     return ordered.mapInPandas(_runner(threshold, emit_scores, emit_state), EVENT_SCHEMA)

@@ -109,3 +109,25 @@ def test_drift_resets_model(spark):
     for d in drifts:
         assert not [e for e in ev if e["kind"] == "anomaly" and e["time_ms"] == d["time_ms"]
                     and e["anomaly_type"] == "statistical"]
+
+
+def test_resume_from_snapshot_equals_one_run(spark):
+    feat = DT.features(frame(spark, level_stream())).cache()
+    cut = 250 * HOUR
+    cols = ["kind", "time_ms", "anomaly_score", "drift_value", "count_before_reset", "reset_count"]
+    whole = SQ.detect(feat).filter(F.col("window_start") >= cut).select(*cols)
+    first = SQ.detect(feat.filter(F.col("window_start") < cut), emit_state=True)
+    snaps = first.filter("kind = 'state'").select("datastream_id", "state")
+    second = SQ.detect(feat.filter(F.col("window_start") >= cut), resume=snaps).select(*cols)
+    assert whole.count() > 0
+    assert whole.exceptAll(second).count() == 0 and second.exceptAll(whole).count() == 0
+
+
+def test_load_entry_repairs():
+    import pickle
+    assert SQ.load_entry(b"not a pickle", "analog").count == 0
+    e = SQ.Entry("analog")
+    e.count = 7
+    del e.cooldown
+    back = SQ.load_entry(pickle.dumps(e), "analog")
+    assert back.count == 7 and back.cooldown == 0
