@@ -79,14 +79,17 @@ def _join_small(big: DataFrame, small: DataFrame, on: str, n_small: int) -> Data
     return big.join(small, on, "left")
 
 
-def classify_lateness(ok: DataFrame, spec: WindowSpec, materialize_thresholds: bool = True) -> DataFrame:
+def classify_lateness(ok: DataFrame, spec: WindowSpec, materialize_thresholds: bool = False) -> DataFrame:
     """E2 + E4 + E5: add window bounds, ``lateness`` and the window's firing arrival.
 
     lateness: ``on_time`` (watermark before the row < window_end - 1),
     ``too_late`` (watermark >= window_end + lateness), else ``late_accepted``.
     """
     W = spec.window_ms
-    thr = materialize(watermark_thresholds(ok, spec), materialize_thresholds, "thresholds")
+    # one row per window index, derived from ``ok`` (itself a written table): caching is
+    # enough to read it twice; a lost block is recomputed from ``ok`` by one aggregate
+    thr = watermark_thresholds(ok, spec)
+    thr = materialize(thr, True, "thresholds") if materialize_thresholds else thr.cache()
     n_thr = thr.count()
     rows = ok.withColumn("widx", _floor_div(F.col("event_ms"), W))
     j = _join_small(rows, thr.drop("n_rows"), "widx", n_thr)

@@ -188,7 +188,7 @@ def panes(accepted: DataFrame, window_ms: int, flush: bool = True,
 
 
 def windowed_results(ok: DataFrame, spec: WindowSpec, flush: bool = True,
-                     materialize_thresholds: bool = True) -> tuple[DataFrame, DataFrame]:
+                     materialize_thresholds: bool = False) -> tuple[DataFrame, DataFrame]:
     """Window results and late side output of the ok observations.
 
     Returns ``(results, late)``; ``results`` has ``RESULT_COLUMNS``.
