@@ -105,7 +105,7 @@ class StreamProcessor:
         rows = ok.select("*", ws.alias("window_start"), we.alias("window_end"),
                          F.when(F.lit(wm_before) >= we + L, F.lit("too_late"))
                          .when(F.lit(wm_before) < we - 1, F.lit("on_time"))
-                         .otherwise(F.lit("late_accepted")).alias("lateness"))
+                         .otherwise(F.lit("late_accepted")).alias("lateness")).persist()
         self._write(late_records(rows, self.spec), "late", batch_id)
 
         # First arrival wins, across batches (anti-join) and inside the batch
@@ -114,7 +114,8 @@ class StreamProcessor:
                  .join(prev_rows.select(*KEYS), KEYS, "left_anti")
                  .withColumn("_r", F.row_number().over(first)).filter("_r = 1").drop("_r")
                  .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
-        state = prev_rows.unionByName(fresh.select(*prev_rows.columns))
+        # read by the pane, expiry and state writes: computed once per batch
+        state = prev_rows.unionByName(fresh.select(*prev_rows.columns)).persist()
 
         # windows touched now: closing windows (pane 1) and windows with new late rows
         closing = (F.lit(wm_before) < F.col("window_end") - 1) & (F.col("window_end") - 1 <= F.lit(wm_after))
@@ -135,7 +136,8 @@ class StreamProcessor:
         kept.write.mode("overwrite").parquet(self._path("state", "rows", f"v={batch_id}"))
         spark.createDataFrame([(new_max,)], "max_event bigint").write.mode("overwrite") \
             .parquet(self._path("state", "wm", f"v={batch_id}"))
-        decoded.unpersist()
+        for df in (state, rows, decoded):
+            df.unpersist()
 
 
 def _state_schema(ok: DataFrame) -> str:
