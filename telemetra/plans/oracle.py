@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from telemetra.constants import (BROKEN_TIME, FIXTURE_SPEC, GARBAGE_PAYLOAD, HOUR_MS,
+from telemetra.constants import (BROKEN_TIME, FIXTURE_SPEC, GARBAGE_PAYLOAD, HOUR_MS, METRIC_TYPE,
                                  NAMESPACE_DNS_HEX, NAMESPACE_URL_HEX, WindowSpec)
 from telemetra.functions.timeparse import ISO_PATTERN
 from telemetra.sources import feed as FD
@@ -290,7 +290,7 @@ SELECT error,
 FROM dec WHERE error IS NOT NULL""")
     q["dlq_reasons"] = with_(f, d, select="""
 SELECT error AS reason, count(*) AS dlq_count FROM dec WHERE error IS NOT NULL GROUP BY error""")
-    metric_map = _case("metric", __import__("telemetra.constants", fromlist=["x"]).METRIC_TYPE)
+    metric_map = _case("metric", METRIC_TYPE)
     by_value = ("CASE WHEN value_kind = 'string' THEN 'state' WHEN value_kind = 'bool' THEN 'alarm' "
                 "ELSE 'analog' END")
     q["type_by_metric"] = with_(f, d, select=f"""
