@@ -15,7 +15,7 @@ from telemetra.constants import FEATURES, FIXTURE_SPEC
 from telemetra.functions.typing import identify_type, type_by_metric, type_by_value
 from telemetra.operators import decode as D
 from telemetra.operators.eventtime import classify_lateness, late_records, watermark_thresholds
-from telemetra.operators.windows import (dedup_first_arrival, late_firing_report,
+from telemetra.operators.windows import (RESULT_COLUMNS, dedup_first_arrival, late_firing_report,
                                          plain_window_results, windowed_results)
 from telemetra.operators import points as P
 from telemetra.plans.oracle import TYPE_COLUMNS
@@ -343,7 +343,7 @@ def q_stream_panes(spark, sf_dir):
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return rounded(spark.read.parquet(f"{root}/out/results"))
+    return rounded(spark.read.parquet(f"{root}/out/results").select(*RESULT_COLUMNS))
 
 
 # --------------------------------------------------------------------------- keys (K1, K2)

@@ -235,6 +235,51 @@ g AS (
 results AS (SELECT {result_select(W)} FROM g)"""
 
 
+def stream_cte(spec: WindowSpec, n_batches: int) -> str:
+    """Micro-batch replay: batches are equal arrival spans of the raw feed; the watermark
+    before batch b is the max event time of earlier batches - bound - 1. Pane 1 is
+    emitted once the final watermark passes the window; every late pane is emitted."""
+    W, B, L = spec.window_ms, spec.bound_ms, spec.lateness_ms
+    return f"""
+span AS (SELECT min(arrival_ms) AS lo, (max(arrival_ms) - min(arrival_ms) + 1 + {n_batches - 1}) // {n_batches} AS sp
+         FROM fj),
+bok AS (SELECT ok.*, (ok.arrival_ms - span.lo) // span.sp AS batch FROM ok, span),
+bmax AS (SELECT batch, max(event_ms) AS mx FROM bok GROUP BY batch),
+bwm AS (SELECT b.batch, (SELECT max(m.mx) FROM bmax m WHERE m.batch < b.batch) - {B} - 1 AS wm
+        FROM (SELECT DISTINCT batch FROM bok) b),
+scls AS (
+  SELECT bok.*, {_wstart('event_ms', W)} AS window_start, {_wstart('event_ms', W)} + {W} AS window_end,
+         CASE WHEN bwm.wm >= {_wstart('event_ms', W)} + {W} + {L} THEN 'too_late'
+              WHEN bwm.wm IS NULL OR bwm.wm < {_wstart('event_ms', W)} + {W} - 1 THEN 'on_time'
+              ELSE 'late_accepted' END AS lateness
+  FROM bok JOIN bwm USING (batch)),
+sacc AS (
+  SELECT * FROM scls WHERE lateness <> 'too_late'
+  QUALIFY row_number() OVER (PARTITION BY datastream_id, window_start, seq
+                             ORDER BY arrival_ms, arrival_seq) = 1),
+scnt AS (
+  SELECT *, count(*) FILTER (WHERE lateness = 'on_time')
+              OVER (PARTITION BY datastream_id, window_start) AS n_on
+  FROM sacc),
+snum AS (
+  SELECT *, CASE WHEN lateness = 'on_time' THEN 1
+                 ELSE row_number() OVER (PARTITION BY datastream_id, window_start, lateness
+                                         ORDER BY arrival_ms, arrival_seq)
+                      + CASE WHEN n_on > 0 THEN 1 ELSE 0 END END AS pane
+  FROM scnt),
+spl AS (SELECT DISTINCT datastream_id, window_start, pane, n_on FROM snum),
+spg AS (
+  SELECT p.datastream_id, p.window_start, p.pane, any_value(p.n_on) AS n_on, {_state_select('a')}
+  FROM spl p JOIN snum a
+    ON a.datastream_id = p.datastream_id AND a.window_start = p.window_start AND a.pane <= p.pane
+  GROUP BY p.datastream_id, p.window_start, p.pane),
+sg AS (
+  SELECT spg.*, spg.max_arr AS result_ms FROM spg
+  WHERE spg.pane > 1 OR spg.n_on = 0
+     OR (SELECT max(event_ms) FROM bok) - {B} - 1 >= spg.window_start + {W} - 1),
+sresults AS (SELECT {result_select(W, 'sg')} FROM sg)"""
+
+
 def plain_cte(window_ms: int, name: str = "plain", digits: int | None = 6) -> str:
     W = window_ms
     return f"""
@@ -397,6 +442,8 @@ SELECT thing_id, metric, sensor_type,
        {_uuid5_sql(NAMESPACE_DNS_HEX, "'iot-simulator:' || sensor_type || ':' || "
                    "CAST(CAST(split_part(thing_id, '-', 2) AS INTEGER) AS VARCHAR)")} AS thing_key
 FROM (SELECT DISTINCT thing_id, metric, sensor_type FROM ok)""")
+    from telemetra.plans.catalog import STREAM_BATCHES
+    q["stream_panes"] = with_(f, d, o, stream_cte(spec, STREAM_BATCHES), select="SELECT * FROM sresults")
     from telemetra.plans.oracle_detector import detector_queries
     q.update(detector_queries((f, d, o), plain_cte, with_))
     return q
