@@ -136,6 +136,9 @@ class StreamProcessor:
         kept.write.mode("overwrite").parquet(self._path("state", "rows", f"v={batch_id}"))
         spark.createDataFrame([(new_max,)], "max_event bigint").write.mode("overwrite") \
             .parquet(self._path("state", "wm", f"v={batch_id}"))
+        # a retry of this batch reads version batch_id - 1 only: older versions can go
+        for name in ("rows", "wm"):
+            _delete(spark, self._path("state", name, f"v={batch_id - 2}"))
         for df in (state, rows, decoded):
             df.unpersist()
 
@@ -146,6 +149,14 @@ def _state_schema(ok: DataFrame) -> str:
                              "batch_id bigint"])
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

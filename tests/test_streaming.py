@@ -44,11 +44,13 @@ def test_stream_equals_batch_one_record_per_batch(spark):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     got_late = spark.read.parquet(os.path.join(tmp, "out", "late"))
     assert sorted(r["seq"] for r in got_late.collect()) == sorted(r["seq"] for r in late.collect())
-    # state holds only open windows at the end
+    # state holds only open windows at the end, and only the last two versions are kept
     last = max(int(d.split("=")[1]) for d in os.listdir(os.path.join(tmp, "out", "state", "rows"))
                if d.startswith("v="))
     st = spark.read.parquet(os.path.join(tmp, "out", "state", "rows", f"v={last}"))
     assert st.filter(F.col("window_start") == 0).count() == 0
+    versions = [d for d in os.listdir(os.path.join(tmp, "out", "state", "rows")) if d.startswith("v=")]
+    assert sorted(versions) == [f"v={last - 1}", f"v={last}"]
 
 
 def test_stream_detector_equals_batch(spark):
