@@ -196,3 +196,50 @@ def upsert_latest(points: DataFrame, identity: list[str], order: list[str]) -> D
     packed = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest])
     return (points.groupBy(*identity).agg(F.max(packed).alias("_p"))
             .select(*identity, *[F.col(f"_p.{c}").alias(c) for c in rest]))
+
+
+# --------------------------------------------------------------------------- S3 (detector gate)
+
+_DETECTOR_TYPED = {
+    "analog": ("min_value", "max_value", "average"),
+    "counter": ("delta", "window_start"),
+    "state": ("distinct_counts",),
+    "alarm": ("true_ratio", "true_count"),
+}
+_DETECTOR_CASTS = {"min_value": "double", "max_value": "double", "average": "double", "delta": "double",
+                   "window_start": "bigint", "distinct_counts": "bigint", "true_ratio": "double",
+                   "true_count": "bigint"}
+
+
+def detector_gate(messages: DataFrame, text_col: str = "text") -> DataFrame:
+    """S3 + the detector's field gate: result text -> detector input rows.
+
+    Required for every record: datastream_id, metric, sensor_type, window_end; then the
+    fields of its sensor type (a record lacking one is skipped). ``result_time`` and
+    ``fire_index`` (default 1) give the emission order.
+    """
+    v = F.try_parse_json(F.col(text_col))
+    m = messages.select(v.alias("_v")).filter(_is_object(F.col("_v")))
+    vv = F.col("_v")
+    fire = F.when(F.variant_get(vv, "$.fire_index", "variant").isNull(), F.lit(1)) \
+        .otherwise(_get(vv, "fire_index", "int"))
+    cols = [_get(vv, "datastream_id", "string").alias("datastream_id"),
+            _get(vv, "metric", "string").alias("metric"),
+            _get(vv, "sensor_type", "string").alias("sensor_type"),
+            _get(vv, "window_start", "bigint").alias("window_start"),
+            _get(vv, "window_end", "bigint").alias("window_end"),
+            _get(vv, "result_time", "bigint").alias("result_time"),
+            fire.alias("fire_index"),
+            *[_get(vv, n, t).alias(n) for n, t in _DETECTOR_CASTS.items()
+              if n != "window_start"]]
+    rows = m.select(*cols)
+    base = (F.col("datastream_id").isNotNull() & F.col("metric").isNotNull()
+            & F.col("sensor_type").isNotNull() & F.col("window_end").isNotNull())
+    typed = None
+    for t, fields in _DETECTOR_TYPED.items():
+        ok = F.lit(True)
+        for f in fields:
+            ok = ok & F.col(f).isNotNull()
+        cond = F.col("sensor_type") == t
+        typed = F.when(cond, ok) if typed is None else typed.when(cond, ok)
+    return rows.filter(base & typed.otherwise(F.lit(True)))

@@ -63,3 +63,28 @@ def test_upsert_last_write_wins(spark):
     df = spark.createDataFrame([("k", 1, 1.0), ("k", 2, 2.0), ("j", 1, 5.0)], "id string, o int, v double")
     out = {r["id"]: r["v"] for r in P.upsert_latest(df, ["id"], ["o"]).collect()}
     assert out == {"k": 2.0, "j": 5.0}
+
+
+def test_detector_gate_feeds_the_detector(spark):
+    from conftest import SF_SMALL
+    from telemetra.constants import FIXTURE_SPEC
+    from telemetra.operators import detector as DT
+    from telemetra.plans.pipeline import hourly_results
+    from telemetra.sources.topics import results_topic
+    res = hourly_results(spark, SF_SMALL).cache()
+    clean = P.payload_hygiene(results_topic(res, FIXTURE_SPEC.window_ms), "value")
+    via_json = DT.features(P.detector_gate(clean))
+    keys = ["datastream_id", "window_start", "fire_index"]
+    direct = DT.features(res).join(via_json.select(*keys), keys, "left_semi")
+    cols = keys + ["branch", "time", "day_of_week"] + [f"f{i}" for i in range(DT.MAX_FEATURES)]
+    assert via_json.count() > 0
+    assert via_json.select(*cols).exceptAll(direct.select(*cols)).count() == 0
+    assert direct.select(*cols).exceptAll(via_json.select(*cols)).count() == 0
+    # the smaller gate: a record without window_end, or an analog one without average, is skipped
+    bad = [json.dumps({"datastream_id": "d", "metric": "m", "sensor_type": "state", "distinct_counts": 1}),
+           json.dumps({"datastream_id": "d", "metric": "m", "sensor_type": "analog", "window_end": 5,
+                       "min_value": 1, "max_value": 2}),
+           json.dumps({"datastream_id": "d", "metric": "m", "sensor_type": "state", "window_end": 5,
+                       "distinct_counts": 2})]
+    got = P.detector_gate(msgs(spark, bad, col="text")).collect()
+    assert len(got) == 1 and got[0]["distinct_counts"] == 2 and got[0]["fire_index"] == 1
