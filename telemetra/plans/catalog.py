@@ -221,6 +221,7 @@ def queries() -> dict[str, Query]:
     q.update(detector_queries())
     q["stream_panes"] = q_stream_panes
     q["datastream_keys"] = q_datastream_keys
+    q["detector_gate"] = q_detector_gate
     return {k: _in_utc(f) for k, f in q.items()}
 
 
@@ -356,3 +357,10 @@ def q_datastream_keys(spark, sf_dir):
     return ok.select("thing_id", "metric", "sensor_type",
                      datastream_key(F.col("thing_id"), F.col("metric")).alias("datastream_key"),
                      thing_key(F.col("sensor_type"), index).alias("thing_key"))
+
+
+def q_detector_gate(spark, sf_dir):
+    """S3: hourly results as damaged messages -> hygiene -> detector gate."""
+    res = _detector_input(spark, sf_dir)
+    clean = P.payload_hygiene(TP.results_topic(res, SPEC.window_ms), "value")
+    return rounded(P.detector_gate(clean).select(*DT.INPUT_COLUMNS))

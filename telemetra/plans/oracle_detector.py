@@ -7,7 +7,7 @@ seven node masses of each tree), not the parent-mass shortcut of the Spark form.
 """
 from __future__ import annotations
 
-from telemetra.constants import FAULT_LIMITS, FEATURES, HOUR_MS
+from telemetra.constants import FAULT_LIMITS, FEATURES, FIXTURE_SPEC, HOUR_MS
 from telemetra.operators.detector import MAX_FEATURES, VAR_EPS, Z_DIGITS
 from telemetra.operators.hst import BRANCHES, forest
 
@@ -162,6 +162,19 @@ def detector_queries(base: tuple[str, ...], plain_cte, with_) -> dict[str, str]:
     q["calendar_features"] = with_(f, d, o, hourly, ft, select=f"""
 SELECT {KEYS}, branch, CAST(time AS INTEGER) AS time, CAST(day_of_week AS INTEGER) AS day_of_week
 FROM feat""")
+    W = FIXTURE_SPEC.window_ms
+    q["detector_gate"] = with_(f, d, o, hourly, select=f"""
+SELECT datastream_id, metric, sensor_type, window_start, window_end, result_time, fire_index,
+       round(min_value, 6) AS min_value, round(max_value, 6) AS max_value, round(average, 6) AS average,
+       round(delta, 6) AS delta, distinct_counts, round(true_ratio, 6) AS true_ratio, true_count
+FROM hourly
+WHERE ((window_start // {W}) + fire_index) % 9 NOT IN (1, 2, 3, 4, 6)
+  AND CASE sensor_type WHEN 'analog' THEN min_value IS NOT NULL AND max_value IS NOT NULL
+                                          AND average IS NOT NULL
+                       WHEN 'counter' THEN delta IS NOT NULL
+                       WHEN 'state' THEN distinct_counts IS NOT NULL
+                       WHEN 'alarm' THEN true_ratio IS NOT NULL AND true_count IS NOT NULL
+                       ELSE true END""")
     q["hardware_faults"] = with_(f, d, o, hourly, ft, select=points_select("feat") + "\nWHERE branch = 'fault'")
     q["smoke_events"] = with_(f, d, o, hourly, ft, select=points_select("feat") + "\nWHERE branch = 'smoke'")
     for b, names in FEATURES.items():
