@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from telemetra.constants import WindowSpec
 from telemetra.operators.decode import decode_observations, dlq_records, ok_observations
 from telemetra.operators.eventtime import ARRIVAL, late_records
-from telemetra.operators.windows import panes
+from telemetra.operators.windows import late_firing_report, panes
 
 RAW_SCHEMA = "payload binary, arrival_ms bigint, arrival_seq bigint, arrival_ts timestamp"
 KEYS = ["datastream_id", "window_start", "seq"]
@@ -63,10 +63,11 @@ def relay(stream: DataFrame, sink_path: str, checkpoint: str, trigger: dict | No
 
 @dataclass
 class StreamProcessor:
-    """foreachBatch function object; ``out_dir`` gets results / late / dlq / state."""
+    """foreachBatch function object; ``out_dir`` gets results / late / dlq / report / state."""
 
     out_dir: str
     spec: WindowSpec
+    report: bool = True     # E13: late-firing lines as a fourth output
 
     def _path(self, *parts: str) -> str:
         return os.path.join(self.out_dir, *parts)
@@ -128,8 +129,10 @@ class StreamProcessor:
         emitted = panes(acc, W, flush=True, carry=("pane_batch",))
         closes_now = (F.lit(wm_before) < F.col("window_end") - 1) & (F.col("window_end") - 1 <= F.lit(wm_after))
         out = emitted.filter(((F.col("fire_index") == 1) & F.col("pane_batch").isNull() & closes_now)
-                             | (F.col("pane_batch") == batch_id)).drop("pane_batch")
+                             | (F.col("pane_batch") == batch_id)).drop("pane_batch").persist()
         self._write(out, "results", batch_id)
+        if self.report:
+            self._write(late_firing_report(out), "report", batch_id)
 
         # Keep rows of windows that are still open, then publish the new version
         kept = state.filter(F.col("window_end") + L > F.lit(wm_after))
@@ -139,7 +142,7 @@ class StreamProcessor:
         # a retry of this batch reads version batch_id - 1 only: older versions can go
         for name in ("rows", "wm"):
             _delete(spark, self._path("state", name, f"v={batch_id - 2}"))
-        for df in (state, rows, decoded):
+        for df in (out, state, rows, decoded):
             df.unpersist()
 
 

@@ -42,6 +42,8 @@ def test_stream_equals_batch_one_record_per_batch(spark):
     want, late = windowed_results(ok, REFERENCE_SPEC, flush=False, materialize_thresholds=False)
     want = want.select(*COLS)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    report = spark.read.parquet(os.path.join(tmp, "out", "report"))
+    assert report.count() == want.filter("is_late_firing").count() == 2
     got_late = spark.read.parquet(os.path.join(tmp, "out", "late"))
     assert sorted(r["seq"] for r in got_late.collect()) == sorted(r["seq"] for r in late.collect())
     # state holds only open windows at the end, and only the last two versions are kept
