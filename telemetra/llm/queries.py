@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from telemetra.llm import language, packing, simhash, syncmer
+from telemetra.llm import decontaminate, hmm, language, line_dedup, packing, secrets, simhash, syncmer
 from telemetra.llm.common import is_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,19 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return line_dedup.drop_boilerplate(docs)
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_report(table(spark, sf_dir, "documents"))
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
 def op5_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -37,9 +50,17 @@ def op9_syncmer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmer.fingerprint_report(table(spark, sf_dir, "documents"))
 
 
+def op10_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("train", ~is_remainder("doc_id", 10, 0))
+    return hmm.score(docs, "train").withColumn("held_out", ~F.col("train")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op5_hilbert_packing, op7_language_id, op8_simhash, op9_syncmer)}
+    return {f.__name__: f for f in (
+        op1_line_dedup, op2_secret_scan, op3_decontaminate, op5_hilbert_packing, op7_language_id, op8_simhash,
+        op9_syncmer, op10_hmm_lm)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_line_dedup": line_dedup.SQL, "op3_decontaminate": decontaminate.sql()}
