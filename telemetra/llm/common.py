@@ -49,6 +49,11 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def broadcast_if_small(df: DataFrame, rows: int = 300_000) -> DataFrame:
+    """``df``, marked for broadcast where it is counted to have at most ``rows`` (narrow) rows."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def slices(texts: list[str], limit: int = CHARS_AT_ONCE) -> Iterator[tuple[int, int]]:
     """Ranges of ``texts`` of at most ``limit`` characters together (one text at least)."""
     start, size = 0, 0

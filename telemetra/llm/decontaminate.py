@@ -30,7 +30,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from telemetra.llm.common import cut
+from telemetra.llm.common import broadcast_if_small, cut
 
 WINDOW = 8
 MIN_TOKENS = 13
@@ -119,11 +119,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text:
         .select("item_row", F.col("at").alias("item_at"), "window")
     doc = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     seen = doc.select("id", "text_hash", F.posexplode(window_hashes(canonical(F.col("text")))).alias("at", "window"))
-    few = grams.count() <= BROADCAST_WINDOWS
-    hits = seen.join(F.broadcast(grams) if few else grams, "window")
+    hits = seen.join(broadcast_if_small(grams, BROADCAST_WINDOWS), "window")
     found = cut(hits.groupBy("id", "text_hash", "item_row", (F.col("at") - F.col("item_at")).alias("offset"))
                 .agg(F.sort_array(F.collect_set("item_at")).alias("ats")), "benchmark-hits")
-    wanted = found.select("id", "text_hash").distinct()
+    wanted = broadcast_if_small(found.select("id", "text_hash").distinct())
     texts = doc.join(wanted, doc.id.eqNullSafe(wanted.id) & (doc.text_hash == wanted.text_hash), "left_semi") \
         .dropDuplicates(["id", "text_hash"]).select(
             F.col("id").alias("d"), F.col("text_hash").alias("dh"), slots(F.col("text")).alias("words"))
@@ -147,8 +146,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text:
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows that hold a benchmark item."""
-    bad = matches(docs, benchmark, id_col, text).select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_h")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text]) == F.col("_h")), "left_anti")
+    bad = cut(matches(docs, benchmark, id_col, text)
+              .select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_h")).distinct(), "benchmark-bad")
+    return docs.join(broadcast_if_small(bad), docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text]) == F.col("_h")), "left_anti")
 
 
 def _sql_tokens(source: str, key: str) -> str:

@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from telemetra.llm import decontaminate, hmm, language, line_dedup, packing, secrets, simhash, syncmer
+from telemetra.llm import decontaminate, hmm, language, line_dedup, packing, quality_pu, secrets, simhash, syncmer, toxicity
 from telemetra.llm.common import is_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,23 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
+def op4_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = is_remainder("doc_id", 3, 1)
+    trusted = labels.filter(~held & (F.col("quality") == 1))
+    model = quality_pu.train(docs.filter(~held), trusted)
+    return docs.select("doc_id", held.alias("held_out"), quality_pu.scored(spark, model, F.col("text")).alias("score")) \
+        .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op6_toxicity_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = is_remainder("doc_id", 5, 0)
+    model = toxicity.train(docs, labels.filter(~held))
+    rows = docs.select("doc_id", held.alias("held_out"), "text")
+    return toxicity.scored(model, rows).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op5_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -58,8 +75,8 @@ def op10_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_line_dedup, op2_secret_scan, op3_decontaminate, op5_hilbert_packing, op7_language_id, op8_simhash,
-        op9_syncmer, op10_hmm_lm)}
+        op1_line_dedup, op2_secret_scan, op3_decontaminate, op4_quality_pu, op5_hilbert_packing,
+        op6_toxicity_gbt, op7_language_id, op8_simhash, op9_syncmer, op10_hmm_lm)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -29,7 +29,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from telemetra.llm.common import cut
+from telemetra.llm.common import broadcast_if_small, cut
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -116,17 +116,42 @@ def connected(links: DataFrame, name: str = "component") -> DataFrame:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = SHINGLE_WORDS,
-                    max_bits: int = MAX_BITS) -> DataFrame:
-    """One row per input row: id, ``fp`` (signed fingerprint), ``component_id``."""
-    marked = cut(docs.select(F.col(id_col).alias("_id"), fingerprints(docs, text, k).alias("fp")), "simhash")
-    distinct = marked.groupBy("fp").agg(F.min("_id").alias("first_id"))
+def _marked(docs: DataFrame, id_col: str, text: str, k: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(id, text_hash, fp) of every row, and (fp, root, component_id) of every fingerprint."""
+    marked = cut(docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"),
+                             fingerprints(docs, text, k).alias("fp")), "simhash")
+    distinct = marked.groupBy("fp").agg(F.min("id").alias("first_id"))
     roots = connected(ball_links(distinct.select("fp"), max_bits), "simhash")
     named = distinct.join(roots, distinct.fp == roots.node, "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     component = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_fp = named.join(component, "root").select("fp", "component_id")
-    return marked.join(by_fp, "fp").select(F.col("_id").alias(id_col), "fp", "component_id")
+    return marked, named.join(component, "root").select("fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = SHINGLE_WORDS,
+                    max_bits: int = MAX_BITS) -> DataFrame:
+    """One row per input row: id, ``fp`` (signed fingerprint), ``component_id``."""
+    marked, by_fp = _marked(docs, id_col, text, k, max_bits)
+    return marked.join(by_fp, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = SHINGLE_WORDS,
+             max_bits: int = MAX_BITS) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id (nulls last), then text hash."""
+    marked, by_fp = _marked(docs, id_col, text, k, max_bits)
+    rank = F.struct(F.col("id").isNull(), "id", "text_hash")
+    first = marked.join(by_fp.select("fp", "root"), "fp").groupBy("root").agg(F.min(rank).alias("r")).select("r.id", "r.text_hash")
+    times = marked.groupBy("id", "text_hash").agg(F.count("*").alias("n")).filter("n > 1").select(
+        F.col("id").alias("i"), F.col("text_hash").alias("h"))
+    chosen = cut(first.join(broadcast_if_small(times), F.expr("id <=> i AND text_hash = h"), "left")
+                 .select("id", "text_hash", F.col("h").isNotNull().alias("repeated")), "simhash-kept")
+    rows = docs.withColumn("_h", F.xxhash64(text))
+
+    def of(repeated: bool) -> DataFrame:
+        keys = chosen.filter(F.col("repeated") == repeated).select(F.col("id").alias("_i"), F.col("text_hash").alias("_t"))
+        return rows.join(keys, rows[id_col].eqNullSafe(F.col("_i")) & (F.col("_h") == F.col("_t")), "left_semi")
+    # rows that occur more than once are few; only they are reduced to one
+    return of(False).unionByName(of(True).dropDuplicates([id_col, "_h"])).drop("_h")
 
 
 def hex16(fp: Column) -> Column:
