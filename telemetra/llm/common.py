@@ -49,6 +49,11 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def packed(df: DataFrame, columns: list[str] | None = None) -> Column:
+    """One struct of a table's columns, so that helper columns beside it can't clash with them."""
+    return F.struct(*[df[c].alias(c) for c in (columns or df.columns)]).alias("row")
+
+
 def broadcast_if_small(df: DataFrame, rows: int = 300_000) -> DataFrame:
     """``df``, marked for broadcast where it is counted to have at most ``rows`` (narrow) rows."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -30,7 +30,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from telemetra.llm.common import broadcast_if_small, cut
+from telemetra.llm.common import broadcast_if_small, cut, packed
 
 WINDOW = 8
 MIN_TOKENS = 13
@@ -147,8 +147,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text:
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows that hold a benchmark item."""
     bad = cut(matches(docs, benchmark, id_col, text)
-              .select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_h")).distinct(), "benchmark-bad")
-    return docs.join(broadcast_if_small(bad), docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text]) == F.col("_h")), "left_anti")
+              .select(F.col(id_col).alias("id"), "text_hash").distinct(), "benchmark-bad")
+    rows = docs.select(packed(docs), docs[id_col].alias("i"), F.xxhash64(text).alias("h"))
+    return rows.join(broadcast_if_small(bad), F.expr("i <=> id AND h = text_hash"), "left_anti").select("row.*")
 
 
 def _sql_tokens(source: str, key: str) -> str:

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from telemetra.llm.common import cut
+from telemetra.llm.common import cut, packed
 
 MAX_RATIO = 0.02
 MIN_PAGES = 5
@@ -62,21 +62,20 @@ def drop_boilerplate(pages: DataFrame, host: str = "source", text: str = "text",
     found = cut(boilerplate(pages, host, text, max_ratio, min_pages), "boilerplate")
     small = found.select(F.sum(F.size("lines"))).first()[0] or 0
     keep = [c for c in pages.columns if c not in ("n_lines", "n_dropped")]
-    rows = pages.select(*keep, F.coalesce(F.col(host), F.lit("")).alias("_host"))
-    found = found.select(F.col("host").alias("_host"), F.col("lines").alias("_lines"))
+    rows = pages.select(packed(pages, keep), F.coalesce(F.col(host), F.lit("")).alias("host"))
     if small <= BROADCAST_LINES:
-        joined = rows.join(F.broadcast(found), "_host", "left")
+        joined = rows.join(F.broadcast(found), "host", "left")
     else:
-        salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS))
-        salted = found.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-        joined = rows.withColumn("_salt", salt).join(salted, ["_host", "_salt"], "left")
-    lines = lines_of(F.col(text))
-    kept = F.when(F.col("_lines").isNull(), lines).otherwise(
-        F.filter(lines, lambda x: ~F.array_contains("_lines", _key(F.trim(x)))))
-    return joined.withColumn("_kept", kept).select(
-        *[F.array_join("_kept", "\n").alias(c) if c == text else F.col(c) for c in keep],
+        salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+        joined = rows.withColumn("salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS))) \
+            .join(found.withColumn("salt", F.explode(salts)), ["host", "salt"], "left")
+    lines = lines_of(F.col("row")[text])
+    kept = F.when(F.col("lines").isNull(), lines).otherwise(
+        F.filter(lines, lambda x: ~F.array_contains("lines", _key(F.trim(x)))))
+    return joined.withColumn("kept", kept).select(
+        *[F.array_join("kept", "\n").alias(c) if c == text else F.col("row")[c].alias(c) for c in keep],
         F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"),
-        F.coalesce(F.size(lines) - F.size("_kept"), F.lit(0)).alias("n_dropped"))
+        F.coalesce(F.size(lines) - F.size("kept"), F.lit(0)).alias("n_dropped"))
 
 
 #: the rows of op1_line_dedup

@@ -29,7 +29,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from telemetra.llm.common import broadcast_if_small, cut
+from telemetra.llm.common import broadcast_if_small, cut, packed
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -145,13 +145,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int
         F.col("id").alias("i"), F.col("text_hash").alias("h"))
     chosen = cut(first.join(broadcast_if_small(times), F.expr("id <=> i AND text_hash = h"), "left")
                  .select("id", "text_hash", F.col("h").isNotNull().alias("repeated")), "simhash-kept")
-    rows = docs.withColumn("_h", F.xxhash64(text))
+    rows = docs.select(packed(docs), docs[id_col].alias("i"), F.xxhash64(text).alias("h"))
 
     def of(repeated: bool) -> DataFrame:
-        keys = chosen.filter(F.col("repeated") == repeated).select(F.col("id").alias("_i"), F.col("text_hash").alias("_t"))
-        return rows.join(keys, rows[id_col].eqNullSafe(F.col("_i")) & (F.col("_h") == F.col("_t")), "left_semi")
+        keys = chosen.filter(F.col("repeated") == repeated).select("id", "text_hash")
+        return rows.join(keys, F.expr("i <=> id AND h = text_hash"), "left_semi")
     # rows that occur more than once are few; only they are reduced to one
-    return of(False).unionByName(of(True).dropDuplicates([id_col, "_h"])).drop("_h")
+    return of(False).unionByName(of(True).dropDuplicates(["i", "h"])).select("row.*")
 
 
 def hex16(fp: Column) -> Column:
