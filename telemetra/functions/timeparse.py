@@ -9,10 +9,16 @@ ISO_PATTERN = (
 )
 
 
+DAY_MS = 86_400_000
+
+
 def _normalised(col: Column) -> Column:
-    # ',' fraction separator -> '.', '+hhmm' -> '+hh:mm' so Spark's cast accepts it
+    """Text with ``.`` before a fraction, ``+hh:mm`` and always an offset: a naive time is UTC
+    whatever the session's time zone."""
     c = F.regexp_replace(col, r"^(.{19}),", "$1.")
-    return F.regexp_replace(c, r"([+-]\d{2})(\d{2})$", "$1:$2")
+    c = F.regexp_replace(c, r"(:\d{2}|[.]\d{1,6})([+-]\d{2})(\d{2})$", "$1$2:$3")
+    return (F.when(F.length(c) == 10, F.concat(c, F.lit("T00:00:00Z")))
+            .when(c.rlike(r"(Z|[+-]\d{2}:\d{2})$"), c).otherwise(F.concat(c, F.lit("Z"))))
 
 
 def parse_iso(col: Column) -> Column:
@@ -31,15 +37,45 @@ def iso_to_millis(col: Column) -> Column:
     return F.unix_millis(parse_iso(col))
 
 
+# UTC calendar parts of epoch milliseconds by integer arithmetic: no session time zone is involved.
+
+def _days(ms: Column) -> Column:
+    return F.floor(ms / F.lit(DAY_MS)).cast("int")
+
+
+def _two(n: Column) -> Column:
+    return F.lpad(n.cast("string"), 2, "0")
+
+
+def utc_hour(ms: Column) -> Column:
+    return F.floor(F.pmod(ms, F.lit(DAY_MS)) / 3_600_000).cast("int")
+
+
+def utc_weekday(ms: Column) -> Column:
+    """Monday = 0 (day 0 of the epoch was a Thursday)."""
+    return F.pmod(_days(ms) + 3, F.lit(7))
+
+
+def _hms(ms: Column) -> Column:
+    sec = F.floor(F.pmod(ms, F.lit(DAY_MS)) / 1000)
+    return F.concat_ws(":", _two(F.floor(sec / 3600)), _two(F.floor(sec / 60) % 60), _two(sec % 60))
+
+
 def millis_to_iso(ms: Column) -> Column:
     """ISO text with millisecond precision and explicit +00:00 offset."""
-    return F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd'T'HH:mm:ss.SSSxxx")
+    day = F.date_add(F.lit("1970-01-01").cast("date"), _days(ms)).cast("string")
+    return F.concat(day, F.lit("T"), _hms(ms), F.lit("."), F.lpad(F.pmod(ms, F.lit(1000)).cast("string"), 3, "0"),
+                    F.lit("+00:00"))
+
+
+def micros_to_iso(us: Column) -> Column:
+    """ISO text with microsecond precision and explicit +00:00 offset."""
+    ms = F.floor(us / 1000)
+    day = F.date_add(F.lit("1970-01-01").cast("date"), _days(ms)).cast("string")
+    return F.concat(day, F.lit("T"), _hms(ms), F.lit("."), F.lpad(F.pmod(us, F.lit(1_000_000)).cast("string"), 6, "0"),
+                    F.lit("+00:00"))
 
 
 def hms_label(start_ms: Column, end_ms: Column) -> Column:
     """Window label 'HH:MM:SS - HH:MM:SS' in UTC."""
-    return F.concat(
-        F.date_format(F.timestamp_millis(start_ms), "HH:mm:ss"),
-        F.lit(" - "),
-        F.date_format(F.timestamp_millis(end_ms), "HH:mm:ss"),
-    )
+    return F.concat(_hms(start_ms), F.lit(" - "), _hms(end_ms))

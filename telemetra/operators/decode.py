@@ -2,28 +2,23 @@
 
 Decoding is one JVM-side ``try_parse_json`` into VARIANT; every type test of the
 validation is a ``schema_of_variant`` comparison, so the whole step stays inside
-whole-stage codegen with no Python hop. An Avro wire format is the same operator
-with ``from_avro`` in place of ``try_parse_json`` (needs the spark-avro package).
+whole-stage codegen with no Python hop. With ``wire="avro"`` the payload is read by
+``from_avro`` (PERMISSIVE; needs the spark-avro package) and its fields go through the
+same validation as VARIANTs.
 """
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from telemetra.constants import DECODE_FAILED, SENSOR_TYPES
 from telemetra.functions.text import is_blank
-from telemetra.functions.timeparse import parse_iso
+from telemetra.functions.timeparse import micros_to_iso, parse_iso
 
 STRING_FIELDS = ("thing_id", "datastream_id", "metric", "sensor_type", "event_time", "publish_time")
-_INT_KINDS = r"^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL\(\d+,0\))$"
 _NUM_KINDS = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL\(\d+,\d+\))$"
-
-
-def _field(v: Column, name: str) -> Column:
-    return F.variant_get(v, f"$.{name}", "variant")
-
-
-def _kind(v: Column, name: str) -> Column:
-    return F.schema_of_variant(_field(v, name))
+INT_MIN, INT_MAX = -(1 << 31), (1 << 31) - 1       # seq is a 32-bit integer on the wire
 
 
 def _value_kind(k: Column) -> Column:
@@ -36,25 +31,63 @@ def _value_kind(k: Column) -> Column:
 
 WIRE_FIELDS = ("thing_id", "datastream_id", "metric", "sensor_type", "seq", "event_time",
                "value", "publish_time")
-_WIRE_SCHEMA = ", ".join(f"{f} variant" for f in WIRE_FIELDS)
+# fixed values: the Avro record of an observation
+WIRE_AVRO = json.dumps({
+    "type": "record", "name": "Observation", "fields": [
+        {"name": "thing_id", "type": "string"}, {"name": "datastream_id", "type": "string"},
+        {"name": "metric", "type": "string"}, {"name": "sensor_type", "type": "string"},
+        {"name": "seq", "type": "int"}, {"name": "event_time", "type": "string"},
+        {"name": "value", "type": ["double", "string", "boolean"]}, {"name": "publish_time", "type": "string"}]})
+
+
+def _json_object(text: Column) -> Column:
+    """The text as VARIANT under key ``o``, NULL unless the whole text is one JSON value.
+
+    The parser stops after the first value, so the text is parsed inside an object: what
+    follows its value breaks the object. Only a value that closes the object itself
+    (``{..}}``) could hide text behind it; where the first ``}`` is not the text's last
+    character, the text must also parse inside an array.
+    """
+    inside = F.try_parse_json(F.concat(F.lit('{"o":'), text, F.lit("}")))
+    flat = F.instr(text, "}") == F.length(F.rtrim(text))
+    array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    return F.when(flat | array.isNotNull(), inside)
 
 
-def parse_payload(raw: DataFrame, payload_col: str = "payload") -> DataFrame:
+def wire_fields(raw: DataFrame, payload_col: str = "payload", wire: str = "json") -> DataFrame:
+    """V1: payload bytes -> ``_is_obj`` and one VARIANT ``_w_<field>`` per wire field, other columns kept."""
+    keep = [c for c in raw.columns if c != payload_col]
+    size = F.octet_length(payload_col).alias("size_bytes")
+    if wire == "json":
+        parsed = raw.select(*keep, size, _json_object(F.col(payload_col).cast("string")).alias("_o"))
+        return parsed.select(
+            *keep, "size_bytes",
+            F.coalesce(F.schema_of_variant("_o").startswith("OBJECT<o: OBJECT<"), F.lit(False)).alias("_is_obj"),
+            *[F.variant_get("_o", f"$.o.{f}", "variant").alias(f"_w_{f}") for f in WIRE_FIELDS])
+    if wire != "avro":
+        raise ValueError(f"wire format {wire!r}: json or avro")
+    from pyspark.sql.avro.functions import from_avro
+    return variant_fields(raw.select(*keep, size, from_avro(payload_col, WIRE_AVRO, {"mode": "PERMISSIVE"}).alias("_o")), keep)
+
+
+def variant_fields(decoded: DataFrame, keep: list[str]) -> DataFrame:
+    """The fields of a decoded struct ``_o`` as VARIANTs; a union value is its member that is set."""
+    members = [F.to_json(F.struct(F.col(f"_o.value.{m}").alias("v"))) for m in ("member0", "member1", "member2")]
+    value = F.coalesce(*[F.variant_get(F.try_parse_json(m), "$.v", "variant") for m in members])
+    one = lambda f: F.variant_get(F.try_parse_json(F.to_json(F.struct(F.col(f"_o.{f}").alias("v")))), "$.v", "variant")
+    return decoded.select(*keep, "size_bytes", F.col("_o.thing_id").isNotNull().alias("_is_obj"),
+                          *[(value if f == "value" else one(f)).alias(f"_w_{f}") for f in WIRE_FIELDS])
+
+
+def parse_payload(raw: DataFrame, payload_col: str = "payload", wire: str = "json") -> DataFrame:
     """V1: bytes -> typed observation columns plus per-field type kinds.
 
-    One ``from_json`` pass splits the object into one small VARIANT per wire field;
-    the type of each field is then read with ``schema_of_variant``. A payload that
-    is not a JSON object yields a NULL struct (``decode_failed``). Keeps every other
-    input column.
+    A payload that is not one JSON object is ``decode_failed``. Keeps every other input
+    column.
     """
     keep = [c for c in raw.columns if c != payload_col]
-    text = F.col(payload_col).cast("string")
-    parsed = raw.select(*keep, F.octet_length(payload_col).alias("size_bytes"),
-                        F.from_json(text, _WIRE_SCHEMA, {"mode": "PERMISSIVE"}).alias("_o"),
-                        text.startswith("{").alias("_brace"))
-    o = lambda f: F.col(f"_o.{f}")
-    cols = [*keep, "size_bytes",
-            (F.col("_o").isNotNull() & F.col("_brace")).alias("_is_obj")]
+    o = lambda f: F.col(f"_w_{f}")
+    cols = [*keep, "size_bytes", "_is_obj"]
     for name in STRING_FIELDS:
         cols.append(F.try_variant_get(o(name), "$", "string").alias(name))
         cols.append(F.schema_of_variant(o(name)).alias(f"_{name}_kind"))
@@ -66,7 +99,7 @@ def parse_payload(raw: DataFrame, payload_col: str = "payload") -> DataFrame:
         F.try_variant_get(o("value"), "$", "string").alias("_vstr"),
         F.try_variant_get(o("value"), "$", "boolean").alias("_vbool"),
     ]
-    return parsed.select(*cols)
+    return wire_fields(raw, payload_col, wire).select(*cols)
 
 
 def _bad_string(name: str) -> Column:
@@ -87,7 +120,8 @@ def validation_error() -> Column:
         .when(_bad_string("metric"), F.lit("invalid_metric"))
         .when((F.col("_sensor_type_kind") != "STRING") | F.col("_sensor_type_kind").isNull()
               | ~sensor_type.isin(*SENSOR_TYPES), F.lit("invalid_sensor_type"))
-        .when(~F.coalesce(F.col("_seq_kind").rlike(_INT_KINDS), F.lit(False)), F.lit("invalid_seq"))
+        .when(~F.coalesce((F.col("_seq_kind") == "BIGINT") & F.col("seq").between(INT_MIN, INT_MAX), F.lit(False)),
+              F.lit("invalid_seq"))
         .when(bad_time("event_time"), F.lit("invalid_event_time"))
         .when(kind == "null", F.lit("invalid_value"))
         .when(bad_time("publish_time"), F.lit("invalid_publish_time"))
@@ -99,13 +133,13 @@ def validation_error() -> Column:
     )
 
 
-def decode_observations(raw: DataFrame, payload_col: str = "payload") -> DataFrame:
+def decode_observations(raw: DataFrame, payload_col: str = "payload", wire: str = "json") -> DataFrame:
     """V1-V4 in one projection: typed columns, ``error`` (NULL = ok) and event times.
 
     Value is normalised to three readings used by the aggregates:
     ``num`` (float(v); bool -> 1.0/0.0), ``sval`` (str(v)) and ``bval`` (truthiness).
     """
-    p = parse_payload(raw, payload_col)
+    p = parse_payload(raw, payload_col, wire)
     p = p.select("*", *[is_blank(F.col(n)).alias(f"_{n}_blank")
                         for n in ("thing_id", "datastream_id", "metric", "event_time", "publish_time")],
                  parse_iso(F.col("event_time")).alias("_event_time_ts"),
@@ -154,7 +188,7 @@ def ok_observations(decoded: DataFrame) -> DataFrame:
 
 
 def _iso_micros(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
+    return micros_to_iso(F.unix_micros(ts))
 
 
 def dlq_records(decoded: DataFrame, ts_col: str = "arrival_ts") -> DataFrame:

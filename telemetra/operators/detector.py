@@ -7,35 +7,36 @@ are scored like any other result.
 Without drift resets every step is set-oriented:
 
 * branch and features: column expressions (M1-M7),
-* running standardisation (M8): exclusive / inclusive prefix sums of x and x^2 per
-  stream, two-level (``scan.prefix_sums``) so a long stream is not one sort,
-* half-space-tree score (M9): sample n of a stream is in block (n-1) // window; its
-  path through each tree is walked in Arrow batches over the branch's constant
-  split tables, node masses are a hash aggregate of learned paths per (stream,
-  block, node), and a sample is scored against the masses of the block before its
-  own: one equi-join on (stream, block, node) and one aggregate per sample.
+* running standardisation (M8): exclusive / inclusive prefix sums per stream of the
+  distance from the stream's mean and of its square, two-level (``scan.prefix_sums``)
+  so a long stream is not one sort; the distances keep their digits however far the
+  readings are from zero, and z is 0 only without history or where all history is equal,
+* half-space-tree score (M9): sample n of a stream is in block (n-1) // window; it goes
+  to its own block, to be scored, and to the next one, whose masses it makes: one
+  shuffle of two rows a sample, at most 2 x window rows a group, walked with numpy over
+  the branch's constant split tables.
 
 The sequential form with ADWIN resets (``sequential.detect``) uses the same trees
 and must agree with this one on streams where no drift fires.
 """
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from telemetra.constants import (ANOMALY_THRESHOLD, FAULT_LIMITS, FEATURES,
                                  MEASUREMENT_ANOMALY, MIN_SAMPLES_FOR_ANOMALY)
+from telemetra.functions.timeparse import utc_hour, utc_weekday
 from telemetra.operators.hst import BRANCHES, forest, path_keys_batch  # noqa: F401
 from telemetra.operators.decode import evaluation_barrier
 from telemetra.operators.scan import prefix_sums
-from telemetra.session import materialize
 
 KEY = "datastream_id"
 ORDER = ("result_time", "window_start", "fire_index")
 MAX_FEATURES = max(len(v) for v in FEATURES.values())
 Z_DIGITS = 6
 DAY_MS = 86_400_000
-VAR_EPS = 1e-9
 
 INPUT_COLUMNS = (KEY, "metric", "sensor_type", "window_start", "window_end", "result_time",
                  "fire_index", "min_value", "max_value", "average", "delta", "distinct_counts",
@@ -44,8 +45,8 @@ INPUT_COLUMNS = (KEY, "metric", "sensor_type", "window_start", "window_end", "re
 
 def calendar(df: DataFrame) -> DataFrame:
     """M1: UTC hour of window_end and weekday (Monday = 0)."""
-    t = F.timestamp_millis(F.col("window_end"))
-    return df.withColumn("time", F.hour(t)).withColumn("day_of_week", F.weekday(t))
+    end = F.col("window_end")
+    return df.withColumn("time", utc_hour(end)).withColumn("day_of_week", utc_weekday(end))
 
 
 def fault_value() -> Column:
@@ -101,30 +102,36 @@ def features(results: DataFrame) -> DataFrame:
     return d.select("*", *fcols).filter(F.col("branch").isNotNull())
 
 
-def _z(x: Column, s: Column, q: Column, n: Column) -> Column:
+def _z(x: Column, s: Column, q: Column, n: Column, lo: Column, hi: Column) -> Column:
+    """Standard score of x; s and q: sums of the history's distances and of their squares."""
     mean = F.try_divide(s, n)
-    var = F.try_divide(q, n) - mean * mean
-    ok = (n > 0) & (var > F.lit(VAR_EPS) * F.greatest(F.lit(1.0), mean * mean))
-    return F.round(F.when(ok, F.try_divide(x - mean, F.sqrt(var))).otherwise(F.lit(0.0)), Z_DIGITS)
+    sd = F.sqrt(F.greatest(F.try_divide(q, n) - mean * mean, F.lit(0.0)))
+    return F.round(F.when(hi > lo, F.coalesce(F.try_divide(x - mean, sd), F.lit(0.0))).otherwise(F.lit(0.0)), Z_DIGITS)
 
 
 def zscores(feat: DataFrame) -> DataFrame:
     """M8: sample number ``n`` and standardised features, before (``zs``) and through (``zl``)
     the current sample. Only model-fed rows (analog, counter, state, motion)."""
     model = feat.filter(F.col("branch").isin(*BRANCHES))
+    centre = model.groupBy(KEY).agg(*[F.avg(f"f{i}").alias(f"p{i}") for i in range(MAX_FEATURES)])
+    model = model.join(centre, KEY)
     measures: dict[str, Column] = {"c": F.lit(1).cast("bigint")}
+    extremes: dict[str, Column] = {}
     for i in range(MAX_FEATURES):
-        measures[f"s{i}"] = F.coalesce(F.col(f"f{i}"), F.lit(0.0))
-        measures[f"q{i}"] = F.coalesce(F.col(f"f{i}") * F.col(f"f{i}"), F.lit(0.0))
+        d = F.col(f"f{i}") - F.col(f"p{i}")
+        measures[f"s{i}"] = F.coalesce(d, F.lit(0.0))
+        measures[f"q{i}"] = F.coalesce(d * d, F.lit(0.0))
+        extremes[f"x{i}"] = F.col(f"f{i}")
     block = F.floor(F.col("result_time") / F.lit(DAY_MS))
-    pre = prefix_sums(model, [KEY], list(ORDER), block, measures)
+    pre = prefix_sums(model, [KEY], list(ORDER), block, measures, extremes=extremes)
     width = (F.when(F.col("branch") == "analog", 6).when(F.col("branch") == "counter", 4)
              .otherwise(3))
     zs, zl = [], []
     for i in range(MAX_FEATURES):
-        x, s, q, c = F.col(f"f{i}"), F.col(f"s{i}"), F.col(f"q{i}"), F.col("c")
-        zs.append(_z(x, s, q, c))
-        zl.append(_z(x, s + x, q + x * x, c + 1))
+        f, s, q, c = F.col(f"f{i}"), F.col(f"s{i}"), F.col(f"q{i}"), F.col("c")
+        d, lo, hi = f - F.col(f"p{i}"), F.col(f"x{i}_lo"), F.col(f"x{i}_hi")
+        zs.append(_z(d, s, q, c, lo, hi))
+        zl.append(_z(d, s + d, q + d * d, c + 1, F.least(lo, f), F.greatest(hi, f)))
     fnames = {f"f{i}" for i in range(MAX_FEATURES)}
     keep = [c for c in feat.columns if c not in fnames]
     return pre.select(*keep, (F.col("c") + 1).alias("n"),
@@ -132,57 +139,42 @@ def zscores(feat: DataFrame) -> DataFrame:
                       F.slice(F.array(*zl), 1, width).alias("zl"))
 
 
-def _path_keys(branch: pd.Series, z: pd.Series) -> pd.Series:
-    return pd.Series(path_keys_batch(branch.to_numpy(), list(z)))
+def _block_scores(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Scores of one (stream, block): its samples against the masses of the block before.
 
-
-def path_keys(branch: str, z: str) -> Column:
-    """Arrow-batched tree walk: ``tree * nodes + node`` for every (tree, depth) of a sample.
-
-    The split tables are module constants (25 x 63 per branch), so each batch is a
-    few vectorised numpy steps per tree and depth.
-    """
-    return F.pandas_udf(_path_keys, "array<int>")(F.col(branch), F.col(z))
-
-
-def hst_scores(z: DataFrame, cut_lineage: bool = True) -> DataFrame:
-    """M9: half-space-tree score of every model-fed sample (no drift resets).
-
-    Masses only shrink down a path (a sample that reaches a node passed its
-    parent), so "stop after the first node below the size limit" is the same as
-    "a node counts when it is the root or its parent's mass reaches the limit".
-    Each (sample, tree, depth) row therefore needs its node's and its parent's
-    mass from the previous block: one equi-join, then one hash aggregate per sample.
+    Masses only shrink down a path (a sample that reaches a node passed its parent), so
+    "stop after the first node below the size limit" is "a node counts when it is the root
+    or its parent's mass reaches the limit".
     """
     fr = forest(BRANCHES[0])
-    nn, lim, depth = fr.n_nodes, fr.size_limit, fr.height + 1
-    blk = F.floor((F.col("n") - 1) / F.lit(fr.window)).cast("bigint")
-    # paths are read three times (masses, visits, output): written once
-    walked = materialize(z.select("*", blk.alias("blk"),
-                                  path_keys("branch", "zs").alias("sp"),
-                                  path_keys("branch", "zl").alias("lp")), cut_lineage, "hst_paths")
-    # masses learned in block b, offered to block b + 1, keyed tree * nodes + node
-    learned = walked.select(KEY, "blk", F.explode("lp").alias("key"))
-    masses = (learned.groupBy(KEY, "blk", "key").agg(F.count(F.lit(1)).alias("mass"))
-              .select(KEY, (F.col("blk") + 1).alias("blk"), "key", "mass"))
-    tree, node = F.floor(F.col("key") / nn), F.col("key") % nn
-    parents = masses.select(KEY, "blk", F.col("key").alias("pkey"), F.col("mass").alias("pmass"))
-    with_parent = (masses.withColumn("pkey", F.when(node > 0, (tree * nn + F.floor((node - 1) / 2))
-                                                    .cast("int")))
-                   .join(parents, [KEY, "blk", "pkey"], "left")
-                   .select(KEY, "blk", "key", "mass", F.coalesce("pmass", F.lit(0)).alias("pmass")))
-    visits = (walked.filter(F.col("blk") > 0)
-              .select(KEY, "n", "blk", F.posexplode("sp").alias("i", "key"))
-              .select(KEY, "n", "blk", (F.col("i") % depth).alias("d"), "key"))
-    hit = visits.join(with_parent.drop("node"), [KEY, "blk", "key"], "inner")
-    counts = (F.col("d") == 0) | (F.col("pmass") >= lim)
-    totals = hit.groupBy(KEY, "n").agg(
-        F.sum(F.when(counts, F.col("mass") * F.pow(F.lit(2.0), F.col("d"))).otherwise(F.lit(0.0)))
-        .alias("_total"))
-    score = F.when(F.col("blk") == 0, F.lit(0.0)).otherwise(
-        F.lit(1.0) - F.coalesce(F.col("_total"), F.lit(0.0)) / F.lit(fr.max_score))
-    return (walked.drop("sp", "lp").join(totals, [KEY, "n"], "left")
-            .select(*[c for c in z.columns], "blk", F.round(score, 9).alias("anomaly_score")))
+    learned, scored = pdf[pdf["learn"]], pdf[~pdf["learn"]]
+    out = scored[["n"]].copy()
+    if not len(learned) or not len(scored):
+        out["score"] = 0.0
+        return out
+    keys = np.concatenate(path_keys_batch(learned["branch"].to_numpy(), list(learned["z"])))
+    mass = np.bincount(keys, minlength=fr.n_trees * fr.n_nodes)
+    path = np.stack(path_keys_batch(scored["branch"].to_numpy(), list(scored["z"]))).reshape(len(scored), fr.n_trees, -1)
+    m = mass[path]
+    counts = np.ones(m.shape, dtype=bool)
+    counts[:, :, 1:] = m[:, :, :-1] >= fr.size_limit
+    total = (m * counts * (2 ** np.arange(m.shape[2]))).sum((1, 2))
+    out["score"] = 1.0 - total / fr.max_score
+    return out
+
+
+def hst_scores(z: DataFrame) -> DataFrame:
+    """M9: half-space-tree score of every model-fed sample (no drift resets)."""
+    blk = F.floor((F.col("n") - 1) / F.lit(forest(BRANCHES[0]).window)).cast("bigint")
+    role = lambda b, learn, v: F.struct(b.alias("blk"), F.lit(learn).alias("learn"), F.col(v).alias("z"))
+    sent = z.select(KEY, "n", "branch", F.inline(F.array(role(blk, False, "zs"), role(blk + 1, True, "zl"))))
+
+    def score(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        out = _block_scores(pdf)
+        out.insert(0, KEY, key[0])
+        return out
+    scores = sent.groupBy(KEY, "blk").applyInPandas(score, f"{KEY} string, n bigint, score double")
+    return z.join(scores, [KEY, "n"]).select(*z.columns, blk.alias("blk"), F.round("score", 9).alias("anomaly_score"))
 
 
 def statistical_anomalies(scored: DataFrame, threshold: float = ANOMALY_THRESHOLD,

@@ -87,6 +87,11 @@ def _get(v: Column, field: str, typ: str) -> Column:
     return F.try_variant_get(v, f"$.{field}", typ)
 
 
+def _absent(v: Column, field: str) -> Column:
+    """The object lacks the key (a JSON null under it is not absent)."""
+    return F.variant_get(v, f"$.{field}", "variant").isNull()
+
+
 # --------------------------------------------------------------------------- S2/S9, R1-R4
 
 GATE_INT = ("window_start", "window_end", "count", "latency", "end_to_end_latency", "result_time",
@@ -153,9 +158,9 @@ def processed_points(gated: DataFrame, sensor_type: str) -> DataFrame:
 
 def dlq_points(messages: DataFrame, text_col: str = "value", ts_col: str = "timestamp_ms") -> DataFrame:
     """One point per DLQ message: reason (default 'unknown'), stage, sha256 id,
-    count 1, at the broker timestamp. Messages that are not JSON are skipped."""
+    count 1, at the broker timestamp. Messages that are not a JSON object are skipped."""
     v = unwrap_json(F.col(text_col))
-    m = messages.select("*", v.alias("_v")).filter(F.col("_v").isNotNull())
+    m = messages.select("*", v.alias("_v")).filter(_is_object(F.col("_v")))
     reason = F.coalesce(_get(F.col("_v"), "error", "string"), F.lit("unknown"))
     return m.select(
         F.lit(MEASUREMENT_DLQ).alias("measurement"), reason.alias("reason"),
@@ -164,24 +169,26 @@ def dlq_points(messages: DataFrame, text_col: str = "value", ts_col: str = "time
 
 
 def late_points(messages: DataFrame, text_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Late-event points; records without a parseable event_time are skipped.
+    """Late-event points; records without a parseable event_time, or whose ``late_by_sec``
+    is there but no number, are skipped. Only an absent key gets a default; a null ``seq`` is
+    the text ``None``.
 
     ``keep`` columns of the message pass through (e.g. an ordering for the upsert)."""
     v = unwrap_json(F.col(text_col))
     m = messages.select("*", v.alias("_v")).filter(_is_object(F.col("_v")))
     vv = F.col("_v")
-    seq_text = F.when(F.variant_get(vv, "$.seq", "variant").isNull(), F.lit("NA")) \
-        .otherwise(_get(vv, "seq", "string"))
+    seq_text = F.when(_absent(vv, "seq"), F.lit("NA")).otherwise(F.coalesce(_get(vv, "seq", "string"), F.lit("None")))
+    late_by = F.when(_absent(vv, "late_by_sec"), F.lit(0.0)).otherwise(_get(vv, "late_by_sec", "double"))
     t = F.unix_millis(parse_iso(_get(vv, "event_time", "string")))
     return m.select(
         F.lit(MEASUREMENT_LATE).alias("measurement"),
         F.coalesce(_get(vv, "datastream_id", "string"), F.lit("unknown")).alias("datastream_id"),
         F.coalesce(_get(vv, "metric", "string"), F.lit("unknown")).alias("metric"),
         seq_text.alias("seq"),
-        F.coalesce(_get(vv, "late_by_sec", "double"), F.lit(0.0)).alias("late_by_seconds"),
+        late_by.alias("late_by_seconds"),
         F.lit(1).cast("bigint").alias("late_count"),
         t.alias("time_ms"), *keep,
-    ).filter(F.col("time_ms").isNotNull())
+    ).filter(F.col("time_ms").isNotNull() & F.col("late_by_seconds").isNotNull())
 
 
 # --------------------------------------------------------------------------- R7
@@ -189,8 +196,8 @@ def late_points(messages: DataFrame, text_col: str = "value", keep: tuple[str, .
 def upsert_latest(points: DataFrame, identity: list[str], order: list[str]) -> DataFrame:
     """Last write wins per point identity (measurement + tags + time).
 
-    A hash aggregate of ``max(struct(order..., fields...))`` - partial aggregation
-    combines duplicates map-side, so a hot identity never gathers in one task.
+    ``max(struct(order..., fields...))``: partial aggregation combines duplicates
+    map-side, so a hot identity never gathers in one task.
     """
     rest = [c for c in points.columns if c not in identity and c not in order]
     packed = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest])

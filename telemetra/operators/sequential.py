@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from telemetra.constants import (ANOMALY_THRESHOLD, DRIFT_COOLDOWN, MEASUREMENT_ANOMALY,
                                  MEASUREMENT_DRIFT, MIN_SAMPLES_FOR_ANOMALY, MIN_SAMPLES_FOR_DRIFT)
 from telemetra.operators.adwin import Adwin
-from telemetra.operators.detector import KEY, MAX_FEATURES, ORDER, VAR_EPS, Z_DIGITS
+from telemetra.operators.detector import KEY, MAX_FEATURES, ORDER, Z_DIGITS
 from telemetra.operators.hst import BRANCHES, HalfSpaceTrees, forest
 
 EVENT_SCHEMA = (
@@ -36,26 +36,26 @@ EVENT_SCHEMA = (
 
 
 class Scaler:
-    """Running mean / variance from sums (the same formula as the relational form)."""
+    """Running mean and variance (Welford); z is 0 without history or where all of it is equal."""
 
     def __init__(self, width: int):
         self.c = 0
-        self.s = np.zeros(width)
-        self.q = np.zeros(width)
+        self.mean = np.zeros(width)
+        self.m2 = np.zeros(width)
+        self.lo = np.full(width, np.inf)
+        self.hi = np.full(width, -np.inf)
 
     def transform(self, x: np.ndarray) -> np.ndarray:
-        if self.c == 0:
-            return np.zeros_like(x)
-        mean = self.s / self.c
-        var = self.q / self.c - mean * mean
-        ok = var > VAR_EPS * np.maximum(1.0, mean * mean)
-        z = np.where(ok, (x - mean) / np.sqrt(np.where(ok, var, 1.0)), 0.0)
-        return np.round(z, Z_DIGITS)
+        varies = self.hi > self.lo
+        sd = np.sqrt(np.where(varies, self.m2 / max(self.c, 1), 1.0))
+        return np.round(np.where(varies & (sd > 0), (x - self.mean) / np.where(sd > 0, sd, 1.0), 0.0), Z_DIGITS)
 
     def learn(self, x: np.ndarray) -> None:
         self.c += 1
-        self.s += x
-        self.q += x * x
+        d = x - self.mean
+        self.mean = self.mean + d / self.c
+        self.m2 = self.m2 + d * (x - self.mean)
+        self.lo, self.hi = np.minimum(self.lo, x), np.maximum(self.hi, x)
 
 
 class Entry:

@@ -19,7 +19,7 @@ from telemetra.operators.windows import (RESULT_COLUMNS, dedup_first_arrival, la
                                          plain_window_results, windowed_results)
 from telemetra.operators import points as P
 from telemetra.plans.oracle import TYPE_COLUMNS
-from telemetra.sources import topics as TP
+from telemetra.fixtures import topics as TP
 from telemetra.operators import detector as DT
 from telemetra.operators import sequential as SQ
 from telemetra.plans.pipeline import fixture_feed, fixture_ok, hourly_results
@@ -222,15 +222,6 @@ def queries() -> dict[str, Query]:
     q["stream_panes"] = q_stream_panes
     q["datastream_keys"] = q_datastream_keys
     q["detector_gate"] = q_detector_gate
-    return {k: _in_utc(f) for k, f in q.items()}
-
-
-def _in_utc(f: Query) -> Query:
-    """Labels, hours and weekdays are UTC by definition: pin the session time zone."""
-    def q(spark, sf_dir):
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return f(spark, sf_dir)
-    q.__name__ = getattr(f, "__name__", "query")
     return q
 
 
@@ -309,8 +300,7 @@ def q_anomaly_full(spark, sf_dir):
 
 def q_detector_state(spark, sf_dir):
     ev = _events(spark, sf_dir, emit_state=True).filter(F.col("kind") == "state")
-    return ev.select("datastream_id", F.col("n").alias("count"), "reset_count",
-                     F.octet_length("state").alias("state_bytes"))
+    return ev.select("datastream_id", F.col("n").alias("count"), "reset_count")
 
 
 def detector_queries() -> dict[str, Query]:
@@ -336,14 +326,10 @@ STREAM_BATCHES = 8
 def q_stream_panes(spark, sf_dir):
     """The fixture feed replayed through the streaming processor (8 micro-batches)."""
     from telemetra.session import scratch_path
-    from telemetra.streaming.processor import raw_file_stream, replay_as_files, run_stream
+    from telemetra.streaming.processor import replay_as_files, replay_stream
     root = scratch_path(spark, "stream")
-    raw = materialize(fixture_feed(spark, sf_dir), True, "feed")
-    glob = replay_as_files(raw, f"{root}/in", STREAM_BATCHES)
-    q = run_stream(raw_file_stream(spark, glob), f"{root}/out", SPEC, f"{root}/ckpt")
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+    staged = replay_as_files(materialize(fixture_feed(spark, sf_dir), True, "feed"), f"{root}/in", STREAM_BATCHES)
+    replay_stream(spark, staged, STREAM_BATCHES, f"{root}/out", SPEC, f"{root}/ckpt")
     return rounded(spark.read.parquet(f"{root}/out/results").select(*RESULT_COLUMNS))
 
 

@@ -12,7 +12,7 @@ import re
 from telemetra.constants import (BROKEN_TIME, FIXTURE_SPEC, GARBAGE_PAYLOAD, HOUR_MS, METRIC_TYPE,
                                  NAMESPACE_DNS_HEX, NAMESPACE_URL_HEX, WindowSpec)
 from telemetra.functions.timeparse import ISO_PATTERN
-from telemetra.sources import feed as FD
+from telemetra.fixtures import feed as FD
 
 
 def _case(col: str, mapping: dict[str, str]) -> str:
@@ -24,8 +24,12 @@ def _iso(ms: str) -> str:
 
 
 def feed_cte() -> str:
-    metric = _case("event_type", {k: v[0] for k, v in FD.EVENT_SENSOR.items()})
-    stype = _case("event_type", {k: v[1] for k, v in FD.EVENT_SENSOR.items()})
+    stype = _case("event_type", {k: v[0] for k, v in FD.EVENT_SENSOR.items()})
+    metric = "CASE " + " ".join(f"WHEN event_type = '{k}' THEN {list(v[1])}[user_id % {FD.THINGS} + 1]"
+                                for k, v in FD.EVENT_SENSOR.items()) + " END"
+    number = "CASE " + " ".join(f"WHEN metric0 = '{m}' THEN round(value * {a} + {b}, 2)"
+                                for m, (a, b) in FD.SCALE.items()) + " ELSE value END"
+    blank = lambda code, x: f"CASE WHEN fault = {code} THEN '   ' ELSE {x} END"
     return f"""
 ev AS (
   SELECT event_id, user_id, event_type, value, props, epoch_us(ts) // 1000 AS ms FROM events),
@@ -33,29 +37,44 @@ cp AS (
   SELECT ev.*, c.copy FROM ev CROSS JOIN (VALUES (0), (1)) c(copy)
   WHERE c.copy = 0 OR ev.event_id % {FD.REPEAT_MOD} = {FD.REPEAT_REM}),
 fx AS (
-  SELECT *, {metric} AS metric0, {stype} AS stype,
+  SELECT *, {metric} AS metric0,
+         CASE WHEN {stype} = 'state' AND event_id % {FD.MIXED_MOD} = {FD.MIXED_REM} THEN 'alarm' ELSE {stype} END AS stype,
          'thing-' || CAST(user_id % {FD.THINGS} AS VARCHAR) AS thing,
          event_id % {FD.FAULT_MOD} AS fault,
          ms + {FD.PUBLISH_STEP_MS} * (event_id % {FD.PUBLISH_MOD}) AS pub_ms,
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
   FROM cp),
-fj AS (
-  SELECT event_id, copy,
+fy AS (
+  SELECT event_id, copy, fault,
          pub_ms + CASE WHEN event_id % {FD.LONG_DELAY_MOD} = 0 THEN {FD.LONG_DELAY_MS}
                        WHEN event_id % {FD.SHORT_DELAY_MOD} = 0 THEN {FD.SHORT_DELAY_MS} ELSE 0 END
                 + {FD.COPY_DELAY_MS} * copy AS arrival_ms,
          event_id * 2 + copy AS arrival_seq,
-         CASE WHEN fault = 4 THEN '{GARBAGE_PAYLOAD}' ELSE
-         '{{"thing_id":"' || thing || '","datastream_id":"' ||
-         CASE WHEN fault = 3 THEN '   ' ELSE thing || ':' || metric0 END ||
-         '","metric":"' || CASE WHEN fault = 1 THEN '   ' ELSE metric0 END ||
-         '","sensor_type":"' || stype || '","seq":' || CAST(event_id AS VARCHAR) ||
-         ',"event_time":"' || CASE WHEN fault = 2 THEN '{BROKEN_TIME}' ELSE {_iso('ms')} END ||
-         '","publish_time":"' || {_iso('pub_ms')} || '","value":' ||
-         CASE WHEN stype IN ('analog', 'counter') THEN coalesce(CAST(value AS VARCHAR), 'null')
+         '{{"thing_id":"' || {blank(FD.BLANK_THING, 'thing')} || '","datastream_id":"' ||
+         {blank(FD.BLANK_STREAM, "thing || ':' || metric0")} ||
+         '","metric":"' || {blank(FD.BLANK_METRIC, 'metric0')} ||
+         '","sensor_type":"' || CASE WHEN fault = {FD.UNKNOWN_TYPE} THEN 'gauge' ELSE stype END || '","seq":' ||
+         CASE WHEN fault = {FD.TEXT_SEQ} THEN '"' || CAST(event_id AS VARCHAR) || '"'
+              WHEN fault = {FD.DECIMAL_SEQ} THEN CAST(event_id AS VARCHAR) || '.0'
+              WHEN fault = {FD.HUGE_SEQ} THEN '{FD.HUGE}' ELSE CAST(event_id AS VARCHAR) END ||
+         ',"event_time":"' || CASE WHEN fault = {FD.BROKEN_EVENT_TIME} THEN '{BROKEN_TIME}'
+                                   WHEN event_id % {FD.NAIVE_MOD} = {FD.NAIVE_REM} THEN left({_iso('ms')}, 23)
+                                   ELSE {_iso('ms')} END ||
+         '","publish_time":"' || CASE WHEN fault = {FD.BROKEN_PUBLISH_TIME} THEN '{BROKEN_TIME}'
+                                      ELSE {_iso('pub_ms')} END || '","value":' ||
+         CASE WHEN fault = {FD.NULL_VALUE} THEN 'null'
+              WHEN fault = {FD.ODD_VALUE} THEN CASE WHEN stype = 'state' THEN '"OPEN"' ELSE '"warm"' END
+              WHEN stype IN ('analog', 'counter') THEN coalesce(CAST({number} AS VARCHAR), 'null')
               WHEN stype = 'state' THEN CASE WHEN k % 2 = 0 THEN '"ON"' ELSE '"OFF"' END
-              ELSE CASE WHEN value > 100 THEN 'true' ELSE 'false' END END || '}}' END AS payload
-  FROM fx)"""
+              ELSE CASE WHEN value > 100 THEN 'true' ELSE 'false' END END || '}}' AS t
+  FROM fx),
+fj AS (
+  SELECT event_id, copy, arrival_ms, arrival_seq,
+         CASE fault WHEN {FD.GARBAGE} THEN '{GARBAGE_PAYLOAD}' WHEN {FD.NOT_AN_OBJECT} THEN '[' || t || ']'
+                    WHEN {FD.TRUNCATED} THEN left(t, -1) WHEN {FD.TRAILING} THEN t || ' trailing'
+                    WHEN {FD.HIDDEN_TRAILING} THEN t || '}} x' WHEN {FD.LED_BY_BLANK} THEN '  ' || t
+                    ELSE t END AS payload
+  FROM fy)"""
 
 
 _STRING_FIELDS = ("thing_id", "datastream_id", "metric", "sensor_type", "event_time", "publish_time")
@@ -69,11 +88,12 @@ def decoded_cte() -> str:
     blank = lambda f: f"regexp_replace({f}, '^\\s+|\\s+$', '', 'g') = ''"
     bad_str = lambda f: f"({f}_kind IS NULL OR {f}_kind <> 'VARCHAR' OR {blank(f)})"
     ts = lambda f: (f"CASE WHEN regexp_full_match({f}, '{ISO_PATTERN}') "
-                    f"THEN TRY_CAST({f} AS TIMESTAMPTZ) END")
+                    f"THEN TRY_CAST(CASE WHEN regexp_matches({f}, ':[0-9.]+(Z|[+-].*)$') THEN {f} ELSE {f} || '+00:00' END "
+                    f"AS TIMESTAMPTZ) END")
     return f"""
 d0 AS (
   SELECT arrival_ms, arrival_seq, octet_length(encode(payload)) AS size_bytes,
-         coalesce(json_valid(payload) AND left(payload, 1) = '{{', false) AS is_obj, payload
+         coalesce(json_valid(payload) AND json_type(TRY_CAST(payload AS JSON)) = 'OBJECT', false) AS is_obj, payload
   FROM fj),
 d1 AS (
   SELECT arrival_ms, arrival_seq, size_bytes, is_obj,
@@ -106,7 +126,8 @@ dec AS (
          WHEN {bad_str('metric')} THEN 'invalid_metric'
          WHEN sensor_type_kind IS NULL OR sensor_type_kind <> 'VARCHAR'
               OR sensor_type NOT IN ('analog', 'counter', 'state', 'alarm') THEN 'invalid_sensor_type'
-         WHEN seq_kind IS NULL OR seq_kind NOT IN ('BIGINT', 'UBIGINT') THEN 'invalid_seq'
+         WHEN seq_kind IS NULL OR seq_kind NOT IN ('BIGINT', 'UBIGINT')
+              OR NOT coalesce(seq BETWEEN -2147483648 AND 2147483647, false) THEN 'invalid_seq'
          WHEN {bad_str('event_time')} OR ev_ts IS NULL THEN 'invalid_event_time'
          WHEN value_kind = 'null' THEN 'invalid_value'
          WHEN {bad_str('publish_time')} OR pub_ts IS NULL THEN 'invalid_publish_time'

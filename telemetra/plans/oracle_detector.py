@@ -8,7 +8,7 @@ seven node masses of each tree), not the parent-mass shortcut of the Spark form.
 from __future__ import annotations
 
 from telemetra.constants import FAULT_LIMITS, FEATURES, FIXTURE_SPEC, HOUR_MS
-from telemetra.operators.detector import MAX_FEATURES, VAR_EPS, Z_DIGITS
+from telemetra.operators.detector import MAX_FEATURES, Z_DIGITS
 from telemetra.operators.hst import BRANCHES, forest
 
 KEYS = "datastream_id, window_start, fire_index"
@@ -54,27 +54,26 @@ feat AS (SELECT *, {', '.join(fcols)} FROM br WHERE branch IS NOT NULL)"""
 
 
 def _z(i: int, incl: bool) -> str:
-    c, s, q = (f"(c + 1)", f"(s{i} + f{i})", f"(q{i} + f{i} * f{i})") if incl else ("c", f"s{i}", f"q{i}")
-    mean = f"({s} / {c})"
-    var = f"({q} / {c} - {mean} * {mean})"
-    return (f"round(CASE WHEN {c} > 0 AND {var} > {VAR_EPS} * greatest(1.0, {mean} * {mean}) "
-            f"THEN (f{i} - {mean}) / sqrt({var}) ELSE 0.0 END, {Z_DIGITS})")
+    p = "l" if incl else "s"
+    return (f"round(CASE WHEN {p}hi{i} > {p}lo{i} THEN (f{i} - {p}m{i}) / sqrt({p}v{i}) ELSE 0.0 END, {Z_DIGITS})")
 
 
 def zscores_cte() -> str:
-    sums = ", ".join(f"coalesce(sum(coalesce(f{i}, 0.0)) OVER wp, 0.0) AS s{i}, "
-                     f"coalesce(sum(coalesce(f{i} * f{i}, 0.0)) OVER wp, 0.0) AS q{i}"
-                     for i in range(MAX_FEATURES))
+    stats = ", ".join(f"avg(f{i}) OVER {w} AS {p}m{i}, var_pop(f{i}) OVER {w} AS {p}v{i}, "
+                      f"min(f{i}) OVER {w} AS {p}lo{i}, max(f{i}) OVER {w} AS {p}hi{i}"
+                      for i in range(MAX_FEATURES) for p, w in (("s", "wp"), ("l", "wi")))
     zs = ", ".join(f"{_z(i, False)} AS zs{i}" for i in range(MAX_FEATURES))
     zl = ", ".join(f"{_z(i, True)} AS zl{i}" for i in range(MAX_FEATURES))
     branches = ", ".join(f"'{b}'" for b in BRANCHES)
     return f"""
 run AS (
-  SELECT *, row_number() OVER w AS n, count(*) OVER wp AS c, {sums}
+  SELECT *, row_number() OVER w AS n, {stats}
   FROM feat WHERE branch IN ({branches})
   WINDOW w AS (PARTITION BY datastream_id ORDER BY {ORDER}),
          wp AS (PARTITION BY datastream_id ORDER BY {ORDER}
-                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         wi AS (PARTITION BY datastream_id ORDER BY {ORDER}
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 zz AS (SELECT *, {zs}, {zl} FROM run)"""
 
 

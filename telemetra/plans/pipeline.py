@@ -14,7 +14,7 @@ from telemetra.constants import FIXTURE_SPEC, HOUR_MS, WindowSpec
 from telemetra.operators.decode import decode_observations, dlq_records, ok_observations
 from telemetra.operators.windows import plain_window_results, windowed_results
 from telemetra.session import materialize
-from telemetra.sources.feed import observation_feed, read_events
+from telemetra.fixtures.feed import observation_feed, read_events
 
 
 @dataclass

@@ -1,2 +1 @@
-"""Sources: the observation feed derived from the events table, message hygiene,
-JSON side-input readers and connector adapters (Kafka/files)."""
+"""Sources live beside their consumers: ``telemetra.streaming.processor`` and ``consumers``."""

@@ -3,13 +3,13 @@
 Sources deliver message text (plus the broker timestamp the DLQ writer keeps);
 the point projections of ``operators.points`` are row-level, so they run on the
 stream as they are. The point sink is ``foreachBatch``: last write wins per point
-identity inside the batch (R7), output partitioned by ``batch_id`` and overwritten
-per batch, so a retried batch replaces its own rows.
+identity over all batches (R7).
 """
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from telemetra.operators.points import upsert_latest
@@ -18,9 +18,10 @@ TEXT_SCHEMA = "value string, timestamp_ms bigint"
 
 
 def text_file_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    """S2-S5 from files: one message per line as ``value``; file time stands in for broker time."""
+    """S2-S5 from files: one message per line as ``value``; the file's modification time stands in
+    for broker time, so a batch that is run again gives the same points."""
     src = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
-    return src.select("value", F.unix_millis(F.current_timestamp()).alias("timestamp_ms"))
+    return src.select("value", F.unix_millis("_metadata.file_modification_time").alias("timestamp_ms"))
 
 
 def kafka_text_stream(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "latest",
@@ -38,15 +39,59 @@ def kafka_text_stream(spark: SparkSession, servers: str, topic: str, starting_of
     return src.select(value.alias("value"), F.unix_millis("timestamp").alias("timestamp_ms"))
 
 
+POINT_BUCKETS = 64
+
+
 def point_sink(stream: DataFrame, to_points: Callable[[DataFrame], DataFrame], identity: list[str],
                order: list[str], path: str, checkpoint: str, trigger: dict | None = None):
-    """R7 + R9: project each micro-batch to points, keep the last write per identity,
-    write them under ``batch_id`` (idempotent on retry)."""
+    """R7 + R9: keep one point per identity: the last write wins, by ``order`` within a
+    micro-batch and by micro-batch beyond.
 
+    The table is cut into ``POINT_BUCKETS`` buckets by a hash of the identity. A micro-batch
+    merges its points with the buckets it touches and writes them as the batch's version;
+    ``read_points`` takes every bucket's newest version. A retried batch reads the versions
+    before it and replaces its own, so it changes nothing.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        pts = upsert_latest(to_points(batch), identity, order)
-        (pts.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+        spark = batch.sparkSession
+        new = upsert_latest(to_points(batch), identity, order) \
+            .withColumn("bucket", F.pmod(F.xxhash64(*identity), F.lit(POINT_BUCKETS)).cast("int")).persist()
+        touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]     # 64 at most
+        old = _points(spark, path, batch_id, touched)
+        merged = new if old is None else new.unionByName(
+            old.select(*new.columns).join(new.select(*identity), identity, "left_anti"))
+        (merged.withColumn("version", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("version", "bucket").parquet(path))
+        new.unpersist()
 
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def _points(spark: SparkSession, path: str, before: int, buckets: list[int] | None = None) -> DataFrame | None:
+    """Rows of every bucket's newest version below ``before``; None while there is no table."""
+    try:
+        table = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    table = table.filter(F.col("version") < before)
+    if buckets is not None:
+        table = table.filter(F.col("bucket").isin(buckets))
+    newest = table.groupBy("bucket").agg(F.max("version").alias("version"))
+    return table.join(F.broadcast(newest), ["bucket", "version"])       # a row per bucket
+
+
+def read_points(spark: SparkSession, path: str) -> DataFrame:
+    """The current points: one row per identity."""
+    return _points(spark, path, 1 << 62).drop("bucket", "version")
+
+
+def topic_sink(stream: DataFrame, servers: str, topic: str, checkpoint: str, key: str | None = None,
+               trigger: dict | None = None):
+    """R8 + R9 to a topic (needs the Kafka connector; not run in the tests): ``value`` text, optional key."""
+    cols = [F.col("value").cast("string").alias("value")] + ([F.col(key).cast("string").alias("key")] if key else [])
+    return (stream.select(*cols).writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+            .option("topic", topic).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())

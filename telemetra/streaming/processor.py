@@ -73,10 +73,10 @@ class StreamProcessor:
         return os.path.join(self.out_dir, *parts)
 
     def _read_version(self, spark: SparkSession, name: str, version: int, schema: str) -> DataFrame:
-        path = self._path("state", name, f"v={version}")
-        if version < 0 or not _exists(spark, path):
+        # only the first batch has no state; a version that is missing later is an error, not emptiness
+        if version < 0:
             return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(self._path("state", name, f"v={version}"))
 
     def _write(self, df: DataFrame, name: str, batch_id: int) -> None:
         # overwrite only this batch's partition: a retried batch replaces its own output
@@ -160,12 +160,6 @@ def _delete(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def run_stream(raw: DataFrame, out_dir: str, spec: WindowSpec, checkpoint: str,
                trigger: dict | None = None):
     """R10 + R11: one checkpointed query fanning out to results / late / DLQ."""
@@ -175,15 +169,35 @@ def run_stream(raw: DataFrame, out_dir: str, spec: WindowSpec, checkpoint: str,
 
 
 def replay_as_files(raw: DataFrame, root: str, n_batches: int) -> str:
-    """Stage a bounded feed as ``n_batches`` arrival-ordered files for the file source.
+    """Stage a bounded feed as ``n_batches`` arrival-ordered folders; returns ``root``.
 
-    Rows are cut into equal arrival-time spans; each span is written by its own job,
-    in order, so file modification times follow arrival order. Returns a glob path.
+    Rows are cut into equal arrival-time spans and written in one pass, partitioned by span.
+    ``replay_batches`` feeds the folders to a processor in their order.
     """
     lo, hi = raw.agg(F.min("arrival_ms"), F.max("arrival_ms")).first()
     span = max(1, -(-(hi - lo + 1) // n_batches))
-    staged = raw.withColumn("_b", F.floor((F.col("arrival_ms") - F.lit(lo)) / F.lit(span)).cast("int"))
-    for b in range(n_batches):
-        (staged.filter(F.col("_b") == b).drop("_b").coalesce(1)
-         .write.mode("overwrite").parquet(os.path.join(root, f"batch={b:05d}")))
-    return os.path.join(root, "batch=*", "*.parquet")
+    raw.withColumn("span", F.floor((F.col("arrival_ms") - F.lit(lo)) / F.lit(span)).cast("int")) \
+        .write.mode("overwrite").partitionBy("span").parquet(root)
+    return root
+
+
+def span_stream(spark: SparkSession, root: str, span: int) -> DataFrame:
+    """S1 over one staged span: all its files in one micro-batch."""
+    return spark.readStream.schema(RAW_SCHEMA).parquet(os.path.join(root, f"span={span}"))
+
+
+def replay_stream(spark: SparkSession, root: str, n_batches: int, out_dir: str, spec: WindowSpec, checkpoint: str) -> None:
+    """Run the processor over the staged spans, one checkpointed micro-batch each, in arrival order.
+
+    Spark's file source orders files by modification time, which one partitioned write doesn't
+    give; so every span is a query of its own whose batch number is the span's.
+    """
+    proc = StreamProcessor(out_dir, spec)
+    for span in range(n_batches):
+        q = (span_stream(spark, root, span).writeStream
+             .foreachBatch(lambda batch, _, n=span: proc(batch, n))
+             .option("checkpointLocation", os.path.join(checkpoint, f"span={span}"))
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()

@@ -90,12 +90,26 @@ def level_stream(n_each=300):
 def test_relational_and_sequential_agree_before_drift(spark):
     feat = DT.features(frame(spark, level_stream()))
     rel = {(r["window_start"], r["n"]): r["anomaly_score"]
-           for r in DT.hst_scores(DT.zscores(feat), cut_lineage=False).collect()}
+           for r in DT.hst_scores(DT.zscores(feat)).collect()}
     seq = SQ.detect(feat, emit_scores=True).filter("kind = 'score' AND reset_count = 0").collect()
     assert len(seq) >= 100
     assert all(abs(rel[(r["window_start"], r["n"])] - r["anomaly_score"]) < 1e-9 for r in seq)
 
 
+def test_small_spread_far_from_zero_is_scored(spark):
+    rows = [result("v", "voltage", "analog", i, min_value=230 - 0.005, max_value=230 + 0.005,
+                   average=230 + 0.005 * (-1) ** i) for i in range(40)]
+    rows += [result("c", "voltage", "analog", i, min_value=1.7, max_value=1.7, average=1.7) for i in range(40)]
+    z = DT.zscores(DT.features(frame(spark, rows))).collect()
+    late = [r["zs"][0] for r in z if r["datastream_id"] == "v" and r["n"] > 10]
+    assert all(0.9 < abs(v) < 1.2 for v in late)
+    assert all(v == 0 for r in z if r["datastream_id"] == "c" for v in r["zs"][:4])
+    s = SQ.Scaler(1)
+    for i in range(30):
+        s.learn(np.array([230 + 0.005 * (-1) ** i]))
+    assert abs(s.transform(np.array([230.005]))[0] - 1) < 1e-3
+
+
 def test_drift_resets_model(spark):
     feat = DT.features(frame(spark, level_stream()))
     ev = SQ.detect(feat, emit_state=True).collect()

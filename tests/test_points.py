@@ -70,7 +70,7 @@ def test_detector_gate_feeds_the_detector(spark):
     from telemetra.constants import FIXTURE_SPEC
     from telemetra.operators import detector as DT
     from telemetra.plans.pipeline import hourly_results
-    from telemetra.sources.topics import results_topic
+    from telemetra.fixtures.topics import results_topic
     res = hourly_results(spark, SF_SMALL).cache()
     clean = P.payload_hygiene(results_topic(res, FIXTURE_SPEC.window_ms), "value")
     via_json = DT.features(P.detector_gate(clean))
@@ -88,3 +88,18 @@ def test_detector_gate_feeds_the_detector(spark):
                        "distinct_counts": 2})]
     got = P.detector_gate(msgs(spark, bad, col="text")).collect()
     assert len(got) == 1 and got[0]["distinct_counts"] == 2 and got[0]["fire_index"] == 1
+
+
+def test_dlq_and_late_messages_that_are_no_objects_or_lack_keys(spark):
+    import json
+    from telemetra.operators.points import dlq_points, late_points
+    texts = ["5", "[1]", "true", "null", "not json", json.dumps({"size": 1}), json.dumps({"error": "x"})]
+    df = spark.createDataFrame([(t, 7) for t in texts], "value string, timestamp_ms bigint")
+    assert sorted(r["reason"] for r in dlq_points(df).collect()) == ["unknown", "x"]
+    rec = {"datastream_id": "d", "metric": "m", "seq": 3, "event_time": "2026-03-09T12:00:00", "late_by_sec": 1.5}
+    drop = lambda *k: json.dumps({a: b for a, b in rec.items() if a not in k})
+    texts = ["5", drop(), drop("late_by_sec", "metric"), json.dumps({**rec, "late_by_sec": "abc"}),
+             json.dumps({**rec, "late_by_sec": None}), json.dumps({**rec, "seq": None}), drop("seq"), drop("event_time")]
+    df = spark.createDataFrame([(t, 7) for t in texts], "value string, timestamp_ms bigint")
+    got = sorted((r["metric"], r["seq"], r["late_by_seconds"]) for r in late_points(df).collect())
+    assert got == [("m", "3", 1.5), ("m", "NA", 1.5), ("m", "None", 1.5), ("unknown", "3", 0.0)]

@@ -81,19 +81,68 @@ def test_stream_detector_equals_batch(spark):
 def test_late_point_sink_on_text_stream(spark):
     import json
     from telemetra.operators.points import late_points
-    from telemetra.streaming.consumers import point_sink, text_file_stream
+    from telemetra.streaming.consumers import point_sink, read_points, text_file_stream
     tmp = tempfile.mkdtemp(prefix="stream-late-", dir=os.environ.get("TMPDIR", "/tmp"))
     os.makedirs(os.path.join(tmp, "in"))
     rec = {"datastream_id": "d", "metric": "m", "seq": 3, "event_time": "2026-03-09T12:00:00+00:00",
            "late_by_sec": 1.5}
     lines = [json.dumps(rec), json.dumps(json.dumps({**rec, "late_by_sec": 2.5})),
              json.dumps({**rec, "seq": 4}), json.dumps({k: v for k, v in rec.items() if k != "event_time"})]
-    with open(os.path.join(tmp, "in", "a.txt"), "w") as fh:
-        fh.write("\n".join(lines) + "\n")
-    q = point_sink(text_file_stream(spark, os.path.join(tmp, "in")),
-                   lambda b: late_points(b.withColumn("_o", F.monotonically_increasing_id()), keep=("_o",)),
-                   ["measurement", "datastream_id", "metric", "seq", "time_ms"], ["_o"],
-                   os.path.join(tmp, "out"), os.path.join(tmp, "ck"))
-    q.awaitTermination(120)
-    got = {(r["seq"], r["late_by_seconds"]) for r in spark.read.parquet(os.path.join(tmp, "out")).collect()}
-    assert got == {("3", 2.5), ("4", 1.5)}     # same identity: the later message wins
+    ident = ["measurement", "datastream_id", "metric", "seq", "time_ms"]
+
+    def feed_file(name, messages):
+        with open(os.path.join(tmp, "in", name), "w") as fh:
+            fh.write("\n".join(messages) + "\n")
+        q = point_sink(text_file_stream(spark, os.path.join(tmp, "in")),
+                       lambda b: late_points(b.withColumn("_o", F.monotonically_increasing_id()), keep=("_o",)),
+                       ident, ["_o"], os.path.join(tmp, "out"), os.path.join(tmp, "ck"))
+        q.awaitTermination(120)
+        assert q.exception() is None
+        return {(r["seq"], r["late_by_seconds"]) for r in read_points(spark, os.path.join(tmp, "out")).collect()}
+
+    assert feed_file("a.txt", lines) == {("3", 2.5), ("4", 1.5)}     # same identity: the later message wins
+    # a later batch replaces one point, adds one and leaves one: one row per identity in the table
+    more = [json.dumps({**rec, "late_by_sec": 9.5}), json.dumps({**rec, "seq": 5})]
+    assert feed_file("b.txt", more) == {("3", 9.5), ("4", 1.5), ("5", 1.5)}
+
+
+def test_relay_forwards_bytes(spark):
+    from telemetra.streaming.processor import relay
+    raw = feed(spark, F4)
+    tmp = tempfile.mkdtemp(prefix="stream-relay-", dir=os.environ.get("TMPDIR", "/tmp"))
+    write_batches(raw.orderBy("arrival_seq").collect(), os.path.join(tmp, "in"))
+    q = relay(raw_file_stream(spark, os.path.join(tmp, "in")), os.path.join(tmp, "out"), os.path.join(tmp, "ck"))
+    q.awaitTermination(180)
+    got = spark.read.parquet(os.path.join(tmp, "out")).select("payload", "arrival_ms", "arrival_seq")
+    want = raw.select(*got.columns)
+    assert got.count() == want.count() and want.exceptAll(got).count() == 0
+
+
+def test_restart_in_the_middle_equals_one_run(spark):
+    raw = feed(spark, F4)
+    rows = raw.orderBy("arrival_seq").collect()
+    tmp = tempfile.mkdtemp(prefix="stream-restart-", dir=os.environ.get("TMPDIR", "/tmp"))
+    src = os.path.join(tmp, "in")
+    for stop in (5, len(rows)):              # the query ends after 5 records and starts again from its checkpoint
+        for i, r in enumerate(rows[:stop]):
+            p = os.path.join(src, f"b{i:04d}.parquet")
+            if not os.path.exists(p):
+                write_batches([r], os.path.join(tmp, f"one{i}"))
+                os.makedirs(src, exist_ok=True)
+                os.rename(os.path.join(tmp, f"one{i}", "b0000.parquet"), p)
+                os.utime(p, (1_000_000 + i, 1_000_000 + i))
+        q = run_stream(raw_file_stream(spark, src), os.path.join(tmp, "out"), REFERENCE_SPEC, os.path.join(tmp, "ckpt"))
+        q.awaitTermination(180)
+        assert q.exception() is None
+    got = spark.read.parquet(os.path.join(tmp, "out", "results")).select(*COLS)
+    want, _ = windowed_results(ok_observations(decode_observations(raw)), REFERENCE_SPEC, flush=False)
+    want = want.select(*COLS)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_missing_state_is_an_error(spark):
+    import pytest
+    from telemetra.streaming.processor import StreamProcessor
+    tmp = tempfile.mkdtemp(prefix="stream-state-", dir=os.environ.get("TMPDIR", "/tmp"))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        StreamProcessor(tmp, REFERENCE_SPEC)(feed(spark, F4), 41)

@@ -66,4 +66,52 @@ def test_ok_plus_dlq_is_input(spark):
     d = decode_observations(raw)
     n = raw.count()
     assert ok_observations(d).count() + dlq_records(d).count() == n
-    assert d.filter(F.col("error").isNull()).count() == 999   # FIXTURES.md F5, sf0.001
+    assert d.filter(F.col("error").isNull()).count() == 938   # FIXTURES.md F5, sf0.001
+
+
+def test_broken_json_and_wire_seq(spark):
+    """Only a text that is one JSON object is decoded; seq is a 32-bit integer token."""
+    import json
+    good = json.dumps(obs(1000))
+    with_seq = lambda t: good.replace('"seq": 1,', f'"seq": {t},')
+    cases = {good: None, "  " + good + "\n": None, good[:-1]: "decode_failed", "{": "decode_failed",
+             good + " trailing": "decode_failed", good + "} x": "decode_failed", good + "], x": "decode_failed",
+             good + good: "decode_failed", good + ',"b":2': "decode_failed", f"[{good}]": "decode_failed",
+             "5": "decode_failed", "null": "decode_failed", "": "decode_failed",
+             with_seq("2.0"): "invalid_seq", with_seq("1e3"): "invalid_seq", with_seq(str(1 << 40)): "invalid_seq",
+             with_seq('"1"'): "invalid_seq", with_seq(str((1 << 31) - 1)): None, with_seq(str(-(1 << 31))): None,
+             good[:-1] + ', "extra": {"a": {"b": 1}}}': None}
+    got = decode_observations(feed(spark, list(cases))).orderBy("arrival_seq").collect()
+    assert [r["error"] for r in got] == list(cases.values())
+
+
+def test_time_is_utc_in_any_session_zone(spark):
+    from telemetra.functions.timeparse import hms_label, iso_to_millis, millis_to_iso
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("America/New_York", "Asia/Kolkata", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            df = spark.createDataFrame([("1970-01-01T00:00:01",), ("1970-01-02",), ("1970-01-01 02:30:00,5",),
+                                        ("1970-01-01T02:00:00+0200",), ("1970-01-01T02:00:00+02:00",)], "t string")
+            ms = [r[0] for r in df.select(iso_to_millis(F.col("t"))).collect()]
+            assert ms == [1000, 86_400_000, 9_000_500, 0, 0]
+            one = spark.range(1).select(millis_to_iso(F.lit(-1).cast("long")), hms_label(F.lit(3_600_000), F.lit(86_399_000))).first()
+            assert list(one) == ["1969-12-31T23:59:59.999+00:00", "01:00:00 - 23:59:59"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_avro_fields_go_through_the_same_checks(spark):
+    """The struct that an Avro reader gives, without the reader."""
+    from telemetra.operators.decode import variant_fields
+    kind = ("_o struct<thing_id:string,datastream_id:string,metric:string,sensor_type:string,seq:int,event_time:string,"
+            "value:struct<member0:double,member1:string,member2:boolean>,publish_time:string>, size_bytes int, arrival_seq bigint")
+    rows = [(("t", "t:door", "door", "state", 3, "1970-01-01T00:00:01Z", (None, "ON", None), "1970-01-01T00:00:02Z"), 9, 0),
+            (("t", "t:x", "x", "analog", 4, "1970-01-01T00:00:01Z", (2.5, None, None), "1970-01-01T00:00:02Z"), 9, 1),
+            (("t", "t:m", "m", "alarm", 5, "1970-01-01T00:00:01Z", (None, None, False), "1970-01-01T00:00:02Z"), 9, 2),
+            (None, 9, 3)]
+    out = variant_fields(spark.createDataFrame(rows, kind), ["arrival_seq"]).orderBy("arrival_seq").select(
+        "_is_obj", *[F.schema_of_variant(f"_w_{n}").alias(n) for n in ("seq", "value")]).collect()
+    assert [tuple(r) for r in out[:3]] == [(True, "BIGINT", "STRING"), (True, "BIGINT", out[1]["value"]), (True, "BIGINT", "BOOLEAN")]
+    assert out[1]["value"].startswith("DECIMAL") or out[1]["value"] == "DOUBLE"
+    assert out[3]["_is_obj"] is False
