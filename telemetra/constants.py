@@ -25,21 +25,7 @@ METRIC_TYPE = {
     "smoke": "alarm",
 }
 
-# --- fixed values: validation reasons in evaluation order (first failing wins) ----
-REASONS = (
-    "invalid_thing_id",
-    "invalid_datastream_id",
-    "invalid_metric",
-    "invalid_sensor_type",
-    "invalid_seq",
-    "invalid_event_time",
-    "invalid_value",
-    "invalid_publish_time",
-    "invalid_analog_value",
-    "invalid_counter_value",
-    "invalid_state_value",
-    "invalid_alarm_value",
-)
+# --- fixed value: reason of a payload that can't be decoded ------------------------
 DECODE_FAILED = "decode_failed"
 
 # --- fixed values: hardware-fault limits (fault if min < low, else if max > high) --
@@ -56,7 +42,6 @@ ANOMALY_THRESHOLD = 0.85
 MIN_SAMPLES_FOR_ANOMALY = 100
 MIN_SAMPLES_FOR_DRIFT = 30
 DRIFT_COOLDOWN = 20
-SAVE_EVERY = 2000
 HST_TREES = 25
 HST_HEIGHT = 6
 HST_WINDOW = 100

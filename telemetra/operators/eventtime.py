@@ -17,6 +17,8 @@ its arrival with its window's two instants; no global ordering of rows is needed
 """
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from telemetra.constants import WindowSpec
@@ -44,20 +46,23 @@ def watermark_thresholds(ok: DataFrame, spec: WindowSpec) -> DataFrame:
     """Per window index: ``fire_at`` / ``expire_at`` arrival keys (NULL = never) and
     ``n_rows`` (rows whose event falls in the window; 0 for threshold-only indexes)."""
     W = spec.window_ms
-    a = arrival_key()
-    null_key = F.lit(None).cast("struct<arrival_ms:bigint,arrival_seq:bigint>")
     idx = _floor_div(F.col("event_ms"), W)
     fire_idx = _floor_div(F.col("event_ms") - spec.fire_offset, W) - 1
     exp_idx = _floor_div(F.col("event_ms") - spec.expire_offset, W) - 1
-    entries = ok.select(F.inline(F.array(
-        F.struct(idx.alias("idx"), null_key.alias("f"), null_key.alias("e"), F.lit(1).alias("n")),
-        F.struct(fire_idx.alias("idx"), a.alias("f"), null_key.alias("e"), F.lit(0).alias("n")),
-        F.struct(exp_idx.alias("idx"), null_key.alias("f"), a.alias("e"), F.lit(0).alias("n")),
+    # one hash aggregate over the records (a struct minimum would sort them), a few groups a window
+    few = ok.groupBy(idx.alias("idx"), fire_idx.alias("fire"), exp_idx.alias("exp")).agg(
+        F.min(_packed_arrival()).alias("k"), F.count(F.lit(1)).alias("n"))
+    none = F.lit(None).cast(PACKED)
+    entries = few.select(F.inline(F.array(
+        F.struct(F.col("idx").alias("idx"), none.alias("f"), none.alias("e"), F.col("n").alias("n")),
+        F.struct(F.col("fire").alias("idx"), F.col("k").alias("f"), none.alias("e"), F.lit(0).cast("bigint").alias("n")),
+        F.struct(F.col("exp").alias("idx"), none.alias("f"), F.col("k").alias("e"), F.lit(0).cast("bigint").alias("n")),
     )))
     per_idx = (entries.groupBy("idx").agg(F.min("f").alias("f"), F.min("e").alias("e"),
                                           F.sum("n").alias("n_rows"))
                .withColumn("blk", F.floor(F.col("idx") / BLOCK).cast("bigint")))
-    # level 1: per block minimum, then minimum over all later blocks (tiny table)
+    # level 1: per block minimum, then minimum over all later blocks (tiny by construction:
+    # one row per 1,024 windows of the time span)
     blocks = per_idx.groupBy("blk").agg(F.min("f").alias("bf"), F.min("e").alias("be"))
     later = Window.orderBy(F.col("blk").desc()).rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select("blk", F.min("bf").over(later).alias("lf"), F.min("be").over(later).alias("le"))
@@ -68,28 +73,42 @@ def watermark_thresholds(ok: DataFrame, spec: WindowSpec) -> DataFrame:
                              F.min("e").over(inside).alias("se"))
     return (per_idx.join(F.broadcast(blocks), "blk", "left")
             .select(F.col("idx").alias("widx"),
-                    F.least("sf", "lf").alias("fire_at"),
-                    F.least("se", "le").alias("expire_at"),
+                    _unpacked(F.least("sf", "lf")).alias("fire_at"),
+                    _unpacked(F.least("se", "le")).alias("expire_at"),
                     "n_rows"))
 
 
+PACKED = "decimal(38,0)"
+SEQ_SPAN = Decimal(10 ** 19)  # above any 64-bit arrival_seq
+
+
+def _packed_arrival() -> Column:
+    """The arrival key as one number in arrival order."""
+    return (F.col("arrival_ms").cast("decimal(18,0)") * F.lit(SEQ_SPAN)
+            + F.col("arrival_seq")).cast(PACKED)
+
+
+def _unpacked(k: Column) -> Column:
+    ms = F.floor(k / F.lit(SEQ_SPAN)).cast("bigint")
+    seq = (k - ms.cast("decimal(18,0)") * F.lit(SEQ_SPAN)).cast("bigint")
+    return F.when(k.isNotNull(), F.struct(ms.alias("arrival_ms"), seq.alias("arrival_seq")))
+
+
 def _join_small(big: DataFrame, small: DataFrame, on: str, n_small: int) -> DataFrame:
     if n_small <= BROADCAST_MAX_ROWS:
         small = F.broadcast(small)
     return big.join(small, on, "left")
 
 
-def classify_lateness(ok: DataFrame, spec: WindowSpec, materialize_thresholds: bool = False) -> DataFrame:
+def classify_lateness(ok: DataFrame, spec: WindowSpec) -> DataFrame:
     """E2 + E4 + E5: add window bounds, ``lateness`` and the window's firing arrival.
 
     lateness: ``on_time`` (watermark before the row < window_end - 1),
     ``too_late`` (watermark >= window_end + lateness), else ``late_accepted``.
     """
     W = spec.window_ms
-    # one row per window index, derived from ``ok`` (itself a written table): caching is
-    # enough to read it twice; a lost block is recomputed from ``ok`` by one aggregate
-    thr = watermark_thresholds(ok, spec)
-    thr = materialize(thr, True, "thresholds") if materialize_thresholds else thr.cache()
+    # one row per window index, written once: counted, then joined
+    thr = materialize(watermark_thresholds(ok.select("event_ms", *ARRIVAL), spec), True, "thresholds")
     n_thr = thr.count()
     rows = ok.withColumn("widx", _floor_div(F.col("event_ms"), W))
     j = _join_small(rows, thr.drop("n_rows"), "widx", n_thr)

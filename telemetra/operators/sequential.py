@@ -58,18 +58,38 @@ class Scaler:
         self.lo, self.hi = np.minimum(self.lo, x), np.maximum(self.hi, x)
 
 
+SNAPSHOT_VERSION = 1
+
+
 class Entry:
     """Model entry of one stream: scaler + trees, sample count, drift detector, cooldown."""
 
     def __init__(self, branch: str | None, reset_count: int = 0):
-        self.branch = branch
-        fr = forest(branch) if branch in BRANCHES else None
-        self.scaler = Scaler(fr.n_features) if fr else None
-        self.model = HalfSpaceTrees(fr) if fr else None
         self.count = 0
         self.drift = Adwin()
         self.reset_count = reset_count
         self.cooldown = 0
+        self.use(branch)
+
+    def use(self, branch: str | None) -> None:
+        """Start a model for ``branch``; count, drift detector and cooldown stay as they are."""
+        self.branch = branch
+        fr = forest(branch) if branch in BRANCHES else None
+        self.scaler = Scaler(fr.n_features) if fr else None
+        self.model = HalfSpaceTrees(fr) if fr else None
+
+    def dump(self) -> bytes:
+        """Snapshot of plain values and arrays: nothing in it names a class of this library.
+
+        Node masses are at most the tree window, so a byte each holds them.
+        """
+        out: dict = {"version": SNAPSHOT_VERSION, "branch": self.branch, "count": self.count,
+                     "reset_count": self.reset_count, "cooldown": self.cooldown, "drift": dict(vars(self.drift))}
+        if self.model is not None:
+            out["scaler"] = {k: v.copy() if isinstance(v, np.ndarray) else v for k, v in vars(self.scaler).items()}
+            out["trees"] = {"ref": self.model.ref.astype(np.uint8), "latest": self.model.latest.astype(np.uint8),
+                            "counter": self.model.counter, "first_window": self.model.first_window}
+        return pickle.dumps(out, protocol=pickle.HIGHEST_PROTOCOL)
 
 
 def _event(row, kind: str, **kw) -> dict:
@@ -92,7 +112,7 @@ def _step(e: Entry, row, feats: np.ndarray, threshold: float, emit_scores: bool)
         return [_event(row, "anomaly", measurement=MEASUREMENT_ANOMALY,
                        true_count=int(row.true_count), anomaly_score=1.0, n=e.count)]
     if e.model is None or e.branch != b:     # a stream whose branch changes starts a new model
-        e.__init__(b, e.reset_count)
+        e.use(b)
     score = e.model.score_one(e.scaler.transform(feats))
     e.scaler.learn(feats)
     e.model.learn_one(e.scaler.transform(feats))
@@ -122,24 +142,31 @@ def _step(e: Entry, row, feats: np.ndarray, threshold: float, emit_scores: bool)
 
 
 def load_entry(blob, branch: str | None) -> Entry:
-    """M16 repair: an unreadable snapshot gives a fresh entry; missing fields get defaults."""
+    """M16 repair: an unreadable snapshot gives a fresh entry; missing parts get defaults."""
     fresh = Entry(branch)
     try:
-        e = pickle.loads(blob)
+        d = pickle.loads(blob)
+        if not isinstance(d, dict) or d.get("version") != SNAPSHOT_VERSION:
+            return fresh
+        e = Entry(d.get("branch", branch), d.get("reset_count", 0))
+        e.count, e.cooldown = d.get("count", 0), d.get("cooldown", 0)
+        vars(e.drift).update(d.get("drift", {}))
+        if e.model is not None:
+            vars(e.scaler).update(d.get("scaler", {}))
+            trees = d.get("trees", {})
+            for name in ("ref", "latest"):
+                if name in trees:
+                    setattr(e.model, name, trees[name].astype(np.int64))
+            e.model.counter = trees.get("counter", 0)
+            e.model.first_window = trees.get("first_window", True)
+        return e
     except Exception:
         return fresh
-    if not isinstance(e, Entry):
-        return fresh
-    for name, value in vars(fresh).items():
-        if not hasattr(e, name):
-            setattr(e, name, value)
-    return e
 
 
 def _snapshot(key: str, e: Entry) -> dict:
     """The stream's model entry as bytes, with its counters alongside."""
-    return {"kind": "state", "datastream_id": key, "n": e.count, "reset_count": e.reset_count,
-            "state": pickle.dumps(e, protocol=pickle.HIGHEST_PROTOCOL)}
+    return {"kind": "state", "datastream_id": key, "n": e.count, "reset_count": e.reset_count, "state": e.dump()}
 
 
 _PANDAS_TYPES = {"string": object, "binary": object, "bigint": "Int64", "int": "Int32",
@@ -233,19 +260,18 @@ def detect_stream(feat: DataFrame, threshold: float = ANOMALY_THRESHOLD) -> Data
     """M12 on a streaming DataFrame: one model entry per stream kept in Spark state.
 
     ``applyInPandasWithState`` with no timeout: every micro-batch's rows of a stream
-    are ordered and fed to its entry; the pickled entry is the state (M16), so it is
+    are ordered and fed to its entry; the entry's snapshot is the state (M16), so it is
     checkpointed with the query and restored after a failure.
     """
     from pyspark.sql.streaming.state import GroupStateTimeout
 
     def fn(key, pdfs, state):
-        entry = pickle.loads(state.get[0]) if state.exists else None
-        out: list[dict] = []
-        for pdf in pdfs:
-            entry, ev = process_rows(entry, key[0], pdf.sort_values(list(ORDER)), threshold, False)
-            out.extend(ev)
+        entry = load_entry(state.get[0], None) if state.exists else None
+        # chunks come in no order: the stream's rows of this micro-batch are sorted together
+        rows = pd.concat(list(pdfs), ignore_index=True).sort_values(list(ORDER))
+        entry, out = process_rows(entry, key[0], rows, threshold, False)
         if entry is not None:
-            state.update((pickle.dumps(entry, protocol=pickle.HIGHEST_PROTOCOL),))
+            state.update((entry.dump(),))
         yield _frame(out, EVENT_COLUMNS)
 
     return feat.groupBy(KEY).applyInPandasWithState(fn, EVENT_SCHEMA, "entry binary", "append",

@@ -187,13 +187,12 @@ def panes(accepted: DataFrame, window_ms: int, flush: bool = True,
     return finalize(first.unionByName(merged, allowMissingColumns=True), window_ms, carry)
 
 
-def windowed_results(ok: DataFrame, spec: WindowSpec, flush: bool = True,
-                     materialize_thresholds: bool = False) -> tuple[DataFrame, DataFrame]:
+def windowed_results(ok: DataFrame, spec: WindowSpec, flush: bool = True) -> tuple[DataFrame, DataFrame]:
     """Window results and late side output of the ok observations.
 
     Returns ``(results, late)``; ``results`` has ``RESULT_COLUMNS``.
     """
-    cls = classify_lateness(ok, spec, materialize_thresholds)
+    cls = classify_lateness(ok, spec)
     late = late_records(cls, spec)
     accepted = dedup_first_arrival(cls.filter(F.col("lateness") != "too_late"))
     return panes(accepted, spec.window_ms, flush), late

@@ -1,40 +1,14 @@
-"""End-to-end batch replay: raw messages -> ok / DLQ -> window results / late.
-
-The decoded observations are read twice (watermark thresholds, then the
-classification join), so they are cut from the raw-payload lineage once:
-a lost executor then re-reads compact columns instead of re-decoding messages.
-"""
+"""Inputs of the registered queries: the fixture feed, its valid observations, hourly results."""
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 
-from telemetra.constants import FIXTURE_SPEC, HOUR_MS, WindowSpec
-from telemetra.operators.decode import decode_observations, dlq_records, ok_observations
-from telemetra.operators.windows import plain_window_results, windowed_results
-from telemetra.session import materialize
+from telemetra.constants import HOUR_MS
+from telemetra.operators.decode import decode_observations, ok_observations
+from telemetra.operators.windows import plain_window_results
 from telemetra.fixtures.feed import observation_feed, read_events
 
 
-@dataclass
-class Replay:
-    decoded: DataFrame
-    ok: DataFrame
-    dlq: DataFrame
-    results: DataFrame
-    late: DataFrame
-
-
-def replay(raw: DataFrame, spec: WindowSpec = FIXTURE_SPEC, flush: bool = True,
-           cut_lineage: bool = True) -> Replay:
-    """Run the processor stage over a bounded raw feed (``payload`` + arrival columns)."""
-    decoded = decode_observations(raw)
-    ok = materialize(ok_observations(decoded), cut_lineage, "ok")
-    results, late = windowed_results(ok, spec, flush=flush, materialize_thresholds=cut_lineage)
-    return Replay(decoded, ok, dlq_records(decoded), results, late)
-
-
 def fixture_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observation_feed(read_events(spark, sf_dir))
 

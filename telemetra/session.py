@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -36,13 +37,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when unset pick a local one."""
+    """The folder of ``spark.checkpoint.dir``, which all executors share.
+
+    Only a local session may go without: it gets a temporary folder. On a cluster an unset
+    folder is an error, since no machine's own folder is seen by the others.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="telemetra-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
@@ -56,7 +63,8 @@ def materialize(df: DataFrame, enabled: bool = True, name: str = "table") -> Dat
     thresholds and the classification join both read the decoded observations):
     an executor loss then re-reads the written table instead of re-decoding raw
     payloads, and later scans get column pruning and filter pushdown. The
-    directory is ``spark.checkpoint.dir`` (a shared folder on a cluster).
+    directory is ``spark.checkpoint.dir`` (a shared folder on a cluster). The table
+    must live as long as the result is read; ``remove_cuts`` deletes a session's.
     """
     if not enabled:
         return df
@@ -70,3 +78,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the checkpoint directory for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def remove_cuts(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this session once their results have been read."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

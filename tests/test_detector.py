@@ -142,6 +142,30 @@ def test_load_entry_repairs():
     assert SQ.load_entry(b"not a pickle", "analog").count == 0
     e = SQ.Entry("analog")
     e.count = 7
-    del e.cooldown
-    back = SQ.load_entry(pickle.dumps(e), "analog")
-    assert back.count == 7 and back.cooldown == 0
+    d = pickle.loads(e.dump())
+    del d["cooldown"], d["drift"], d["scaler"]
+    back = SQ.load_entry(pickle.dumps(d), "analog")
+    assert back.count == 7 and back.cooldown == 0 and back.scaler.c == 0
+    assert SQ.load_entry(pickle.dumps({**d, "version": 99}), "analog").count == 0
+
+
+def test_snapshot_is_small_and_plain():
+    import pickletools
+    e = SQ.Entry("analog")
+    x = np.random.default_rng(0).normal(0, 1, (450, 6))
+    for row in x:
+        e.model.learn_one(e.scaler.transform(row))
+        e.scaler.learn(row)
+    blob = e.dump()
+    assert len(blob) < 30_000
+    assert not any("telemetra" in str(arg) for _, arg, _ in pickletools.genops(blob))
+    back = SQ.load_entry(blob, None)
+    assert back.model.score_one(x[0]) == e.model.score_one(x[0])
+
+
+def test_branch_change_keeps_count(spark):
+    rows = [result("m", "x", "analog", i, min_value=1.0 + i % 7, max_value=3.0 + i % 5, average=2.0 + i % 3) for i in range(160)]
+    rows[120] = result("m", "x", "counter", 120, delta=4.0)
+    ev = SQ.detect(DT.features(frame(spark, rows)), emit_state=True).collect()
+    assert [e["n"] for e in ev if e["kind"] == "state"] == [160 - sum(
+        e["count_before_reset"] for e in ev if e["kind"] == "drift")]

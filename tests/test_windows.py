@@ -26,7 +26,7 @@ F4 = [
 
 def run(spark, records, flush=True):
     ok = ok_observations(decode_observations(feed(spark, records)))
-    return windowed_results(ok, REFERENCE_SPEC, flush=flush, materialize_thresholds=False)
+    return windowed_results(ok, REFERENCE_SPEC, flush=flush)
 
 
 def test_f4_panes(spark):
@@ -57,7 +57,7 @@ def test_late_by_seconds_positive(spark):
     # a record arriving 40 s after its window closed for good
     recs = [obs(1000, 1, **A), obs(60000, 2, **A), obs(2000, 3, **A)]
     ok = ok_observations(decode_observations(feed(spark, recs, step_ms=20000)))
-    _, late = windowed_results(ok, REFERENCE_SPEC, materialize_thresholds=False)
+    _, late = windowed_results(ok, REFERENCE_SPEC)
     (r,) = late.collect()
     assert r["seq"] == 3 and r["late_by_sec"] == 15.0   # arrival 40000 - (10000 + 15000)
 
@@ -99,17 +99,26 @@ def test_invariants_on_fixture(spark):
     from telemetra.operators.eventtime import classify_lateness
     from telemetra.plans.pipeline import fixture_ok
     ok = fixture_ok(spark, SF_SMALL).cache()
-    cls = classify_lateness(ok, FIXTURE_SPEC, materialize_thresholds=False)
+    cls = classify_lateness(ok, FIXTURE_SPEC)
     counts = {r["lateness"]: r["count"] for r in cls.groupBy("lateness").count().collect()}
-    assert counts == {"on_time": 983, "late_accepted": 5, "too_late": 11}       # FIXTURES.md F5
-    results, late = windowed_results(ok, FIXTURE_SPEC, materialize_thresholds=False)
-    assert results.count() == 705 and late.count() == 11
-    assert results.select("datastream_id", "window_start").distinct().count() == 703
-    # the last pane of every window equals a plain aggregate over its accepted rows
+    assert counts == {"on_time": 922, "late_accepted": 6, "too_late": 10}       # FIXTURES.md F5
+    results, late = windowed_results(ok, FIXTURE_SPEC)
+    assert results.count() == 671 and late.count() == 10
+    assert results.select("datastream_id", "window_start").distinct().count() == 668
+    # the last pane of every window equals a plain aggregate over its accepted rows, column by column
+    accepted = cls.filter("lateness <> 'too_late'").drop("window_start", "window_end")
+    columns = [c for c in results.columns if c not in ("fire_index", "is_late_firing", "result_time", "latency",
+                                                       "end_to_end_latency")]
     last = (results.groupBy("datastream_id", "window_start").agg(F.max("fire_index").alias("fire_index"))
             .join(results, ["datastream_id", "window_start", "fire_index"]))
-    total = last.agg(F.sum("count")).first()[0]
-    assert total == 983 + 5 - 18            # accepted rows minus duplicates
+    key = lambda r: (r["datastream_id"], r["window_start"])
+    want = {key(r): r for r in plain_window_results(accepted, FIXTURE_SPEC.window_ms).collect()}
+    got = last.collect()
+    assert len(got) == len(want) == 668 and sum(r["count"] for r in got) == 922 + 6 - 17   # less duplicates
+    for r in got:
+        for c in columns:
+            a, b = r[c], want[key(r)][c]
+            assert a == b or abs(a - b) < 1e-9, c
     # repartitioning the input leaves the output unchanged
-    again, _ = windowed_results(ok.repartition(3), FIXTURE_SPEC, materialize_thresholds=False)
+    again, _ = windowed_results(ok.repartition(3), FIXTURE_SPEC)
     assert again.exceptAll(results).count() == 0 and results.exceptAll(again).count() == 0
