@@ -9,11 +9,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from telemetra.operators.decode import dlq_json
+from telemetra.operators.decode import dlq_json, evaluation_barrier
 from telemetra.operators.points import late_json, results_json
 
 # --- fixed values: fixture fault rules ------------------------------------------------
 DOUBLE_ENCODE_MOD = 3        # DLQ / late message double-encoded when arrival_seq % 3 = 0
+SPOIL_DLQ_MOD = 11           # 4 no object, 5 no error
+SPOIL_LATE_MOD = 5           # 1 no late_by_sec, 2 no metric, 3 no seq
+SPOIL_RESULT_MOD = 13        # (window index + fire_index): 1 no count, 2 text latency, 3 no fire_index, 4 an array
 HYGIENE_MOD = 9              # result payload fault by (window index + fire_index) % 9:
 # 1 null, 2 empty, 3 leading NUL byte, 4 blank, 5 invalid UTF-8 byte inside, 6 not JSON
 
@@ -26,19 +29,47 @@ def json_string_literal(text: Column) -> Column:
 
 def _maybe_double(df: DataFrame) -> DataFrame:
     twice = F.col("arrival_seq") % DOUBLE_ENCODE_MOD == 0
-    return df.withColumn("value", F.when(twice, json_string_literal(F.col("value")))
-                         .otherwise(F.col("value")))
+    # a barrier: the consumers read the text many times, and would inline how it was made
+    return evaluation_barrier(df.withColumn("value", F.when(twice, json_string_literal(F.col("value")))
+                                            .otherwise(F.col("value"))))
 
 
-def dlq_topic(dlq: DataFrame) -> DataFrame:
-    """DLQ messages: ``value`` text, ``timestamp_ms`` (broker time = arrival), arrival_seq."""
+def _without(text: Column, *patterns: str) -> Column:
+    for p in patterns:
+        text = F.regexp_replace(text, p, "")
+    return text
+
+
+def dlq_topic(dlq: DataFrame, spoil: bool = False) -> DataFrame:
+    """DLQ messages: ``value`` text, ``timestamp_ms`` (broker time = arrival), arrival_seq.
+
+    ``spoil``: by rule some messages are no object or lack their ``error``.
+    """
     msgs = dlq_json(dlq).withColumnRenamed("arrival_ms", "timestamp_ms")
+    if spoil:
+        k, v = F.col("arrival_seq") % SPOIL_DLQ_MOD, F.col("value")
+        msgs = msgs.withColumn("value", F.when(k == 4, F.lit("5")).when(k == 5, _without(v, '"error":"[^"]*",')).otherwise(v))
     return _maybe_double(msgs)
 
 
 def late_topic(late_with_arrival: DataFrame) -> DataFrame:
-    """Late-record messages with arrival columns for ordering."""
-    return _maybe_double(late_json(late_with_arrival))
+    """Late-record messages with arrival columns for ordering; by rule some lack a key."""
+    k, v = F.col("arrival_seq") % SPOIL_LATE_MOD, F.col("value")
+    msgs = late_json(late_with_arrival).withColumn(
+        "value", F.when(k == 1, _without(v, ',"late_by_sec":[^,}]*')).when(k == 2, _without(v, '"metric":"[^"]*",'))
+        .when(k == 3, _without(v, '"seq":[^,}]*,')).otherwise(v))
+    return _maybe_double(msgs)
+
+
+def spoiled_results(results: DataFrame, window_ms: int) -> DataFrame:
+    """Result messages, some of which the required-field gates must drop or complete by rule."""
+    msgs = results_json(results)
+    k = ((F.col("window_start") / F.lit(window_ms)).cast("bigint") + F.col("fire_index")) % SPOIL_RESULT_MOD
+    v = F.col("value")
+    return msgs.withColumn("value", (
+        F.when(k == 1, _without(v, '"count":[0-9]+,'))
+        .when(k == 2, F.regexp_replace(v, '"latency":-?[0-9]+', '"latency":"abc"'))
+        .when(k == 3, _without(v, '"fire_index":[0-9]+,')).when(k == 4, F.concat(F.lit("["), v, F.lit("]"))).otherwise(v)))
 
 
 def results_topic(results: DataFrame, window_ms: int) -> DataFrame:

@@ -134,7 +134,7 @@ def _plain_by_type(t: str) -> Query:
 
 
 def _results_messages(spark, sf_dir):
-    return P.results_json(_results(spark, sf_dir))
+    return TP.spoiled_results(_results(spark, sf_dir), SPEC.window_ms)
 
 
 def q_required_fields_gate(spark, sf_dir):
@@ -149,12 +149,12 @@ def _points(t: str) -> Query:
     return q
 
 
-def _dlq_topic(spark, sf_dir):
-    return TP.dlq_topic(D.dlq_records(_decoded(spark, sf_dir)))
+def _dlq_topic(spark, sf_dir, spoil=False):
+    return TP.dlq_topic(D.dlq_records(_decoded(spark, sf_dir)), spoil)
 
 
 def q_dlq_points(spark, sf_dir):
-    return P.dlq_points(_dlq_topic(spark, sf_dir))
+    return P.dlq_points(_dlq_topic(spark, sf_dir, spoil=True))
 
 
 def q_double_encoded_unwrap(spark, sf_dir):

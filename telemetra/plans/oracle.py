@@ -396,26 +396,31 @@ SELECT datastream_id, window_start, fire_index, result_time, latency, end_to_end
        round(CASE WHEN (window_end - window_start) > 0
                   THEN count / ((window_end - window_start) / 1000.0) ELSE 0.0 END, 6) AS throughput
 FROM results""")
+    # spoiled messages: no count, text latency and arrays are dropped; without fire_index it is 1
+    spoil = f"((window_start // {W}) + fire_index) % 13"
+    passed = f"""
+passed AS (SELECT * REPLACE (CASE WHEN {spoil} = 3 THEN 1 ELSE fire_index END AS fire_index)
+           FROM results WHERE {spoil} NOT IN (1, 2, 4))"""
     pts = """'processed_data' AS measurement, sensor_type, metric, datastream_id,
   CAST(fire_index AS VARCHAR) AS fire_index, window_end AS time_ms, window_start, window_end, count,
   result_time, max_event_time, max_publish_time, (window_end - window_start) / 1000.0 AS window_duration_sec,
   latency, end_to_end_latency,
   round(CASE WHEN window_end > window_start THEN count / ((window_end - window_start) / 1000.0)
              ELSE 0.0 END, 6) AS throughput"""
-    q["required_fields_gate"] = with_(f, d, o, c, p, select="""
+    q["required_fields_gate"] = with_(f, d, o, c, p, passed, select="""
 SELECT metric, sensor_type, datastream_id, window_start, window_end, count, latency, end_to_end_latency,
   result_time, max_event_time, max_publish_time, CAST(fire_index AS BIGINT) AS fire_index,
   (window_end - window_start) / 1000.0 AS window_duration_sec,
   round(CASE WHEN window_end > window_start THEN count / ((window_end - window_start) / 1000.0)
              ELSE 0.0 END, 6) AS throughput
-FROM results""")
+FROM passed""")
     type_fields = {"analog": ("min_value", "max_value", "average"),
                    "counter": ("delta", "first_value", "last_value"),
                    "state": ("on_count", "off_count", "distinct_counts"),
                    "alarm": ("true_ratio", "false_count", "true_count")}
     for t, fl in type_fields.items():
-        q[f"points_{t}"] = with_(f, d, o, c, p, select=f"""
-SELECT {pts}, {', '.join(fl)} FROM results
+        q[f"points_{t}"] = with_(f, d, o, c, p, passed, select=f"""
+SELECT {pts}, {', '.join(fl)} FROM passed
 WHERE sensor_type = '{t}' AND {' AND '.join(x + ' IS NOT NULL' for x in fl)}""")
     ts = "strftime(make_timestamp(arrival_ms * 1000), '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'"
     dlq_text = f"""CASE WHEN error = 'decode_failed' THEN
@@ -430,18 +435,23 @@ WHERE sensor_type = '{t}' AND {' AND '.join(x + ' IS NOT NULL' for x in fl)}""")
 dlqt AS (SELECT arrival_seq, arrival_ms AS timestamp_ms, error, thing_id, seq,
                 {dbl(dlq_text)} AS value
          FROM dec WHERE error IS NOT NULL)"""
-    q["dlq_points"] = with_(f, d, dlq_topic, select="""
-SELECT 'dlq_metrics' AS measurement, error AS reason, 'flink_decoder' AS stage, sha256(value) AS dlq_id,
-       CAST(1 AS BIGINT) AS dlq_count, timestamp_ms AS time_ms
-FROM dlqt""")
+    spoiled_text = f"""CASE arrival_seq % 11 WHEN 5 THEN regexp_replace({dlq_text}, '"error":"[^"]*",', '')
+                             ELSE {dlq_text} END"""
+    q["dlq_points"] = with_(f, d, select=f"""
+SELECT 'dlq_metrics' AS measurement, CASE arrival_seq % 11 WHEN 5 THEN 'unknown' ELSE error END AS reason,
+       'flink_decoder' AS stage, sha256({dbl(spoiled_text)}) AS dlq_id,
+       CAST(1 AS BIGINT) AS dlq_count, arrival_ms AS time_ms
+FROM dec WHERE error IS NOT NULL AND arrival_seq % 11 <> 4""")
     q["double_encoded_unwrap"] = with_(f, d, dlq_topic, select="""
 SELECT arrival_seq, error, CASE WHEN error <> 'decode_failed' THEN left(coalesce(thing_id, ''), 100) END AS thing_id,
        CASE WHEN error <> 'decode_failed' THEN seq END AS seq
 FROM dlqt""")
     late_pts = f"""
 lp AS (SELECT 'late_events' AS measurement, coalesce(datastream_id, 'unknown') AS datastream_id,
-              coalesce(metric, 'unknown') AS metric, CAST(seq AS VARCHAR) AS seq,
-              round(greatest(0.0, (arrival_ms - (window_end + {L})) / 1000.0), 3) AS late_by_seconds,
+              CASE arrival_seq % 5 WHEN 2 THEN 'unknown' ELSE coalesce(metric, 'unknown') END AS metric,
+              CASE arrival_seq % 5 WHEN 3 THEN 'NA' ELSE CAST(seq AS VARCHAR) END AS seq,
+              CASE arrival_seq % 5 WHEN 1 THEN 0.0
+                   ELSE round(greatest(0.0, (arrival_ms - (window_end + {L})) / 1000.0), 3) END AS late_by_seconds,
               CAST(1 AS BIGINT) AS late_count, event_ms AS time_ms, arrival_ms, arrival_seq
        FROM cls WHERE lateness = 'too_late')"""
     q["late_points"] = with_(f, d, o, c, late_pts, select="""
