@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from telemetra.constants import WindowSpec
 from telemetra.functions.timeparse import hms_label
+from telemetra.operators.decode import evaluation_barrier
 from telemetra.operators.eventtime import ARRIVAL, classify_lateness, late_records, window_start
 
 KEY = ("datastream_id", "window_start")
@@ -168,7 +169,8 @@ def panes(accepted: DataFrame, window_ms: int, flush: bool = True,
     """
     on = accepted.filter(F.col("lateness") == "on_time")
     late = accepted.filter(F.col("lateness") == "late_accepted")
-    base = on.groupBy(*KEY).agg(*pane_aggregates(), F.max("fire_arrival_ms").alias("fire_ms"))
+    # a barrier, so that both readers of the base see one plan and its exchange is reused
+    base = evaluation_barrier(on.groupBy(*KEY).agg(*pane_aggregates(), F.max("fire_arrival_ms").alias("fire_ms")))
     if not flush:  # end of bounded input does not fire windows the watermark never passed
         base = base.filter(F.col("fire_ms").isNotNull())
     first = base.select(*KEY, *STATE, F.lit(1).alias("pane"),
@@ -194,7 +196,9 @@ def windowed_results(ok: DataFrame, spec: WindowSpec, flush: bool = True) -> tup
     """
     cls = classify_lateness(ok, spec)
     late = late_records(cls, spec)
-    accepted = dedup_first_arrival(cls.filter(F.col("lateness") != "too_late"))
+    # on-time and late rows are read from the same exchange: a filter pushed below it, or columns
+    # pruned in one branch only, would run classification and dedup once for each branch
+    accepted = evaluation_barrier(dedup_first_arrival(cls.filter(F.col("lateness") != "too_late")))
     return panes(accepted, spec.window_ms, flush), late
 
 

@@ -50,3 +50,12 @@ def test_unset_shared_folder_is_an_error_on_a_cluster():
     session = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *_: None))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(session)
+
+
+def test_panes_read_the_observations_once(spark):
+    """After the threshold pass: one scan of the rows, one of the thresholds; branches share exchanges."""
+    import __spark_entry__ as E
+    df = E.queries()["window_panes"](spark, SF_SMALL)
+    df.collect()
+    p = plan(df).split("== Initial Plan")[0]
+    assert p.count("FileScan") == 2 and p.count("ReusedExchange") >= 2
