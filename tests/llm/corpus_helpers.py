@@ -1,23 +1,13 @@
-import os
-import sys
-
+"""Rows for the corpus tests; the session fixture is that of the parent folder."""
 import pytest
 from pyspark.sql import types as T
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-
 SF = "/root/testdata/sf0.001"
 DOC = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
                     T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
                     T.StructField("n_chars", T.LongType())])
 
 
-@pytest.fixture(scope="session")
-def spark():
-    from telemetra.session import local_session
-    return local_session("*", shuffle_partitions=8)
-
-
 @pytest.fixture(scope="session")
 def corpus(spark):
     """The small documents table as a list of rows, by doc_id."""

@@ -1,6 +1,6 @@
 import zlib
 
-from conftest import LONG, ODD_TEXTS, documents, empty
+from corpus_helpers import LONG, ODD_TEXTS, documents, empty
 from pyspark.sql import functions as F
 
 from telemetra.llm import language, queries

@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import ODD_TEXTS, documents, empty
+from corpus_helpers import ODD_TEXTS, documents, empty
 from pyspark.sql import functions as F
 
 from telemetra.llm import hmm, quality_pu, queries, text_arrays, toxicity

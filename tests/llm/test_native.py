@@ -5,7 +5,7 @@ import re
 
 import duckdb
 import pytest
-from conftest import ODD_TEXTS, SF, documents, empty
+from corpus_helpers import ODD_TEXTS, SF, corpus, documents, empty  # noqa: F401
 
 from telemetra.llm import decontaminate, line_dedup, queries, secrets
 
@@ -27,7 +27,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", ["op1_line_dedup", "op3_decontaminate"])
+@pytest.mark.parametrize("name", ["op1_line_dedup", "op2_secret_scan", "op3_decontaminate"])
 def test_queries_equal_sql(spark, con, name):
     same(queries.queries()[name](spark, SF), con, queries.oracle_sql()[name])
 
@@ -110,6 +110,14 @@ def test_secret_hand_cases(spark):
     assert got == dict(enumerate(CASES.values()))
 
 
+def test_secret_sql_tells_the_hand_cases():
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [list(x) for x in enumerate(CASES)] + [[99, None]])
+    got = dict(con.execute(f"SELECT doc_id, spans FROM ({secrets.sql()})").fetchall())
+    assert got == {**dict(enumerate(CASES.values())), 99: ""}
+
+
 def test_sliding_entropy_equals_brute_force(spark):
     import random
     rng = random.Random(1)

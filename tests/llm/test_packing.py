@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest import ODD_TEXTS, documents, empty
+from corpus_helpers import ODD_TEXTS, corpus, documents, empty  # noqa: F401
 from hypothesis import given, settings, strategies as st
 
 from telemetra.llm import packing, queries

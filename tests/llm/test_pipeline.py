@@ -1,6 +1,6 @@
 import sys
 
-from conftest import ODD_TEXTS, documents, empty
+from corpus_helpers import ODD_TEXTS, documents, empty
 from pyspark.sql import functions as F
 
 import corpus_pipeline

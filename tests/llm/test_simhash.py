@@ -1,5 +1,5 @@
 import xxhash
-from conftest import ODD_TEXTS, documents, empty
+from corpus_helpers import ODD_TEXTS, corpus, documents, empty  # noqa: F401
 from pyspark.sql import functions as F
 
 from telemetra.llm import queries, simhash

@@ -1,6 +1,6 @@
 import hashlib
 
-from conftest import ODD_TEXTS, documents, empty
+from corpus_helpers import ODD_TEXTS, corpus, documents, empty  # noqa: F401
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
