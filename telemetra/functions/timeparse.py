@@ -16,6 +16,7 @@ def _normalised(col: Column) -> Column:
     """Text with ``.`` before a fraction, ``+hh:mm`` and always an offset: a naive time is UTC
     whatever the session's time zone."""
     c = F.regexp_replace(col, r"^(.{19}),", "$1.")
+    c = F.regexp_replace(c, r"^(.{16})($|Z|[+-])", "$1:00$2")
     c = F.regexp_replace(c, r"(:\d{2}|[.]\d{1,6})([+-]\d{2})(\d{2})$", "$1$2:$3")
     return (F.when(F.length(c) == 10, F.concat(c, F.lit("T00:00:00Z")))
             .when(c.rlike(r"(Z|[+-]\d{2}:\d{2})$"), c).otherwise(F.concat(c, F.lit("Z"))))
