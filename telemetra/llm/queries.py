@@ -80,4 +80,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.SQL, "op3_decontaminate": decontaminate.sql()}
+    return {"op1_line_dedup": line_dedup.SQL, "op2_secret_scan": secrets.sql(), "op3_decontaminate": decontaminate.sql()}

@@ -38,7 +38,7 @@ THRESHOLDS = {"hex": 3.0, "alnum": 3.55, "base64": 3.7}
 #: candidates that are no secrets
 ALLOWED = (r"(?i)example|placeholder|changeme|your[_-]|xxxx|abcdefgh|01234567|12345678"
            r"|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
-           r"|^[/_=+-]|//|(?:[a-z]{2,}[_/-]){3}|([_=+/-])\1")
+           r"|^[/_=+-]|//|(?:[a-z]{2,}[_/-]){3}|__|==|\+\+|--")
 
 
 def _pieces(text: Column, pattern: str, group: int) -> Column:
@@ -140,3 +140,42 @@ def scan_report(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
         id_col, size("assign").alias("n_assign"), size("access").alias("n_access"), size("hex").alias("n_hex"),
         size("entropy").alias("n_entropy"), F.sha2(render(base), 256).alias("base_sha256"),
         render(F.concat(base, F.col("entropy"))).alias("spans"))
+
+
+def sql() -> str:
+    """DuckDB SQL for the rows of op2_secret_scan: matches and the gaps between them give positions."""
+    quoted = lambda p: "'" + p.replace("'", "''") + "'"
+    patterns = [ASSIGN, ACCESS, HEX, CANDIDATE]
+    found = " UNION ALL ".join(
+        f"SELECT rid, {k} AS kind, regexp_extract_all(t, {quoted(p)}) AS hits, string_split_regex(t, {quoted(p)}) AS gaps FROM d"
+        for k, p in enumerate(patterns))
+    entropy = (f"list_max(list_transform(range(0, len(hit) - {WINDOW} + 1), lambda j: list_sum(list_transform("
+               f"list_distinct(string_split(substr(hit, j + 1, {WINDOW}), '')), lambda c: "
+               f"-(({WINDOW} - len(replace(substr(hit, j + 1, {WINDOW}), c, ''))) / {WINDOW}.0) * "
+               f"log2(({WINDOW} - len(replace(substr(hit, j + 1, {WINDOW}), c, ''))) / {WINDOW}.0)))))")
+    names = "[" + ", ".join(f"'{k}'" for k in KINDS) + "]"
+    listed = f"string_agg({names}[kind + 1] || ':' || s || ':' || e, ',' ORDER BY s, kind, e)"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({found}),
+placed AS (SELECT rid, kind, hits[i] AS hit,
+              (list_sum(list_transform(gaps[1:i], lambda x: len(x))) +
+               coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: len(x))), 0))::BIGINT AS s
+       FROM (SELECT *, unnest(generate_series(1, len(hits))) AS i FROM found WHERE len(hits) > 0)),
+spans AS (SELECT rid, kind, hit, s, s + len(hit) AS e FROM placed),
+base AS (SELECT * FROM spans WHERE (kind = 0 AND len(regexp_extract(hit, {quoted(ASSIGN)}, 2)) >= {MIN_ASSIGN})
+                                OR (kind = 1 AND len(hit) >= {MIN_ACCESS}) OR kind = 2),
+candidates AS (SELECT * FROM spans c WHERE kind = 3 AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]')
+               AND NOT regexp_matches(hit, {quoted(ALLOWED)})
+               AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = c.rid AND b.s < c.e AND c.s < b.e)),
+every AS (SELECT * FROM base UNION ALL
+          SELECT * FROM candidates WHERE {entropy} >= CASE WHEN regexp_matches(hit, '^[0-9a-fA-F]+$') THEN {THRESHOLDS['hex']}
+            WHEN regexp_matches(hit, '^[A-Za-z0-9]+$') THEN {THRESHOLDS['alnum']} ELSE {THRESHOLDS['base64']} END),
+told AS (SELECT rid, count(*) FILTER (WHERE kind = 0) AS a, count(*) FILTER (WHERE kind = 1) AS k,
+                count(*) FILTER (WHERE kind = 2) AS h, count(*) FILTER (WHERE kind = 3) AS n,
+                {listed.replace("ORDER BY s, kind, e)", "ORDER BY s, kind, e) FILTER (WHERE kind < 3)")} AS b, {listed} AS every_one
+         FROM every GROUP BY rid)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(k, 0)::BIGINT AS n_access, coalesce(h, 0)::BIGINT AS n_hex,
+       coalesce(n, 0)::BIGINT AS n_entropy, sha256(coalesce(b, '')) AS base_sha256, coalesce(every_one, '') AS spans
+FROM d LEFT JOIN told USING (rid)
+"""
