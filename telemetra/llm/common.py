@@ -8,13 +8,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from telemetra.session import materialize
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: code points handled at once inside a Python task; bounds the numpy working set
-CHARS_AT_ONCE = 1_000_000
+CHARS_AT_ONCE = 500_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: white space of the word contracts (space and x09-x0D)
 SPACES = " \t\n\x0b\x0c\r"
@@ -59,16 +60,26 @@ def broadcast_if_small(df: DataFrame, rows: int = 300_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def ranges(sizes: list[int], limit: int = CHARS_AT_ONCE) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose ``sizes`` add up to at most ``limit`` (one row at least)."""
+    start, total = 0, 0
+    for i, n in enumerate(sizes):
+        if total and total + n > limit:
+            yield start, i
+            start, total = i, 0
+        total += n + 1
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
 def slices(texts: list[str], limit: int = CHARS_AT_ONCE) -> Iterator[tuple[int, int]]:
     """Ranges of ``texts`` of at most ``limit`` characters together (one text at least)."""
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > limit:
-            yield start, i
-            start, size = i, 0
-        size += len(t) + 1
-    if start < len(texts):
-        yield start, len(texts)
+    yield from ranges([len(t) for t in texts], limit)
+
+
+def release() -> None:
+    """Hand the Arrow memory of a batch that is done back, so that a worker that is used again stays small."""
+    pa.default_memory_pool().release_unused()
 
 
 def code_points(text: str) -> np.ndarray:

@@ -35,16 +35,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from telemetra.llm.common import cut
+from telemetra.llm.common import cut, ranges, release
 
 STATES = 6
 ROUNDS = 3
 OWN = 600
 CLASSES = 256
 SEGMENT = 256
-LANES = 2048            # sequences advanced side by side
+LANES = 1024            # sequences advanced side by side
 FREQUENT = 2e-6
 SMOOTH = 0.1
 COUNTER_WORDS = 200_000  # distinct words a task holds before it hands its counts on
@@ -76,6 +77,7 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                 if len(counts) >= COUNTER_WORDS:
                     yield out()
                     counts.clear()
+            release()
         yield out()
     return docs.select(text).mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")) \
         .withColumn("cls", (F.crc32(F.substring("word", -3, 3)) % CLASSES).cast("int"))
@@ -126,33 +128,39 @@ def symbolise(docs: DataFrame, vocab, id_col: str, text: str, train: str) -> Dat
         v: Vocabulary = vocab.value
         known, base, log_c = v.known, len(v.own), v.class_log
         own_end = known.get(END, (0, math.log(SMOOTH), False))
-        for batch in batches:
-            out = {k: [] for k in ("symbols", "n_tokens", "n_frequent", "sum_log", "class_log", "rare", "rare_n")}
-            for t in batch.column("text").to_pylist():
-                ws = words(t)
-                symbols, rare = np.empty(len(ws) + 1, dtype="<u2"), Counter()
-                sum_log, in_class, n_frequent = own_end[1], 0.0, int(END in known)
-                for i, w in enumerate(ws):
-                    hit = known.get(w)
-                    if hit is None:
-                        rare[w] += 1
-                        c = class_of(w)
-                        symbols[i] = base + c
-                        in_class -= log_c[c]
-                    else:
-                        symbols[i], n_frequent = hit[0], n_frequent + 1
-                        sum_log += hit[1]
-                        if hit[2]:
-                            in_class += hit[1] - log_c[hit[0] - base]
-                symbols[-1] = 0
-                for k, x in zip(out, (symbols.tobytes(), len(ws) + 1, n_frequent, sum_log, in_class,
-                                      list(rare), list(rare.values()))):
-                    out[k].append(x)
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-                     pa.list_(pa.binary()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("train"), *(pa.array(x, k) for x, k in zip(out.values(), kinds))],
-                names=["id", "train", *out])
+        for whole in batches:
+            sizes = pc.fill_null(pc.utf8_length(whole.column("text")), 0).to_pylist()
+            for first, last in ranges(sizes):
+                yield one(whole.slice(first, last - first), known, base, log_c, own_end)
+            release()
+
+    def one(batch: pa.RecordBatch, known: dict, base: int, log_c: np.ndarray, own_end: tuple) -> pa.RecordBatch:
+        out = {k: [] for k in ("symbols", "n_tokens", "n_frequent", "sum_log", "class_log", "rare", "rare_n")}
+        for t in batch.column("text").to_pylist():
+            ws = words(t)
+            symbols, rare = np.empty(len(ws) + 1, dtype="<u2"), Counter()
+            sum_log, in_class, n_frequent = own_end[1], 0.0, int(END in known)
+            for i, w in enumerate(ws):
+                hit = known.get(w)
+                if hit is None:
+                    rare[w] += 1
+                    c = class_of(w)
+                    symbols[i] = base + c
+                    in_class -= log_c[c]
+                else:
+                    symbols[i], n_frequent = hit[0], n_frequent + 1
+                    sum_log += hit[1]
+                    if hit[2]:
+                        in_class += hit[1] - log_c[hit[0] - base]
+            symbols[-1] = 0
+            for k, x in zip(out, (symbols.tobytes(), len(ws) + 1, n_frequent, sum_log, in_class,
+                                  list(rare), list(rare.values()))):
+                out[k].append(x)
+        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
+                 pa.list_(pa.binary()), pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays(
+            [batch.column("id"), batch.column("train"), *(pa.array(x, k) for x, k in zip(out.values(), kinds))],
+            names=["id", "train", *out])
     return docs.select(F.col(id_col).alias("id"), F.col(train).alias("train"), F.col(text).alias("text")).mapInArrow(
         run, f"id {kind.simpleString()}, train boolean, symbols binary, n_tokens long, n_frequent long, sum_log double, "
              "class_log double, rare array<binary>, rare_n array<long>")
@@ -263,6 +271,7 @@ def baum_welch(sequences: DataFrame, symbols: int, states: int = STATES, rounds:
             for batch in batches:
                 if batch.num_rows:
                     expected_counts(shared.value, _sequences(batch), sums)
+                release()
             flat = np.concatenate([sums[0], sums[1].ravel(), sums[2].ravel()])
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], names=["cell", "n"])
         cells = sequences.select("symbols").mapInArrow(run, "cell long, n double").groupBy("cell").agg(F.sum("n").alias("n"))

@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from telemetra.llm.common import code_points, slices
+from telemetra.llm.common import code_points, release, slices
 
 SAMPLE_ROWS = 400        # labelled rows a language
 SAMPLE_CHARS = 20_000    # characters a language
@@ -217,4 +217,5 @@ def identify(spark: SparkSession, model: Model | None, text: Column) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in batches:
             yield predict(shared.value, ["" if t is None else t for t in s])
+            release()
     return run(text)

@@ -18,23 +18,25 @@ often as they occur. An empty table gives an empty result.
 """
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from telemetra.llm.common import cut
+from telemetra.llm.common import cut, ranges, release
 
 MAX_TOKENS = 2048
 END_ID = 1
 DIMS = 3
 BITS = 10
 #: pieces of text kept with their ids in one Python worker
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 120_000
 SEQUENCE_SHIFT = 40
 _two_spaces = re.compile(r"[\s\x85][\s\x85]")
 
@@ -50,24 +52,30 @@ class ByteBpe:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
-        self.full = Tokenizer.from_file(path)
-        vocab = self.full.get_vocab(with_added_tokens=False)
-        added = {t.content for t in self.full.get_added_tokens_decoder().values()}
-        self.special = sorted(added)
+        with open(path, encoding="utf-8") as fh:
+            parts = json.load(fh)
+        self.path, self.full = path, None
+        self.special = [t["content"] for t in parts["added_tokens"]]
         to_byte = _byte_alphabet()
-        ranks = {bytes(to_byte[c] for c in t): i for t, i in vocab.items() if t not in added}
+        ranks = {bytes(to_byte[c] for c in t): i for t, i in parts["model"]["vocab"].items() if t not in self.special}
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         self.ranks = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.cache: dict[str, bytes] = {}
 
+    def _whole(self, text: str) -> bytes:
+        """By the vocabulary's own library, which is loaded only for texts that need it."""
+        if self.full is None:
+            from tokenizers import Tokenizer
+            self.full = Tokenizer.from_file(self.path)
+        return np.array(self.full.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
+
     def _encode(self, text: str) -> bytes:
         return np.array(self.ranks.encode_ordinary(text), dtype="<u2").tobytes()
 
     def encode(self, text: str) -> bytes:
         """Little-endian 16-bit ids."""
         if any(s in text for s in self.special):
-            return np.array(self.full.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
+            return self._whole(text)
         if _two_spaces.search(text):
             return self._encode(text)
         cache, out = self.cache, []
@@ -145,13 +153,16 @@ def tokenised(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "t
     """(doc_id, key, tie, ids): 16-bit ids with the end id, Hilbert key, tie-break hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, towards, end = tokenizer(path), directions(), np.array([END_ID], dtype="<u2").tobytes()
-        for batch in batches:
-            ids = [bpe.encode(t or "") + end for t in batch.column(1).to_pylist()]
-            vectors = np.stack([towards[np.frombuffer(b, dtype="<u2")].mean(0) for b in ids]) if ids \
-                else np.zeros((0, DIMS), np.float32)
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(curve_key(vectors), pa.int64()), batch.column(2),
-                pa.array(ids, pa.binary())], names=["id", "key", "tie", "ids"])
+        for whole in batches:
+            sizes = pc.fill_null(pc.utf8_length(whole.column(1)), 0).to_pylist()
+            for i, j in ranges(sizes):
+                batch = whole.slice(i, j - i)
+                ids = [bpe.encode(t or "") + end for t in batch.column(1).to_pylist()]
+                vectors = np.stack([towards[np.frombuffer(b, dtype="<u2")].mean(0) for b in ids])
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0), pa.array(curve_key(vectors), pa.int64()), batch.column(2),
+                    pa.array(ids, pa.binary())], names=["id", "key", "tie", "ids"])
+            release()
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("tie")) \
         .mapInArrow(run, f"id {kind}, key long, tie long, ids binary")

@@ -29,7 +29,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from telemetra.llm.common import broadcast_if_small, cut, packed
+from telemetra.llm.common import broadcast_if_small, cut, packed, release
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -67,6 +67,7 @@ def fingerprints(docs: DataFrame, text: str = "text", k: int = SHINGLE_WORDS) ->
     def fp(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
             yield pd.Series(np.array([fingerprint_text(t, k) for t in s], dtype=np.uint64).view(np.int64))
+            release()
     return fp(docs[text])
 
 
