@@ -218,4 +218,5 @@ def identify(spark: SparkSession, model: Model | None, text: Column) -> Column:
         for s in batches:
             yield predict(shared.value, ["" if t is None else t for t in s])
             release()
-    return run(text)
+    # a filter on the result is not pushed below it, where it would be computed a second time
+    return run.asNondeterministic()(text)
