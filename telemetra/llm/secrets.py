@@ -9,9 +9,11 @@ digit and a letter. Each has a character class (hex digits, letters and digits,
 signs). A window of ``WINDOW`` characters slides over the candidate; its Shannon entropy is
 kept up to date by the counts of the one character that enters and the one that leaves:
 with S the sum of c log2 c over the characters in the window, H = log2 W - S / W. A
-candidate is a secret when its best window reaches the threshold of its class. Allow-listed
-candidates (identifiers, placeholders, alphabet runs and the like) are suppressed, and so
-are candidates that lie inside a base span.
+candidate is a secret when its best window reaches the threshold of its class. A candidate
+that an allow rule hits (identifiers, placeholders, alphabet runs, words joined by signs) is
+taken apart: at ``=`` into names and values (trailing padding stays with its value), and
+around joined words; it is a secret when one of these parts reaches the threshold of its
+class and is no placeholder. Candidates that overlap a base span are left to it.
 
 Positions are code points, end exclusive. A pattern is applied as ``\\G(.*?)(pattern)``:
 the matches and the gaps between them come out in text order, and their lengths add up to
@@ -35,10 +37,18 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 #: bits a character that the best window must reach, by character class
 THRESHOLDS = {"hex": 3.0, "alnum": 3.55, "base64": 3.7}
-#: candidates that are no secrets
+#: the allow-list of the reference SQL, which drops a whole candidate
 ALLOWED = (r"(?i)example|placeholder|changeme|your[_-]|xxxx|abcdefgh|01234567|12345678"
            r"|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
            r"|^[/_=+-]|//|(?:[a-z]{2,}[_/-]){3}|__|==|\+\+|--")
+#: values that are no secrets, wherever the hit lies
+NO_VALUE = (r"(?i)example|placeholder|changeme|your[_-]|xxxx|abcdefgh|01234567|12345678"
+            r"|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$")
+#: candidates that are judged by their parts
+BY_PARTS = NO_VALUE + r"|(?:[a-z]{2,}[_/-]){3}|__|--"
+#: words joined by signs; a word keeps to one case or to capitals inside, which random letters rarely do
+_WORD = r"(?:[A-Z]?[a-z]{2,}(?:[A-Z][a-z]+)*|[A-Z]{2,})"
+JOINED_WORDS = rf"(?:(?<![A-Za-z0-9+]){_WORD}[_/-]+(?:{_WORD}[_/-]+){{2,}}{_WORD}?)|(?:(?<![A-Za-z0-9+]){_WORD}(?:__|--){_WORD})"
 
 
 def _pieces(text: Column, pattern: str, group: int) -> Column:
@@ -99,12 +109,21 @@ def best_entropy(candidate: Column, window: int = WINDOW) -> Column:
         lambda a: F.lit(math.log2(window)) - a["least"] / window)
 
 
+def _parts(candidate: Column) -> Column:
+    """What is judged of a candidate: itself, or the parts of one that an allow rule hits."""
+    values = F.filter(F.split(candidate, "=(?=[^=])"), lambda v: ~v.rlike(NO_VALUE))
+    parts = F.flatten(F.transform(values, lambda v: F.split(v, JOINED_WORDS)))
+    return F.when(candidate.rlike(BY_PARTS), F.filter(parts, lambda v: F.length(v) >= WINDOW)).otherwise(F.array(candidate))
+
+
 def is_secret(candidate: Column) -> Column:
     """The entropy rule for one candidate string."""
-    mixed = candidate.rlike("[0-9]") & candidate.rlike("[A-Za-z]")
-    threshold = (F.when(candidate.rlike("^[0-9a-fA-F]+$"), THRESHOLDS["hex"])
-                 .when(candidate.rlike("^[A-Za-z0-9]+$"), THRESHOLDS["alnum"]).otherwise(THRESHOLDS["base64"]))
-    return F.when(mixed & ~candidate.rlike(ALLOWED), best_entropy(candidate) >= threshold).otherwise(F.lit(False))
+    def judged(part: Column) -> Column:
+        mixed = part.rlike("[0-9]") & part.rlike("[A-Za-z]")
+        threshold = (F.when(part.rlike("^[0-9a-fA-F]+$"), THRESHOLDS["hex"])
+                     .when(part.rlike("^[A-Za-z0-9]+$"), THRESHOLDS["alnum"]).otherwise(THRESHOLDS["base64"]))
+        return F.when(mixed, best_entropy(part) >= threshold).otherwise(F.lit(False))
+    return F.exists(_parts(candidate), judged)
 
 
 def render(spans: Column) -> Column:

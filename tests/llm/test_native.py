@@ -118,6 +118,27 @@ def test_secret_sql_tells_the_hand_cases():
     assert got == {**dict(enumerate(CASES.values())), 99: ""}
 
 
+def test_secrets_with_names_padding_and_signs_are_told(spark):
+    """The reference SQL drops these whole candidates; the operator doesn't."""
+    import base64
+    import random
+    rng = random.Random(3)
+    key = "wJ4lrXUtnF3MIbK7MD9NGcbPxRf1CYzQ2vT8hLsA"
+    coded = [base64.b64encode(rng.randbytes(n)).decode() for n in (16, 64) for _ in range(150)]
+    coded += [f(rng.randbytes(32)).decode() for f in (base64.b64encode, base64.urlsafe_b64encode) for _ in range(150)]
+    told = [f"AWS_SECRET_ACCESS_KEY={key}", f"MY_APP_PRIVATE_KEY={key}", f"EXAMPLE_APP_KEY={key}",
+            "AccountKey=" + base64.b64encode(rng.randbytes(64)).decode(), "/" + key, "+" + key, key[:20] + "//" + key[20:],
+            key[:20] + "++" + key[20:], f"/srv/app/keys/{key}", *coded]
+    not_told = ["MY_APP_PRIVATE_KEY=your_key_1234_goes_here_now", "path/to/some/module_two/file2name",
+                "KEY_OF_THE_APP=123e4567-e89b-12d3-a456-426614174000", "MY_APP_PRIVATE_KEY=short1",
+                "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"]
+    df = spark.createDataFrame([(i, f"see {t} here") for i, t in enumerate(told + not_told)], "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in secrets.scan_report(df).collect()}
+    missed = [t for i, t in enumerate(told) if got[i] != f"entropy:4:{4 + len(t)}"]
+    assert not [t for t in missed if t not in coded] and len(missed) <= len(coded) // 50, missed   # chance low entropy
+    assert [got[len(told) + i] for i in range(len(not_told))] == [""] * len(not_told)
+
+
 def test_sliding_entropy_equals_brute_force(spark):
     import random
     rng = random.Random(1)
