@@ -10,8 +10,10 @@ occurrence. Its **slots must be consistent**: a value of the benchmark always be
 same value in the document and the other way round. So a question with other numbers and
 names is caught, while unrelated text of the same template, in which equal slots became
 different ones, is not. An occurrence counts when its matching windows cover at least
-``MIN_TOKENS`` benchmark tokens or ``MIN_COVER`` of the item, and ``MIN_PLAIN`` of the
-tokens covered are plain words.
+``MIN_TOKENS`` benchmark tokens or ``MIN_COVER`` of the item. A window of which under
+``MIN_PLAIN`` are plain words counts where its values equal the benchmark's, or where the
+item is covered as a whole and has a plain word. Text without any plain word (counting,
+rows of a table) must be the whole item, value by value.
 
 Names are capitalised words that don't begin a sentence, i.e. don't follow the text's start
 or end-of-sentence punctuation; a capitalised word elsewhere is a plain word.
@@ -23,7 +25,8 @@ window hashes that a large share of the documents hold are spread by the join's
 handling. Only documents that match are read a second time for their slots.
 
 Null texts have no tokens and match nothing. Items of fewer than ``WINDOW`` tokens match as
-a whole sequence. Repeated rows and items are matched one by one. An empty table gives an
+a whole sequence anywhere in a document: windows of each such length that the benchmark has
+(seven at most) are made too. Repeated rows and items are matched one by one. An empty table gives an
 empty result.
 """
 from __future__ import annotations
@@ -98,9 +101,21 @@ def window_hashes(tokens: Column, width: int = WINDOW) -> Column:
     return _let(F.transform(tokens, lambda c: F.xxhash64(c)), of)
 
 
+def _placed_hashes(tokens: Column, short: list[int]) -> Column:
+    """Array of (at, window): every window of ``WINDOW`` tokens and of the ``short`` widths."""
+    def of(t: Column) -> Column:
+        return F.concat(*[F.transform(window_hashes(t, w), lambda x, i: F.struct(i.alias("at"), x.alias("window")))
+                          for w in (WINDOW, *short)])
+    return _let(tokens, of)
+
+
+def _is_plain(token: Column) -> Column:
+    return ~token["c"].isin(NUM, UNIT, NAME)
+
+
 def _plain_share(items: Column, at: Column, width: int) -> Column:
     part = F.slice(items, at + 1, F.lit(width))
-    return F.size(F.filter(part, lambda x: ~x["c"].isin(NUM, UNIT, NAME))) / F.size(part)
+    return F.size(F.filter(part, _is_plain)) / F.size(part)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text",
@@ -114,11 +129,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text:
     items = cut(benchmark.select(F.col(item_col).alias("item_id"), slots(F.col(item_text)).alias("tokens"))
                 .filter(F.size("tokens") > 0)
                 .withColumn("item_row", F.monotonically_increasing_id()), "benchmark")
-    grams = items.select("item_row", "tokens", F.posexplode(window_hashes(F.col("tokens.c"))).alias("at", "window")) \
-        .filter(_plain_share(F.col("tokens"), F.col("at"), WINDOW) >= MIN_PLAIN) \
-        .select("item_row", F.col("at").alias("item_at"), "window")
+    grams = items.select("item_row", F.posexplode(window_hashes(F.col("tokens.c"))).alias("item_at", "window"))
+    short = sorted(r[0] for r in items.select(F.size("tokens")).filter(F.size("tokens") < WINDOW).distinct().collect())
     doc = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
-    seen = doc.select("id", "text_hash", F.posexplode(window_hashes(canonical(F.col("text")))).alias("at", "window"))
+    tokens = canonical(F.col("text"))
+    seen = doc.select("id", "text_hash", F.inline(_placed_hashes(tokens, short)) if short else
+                      F.posexplode(window_hashes(tokens)).alias("at", "window"))
     hits = seen.join(broadcast_if_small(grams, BROADCAST_WINDOWS), "window")
     found = cut(hits.groupBy("id", "text_hash", "item_row", (F.col("at") - F.col("item_at")).alias("offset"))
                 .agg(F.sort_array(F.collect_set("item_at")).alias("ats")), "benchmark-hits")
@@ -128,16 +144,29 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text:
             F.col("id").alias("d"), F.col("text_hash").alias("dh"), slots(F.col("text")).alias("words"))
     n = F.size("tokens")
     width = F.least(F.lit(WINDOW), n)
-    # benchmark positions under the windows, each once
-    under = F.array_distinct(F.flatten(F.transform("ats", lambda a: F.sequence(a, a + width - 1))))
-    pairs = F.transform(
-        F.filter("under", lambda p: F.get(F.col("tokens"), p)["c"].isin(NUM, UNIT, NAME)),
-        lambda p: F.struct(F.get(F.col("tokens"), p)["v"].alias("was"), F.get(F.col("words"), p + F.col("offset"))["v"].alias("now")))
+
+    def under(ats: str) -> Column:
+        """Benchmark positions under these windows, each once."""
+        return F.array_distinct(F.flatten(F.transform(ats, lambda a: F.sequence(a, a + width - 1))))
+
+    def values(p: Column) -> tuple[Column, Column]:
+        return F.get(F.col("tokens"), p)["v"], F.get(F.col("words"), p + F.col("offset"))["v"]
+
+    def pairs(positions: str) -> Column:
+        return F.transform(F.filter(positions, lambda p: ~_is_plain(F.get(F.col("tokens"), p))),
+                           lambda p: F.struct(values(p)[0].alias("was"), values(p)[1].alias("now")))
+
     joined = found.join(items, "item_row").join(texts, found.id.eqNullSafe(texts.d) & (found.text_hash == texts.dh)) \
-        .withColumn("under", under).withColumn("pairs", pairs)
-    consistent = F.size(F.array_distinct("pairs")) == F.size(F.array_distinct("pairs.was"))
+        .withColumn("all_under", under("ats")).withColumn("all_pairs", pairs("all_under"))
+    consistent = F.size(F.array_distinct("all_pairs")) == F.size(F.array_distinct("all_pairs.was"))
+    equal = lambda a: F.forall(F.sequence(a, a + width - 1), lambda p: values(p)[0] == values(p)[1])
+    whole = (F.size("all_under") == n) & F.exists("tokens", _is_plain)
+    joined = joined.filter(consistent).withColumn("ats", F.filter("ats", lambda a: (
+        (_plain_share(F.col("tokens"), a, WINDOW) >= MIN_PLAIN) | equal(a) | whole))).filter(F.size("ats") > 0) \
+        .withColumn("under", under("ats")).withColumn("pairs", pairs("under"))
+    told = (F.size("under") == n) | F.exists("under", lambda p: _is_plain(F.get(F.col("tokens"), p)))
     enough = (F.size("under") >= MIN_TOKENS) | (F.size("under") >= n * MIN_COVER)
-    return joined.filter(consistent & enough).select(
+    return joined.filter(told & enough).select(
         F.col("id").alias(id_col), "text_hash", "item_id", (F.col("offset") + F.array_min("ats")).alias("start"),
         F.array_min("ats").alias("item_start"), F.size("under").alias("covered"), n.alias("item_tokens"),
         F.size("pairs").alias("n_slots"),

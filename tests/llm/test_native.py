@@ -197,3 +197,16 @@ def test_shuffled_join_finds_the_same(spark, monkeypatch):
     want = sorted(map(str, found(spark, texts).collect()))
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", -1)
     assert sorted(map(str, found(spark, texts).collect())) == want
+
+
+def test_short_and_slot_heavy_items_are_found(spark):
+    items = ("What is the capital of France?", "Sort 12 7 9 31 5 18 2 44 now", "3 1 4 1 5 9 2 6 5 3", "Add 2 and 3")
+    texts = ["The quiz began so: What is the capital of France? Nobody knew it, as ever.",
+             "Then came this: Sort 12 7 9 31 5 18 2 44 now and nothing else.",
+             "and sort 13 8 10 32 6 19 3 45 now please", "and sort 13 8 10 32 6 19 3 45 later",
+             "digits 3 1 4 1 5 9 2 6 5 3 of a number", "digits 4 2 5 2 6 8 3 7 6 4 of a number",
+             "You add 7 and 8 first", "No such question stands in this text of many words"]
+    got = {(r["doc_id"], r["item_id"]): r for r in found(spark, texts, items).collect()}
+    assert set(got) == {(0, 0), (1, 1), (2, 1), (4, 2), (6, 3)}
+    assert got[0, 0]["start"] == 4 and got[0, 0]["covered"] == got[0, 0]["item_tokens"] == 6
+    assert got[1, 1]["n_changed"] == 0 and got[2, 1]["n_changed"] == 8 and got[4, 2]["n_slots"] == 10
