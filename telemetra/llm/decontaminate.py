@@ -9,12 +9,18 @@ Windows that match at one offset (document position less benchmark position) bel
 occurrence. Its **slots must be consistent**: a value of the benchmark always became the
 same value in the document and the other way round. So a question with other numbers and
 names is caught, while unrelated text of the same template, in which equal slots became
-different ones, is not. An occurrence counts when its matching windows cover at least
+different ones or different ones equal, is not; of an inconsistent occurrence only the
+windows without a changed value count, so a copy with one slip is caught. An occurrence counts when its matching windows cover at least
 ``MIN_TOKENS`` benchmark tokens or ``MIN_COVER`` of the item. A window of which under
 ``MIN_PLAIN`` are plain words counts where its values equal the benchmark's, or where the
 item is covered as a whole and has a plain word. Text without any plain word (counting,
 rows of a table) must be the whole item, value by value.
 
+An inserted or missing word, or a name of two words for one of one, splits an occurrence
+over neighbouring offsets (up to ``SHIFT`` apart). Parts too small to count alone count
+together, as one row, when what they cover adds up and their numbers and units agree; names
+may differ from part to part, as the word at a split does.
+
 Names are capitalised words that don't begin a sentence, i.e. don't follow the text's start
 or end-of-sentence punctuation; a capitalised word elsewhere is a plain word.
 
@@ -31,7 +37,7 @@ empty result.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from telemetra.llm.common import broadcast_if_small, cut, packed
 
@@ -39,6 +45,7 @@ WINDOW = 8
 MIN_TOKENS = 13
 MIN_COVER = 0.5
 MIN_PLAIN = 0.5
+SHIFT = 3
 BROADCAST_WINDOWS = 500_000
 
 # fixed values: units of measure that follow a number
@@ -158,19 +165,55 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text:
 
     joined = found.join(items, "item_row").join(texts, found.id.eqNullSafe(texts.d) & (found.text_hash == texts.dh)) \
         .withColumn("all_under", under("ats")).withColumn("all_pairs", pairs("all_under"))
-    consistent = F.size(F.array_distinct("all_pairs")) == F.size(F.array_distinct("all_pairs.was"))
+    def consistent(x: str) -> Column:
+        return (F.size(F.array_distinct(x)) == F.size(F.array_distinct(F.col(x)["was"]))) \
+            & (F.size(F.array_distinct(x)) == F.size(F.array_distinct(F.col(x)["now"])))
+
     equal = lambda a: F.forall(F.sequence(a, a + width - 1), lambda p: values(p)[0] == values(p)[1])
     whole = (F.size("all_under") == n) & F.exists("tokens", _is_plain)
-    joined = joined.filter(consistent).withColumn("ats", F.filter("ats", lambda a: (
-        (_plain_share(F.col("tokens"), a, WINDOW) >= MIN_PLAIN) | equal(a) | whole))).filter(F.size("ats") > 0) \
-        .withColumn("under", under("ats")).withColumn("pairs", pairs("under"))
-    told = (F.size("under") == n) | F.exists("under", lambda p: _is_plain(F.get(F.col("tokens"), p)))
-    enough = (F.size("under") >= MIN_TOKENS) | (F.size("under") >= n * MIN_COVER)
-    return joined.filter(told & enough).select(
-        F.col("id").alias(id_col), "text_hash", "item_id", (F.col("offset") + F.array_min("ats")).alias("start"),
-        F.array_min("ats").alias("item_start"), F.size("under").alias("covered"), n.alias("item_tokens"),
-        F.size("pairs").alias("n_slots"),
-        F.size(F.filter("pairs", lambda x: x["was"] != x["now"])).alias("n_changed"))
+    named = lambda p: F.get(F.col("tokens"), p)["c"] == NAME
+    parts = joined.withColumn("equal_ats", F.filter("ats", equal)) \
+        .withColumn("ats", F.when(consistent("all_pairs"), F.filter("ats", lambda a: (
+            (_plain_share(F.col("tokens"), a, WINDOW) >= MIN_PLAIN) | F.array_contains("equal_ats", a) | whole)))
+            .otherwise(F.col("equal_ats"))) \
+        .filter(F.size("ats") > 0).withColumn("under", under("ats")).withColumn("equal_under", under("equal_ats")) \
+        .withColumn("counted", F.filter("under", lambda p: ~named(p))).withColumn("counted", pairs("counted")) \
+        .select("id", "text_hash", "item_row", "item_id", "offset", n.alias("n"), "under", "equal_under", "counted",
+                pairs("under").alias("pairs"), F.transform("tokens", _is_plain).alias("plain"))
+
+    def counts(positions: str) -> Column:
+        """Whether what is covered is enough of the item, and no mere run of slots."""
+        size = F.size(positions)
+        told = (size == F.col("n")) | F.exists(positions, lambda p: F.get(F.col("plain"), p))
+        return told & ((size >= MIN_TOKENS) | (size >= F.col("n") * MIN_COVER))
+
+    def row(positions: str, start: Column, slot_pairs: str) -> list[Column]:
+        return [F.col("id").alias(id_col), "text_hash", "item_id", start.alias("start"),
+                F.array_min(positions).alias("item_start"), F.size(positions).alias("covered"), F.col("n").alias("item_tokens"),
+                F.size(slot_pairs).alias("n_slots"),
+                F.size(F.filter(slot_pairs, lambda x: x["was"] != x["now"])).alias("n_changed")]
+
+    parts = cut(parts.withColumn("alone", counts("under")), "benchmark-parts")
+    alone = parts.filter("alone").select(*row("under", F.col("offset") + F.array_min("under"), "pairs"))
+    # parts of one item at neighbouring offsets, none of which counts alone
+    key = ["id", "text_hash", "item_row"]
+    by_offset = Window.partitionBy(*key).orderBy("offset")
+    apart = F.coalesce(F.col("offset") - F.lag("offset").over(by_offset) > SHIFT, F.lit(True))
+    chains = parts.withColumn("apart", apart.cast("int")).withColumn("chain", F.sum("apart").over(by_offset)) \
+        .groupBy(*key, "chain").agg(
+            F.max("alone").alias("alone"), F.count("*").alias("n_parts"), F.first("item_id").alias("item_id"),
+            F.first("n").alias("n"), F.first("plain").alias("plain"),
+            *[F.flatten(F.collect_list(x)).alias(x) for x in ("counted", "pairs")],
+            *[F.array_distinct(F.flatten(F.collect_list(x))).alias(x) for x in ("under", "equal_under")],
+            F.min(F.col("offset") + F.array_min("under")).alias("start"),
+            F.min(F.col("offset") + F.array_min("equal_under")).alias("equal_start"))
+    joint = chains.filter(~F.col("alone") & (F.col("n_parts") > 1)).withColumn("agreed", consistent("counted")) \
+        .withColumn("pairs", F.when(F.col("agreed"), F.array_distinct("pairs")).otherwise(
+            F.array_distinct(F.filter("pairs", lambda x: x["was"] == x["now"])))) \
+        .withColumn("start", F.when(F.col("agreed"), F.col("start")).otherwise(F.col("equal_start"))) \
+        .withColumn("under", F.when(F.col("agreed"), F.col("under")).otherwise(F.col("equal_under"))) \
+        .filter(counts("under")).select(*row("under", F.col("start"), "pairs"))
+    return alone.unionByName(joint)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:

@@ -210,3 +210,17 @@ def test_short_and_slot_heavy_items_are_found(spark):
     assert set(got) == {(0, 0), (1, 1), (2, 1), (4, 2), (6, 3)}
     assert got[0, 0]["start"] == 4 and got[0, 0]["covered"] == got[0, 0]["item_tokens"] == 6
     assert got[1, 1]["n_changed"] == 0 and got[2, 1]["n_changed"] == 8 and got[4, 2]["n_slots"] == 10
+
+
+def test_near_copies_clashes_and_split_occurrences(spark):
+    split = ("One basket holds red apples while young children sing Anna counts every green pear beside them before evening "
+             "falls and nobody ever knows what happens later down there today")
+    texts = [ITEM.replace("the 120 people", "the 125 people"),            # a copy with one slip
+             template("London", "London", 75),                            # two places became one
+             "Then one basket holds red apples while young children sing loudly Anna counts every green pear beside them before evening falls.",
+             "Then one basket holds red apples while young children sing Mary Ann counts every green pear beside them before evening falls.",
+             "Then one basket holds red apples while young children sing. Nobody counts green pear trees."]
+    got = {(r["doc_id"], r["item_id"]): r for r in found(spark, texts, (ITEM, split)).collect()}
+    assert set(got) == {(0, 0), (2, 1), (3, 1)}
+    assert got[0, 0]["n_changed"] == 0 and got[0, 0]["covered"] >= 13
+    assert [(got[i, 1]["start"], got[i, 1]["covered"], got[i, 1]["item_tokens"]) for i in (2, 3)] == [(1, 19, 29)] * 2
