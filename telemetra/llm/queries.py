@@ -5,7 +5,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from telemetra.llm import decontaminate, hmm, language, line_dedup, packing, quality_pu, secrets, simhash, syncmer, toxicity
+from telemetra.llm import (bitplanes, decontaminate, hmm, language, line_dedup, merkle, packing, quality_pu, secrets,
+                           simhash, syncmer, topk, toxicity)
 from telemetra.llm.common import is_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,11 +74,25 @@ def op10_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_nra_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.coalesce(F.col("vec_id") % topk.QUERY_MODULUS == 0, F.lit(False)))
+
+
+def op12_bitplane_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitplanes.cluster_report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_line_dedup, op2_secret_scan, op3_decontaminate, op4_quality_pu, op5_hilbert_packing,
-        op6_toxicity_gbt, op7_language_id, op8_simhash, op9_syncmer, op10_hmm_lm)}
+        op6_toxicity_gbt, op7_language_id, op8_simhash, op9_syncmer, op10_hmm_lm,
+        op11_nra_topk, op12_bitplane_clusters, op13_merkle_manifest)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.SQL, "op2_secret_scan": secrets.sql(), "op3_decontaminate": decontaminate.sql()}
+    return {"op1_line_dedup": line_dedup.SQL, "op2_secret_scan": secrets.sql(), "op3_decontaminate": decontaminate.sql(),
+            "op11_nra_topk": topk.SQL, "op12_bitplane_clusters": bitplanes.sql(), "op13_merkle_manifest": merkle.SQL}

@@ -16,7 +16,7 @@ def test_registered():
     import __spark_entry__ as entry
     names = list(entry.queries())
     assert [n for n in names if n.startswith("op")] == list(queries.queries()) and "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
 
 
 def test_run_equals_brute_force(spark):
