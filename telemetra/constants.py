@@ -42,6 +42,7 @@ ANOMALY_THRESHOLD = 0.85
 MIN_SAMPLES_FOR_ANOMALY = 100
 MIN_SAMPLES_FOR_DRIFT = 30
 DRIFT_COOLDOWN = 20
+SNAPSHOT_EVERY = 2_000
 HST_TREES = 25
 HST_HEIGHT = 6
 HST_WINDOW = 100

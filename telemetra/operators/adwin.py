@@ -1,104 +1,72 @@
-"""ADWIN change detector (Bifet & Gavalda, SDM 2007), exponential-histogram form.
+"""ADWIN change detector (Bifet & Gavalda, SDM 2007) over arrays of values.
 
-A small per-stream object used inside the sequential detector. Buckets hold
-(total, variance) of 2^i values; at most ``max_buckets`` per row, the two oldest
-are merged into the next row when a row overflows. Every ``clock`` updates, once
-``grace_period`` values have been seen, every split into an older and a newer
-part, both at least ``min_window_length`` long, is tested with
+The detector restarts after every change, so until one is found no value is ever dropped and
+its buckets depend on the number of values alone: at most ``MAX_BUCKETS`` of 2^i values a row,
+the two oldest of a row that overflows are merged into the next. The borders of the buckets
+are therefore known prefix lengths, and a split's two means are differences of prefix sums.
+Every ``ADWIN_CLOCK`` values, once more than ``ADWIN_GRACE`` have been seen, every border that
+leaves ``ADWIN_MIN_WINDOW`` values on either side is tested with
 
     eps = sqrt(2 * m * var * ln(2 * ln(n) / delta)) + 2/3 * m * ln(2 * ln(n) / delta),
-    m = 1/n0 + 1/n1,
+    m = 1/n0 + 1/n1.
 
-and the oldest bucket is dropped while a split's means differ by more than eps.
+Between calls only the sums at the current borders are kept: a few per doubling of the length.
 """
 from __future__ import annotations
 
-import math
+import numpy as np
 
 from telemetra.constants import ADWIN_CLOCK, ADWIN_DELTA, ADWIN_GRACE, ADWIN_MIN_WINDOW
 
+MAX_BUCKETS = 5
 
-class Adwin:
-    def __init__(self, delta: float = ADWIN_DELTA, clock: int = ADWIN_CLOCK,
-                 grace_period: int = ADWIN_GRACE, min_window_length: int = ADWIN_MIN_WINDOW,
-                 max_buckets: int = 5):
-        self.delta, self.clock = delta, clock
-        self.grace_period, self.min_window_length = grace_period, min_window_length
-        self.max_buckets = max_buckets
-        self.rows: list[list[tuple[float, float]]] = []   # row i: buckets of 2^i values, oldest first
-        self.width = 0
-        self.total = 0.0
-        self.variance = 0.0
-        self.ticks = 0
-        self.drift_detected = False
 
-    # -- state -------------------------------------------------------------------
-    def _insert(self, x: float) -> None:
-        if not self.rows:
-            self.rows.append([])
-        self.rows[0].append((x, 0.0))
-        if self.width > 0:
-            mean = self.total / self.width
-            self.variance += self.width * (x - mean) ** 2 / (self.width + 1)
-        self.width += 1
-        self.total += x
-        i = 0
-        while i < len(self.rows) and len(self.rows[i]) > self.max_buckets:
-            (t1, v1), (t2, v2) = self.rows[i][0], self.rows[i][1]
-            n = 2 ** i
-            merged = (t1 + t2, v1 + v2 + n * n * ((t1 / n - t2 / n) ** 2) / (2 * n))
-            del self.rows[i][:2]
-            if i + 1 == len(self.rows):
-                self.rows.append([])
-            self.rows[i + 1].append(merged)
-            i += 1
+def bucket_borders(n: int) -> np.ndarray:
+    """Prefix lengths at which buckets meet after ``n`` values, ascending, without 0 and ``n``."""
+    ends, newer, size, left = [], 0, 1, n
+    while left:
+        buckets = left if left <= MAX_BUCKETS else MAX_BUCKETS - 1 + left % 2
+        for _ in range(buckets):
+            newer += size
+            ends.append(n - newer)
+        left, size = (left - buckets) // 2, 2 * size
+    return np.array(ends[::-1][1:], dtype=np.int64)
 
-    def _drop_oldest(self) -> None:
-        i = len(self.rows) - 1
-        while i >= 0 and not self.rows[i]:
-            i -= 1
-        t, v = self.rows[i].pop(0)
-        n = 2 ** i
-        self.width -= n
-        self.total -= t
-        if self.width > 0:
-            mean_rest = self.total / self.width
-            self.variance -= v + n * self.width * ((t / n - mean_rest) ** 2) / (n + self.width)
-            self.variance = max(self.variance, 0.0)
-        else:
-            self.variance = 0.0
-        while self.rows and not self.rows[-1]:
-            self.rows.pop()
 
-    # -- test --------------------------------------------------------------------
-    def _cut_found(self) -> bool:
-        if self.width < 2 * self.min_window_length:
-            return False
-        var = self.variance / self.width
-        ln_term = math.log(2.0 * math.log(self.width) / self.delta)
-        n0, t0 = 0, 0.0
-        # walk buckets from oldest to newest; older part grows
-        for i in range(len(self.rows) - 1, -1, -1):
-            for t, _ in self.rows[i]:
-                n0 += 2 ** i
-                t0 += t
-                n1 = self.width - n0
-                if n1 < self.min_window_length:
-                    return False
-                if n0 < self.min_window_length:
-                    continue
-                m = 1.0 / n0 + 1.0 / n1
-                eps = math.sqrt(2.0 * m * var * ln_term) + 2.0 / 3.0 * m * ln_term
-                if abs(t0 / n0 - (self.total - t0) / n1) > eps:
-                    return True
+def fresh() -> dict:
+    """State before the first value: length, sum, sum of squares, borders and the sums up to them."""
+    return {"n": 0, "total": 0.0, "squares": 0.0, "borders": np.zeros(0, np.int64), "sums": np.zeros(0)}
+
+
+def cut_found(n: int, total: float, squares: float, borders: np.ndarray, sums: np.ndarray) -> bool:
+    ok = (borders >= ADWIN_MIN_WINDOW) & (n - borders >= ADWIN_MIN_WINDOW)
+    n0, t0 = borders[ok], sums[ok]
+    if not len(n0):
         return False
+    n1 = n - n0
+    var, ln_term = max(squares / n - (total / n) ** 2, 0.0), np.log(2.0 * np.log(n) / ADWIN_DELTA)
+    m = 1.0 / n0 + 1.0 / n1
+    eps = np.sqrt(2.0 * m * var * ln_term) + 2.0 / 3.0 * m * ln_term
+    return bool((np.abs(t0 / n0 - (total - t0) / n1) > eps).any())
+
+
+def advance(state: dict, x: np.ndarray) -> tuple[int, dict]:
+    """(index in ``x`` of the value at which a change is found, or -1; the state after all of ``x``)."""
+    if not len(x):
+        return -1, state
+    start, end = state["n"], state["n"] + len(x)
+    # summed one by one from the state on: the sums don't depend on how the values are cut into calls
+    total, squares = (np.cumsum(np.concatenate([[state[k]], v]))[1:] for k, v in (("total", x), ("squares", x * x)))
+    places = np.concatenate([state["borders"], np.arange(start, end + 1)])
+    sums = np.concatenate([state["sums"], [state["total"]], total])
 
-    def update(self, x: float) -> None:
-        self.drift_detected = False
-        self._insert(float(x))
-        self.ticks += 1
-        if self.ticks % self.clock != 0 or self.width <= self.grace_period:
-            return
-        while self._cut_found():
-            self._drop_oldest()
-            self.drift_detected = True
+    def up_to(borders: np.ndarray) -> np.ndarray:
+        return sums[np.searchsorted(places, borders)]
+    for n in range(start - start % ADWIN_CLOCK + ADWIN_CLOCK, end + 1, ADWIN_CLOCK):
+        i = n - start - 1
+        if n > ADWIN_GRACE:
+            borders = bucket_borders(n)
+            if cut_found(n, total[i], squares[i], borders, up_to(borders)):
+                return i, state
+    borders = bucket_borders(end)
+    return -1, {"n": end, "total": float(total[-1]), "squares": float(squares[-1]), "borders": borders, "sums": up_to(borders)}

@@ -13,22 +13,25 @@ Without drift resets every step is set-oriented:
   readings are from zero, and z is 0 only without history or where all history is equal,
 * half-space-tree score (M9): sample n of a stream is in block (n-1) // window; it goes
   to its own block, to be scored, and to the next one, whose masses it makes: one
-  shuffle of two rows a sample, at most 2 x window rows a group, walked with numpy over
-  the branch's constant split tables.
+  shuffle of two rows a sample, at most 2 x window rows a group, many groups at a time
+  walked with numpy over the branch's constant split tables.
 
 The sequential form with ADWIN resets (``sequential.detect``) uses the same trees
 and must agree with this one on streams where no drift fires.
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from telemetra.constants import (ANOMALY_THRESHOLD, FAULT_LIMITS, FEATURES,
                                  MEASUREMENT_ANOMALY, MIN_SAMPLES_FOR_ANOMALY)
 from telemetra.functions.timeparse import utc_hour, utc_weekday
-from telemetra.operators.hst import BRANCHES, forest, path_keys_batch  # noqa: F401
+from telemetra.operators.hst import BRANCHES, forest, mass_scores, node_keys
 from telemetra.operators.decode import evaluation_barrier
 from telemetra.operators.scan import prefix_sums
 
@@ -139,28 +142,56 @@ def zscores(feat: DataFrame) -> DataFrame:
                       F.slice(F.array(*zl), 1, width).alias("zl"))
 
 
-def _block_scores(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Scores of one (stream, block): its samples against the masses of the block before.
+#: (stream, block) groups whose masses are held at once
+GROUPS_AT_ONCE = 64
 
-    Masses only shrink down a path (a sample that reaches a node passed its parent), so
-    "stop after the first node below the size limit" is "a node counts when it is the root
-    or its parent's mass reaches the limit".
-    """
+
+def _group_starts(rows: pa.Table) -> list[int]:
+    """First row of each (stream, block) of sorted rows."""
+    if not rows.num_rows:
+        return []
+    change = np.zeros(rows.num_rows, dtype=bool)
+    change[0] = True
+    for name in (KEY, "blk"):
+        c = rows.column(name)
+        change[1:] |= pc.not_equal(c.slice(1), c.slice(0, rows.num_rows - 1)).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(change).tolist()
+
+
+def _scored(rows: pa.Table, starts: list[int]) -> list[pa.RecordBatch]:
+    """Scores of whole (stream, block) groups: samples against the masses that the block before made."""
     fr = forest(BRANCHES[0])
-    learned, scored = pdf[pdf["learn"]], pdf[~pdf["learn"]]
-    out = scored[["n"]].copy()
-    if not len(learned) or not len(scored):
-        out["score"] = 0.0
-        return out
-    keys = np.concatenate(path_keys_batch(learned["branch"].to_numpy(), list(learned["z"])))
-    mass = np.bincount(keys, minlength=fr.n_trees * fr.n_nodes)
-    path = np.stack(path_keys_batch(scored["branch"].to_numpy(), list(scored["z"]))).reshape(len(scored), fr.n_trees, -1)
-    m = mass[path]
-    counts = np.ones(m.shape, dtype=bool)
-    counts[:, :, 1:] = m[:, :, :-1] >= fr.size_limit
-    total = (m * counts * (2 ** np.arange(m.shape[2]))).sum((1, 2))
-    out["score"] = 1.0 - total / fr.max_score
-    return out
+    size, width = fr.n_trees * fr.n_nodes, MAX_FEATURES
+    group = np.searchsorted(starts, np.arange(rows.num_rows), side="right") - 1
+    lists = rows.column("z").combine_chunks()
+    z = np.zeros((rows.num_rows, width))
+    z[np.arange(width)[None, :] < pc.list_value_length(lists).to_numpy()[:, None]] = lists.flatten().to_numpy()
+    branch = np.array(rows.column("branch").to_pylist(), dtype=object)
+    keys = np.empty((rows.num_rows, fr.n_trees, fr.height + 1), dtype=np.int64)
+    for b in set(branch):
+        keys[branch == b] = node_keys(b, z[branch == b])
+    learn = rows.column("learn").to_numpy()
+    learned = np.bincount((group[learn, None, None] * size + keys[learn]).ravel(), minlength=len(starts) * size)
+    known = np.bincount(group[learn], minlength=len(starts)) > 0
+    at = np.flatnonzero(~learn)
+    score = np.where(known[group[at]], mass_scores(fr, learned[group[at, None, None] * size + keys[at]]), 0.0)
+    told = rows.select([KEY, "n"]).take(pa.array(at)).append_column("score", pa.array(score))
+    return told.combine_chunks().to_batches()
+
+
+def _block_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (stream, block) -> scores; the group that a batch ends in waits for the next batch."""
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows])
+        starts = _group_starts(rows)
+        for i in range(0, len(starts) - 1, GROUPS_AT_ONCE):
+            part = starts[i:min(i + GROUPS_AT_ONCE, len(starts) - 1) + 1]
+            yield from _scored(rows.slice(part[0], part[-1] - part[0]), [s - part[0] for s in part[:-1]])
+        held = rows.slice(starts[-1]) if starts else None
+    if held is not None and held.num_rows:
+        yield from _scored(held, [0])
 
 
 def hst_scores(z: DataFrame) -> DataFrame:
@@ -168,12 +199,8 @@ def hst_scores(z: DataFrame) -> DataFrame:
     blk = F.floor((F.col("n") - 1) / F.lit(forest(BRANCHES[0]).window)).cast("bigint")
     role = lambda b, learn, v: F.struct(b.alias("blk"), F.lit(learn).alias("learn"), F.col(v).alias("z"))
     sent = z.select(KEY, "n", "branch", F.inline(F.array(role(blk, False, "zs"), role(blk + 1, True, "zl"))))
-
-    def score(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        out = _block_scores(pdf)
-        out.insert(0, KEY, key[0])
-        return out
-    scores = sent.groupBy(KEY, "blk").applyInPandas(score, f"{KEY} string, n bigint, score double")
+    scores = sent.repartition(KEY, "blk").sortWithinPartitions(KEY, "blk") \
+        .mapInArrow(_block_scores, f"{KEY} string, n bigint, score double")
     return z.join(scores, [KEY, "n"]).select(*z.columns, blk.alias("blk"), F.round("score", 9).alias("anomaly_score"))
 
 

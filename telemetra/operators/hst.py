@@ -90,73 +90,43 @@ BRANCHES = tuple(FEATURES)
 
 # --------------------------------------------------------------------------- numpy form
 
-def paths(fr: Forest, z: np.ndarray) -> np.ndarray:
-    """Node ids on the root-to-leaf path of ``z`` in every tree: shape (trees, height+1)."""
-    out = np.zeros((fr.n_trees, fr.height + 1), dtype=np.int64)
-    feats = np.asarray(fr.feats)
-    thrs = np.asarray(fr.thrs)
-    node = np.zeros(fr.n_trees, dtype=np.int64)
-    rows = np.arange(fr.n_trees)
+@lru_cache(maxsize=None)
+def split_tables(branch: str) -> tuple[np.ndarray, np.ndarray]:
+    fr = forest(branch)
+    return np.asarray(fr.feats), np.asarray(fr.thrs)
+
+
+def node_keys(branch: str, z: np.ndarray) -> np.ndarray:
+    """Nodes that samples (rows, features) visit: ``tree * n_nodes + node``, shape (rows, trees, height + 1)."""
+    fr, (feats, thrs) = forest(branch), split_tables(branch)
+    rows, trees = np.arange(len(z))[:, None], np.arange(fr.n_trees)[None, :]
+    keys = np.empty((len(z), fr.n_trees, fr.height + 1), dtype=np.int64)
+    node = np.zeros((len(z), fr.n_trees), dtype=np.int64)
+    keys[:, :, 0] = trees * fr.n_nodes
     for d in range(1, fr.height + 1):
-        go_right = z[feats[rows, node]] >= thrs[rows, node]
-        node = 2 * node + 1 + go_right.astype(np.int64)
-        out[:, d] = node
-    return out
+        node = 2 * node + 1 + (z[rows, feats[trees, node]] >= thrs[trees, node])
+        keys[:, :, d] = trees * fr.n_nodes + node
+    return keys
+
 
+def mass_scores(fr: Forest, m: np.ndarray) -> np.ndarray:
+    """Scores of samples whose nodes have masses ``m`` (rows, trees, height + 1).
 
-class HalfSpaceTrees:
-    """Sequential model: score_one before learn_one, mass windows swap every ``window``."""
-
-    def __init__(self, fr: Forest):
-        self.fr = fr
-        self.ref = np.zeros((fr.n_trees, fr.n_nodes), dtype=np.int64)
-        self.latest = np.zeros_like(self.ref)
-        self.counter = 0
-        self.first_window = True
-
-    def score_one(self, z: np.ndarray) -> float:
-        if self.first_window:
-            return 0.0
-        p = paths(self.fr, z)
-        rows = np.arange(self.fr.n_trees)[:, None]
-        m = self.ref[rows, p]                                   # (trees, depth)
-        below = m < self.fr.size_limit
-        # keep depths up to and including the first node below the size limit
-        stop = np.where(below.any(axis=1), below.argmax(axis=1), self.fr.height)
-        keep = np.arange(self.fr.height + 1)[None, :] <= stop[:, None]
-        total = float((m * (2 ** np.arange(self.fr.height + 1))[None, :] * keep).sum())
-        return 1.0 - total / self.fr.max_score
-
-    def learn_one(self, z: np.ndarray) -> None:
-        p = paths(self.fr, z)
-        rows = np.arange(self.fr.n_trees)[:, None]
-        np.add.at(self.latest, (np.broadcast_to(rows, p.shape), p), 1)
-        self.counter += 1
-        if self.counter == self.fr.window:
-            self.ref, self.latest = self.latest, np.zeros_like(self.latest)
-            self.counter = 0
-            self.first_window = False
+    Masses only shrink down a path (a sample that reaches a node passed its parent), so
+    "stop after the first node below the size limit" is "a node counts when it is the root
+    or its parent's mass reaches the limit".
+    """
+    counts = np.ones(m.shape, dtype=bool)
+    counts[:, :, 1:] = m[:, :, :-1] >= fr.size_limit
+    return 1.0 - (m * counts * (2 ** np.arange(m.shape[2]))).sum((1, 2)) / fr.max_score
 
 
 def path_keys_batch(branches: np.ndarray, zs: list) -> list[np.ndarray]:
-    """Vectorised paths of a batch of samples: per sample ``trees * (height+1)`` keys
-    ``tree * n_nodes + node`` in (tree, depth) order."""
+    """Per sample the ``trees * (height + 1)`` node keys in (tree, depth) order."""
     out: list[np.ndarray | None] = [None] * len(zs)
     for b in np.unique(branches):
         idx = np.flatnonzero(branches == b)
-        fr = forest(b)
-        z = np.vstack([np.asarray(zs[i], dtype=float) for i in idx])
-        feats, thrs = np.asarray(fr.feats), np.asarray(fr.thrs)
-        keys = np.zeros((len(idx), fr.n_trees, fr.height + 1), dtype=np.int32)
-        rows = np.arange(len(idx))
-        for t in range(fr.n_trees):
-            node = np.zeros(len(idx), dtype=np.int64)
-            keys[:, t, 0] = t * fr.n_nodes
-            for d in range(1, fr.height + 1):
-                right = z[rows, feats[t][node]] >= thrs[t][node]
-                node = 2 * node + 1 + right
-                keys[:, t, d] = t * fr.n_nodes + node
-        flat = keys.reshape(len(idx), -1)
+        flat = node_keys(b, np.vstack([np.asarray(zs[i], dtype=float) for i in idx])).reshape(len(idx), -1)
         for j, i in enumerate(idx):
             out[i] = flat[j]
     return out

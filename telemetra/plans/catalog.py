@@ -300,7 +300,9 @@ def q_anomaly_full(spark, sf_dir):
 
 def q_detector_state(spark, sf_dir):
     ev = _events(spark, sf_dir, emit_state=True).filter(F.col("kind") == "state")
-    return ev.select("datastream_id", F.col("n").alias("count"), "reset_count")
+    return ev.groupBy("datastream_id").agg(F.max_by("n", "version").alias("count"),
+                                           F.max_by("reset_count", "version").alias("reset_count"),
+                                           F.count("*").alias("snapshots"))
 
 
 def detector_queries() -> dict[str, Query]:

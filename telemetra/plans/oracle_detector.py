@@ -7,7 +7,8 @@ seven node masses of each tree), not the parent-mass shortcut of the Spark form.
 """
 from __future__ import annotations
 
-from telemetra.constants import FAULT_LIMITS, FEATURES, FIXTURE_SPEC, HOUR_MS
+from telemetra.constants import (ADWIN_CLOCK, ADWIN_DELTA, ADWIN_GRACE, ADWIN_MIN_WINDOW, DRIFT_COOLDOWN, FAULT_LIMITS,
+                                 FEATURES, FIXTURE_SPEC, HOUR_MS, MIN_SAMPLES_FOR_DRIFT, SNAPSHOT_EVERY)
 from telemetra.operators.detector import MAX_FEATURES, Z_DIGITS
 from telemetra.operators.hst import BRANCHES, forest
 
@@ -137,13 +138,72 @@ hst AS (
   FROM zz z LEFT JOIN tot t ON t.datastream_id = z.datastream_id AND t.n = z.n)"""
 
 
-def points_select(src: str) -> str:
+def epochs_cte() -> str:
+    """Scores between drift resets: each step of the recursion scores the rest of every stream that
+    drifted set-wise, and finds the first tick of the drift test at which two parts differ.
+
+    ``epochs`` holds one row per stream and reset: rows after ``start`` up to ``stop`` (the
+    drift's row; null without one) with their scores. ``borders`` are the prefix lengths at
+    which the buckets of the drift test meet after n values.
+    """
+    branches = ", ".join(f"'{b}'" for b in BRANCHES)
+    return f"""
+numbered AS MATERIALIZED (
+  SELECT *, datastream_id AS stream, row_number() OVER (PARTITION BY datastream_id ORDER BY {ORDER}) AS pos FROM feat),
+levels AS (
+  SELECT CAST(n AS BIGINT) AS n, CAST(1 AS BIGINT) AS size, CAST(n AS BIGINT) AS rest, CAST(0 AS BIGINT) AS newer
+  FROM range({ADWIN_CLOCK}, (SELECT max(pos) + 1 FROM numbered), {ADWIN_CLOCK}) t(n)
+  UNION ALL
+  SELECT n, size * 2, (rest - b) // 2, newer + b * size
+  FROM (SELECT *, CASE WHEN rest <= 5 THEN rest ELSE 4 + rest % 2 END AS b FROM levels) WHERE rest > b),
+borders AS MATERIALIZED (
+  SELECT n, n - newer - j * size AS n0
+  FROM (SELECT *, unnest(range(1, CASE WHEN rest <= 5 THEN rest ELSE 4 + rest % 2 END + 1)) AS j FROM levels)
+  WHERE n - newer - j * size >= {ADWIN_MIN_WINDOW} AND newer + j * size >= {ADWIN_MIN_WINDOW}),
+epochs AS (
+  SELECT stream, CAST(-1 AS BIGINT) AS epoch, CAST(0 AS BIGINT) AS start, CAST(0 AS BIGINT) AS stop,
+         CAST([] AS STRUCT(pos BIGINT, cnt BIGINT, score DOUBLE)[]) AS scores
+  FROM (SELECT DISTINCT stream FROM numbered)
+  UNION ALL
+  (WITH act AS (SELECT stream, epoch + 1 AS epoch, stop AS start FROM epochs WHERE stop IS NOT NULL),
+  later AS (
+    SELECT f.*, a.epoch, count(*) FILTER (WHERE branch <> 'fault') OVER (PARTITION BY f.stream ORDER BY pos) AS cnt
+    FROM numbered f JOIN act a ON a.stream = f.stream AND f.pos > a.start),
+  turns AS (
+    SELECT *, row_number() OVER (PARTITION BY stream ORDER BY pos) AS mi,
+           CASE WHEN branch <> lag(branch) OVER (PARTITION BY stream ORDER BY pos) THEN 1 ELSE 0 END AS turn
+    FROM later WHERE branch IN ({branches})),
+  parts AS (SELECT *, sum(turn) OVER (PARTITION BY stream ORDER BY pos) AS part FROM turns),
+  feat AS (SELECT * REPLACE (stream || '#' || CAST(part AS VARCHAR) AS datastream_id) FROM parts),{zscores_cte()},{hst_cte()},
+  scored AS (SELECT z.stream, z.epoch, z.pos, z.cnt, z.mi, h.anomaly_score AS score
+             FROM zz z JOIN hst h ON h.datastream_id = z.datastream_id AND h.n = z.n),
+  fed AS (
+    SELECT stream, pos, row_number() OVER w AS k, sum(score) OVER w AS s, sum(score * score) OVER w AS q
+    FROM scored WHERE mi > CASE WHEN epoch > 0 THEN {DRIFT_COOLDOWN} ELSE 0 END AND cnt >= {MIN_SAMPLES_FOR_DRIFT}
+    WINDOW w AS (PARTITION BY stream ORDER BY pos ROWS UNBOUNDED PRECEDING)),
+  splits AS (
+    SELECT t.stream, t.pos, t.k, 1.0 / b.n0 + 1.0 / (t.k - b.n0) AS m, ln(2.0 * ln(t.k) / {ADWIN_DELTA}) AS l,
+           greatest(t.q / t.k - (t.s / t.k) * (t.s / t.k), 0.0) AS v, abs(o.s / b.n0 - (t.s - o.s) / (t.k - b.n0)) AS gap
+    FROM fed t JOIN borders b ON b.n = t.k JOIN fed o ON o.stream = t.stream AND o.k = b.n0
+    WHERE t.k > {ADWIN_GRACE}),
+  hits AS (SELECT stream, min(pos) AS stop FROM splits
+           WHERE gap > sqrt(2.0 * m * v * l) + 2.0 / 3.0 * m * l GROUP BY stream)
+  SELECT a.stream, a.epoch, a.start, h.stop,
+         list({{'pos': s.pos, 'cnt': s.cnt, 'score': s.score}}) FILTER (WHERE s.pos <= coalesce(h.stop, s.pos)) AS scores
+  FROM act a LEFT JOIN hits h ON h.stream = a.stream LEFT JOIN scored s ON s.stream = a.stream
+  GROUP BY a.stream, a.epoch, a.start, h.stop)),
+judged AS (
+  SELECT e.stream, e.epoch, e.stop, x.pos, x.cnt, x.score
+  FROM (SELECT stream, epoch, stop, unnest(scores) AS x FROM epochs WHERE epoch >= 0) e)"""
+
+
+def points_select(src: str, value: str | None = None) -> str:
     return f"""
 SELECT 'anomalies' AS measurement, sensor_type, metric, datastream_id,
        CASE WHEN branch = 'fault' THEN 'hardware_fault'
             WHEN branch IN ('analog', 'counter') THEN 'statistical' END AS anomaly_type,
        window_end AS time_ms,
-       {'anomaly_value' if src == 'feat' else 'CAST(NULL AS DOUBLE)'} AS anomaly_value,
+       {value or ('anomaly_value' if src == 'feat' else 'CAST(NULL AS DOUBLE)')} AS anomaly_value,
        round(CASE WHEN branch = 'analog' THEN average END, 6) AS average,
        round(CASE WHEN branch = 'counter' THEN delta END, 6) AS delta,
        CASE WHEN branch = 'state' THEN distinct_counts END AS distinct_counts,
@@ -191,4 +251,23 @@ SELECT {KEYS}, {cols} FROM feat WHERE branch = '{b}'""")
 SELECT {KEYS}, n, round(anomaly_score, 6) AS anomaly_score FROM hst""")
     q["anomaly_statistical"] = with_(f, d, o, hourly, ft, zc, t, h, select=points_select("hst") + """
 WHERE anomaly_score > 0.85 AND n >= 100""")
+    resets = lambda select: with_(f, d, o, hourly, ft, t, epochs_cte(), select=select).replace("WITH", "WITH RECURSIVE", 1)
+    q["adwin_drift"] = resets("""
+SELECT 'concept_drift' AS measurement, r.sensor_type, r.metric, r.stream AS datastream_id, 'ADWIN' AS detector,
+       r.window_end AS time_ms, round(j.score, 6) AS drift_value, j.cnt AS count_before_reset, j.epoch + 1 AS reset_count
+FROM judged j JOIN numbered r ON r.stream = j.stream AND r.pos = j.pos WHERE j.pos = j.stop""")
+    q["anomaly_full"] = resets(points_select("""(
+  SELECT *, 1.0 AS anomaly_score FROM numbered WHERE branch IN ('fault', 'smoke')
+  UNION ALL
+  SELECT r.*, j.score FROM judged j JOIN numbered r ON r.stream = j.stream AND r.pos = j.pos
+  WHERE j.score > 0.85 AND j.cnt >= 100 AND j.pos IS DISTINCT FROM j.stop)""", "CASE WHEN branch = 'fault' THEN anomaly_value END"))
+    q["detector_state"] = resets(f"""
+, saved AS (
+  SELECT stream, stop AS pos FROM epochs WHERE epoch >= 0 AND stop IS NOT NULL
+  UNION SELECT stream, pos FROM numbered WHERE pos % {SNAPSHOT_EVERY} = 0
+  UNION SELECT stream, max(pos) FROM numbered GROUP BY stream)
+SELECT e.stream AS datastream_id, e.epoch AS reset_count,
+       (SELECT count(*) FROM numbered r WHERE r.stream = e.stream AND r.pos > e.start AND r.branch <> 'fault') AS "count",
+       (SELECT count(*) FROM saved v WHERE v.stream = e.stream) AS snapshots
+FROM epochs e WHERE e.epoch >= 0 AND e.stop IS NULL""")
     return q

@@ -19,7 +19,7 @@ def test_detector_uses_arrow_batches_only(spark):
     p = plan(E.queries()["hst_scores"](spark, SF_SMALL))
     assert "BatchEvalPython" not in p
     p = plan(E.queries()["anomaly_full"](spark, SF_SMALL))
-    assert "MapInPandas" in p and "BatchEvalPython" not in p
+    assert "MapInArrow" in p and "BatchEvalPython" not in p
 
 
 def test_threshold_pass_hashes_its_records(spark):

@@ -101,6 +101,29 @@ def test_stream_detector_sorts_the_whole_batch(spark):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_stream_scores_equal_the_relational_ones(spark):
+    """M8, M9 on a stream: sums and masses kept in Spark's state give the batch scores of every branch."""
+    from telemetra.operators import detector as DT, sequential as SQ
+    from test_detector import frame, mixed_streams
+    feat = DT.features(frame(spark, [r for r in mixed_streams(330) if r["datastream_id"] != "x"])).cache()
+    tmp = tempfile.mkdtemp(prefix="stream-hst-", dir=os.environ.get("TMPDIR", "/tmp"))
+    for b, (lo, hi) in enumerate([(0, 70), (70, 211), (211, 330)]):
+        feat.filter((F.col("window_start") >= lo * 3_600_000) & (F.col("window_start") < hi * 3_600_000)) \
+            .coalesce(1).write.parquet(os.path.join(tmp, "in", f"b={b}"))
+        time.sleep(1.1)   # file source order = modification time
+    src = (spark.readStream.schema(feat.schema).option("maxFilesPerTrigger", 1)
+           .parquet(os.path.join(tmp, "in", "b=*", "*.parquet")))
+    q = (SQ.detect_stream(src, emit_scores=True, drift=False).writeStream.format("parquet").outputMode("append")
+         .option("path", os.path.join(tmp, "out")).option("checkpointLocation", os.path.join(tmp, "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    cols = ["datastream_id", "n", "anomaly_score"]
+    got = spark.read.parquet(os.path.join(tmp, "out")).filter("kind = 'score'").select(*cols[:2], F.round("anomaly_score", 8).alias("s"))
+    want = DT.hst_scores(DT.zscores(feat)).select(*cols[:2], F.round("anomaly_score", 8).alias("s"))
+    assert want.count() == 4 * 330
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
 def test_late_point_sink_on_text_stream(spark):
     import json
     from telemetra.operators.points import late_points
