@@ -39,7 +39,7 @@ def test_threshold_pass_hashes_its_records(spark):
 def test_tree_scores_shuffle_samples_not_paths(spark):
     import __spark_entry__ as E
     p = plan(E.queries()["hst_scores"](spark, SF_SMALL))
-    assert "explode" not in p and "FlatMapGroupsInPandas" in p
+    assert "explode" not in p and "MapInArrow" in p
 
 
 def test_unset_shared_folder_is_an_error_on_a_cluster():
