@@ -191,27 +191,28 @@ def _iso_micros(ts: Column) -> Column:
     return micros_to_iso(F.unix_micros(ts))
 
 
-def dlq_records(decoded: DataFrame, ts_col: str = "arrival_ts") -> DataFrame:
-    """V5 (DLQ side) + V6/V7: one wide row per rejected message.
+def dlq_columns(ts_col: str = "arrival_ts") -> list[Column]:
+    """V6/V7: the fields of a dead-letter record, from a decoded row.
 
     ``timestamp`` is the message's arrival time so replays are deterministic
     (the live job stamps processing time).
     """
-    bad = decoded.filter(F.col("error").isNotNull())
     decode_fail = F.col("error") == DECODE_FAILED
-    txt = lambda c, n: F.when(~decode_fail, F.substring(F.coalesce(F.col(c), F.lit("")), 1, n))
-    return bad.select(
-        "error",
+    txt = lambda c, n: F.when(~decode_fail, F.substring(F.coalesce(F.col(c), F.lit("")), 1, n)).alias(c)
+    return [
+        F.col("error"),
         F.substring("error_details", 1, 500).alias("error_details"),
         _iso_micros(F.col(ts_col)).alias("timestamp"),
         F.when(decode_fail, F.col("size_bytes")).alias("size_bytes"),
-        txt("thing_id", 100).alias("thing_id"),
-        txt("datastream_id", 100).alias("datastream_id"),
-        txt("metric", 100).alias("metric"),
-        txt("sensor_type", 50).alias("sensor_type"),
+        txt("thing_id", 100), txt("datastream_id", 100), txt("metric", 100), txt("sensor_type", 50),
         F.when(~decode_fail, F.col("seq")).alias("seq"),
-        *[c for c in ("arrival_ms", "arrival_seq") if c in decoded.columns],
-    )
+    ]
+
+
+def dlq_records(decoded: DataFrame, ts_col: str = "arrival_ts") -> DataFrame:
+    """V5 (DLQ side) + V6/V7: one wide row per rejected message."""
+    return decoded.filter(F.col("error").isNotNull()).select(
+        *dlq_columns(ts_col), *[c for c in ("arrival_ms", "arrival_seq") if c in decoded.columns])
 
 
 def dlq_json(dlq: DataFrame) -> DataFrame:

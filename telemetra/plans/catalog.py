@@ -326,13 +326,13 @@ STREAM_BATCHES = 8
 
 
 def q_stream_panes(spark, sf_dir):
-    """The fixture feed replayed through the streaming processor (8 micro-batches)."""
+    """The fixture feed replayed through the streaming processor: one query, 8 micro-batches."""
     from telemetra.session import scratch_path
-    from telemetra.streaming.processor import replay_as_files, replay_stream
+    from telemetra.streaming.processor import read_committed, replay_stream
     root = scratch_path(spark, "stream")
-    staged = replay_as_files(materialize(fixture_feed(spark, sf_dir), True, "feed"), f"{root}/in", STREAM_BATCHES)
-    replay_stream(spark, staged, STREAM_BATCHES, f"{root}/out", SPEC, f"{root}/ckpt")
-    return rounded(spark.read.parquet(f"{root}/out/results").select(*RESULT_COLUMNS))
+    feed = materialize(fixture_feed(spark, sf_dir), True, "feed")
+    replay_stream(spark, feed, STREAM_BATCHES, f"{root}/in", f"{root}/out", SPEC, f"{root}/ckpt")
+    return rounded(read_committed(spark, f"{root}/out", SPEC).select(*RESULT_COLUMNS))
 
 
 # --------------------------------------------------------------------------- keys (K1, K2)

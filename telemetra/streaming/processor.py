@@ -1,37 +1,32 @@
 """Structured Streaming form of the processor stage.
 
-Spark's own watermark drops too-late rows silently and fires each window once,
-so the accumulating late re-firing and the late side output are built in
-``foreachBatch`` with an explicit, versioned state table:
-
-``{state_dir}/rows/v={batch_id}``  accepted, de-duplicated rows of open windows
-                                    (enough for dedup, type pinning, panes, aggregates)
-``{state_dir}/wm/v={batch_id}``    max event time seen so far (one row)
-
-Each micro-batch: read version ``batch_id - 1``; classify the batch's ok rows
-against the watermark *before* the batch; anti-join for duplicates; emit pane 1
-of windows the batch's watermark closes and one pane per accepted late row;
-drop expired windows; write version ``batch_id`` and the outputs partitioned by
-``batch_id``. Writes overwrite their own version / partition, so a retried batch
-is idempotent (exactly-once outputs on top of the checkpointed source offsets).
-The watermark moves once per micro-batch, which is the batch operator's
-behaviour when every batch is one record.
+One checkpointed query: decode -> window state (``windows_state``: Spark's keyed state with
+event-time timers) -> ``foreachBatch``. A micro-batch's results, late records and rejected
+messages leave in one write, each in its own folder (``kind=pane``, ``late``, ``dlq``) and below it
+in one of the batch, and last comes a commit row. The write replaces the batch's own folders,
+so a retried batch changes nothing, and ``read_committed`` shows only batches that have their
+commit row: what a failed batch has left is not seen (exactly once on top of the
+checkpointed offsets and state).
+
+The watermark moves once per micro-batch, which is the batch operator's behaviour when every
+batch is one record.
 """
 from __future__ import annotations
 
 import os
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from telemetra.constants import WindowSpec
-from telemetra.operators.decode import decode_observations, dlq_records, ok_observations
+from telemetra.operators.decode import decode_observations, dlq_columns
 from telemetra.operators.eventtime import ARRIVAL, late_records
-from telemetra.operators.windows import late_firing_report, panes
+from telemetra.operators.windows import finalize, late_firing_report
+from telemetra.streaming.windows_state import LATE, OUTPUT, PANE, emitted, window_events
 
 RAW_SCHEMA = "payload binary, arrival_ms bigint, arrival_seq bigint, arrival_ts timestamp"
-KEYS = ["datastream_id", "window_start", "seq"]
-NO_WM = -(2 ** 62)
+DLQ_SCHEMA = ("error string, error_details string, timestamp string, size_bytes int, thing_id string, datastream_id string, "
+              "metric string, sensor_type string, seq bigint, arrival_ms bigint, arrival_seq bigint")
 
 
 def raw_file_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
@@ -61,143 +56,88 @@ def relay(stream: DataFrame, sink_path: str, checkpoint: str, trigger: dict | No
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def _panes(events: DataFrame, spec: WindowSpec) -> DataFrame:
+    """Wide result rows of the fired windows."""
+    v = lambda c: F.struct(F.col(c).alias("v"))
+    state = emitted(events, "pane", PANE).select(
+        "datastream_id", "window_start", "pane", "result_ms", "n", "max_ev", "max_pub", "max_arr", "vmin", "vmax", "vsum", "tc", "fc",
+        F.struct(F.col("first_type").alias("sensor_type"), F.col("first_metric").alias("metric")).alias("first_row"),
+        F.col("on_n").alias("on"), F.col("off_n").alias("off"), F.array_repeat(F.lit(""), F.col("others")).alias("oset"),
+        *[v(c).alias(c) for c in ("cfirst", "clast", "slast", "alast")], "batch_id")
+    return finalize(state, spec.window_ms, ("batch_id",))
+
+
+def _late(events: DataFrame, spec: WindowSpec) -> DataFrame:
+    rows = emitted(events, "late", LATE).withColumn("window_end", F.col("window_start") + spec.window_ms)
+    return late_records(rows.withColumn("lateness", F.lit("too_late")), spec)
+
+
 @dataclass
 class StreamProcessor:
-    """foreachBatch function object; ``out_dir`` gets results / late / dlq / report / state."""
+    """foreachBatch function object; ``out_dir`` gets ``events`` and ``commits``."""
 
     out_dir: str
-    spec: WindowSpec
-    report: bool = True     # E13: late-firing lines as a fourth output
 
-    def _path(self, *parts: str) -> str:
-        return os.path.join(self.out_dir, *parts)
+    def _write(self, df: DataFrame, name: str, batch_id: int, *by: str) -> None:
+        # overwrite only this batch's partitions: a retried batch replaces its own output
+        (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*by, "batch_id")
+         .parquet(os.path.join(self.out_dir, name)))
 
-    def _read_version(self, spark: SparkSession, name: str, version: int, schema: str) -> DataFrame:
-        # only the first batch has no state; a version that is missing later is an error, not emptiness
-        if version < 0:
-            return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(self._path("state", name, f"v={version}"))
+    def __call__(self, events: DataFrame, batch_id: int) -> None:
+        self._write(events, "events", batch_id, "kind")
+        self._write(events.sparkSession.range(1).select(F.current_timestamp().alias("written")), "commits", batch_id)
 
-    def _write(self, df: DataFrame, name: str, batch_id: int) -> None:
-        # overwrite only this batch's partition: a retried batch replaces its own output
-        (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-         .parquet(self._path(name)))
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        W, B, L = self.spec.window_ms, self.spec.bound_ms, self.spec.lateness_ms
-        decoded = decode_observations(batch).persist()
-        ok = ok_observations(decoded)
-        self._write(dlq_records(decoded), "dlq", batch_id)
-
-        row_schema = _state_schema(ok)
-        prev_rows = self._read_version(spark, "rows", batch_id - 1, row_schema)
-        prev_max = self._read_version(spark, "wm", batch_id - 1, "max_event bigint").agg(
-            F.max("max_event")).first()[0]
-        batch_max = ok.agg(F.max("event_ms")).first()[0]
-        wm_before = prev_max - B - 1 if prev_max is not None else NO_WM
-        new_max = max(x for x in (prev_max, batch_max, None) if x is not None) \
-            if (prev_max is not None or batch_max is not None) else None
-        wm_after = new_max - B - 1 if new_max is not None else NO_WM
-
-        ws = F.col("event_ms") - F.pmod(F.col("event_ms"), F.lit(W))
-        we = ws + W
-        rows = ok.select("*", ws.alias("window_start"), we.alias("window_end"),
-                         F.when(F.lit(wm_before) >= we + L, F.lit("too_late"))
-                         .when(F.lit(wm_before) < we - 1, F.lit("on_time"))
-                         .otherwise(F.lit("late_accepted")).alias("lateness")).persist()
-        self._write(late_records(rows, self.spec), "late", batch_id)
-
-        # First arrival wins, across batches (anti-join) and inside the batch
-        first = Window.partitionBy(*KEYS).orderBy(*[F.col(c) for c in ARRIVAL])
-        fresh = (rows.filter(F.col("lateness") != "too_late")
-                 .join(prev_rows.select(*KEYS), KEYS, "left_anti")
-                 .withColumn("_r", F.row_number().over(first)).filter("_r = 1").drop("_r")
-                 .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
-        # read by the pane, expiry and state writes: computed once per batch
-        state = prev_rows.unionByName(fresh.select(*prev_rows.columns)).persist()
-
-        # windows touched now: closing windows (pane 1) and windows with new late rows
-        closing = (F.lit(wm_before) < F.col("window_end") - 1) & (F.col("window_end") - 1 <= F.lit(wm_after))
-        touched = (state.filter(closing).select("datastream_id", "window_start")
-                   .unionByName(fresh.filter(F.col("lateness") == "late_accepted")
-                                .select("datastream_id", "window_start")).distinct())
-        acc = state.join(touched, ["datastream_id", "window_start"], "left_semi") \
-            .withColumn("fire_arrival_ms", F.lit(None).cast("bigint")) \
-            .withColumn("pane_batch", F.when(F.col("lateness") == "late_accepted", F.col("batch_id")))
-        emitted = panes(acc, W, flush=True, carry=("pane_batch",))
-        closes_now = (F.lit(wm_before) < F.col("window_end") - 1) & (F.col("window_end") - 1 <= F.lit(wm_after))
-        out = emitted.filter(((F.col("fire_index") == 1) & F.col("pane_batch").isNull() & closes_now)
-                             | (F.col("pane_batch") == batch_id)).drop("pane_batch").persist()
-        self._write(out, "results", batch_id)
-        if self.report:
-            self._write(late_firing_report(out), "report", batch_id)
-
-        # Keep rows of windows that are still open, then publish the new version
-        kept = state.filter(F.col("window_end") + L > F.lit(wm_after))
-        kept.write.mode("overwrite").parquet(self._path("state", "rows", f"v={batch_id}"))
-        spark.createDataFrame([(new_max,)], "max_event bigint").write.mode("overwrite") \
-            .parquet(self._path("state", "wm", f"v={batch_id}"))
-        # a retry of this batch reads version batch_id - 1 only: older versions can go
-        for name in ("rows", "wm"):
-            _delete(spark, self._path("state", name, f"v={batch_id - 2}"))
-        for df in (out, state, rows, decoded):
-            df.unpersist()
-
-
-def _state_schema(ok: DataFrame) -> str:
-    cols = [f"{f.name} {f.dataType.simpleString()}" for f in ok.schema.fields]
-    return ", ".join(cols + ["window_start bigint", "window_end bigint", "lateness string",
-                             "batch_id bigint"])
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(p):
-        fs.delete(p, True)
-
-
-def run_stream(raw: DataFrame, out_dir: str, spec: WindowSpec, checkpoint: str,
-               trigger: dict | None = None):
-    """R10 + R11: one checkpointed query fanning out to results / late / DLQ."""
-    proc = StreamProcessor(out_dir, spec)
-    return (raw.writeStream.foreachBatch(proc).option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"availableNow": True})).start())
 
+def read_committed(spark: SparkSession, out_dir: str, spec: WindowSpec, name: str = "results") -> DataFrame:
+    """``results``, ``late``, ``dlq`` or ``report`` (E13) of the micro-batches that are done, with their ``batch_id``."""
+    done = spark.read.parquet(os.path.join(out_dir, "commits")).select("batch_id")
+    events = spark.read.schema(f"{OUTPUT}, batch_id int").parquet(os.path.join(out_dir, "events")).join(done, "batch_id", "left_semi")
+    if name == "dlq":
+        return emitted(events.drop("datastream_id", "window_start"), "dlq", DLQ_SCHEMA)
+    if name == "late":
+        return _late(events, spec)
+    results = _panes(events, spec)
+    return results if name == "results" else late_firing_report(results)
 
-def replay_as_files(raw: DataFrame, root: str, n_batches: int) -> str:
-    """Stage a bounded feed as ``n_batches`` arrival-ordered folders; returns ``root``.
 
-    Rows are cut into equal arrival-time spans and written in one pass, partitioned by span.
-    ``replay_batches`` feeds the folders to a processor in their order.
-    """
-    lo, hi = raw.agg(F.min("arrival_ms"), F.max("arrival_ms")).first()
-    span = max(1, -(-(hi - lo + 1) // n_batches))
-    raw.withColumn("span", F.floor((F.col("arrival_ms") - F.lit(lo)) / F.lit(span)).cast("int")) \
-        .write.mode("overwrite").partitionBy("span").parquet(root)
-    return root
+def stream_events(raw: DataFrame, spec: WindowSpec) -> DataFrame:
+    """A raw stream's panes, late records and rejected messages (``windows_state.OUTPUT``)."""
+    return window_events(decode_observations(raw), F.to_json(F.struct(*dlq_columns(), *ARRIVAL)), spec)
+
+
+def write_events(events: DataFrame, out_dir: str, checkpoint: str, trigger: dict | None = None):
+    return (events.writeStream.foreachBatch(StreamProcessor(out_dir)).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def span_stream(spark: SparkSession, root: str, span: int) -> DataFrame:
-    """S1 over one staged span: all its files in one micro-batch."""
-    return spark.readStream.schema(RAW_SCHEMA).parquet(os.path.join(root, f"span={span}"))
+def run_stream(raw: DataFrame, out_dir: str, spec: WindowSpec, checkpoint: str, trigger: dict | None = None):
+    """R10 + R11: one checkpointed query fanning out to results / late / DLQ."""
+    return write_events(stream_events(raw, spec), out_dir, checkpoint, trigger)
 
 
-def replay_stream(spark: SparkSession, root: str, n_batches: int, out_dir: str, spec: WindowSpec, checkpoint: str) -> None:
-    """Run the processor over the staged spans, one checkpointed micro-batch each, in arrival order.
+def replay_stream(spark: SparkSession, feed: DataFrame, n_batches: int, folder: str, out_dir: str, spec: WindowSpec,
+                  checkpoint: str, first: int = 0, stop: int | None = None) -> None:
+    """Deliver a bounded feed to one checkpointed query as ``n_batches`` micro-batches, equal arrival-time spans.
 
-    Spark's file source orders files by modification time, which one partitioned write doesn't
-    give; so every span is a query of its own whose batch number is the span's.
+    Spark's file source orders files by modification time, which files of one write don't have
+    in arrival order; so every span is written into the watched folder when the one before it
+    has been taken, and the query goes on from its checkpoint (R11). Timers that the last span's
+    watermark makes due fire in a final batch without data.
     """
-    proc = StreamProcessor(out_dir, spec)
-    for span in range(n_batches):
-        q = (span_stream(spark, root, span).writeStream
-             .foreachBatch(lambda batch, _, n=span: proc(batch, n))
-             .option("checkpointLocation", os.path.join(checkpoint, f"span={span}"))
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
+    lo, hi = feed.agg(F.min("arrival_ms"), F.max("arrival_ms")).first()
+    span, empty = max(1, -(-(hi - lo + 1) // n_batches)), "spark.sql.streaming.noDataMicroBatches.enabled"
+    held, events = spark.conf.get(empty, "true"), None
+    try:
+        for k in range(first, n_batches if stop is None else stop):
+            feed.filter((F.col("arrival_ms") >= lo + k * span) & (F.col("arrival_ms") < lo + (k + 1) * span)) \
+                .select("payload", *ARRIVAL, "arrival_ts").write.mode("overwrite").parquet(os.path.join(folder, f"span={k:05d}"))
+            spark.conf.set(empty, str(k == n_batches - 1).lower())
+            if events is None:
+                events = stream_events(spark.readStream.schema(RAW_SCHEMA).option("recursiveFileLookup", True).parquet(folder), spec)
+            q = write_events(events, out_dir, checkpoint)
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise q.exception()
+    finally:
+        spark.conf.set(empty, held)

@@ -1,17 +1,18 @@
-"""Streaming processor (foreachBatch + versioned state) equals the batch replay."""
+"""Streaming processor (Spark's keyed state and timers) equals the batch replay."""
 import os
 import tempfile
 import time
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from telemetra.constants import REFERENCE_SPEC
-from telemetra.operators.decode import decode_observations, ok_observations
+from telemetra.operators.decode import decode_observations, dlq_records, ok_observations
 from telemetra.operators.windows import windowed_results
-from telemetra.streaming.processor import raw_file_stream, run_stream
-from conftest import feed
+from telemetra.streaming.processor import StreamProcessor, raw_file_stream, read_committed, replay_stream, run_stream
+from conftest import feed, obs
 from test_windows import F4
 
 COLS = ["datastream_id", "window_start", "fire_index", "count", "is_late_firing", "min_value",
@@ -37,22 +38,24 @@ def test_stream_equals_batch_one_record_per_batch(spark):
     q = run_stream(raw_file_stream(spark, os.path.join(tmp, "in")), os.path.join(tmp, "out"),
                    REFERENCE_SPEC, os.path.join(tmp, "ckpt"))
     q.awaitTermination(180)
-    got = spark.read.parquet(os.path.join(tmp, "out", "results")).select(*COLS)
+    out = os.path.join(tmp, "out")
+    got = read_committed(spark, out, REFERENCE_SPEC).select(*COLS)
     ok = ok_observations(decode_observations(raw))
     want, late = windowed_results(ok, REFERENCE_SPEC, flush=False)
     want = want.select(*COLS)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    report = spark.read.parquet(os.path.join(tmp, "out", "report"))
-    assert report.count() == want.filter("is_late_firing").count() == 2
-    got_late = spark.read.parquet(os.path.join(tmp, "out", "late"))
-    assert sorted(r["seq"] for r in got_late.collect()) == sorted(r["seq"] for r in late.collect())
-    # state holds only open windows at the end, and only the last two versions are kept
-    last = max(int(d.split("=")[1]) for d in os.listdir(os.path.join(tmp, "out", "state", "rows"))
-               if d.startswith("v="))
-    st = spark.read.parquet(os.path.join(tmp, "out", "state", "rows", f"v={last}"))
-    assert st.filter(F.col("window_start") == 0).count() == 0
-    versions = [d for d in os.listdir(os.path.join(tmp, "out", "state", "rows")) if d.startswith("v=")]
-    assert sorted(versions) == [f"v={last - 1}", f"v={last}"]
+    assert read_committed(spark, out, REFERENCE_SPEC, "report").count() == want.filter("is_late_firing").count() == 2
+    got_late = read_committed(spark, out, REFERENCE_SPEC, "late")
+    cols = ["datastream_id", "seq", "event_time", "late_by_sec", "thing_id"]
+    assert sorted(map(tuple, got_late.select(*cols).collect())) == sorted(map(tuple, late.select(*cols).collect()))
+    dlq = dlq_records(decode_observations(raw))
+    got_dlq = read_committed(spark, out, REFERENCE_SPEC, "dlq").select(*dlq.columns)
+    assert got_dlq.exceptAll(dlq).count() == 0 and dlq.exceptAll(got_dlq).count() == 0
+    # Spark's state holds only open windows at the end
+    open_windows = ok.select("datastream_id", (F.col("event_ms") - F.col("event_ms") % REFERENCE_SPEC.window_ms).alias("ws")) \
+        .filter(F.col("ws") + REFERENCE_SPEC.window_ms + REFERENCE_SPEC.lateness_ms
+                > F.lit(ok.agg(F.max("event_ms")).first()[0] - REFERENCE_SPEC.bound_ms - 1)).distinct().count()
+    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] == open_windows
 
 
 def test_stream_detector_equals_batch(spark):
@@ -180,15 +183,49 @@ def test_restart_in_the_middle_equals_one_run(spark):
         q = run_stream(raw_file_stream(spark, src), os.path.join(tmp, "out"), REFERENCE_SPEC, os.path.join(tmp, "ckpt"))
         q.awaitTermination(180)
         assert q.exception() is None
-    got = spark.read.parquet(os.path.join(tmp, "out", "results")).select(*COLS)
+    got = read_committed(spark, os.path.join(tmp, "out"), REFERENCE_SPEC).select(*COLS)
     want, _ = windowed_results(ok_observations(decode_observations(raw)), REFERENCE_SPEC, flush=False)
     want = want.select(*COLS)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-def test_missing_state_is_an_error(spark):
-    import pytest
-    from telemetra.streaming.processor import StreamProcessor
-    tmp = tempfile.mkdtemp(prefix="stream-state-", dir=os.environ.get("TMPDIR", "/tmp"))
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        StreamProcessor(tmp, REFERENCE_SPEC)(feed(spark, F4), 41)
+def test_replay_stopped_and_continued_equals_one_run(spark):
+    """The replay is one checkpointed query: stopped after some spans and continued, the rows are the same."""
+    raw = feed(spark, F4 + [obs(5_000, seq=77), "garbage", obs(60_000, seq=78)])
+    tmp = tempfile.mkdtemp(prefix="stream-replay-", dir=os.environ.get("TMPDIR", "/tmp"))
+    found = []
+    for name, cuts in (("one", [(0, None)]), ("two", [(0, 2), (2, None)])):
+        root = os.path.join(tmp, name)
+        for first, stop in cuts:
+            replay_stream(spark, raw, 4, f"{root}/in", f"{root}/out", REFERENCE_SPEC, f"{root}/ckpt", first, stop)
+        found.append([sorted(map(str, read_committed(spark, f"{root}/out", REFERENCE_SPEC, n).drop("batch_id").collect()))
+                      for n in ("results", "late", "dlq")])
+    assert found[0] == found[1] and all(found[0][:1])
+
+
+def test_outputs_of_a_batch_without_commit_are_not_seen(spark, monkeypatch):
+    """A batch that fails after its write shows nothing; the query goes on from its checkpoint and shows it once."""
+    raw = feed(spark, F4)
+    tmp = tempfile.mkdtemp(prefix="stream-commit-", dir=os.environ.get("TMPDIR", "/tmp"))
+    out, args = os.path.join(tmp, "out"), (os.path.join(tmp, "in"), os.path.join(tmp, "out"), REFERENCE_SPEC, os.path.join(tmp, "ck"))
+    replay_stream(spark, raw, 2, *args, 0, 1)
+    before = sorted(map(str, read_committed(spark, out, REFERENCE_SPEC).collect()))
+    write = StreamProcessor._write
+
+    def fails(self, df, name, batch_id, *by):
+        if name == "commits":
+            raise RuntimeError("lost before the commit")
+        write(self, df, name, batch_id, *by)
+    monkeypatch.setattr(StreamProcessor, "_write", fails)
+    with pytest.raises(Exception, match="lost before the commit"):
+        replay_stream(spark, raw, 2, *args, 1)
+    assert spark.read.parquet(f"{out}/events").filter("batch_id = 1").count() > 0
+    assert sorted(map(str, read_committed(spark, out, REFERENCE_SPEC).collect())) == before
+    monkeypatch.setattr(StreamProcessor, "_write", write)
+    q = run_stream(spark.readStream.schema(raw.select("payload", "arrival_ms", "arrival_seq", "arrival_ts").schema)
+                   .option("recursiveFileLookup", True).parquet(args[0]), *args[1:])
+    q.awaitTermination(180)
+    whole = os.path.join(tmp, "whole")
+    replay_stream(spark, raw, 2, f"{whole}/in", f"{whole}/out", REFERENCE_SPEC, f"{whole}/ck")
+    rows = lambda o: sorted(map(str, read_committed(spark, o, REFERENCE_SPEC).drop("batch_id").collect()))
+    assert rows(out) == rows(f"{whole}/out")
