@@ -58,6 +58,12 @@ def watermark_thresholds(ok: DataFrame, spec: WindowSpec) -> DataFrame:
         F.struct(F.col("fire").alias("idx"), F.col("k").alias("f"), none.alias("e"), F.lit(0).cast("bigint").alias("n")),
         F.struct(F.col("exp").alias("idx"), none.alias("f"), F.col("k").alias("e"), F.lit(0).cast("bigint").alias("n")),
     )))
+    return first_reached(entries)
+
+
+def first_reached(entries: DataFrame) -> DataFrame:
+    """``watermark_thresholds``' rows from (idx, f, e, n): packed arrivals from which the watermark fires or
+    expires windows up to ``idx``, and rows of the window ``idx``. Suffix minima by a two-level scan."""
     per_idx = (entries.groupBy("idx").agg(F.min("f").alias("f"), F.min("e").alias("e"),
                                           F.sum("n").alias("n_rows"))
                .withColumn("blk", F.floor(F.col("idx") / BLOCK).cast("bigint")))
@@ -82,10 +88,10 @@ PACKED = "decimal(38,0)"
 SEQ_SPAN = Decimal(10 ** 19)  # above any 64-bit arrival_seq
 
 
-def _packed_arrival() -> Column:
+def _packed_arrival(ms: str = "arrival_ms", seq: Column | str = "arrival_seq") -> Column:
     """The arrival key as one number in arrival order."""
-    return (F.col("arrival_ms").cast("decimal(18,0)") * F.lit(SEQ_SPAN)
-            + F.col("arrival_seq")).cast(PACKED)
+    return (F.col(ms).cast("decimal(18,0)") * F.lit(SEQ_SPAN)
+            + (F.col(seq) if isinstance(seq, str) else seq)).cast(PACKED)
 
 
 def _unpacked(k: Column) -> Column:

@@ -15,6 +15,7 @@ from telemetra.constants import FEATURES, FIXTURE_SPEC
 from telemetra.functions.typing import identify_type, type_by_metric, type_by_value
 from telemetra.operators import decode as D
 from telemetra.operators.eventtime import classify_lateness, late_records, watermark_thresholds
+from telemetra.operators.sources import idle_thresholds
 from telemetra.operators.windows import (RESULT_COLUMNS, dedup_first_arrival, late_firing_report,
                                          plain_window_results, windowed_results)
 from telemetra.operators import points as P
@@ -95,6 +96,22 @@ def q_watermark_replay(spark, sf_dir):
         "n_rows")
 
 
+SOURCE_IDLE_MS = 86_400_000        # the reference's 20 s, x 4,320 like the windows
+SILENT_MS = 4 * SOURCE_IDLE_MS     # thing 4's source is silent for such spans: source 0 delivers its messages
+
+
+def q_watermark_idle(spark, sf_dir):
+    """A source per thing, one of them silent now and then."""
+    thing = F.substring_index("thing_id", "-", -1).cast("int")
+    silent = (thing == 4) & (F.floor(F.col("arrival_ms") / SILENT_MS) % 2 == 1)
+    ok = _ok_cut(spark, sf_dir).withColumn("source", F.when(silent, 0).otherwise(thing))
+    thr = idle_thresholds(ok, SPEC, SOURCE_IDLE_MS).filter(F.col("n_rows") > 0)
+    return thr.select((F.col("widx") * SPEC.window_ms).alias("window_start"),
+                      F.col("fire_at.arrival_ms").alias("fire_arrival_ms"), F.col("fire_at.arrival_seq").alias("fire_arrival_seq"),
+                      F.col("expire_at.arrival_ms").alias("expire_arrival_ms"), F.col("expire_at.arrival_seq").alias("expire_arrival_seq"),
+                      "n_rows")
+
+
 def q_late_records(spark, sf_dir):
     return rounded(late_records(classify_lateness(_ok_cut(spark, sf_dir), SPEC), SPEC))
 
@@ -202,6 +219,7 @@ def queries() -> dict[str, Query]:
         "type_by_value": q_type_by_value,
         "lateness_classes": q_lateness_classes,
         "watermark_replay": q_watermark_replay,
+        "watermark_idle": q_watermark_idle,
         "late_records": q_late_records,
         "dedup_seq": q_dedup_seq,
         "window_panes": q_window_panes,

@@ -377,6 +377,24 @@ SELECT w.window_start,
     AS expire_arrival_ms,
   w.n AS n_rows
 FROM (SELECT window_start, count(*) AS n FROM cls GROUP BY window_start) w""")
+    from telemetra.plans.catalog import SILENT_MS, SOURCE_IDLE_MS, STREAM_BATCHES
+    q["watermark_idle"] = with_(f, d, o, f"""
+src AS (SELECT arrival_ms, arrival_seq, event_ms,
+               CASE WHEN thing_id = 'thing-4' AND (arrival_ms // {SILENT_MS}) % 2 = 1 THEN 'thing-0' ELSE thing_id END AS source
+        FROM ok),
+inst AS (SELECT arrival_ms AS ms, arrival_seq AS seq FROM src UNION SELECT arrival_ms + {SOURCE_IDLE_MS}, -1 FROM src),
+tl AS (SELECT i.ms, i.seq, s.source, r.event_ms, r.arrival_ms
+       FROM inst i CROSS JOIN (SELECT DISTINCT source FROM src) s
+       LEFT JOIN src r ON r.source = s.source AND r.arrival_ms = i.ms AND r.arrival_seq = i.seq),
+st AS (SELECT ms, seq, max(event_ms) OVER w AS mx, max(arrival_ms) OVER w AS heard
+       FROM tl WINDOW w AS (PARTITION BY source ORDER BY ms, seq ROWS UNBOUNDED PRECEDING)),
+comb AS (SELECT ms, seq, min(mx) AS m FROM st WHERE heard IS NOT NULL AND ms - heard < {SOURCE_IDLE_MS} GROUP BY ms, seq),
+wins AS (SELECT {_wstart('event_ms', W)} AS window_start, count(*) AS n_rows FROM ok GROUP BY 1),
+moved AS (SELECT window_start, n_rows,
+  (SELECT min({{'ms': ms, 'seq': seq}}) FROM comb WHERE m >= window_start + {W} + {B}) AS f,
+  (SELECT min({{'ms': ms, 'seq': seq}}) FROM comb WHERE m >= window_start + {W} + {L} + {B} + 1) AS e FROM wins)""", select="""
+SELECT window_start, f.ms AS fire_arrival_ms, f.seq AS fire_arrival_seq, e.ms AS expire_arrival_ms, e.seq AS expire_arrival_seq, n_rows
+FROM moved""")
     q["late_records"] = with_(f, d, o, c, select=f"""
 SELECT thing_id, datastream_id, metric, sensor_type, seq, event_time, publish_time,
        round(greatest(0.0, (arrival_ms - (window_end + {L})) / 1000.0), 3) AS late_by_sec
@@ -473,7 +491,6 @@ SELECT thing_id, metric, sensor_type,
        {_uuid5_sql(NAMESPACE_DNS_HEX, "'iot-simulator:' || sensor_type || ':' || "
                    "CAST(CAST(split_part(thing_id, '-', 2) AS INTEGER) AS VARCHAR)")} AS thing_key
 FROM (SELECT DISTINCT thing_id, metric, sensor_type FROM ok)""")
-    from telemetra.plans.catalog import STREAM_BATCHES
     q["stream_panes"] = with_(f, d, o, stream_cte(spec, STREAM_BATCHES), select="SELECT * FROM sresults")
     from telemetra.plans.oracle_detector import detector_queries
     q.update(detector_queries((f, d, o), plain_cte, with_))
