@@ -2,22 +2,21 @@
 
 Decoding is one JVM-side ``try_parse_json`` into VARIANT; every type test of the
 validation is a ``schema_of_variant`` comparison, so the whole step stays inside
-whole-stage codegen with no Python hop. With ``wire="avro"`` the payload is read by
-``from_avro`` (PERMISSIVE; needs the spark-avro package) and its fields go through the
-same validation as VARIANTs.
+whole-stage codegen with no Python hop. With ``wire="avro"`` the binary record is read by
+``avro_wire`` (one Arrow pass) and goes through the same validation.
 """
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from telemetra.constants import DECODE_FAILED, SENSOR_TYPES
 from telemetra.functions.text import is_blank
 from telemetra.functions.timeparse import micros_to_iso, parse_iso
+from telemetra.operators.avro_wire import avro_fields
 
 STRING_FIELDS = ("thing_id", "datastream_id", "metric", "sensor_type", "event_time", "publish_time")
 _NUM_KINDS = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL\(\d+,\d+\))$"
+NOT_DECODED = {"json": "payload is not a JSON object", "avro": "payload is not an observation record"}
 INT_MIN, INT_MAX = -(1 << 31), (1 << 31) - 1       # seq is a 32-bit integer on the wire
 
 
@@ -31,13 +30,6 @@ def _value_kind(k: Column) -> Column:
 
 WIRE_FIELDS = ("thing_id", "datastream_id", "metric", "sensor_type", "seq", "event_time",
                "value", "publish_time")
-# fixed values: the Avro record of an observation
-WIRE_AVRO = json.dumps({
-    "type": "record", "name": "Observation", "fields": [
-        {"name": "thing_id", "type": "string"}, {"name": "datastream_id", "type": "string"},
-        {"name": "metric", "type": "string"}, {"name": "sensor_type", "type": "string"},
-        {"name": "seq", "type": "int"}, {"name": "event_time", "type": "string"},
-        {"name": "value", "type": ["double", "string", "boolean"]}, {"name": "publish_time", "type": "string"}]})
 
 
 def _json_object(text: Column) -> Column:
@@ -54,38 +46,30 @@ def _json_object(text: Column) -> Column:
     return F.when(flat | array.isNotNull(), inside)
 
 
-def wire_fields(raw: DataFrame, payload_col: str = "payload", wire: str = "json") -> DataFrame:
+def wire_fields(raw: DataFrame, payload_col: str = "payload") -> DataFrame:
     """V1: payload bytes -> ``_is_obj`` and one VARIANT ``_w_<field>`` per wire field, other columns kept."""
     keep = [c for c in raw.columns if c != payload_col]
     size = F.octet_length(payload_col).alias("size_bytes")
-    if wire == "json":
-        parsed = raw.select(*keep, size, _json_object(F.col(payload_col).cast("string")).alias("_o"))
-        return parsed.select(
-            *keep, "size_bytes",
-            F.coalesce(F.schema_of_variant("_o").startswith("OBJECT<o: OBJECT<"), F.lit(False)).alias("_is_obj"),
-            *[F.variant_get("_o", f"$.o.{f}", "variant").alias(f"_w_{f}") for f in WIRE_FIELDS])
-    if wire != "avro":
-        raise ValueError(f"wire format {wire!r}: json or avro")
-    from pyspark.sql.avro.functions import from_avro
-    return variant_fields(raw.select(*keep, size, from_avro(payload_col, WIRE_AVRO, {"mode": "PERMISSIVE"}).alias("_o")), keep)
-
-
-def variant_fields(decoded: DataFrame, keep: list[str]) -> DataFrame:
-    """The fields of a decoded struct ``_o`` as VARIANTs; a union value is its member that is set."""
-    members = [F.to_json(F.struct(F.col(f"_o.value.{m}").alias("v"))) for m in ("member0", "member1", "member2")]
-    value = F.coalesce(*[F.variant_get(F.try_parse_json(m), "$.v", "variant") for m in members])
-    one = lambda f: F.variant_get(F.try_parse_json(F.to_json(F.struct(F.col(f"_o.{f}").alias("v")))), "$.v", "variant")
-    return decoded.select(*keep, "size_bytes", F.col("_o.thing_id").isNotNull().alias("_is_obj"),
-                          *[(value if f == "value" else one(f)).alias(f"_w_{f}") for f in WIRE_FIELDS])
+    parsed = raw.select(*keep, size, _json_object(F.col(payload_col).cast("string")).alias("_o"))
+    return parsed.select(
+        *keep, "size_bytes",
+        F.coalesce(F.schema_of_variant("_o").startswith("OBJECT<o: OBJECT<"), F.lit(False)).alias("_is_obj"),
+        *[F.variant_get("_o", f"$.o.{f}", "variant").alias(f"_w_{f}") for f in WIRE_FIELDS])
 
 
 def parse_payload(raw: DataFrame, payload_col: str = "payload", wire: str = "json") -> DataFrame:
     """V1: bytes -> typed observation columns plus per-field type kinds.
 
-    A payload that is not one JSON object is ``decode_failed``. Keeps every other input
-    column.
+    A payload that is not one JSON object (``wire="avro"``: not one record) is
+    ``decode_failed``. Keeps every other input column.
     """
     keep = [c for c in raw.columns if c != payload_col]
+    if wire == "avro":
+        kind = lambda name: F.when(F.col("_is_obj"), F.lit(name))
+        typed = avro_fields(raw, payload_col).withColumn("value_kind", F.coalesce("value_kind", F.lit("null")))
+        return typed.select("*", *[kind("STRING").alias(f"_{n}_kind") for n in STRING_FIELDS], kind("BIGINT").alias("_seq_kind"))
+    if wire != "json":
+        raise ValueError(f"wire format {wire!r}: json or avro")
     o = lambda f: F.col(f"_w_{f}")
     cols = [*keep, "size_bytes", "_is_obj"]
     for name in STRING_FIELDS:
@@ -99,7 +83,7 @@ def parse_payload(raw: DataFrame, payload_col: str = "payload", wire: str = "jso
         F.try_variant_get(o("value"), "$", "string").alias("_vstr"),
         F.try_variant_get(o("value"), "$", "boolean").alias("_vbool"),
     ]
-    return wire_fields(raw, payload_col, wire).select(*cols)
+    return wire_fields(raw, payload_col).select(*cols)
 
 
 def _bad_string(name: str) -> Column:
@@ -158,7 +142,7 @@ def decode_observations(raw: DataFrame, payload_col: str = "payload", wire: str
         *keep,
         num.alias("num"), sval.alias("sval"), bval.alias("bval"),
         validation_error().alias("error"),
-        F.when(~F.col("_is_obj"), F.lit("payload is not a JSON object")).alias("error_details"),
+        F.when(~F.col("_is_obj"), F.lit(NOT_DECODED[wire])).alias("error_details"),
         F.unix_millis("_event_time_ts").alias("event_ms"),
         F.unix_millis("_publish_time_ts").alias("publish_ms"),
     )

@@ -21,6 +21,8 @@ from telemetra.operators.windows import (RESULT_COLUMNS, dedup_first_arrival, la
 from telemetra.operators import points as P
 from telemetra.plans.oracle import TYPE_COLUMNS
 from telemetra.fixtures import topics as TP
+from telemetra.fixtures.avro_feed import avro_feed
+from telemetra.fixtures.feed import read_events
 from telemetra.operators import detector as DT
 from telemetra.operators import sequential as SQ
 from telemetra.plans.pipeline import fixture_feed, fixture_ok, hourly_results
@@ -52,6 +54,15 @@ def q_obs_typed(spark, sf_dir):
                             "bval", "event_ms", "publish_ms"))
 
 
+def q_obs_avro(spark, sf_dir):
+    """V1 on the binary wire form of the feed."""
+    d = D.decode_observations(avro_feed(read_events(spark, sf_dir)), wire="avro")
+    return rounded(d.select("arrival_seq", "error", "thing_id", "datastream_id", "metric", "sensor_type",
+                            "seq", "value_kind", "num",
+                            F.when(F.col("value_kind") != "number", F.col("sval")).alias("sval"),
+                            "bval", "event_ms", "publish_ms"))
+
+
 def q_ok_observations(spark, sf_dir):
     return rounded(fixture_ok(spark, sf_dir).drop("sval"))
 
@@ -212,6 +223,7 @@ def q_payload_hygiene(spark, sf_dir):
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "obs_typed": q_obs_typed,
+        "obs_avro": q_obs_avro,
         "ok_observations": q_ok_observations,
         "dlq_records": q_dlq_records,
         "dlq_reasons": q_dlq_reasons,

@@ -339,6 +339,15 @@ def oracle_queries(spec: WindowSpec = FIXTURE_SPEC) -> dict[str, str]:
 SELECT arrival_seq, error, thing_id, datastream_id, metric, sensor_type, seq, value_kind,
        round(num, 6) AS num, CASE WHEN value_kind <> 'number' THEN sval END AS sval, bval,
        event_ms, publish_ms FROM dec""")
+    from telemetra.fixtures.avro_feed import DAMAGED
+    gone = lambda c: f"CASE WHEN NOT bad THEN {c} END AS {c}"
+    text = ", ".join(gone(c) for c in ("thing_id", "datastream_id", "metric", "sensor_type", "seq"))
+    q["obs_avro"] = with_(f, d, f"""
+flagged AS (SELECT *, value_kind = 'null' OR (arrival_seq // 2) % {FD.FAULT_MOD} IN {DAMAGED} AS bad FROM dec)""", select=f"""
+SELECT arrival_seq, CASE WHEN bad THEN 'decode_failed' ELSE error END AS error, {text},
+       CASE WHEN bad THEN 'null' ELSE value_kind END AS value_kind, CASE WHEN NOT bad THEN round(num, 6) END AS num,
+       CASE WHEN NOT bad AND value_kind <> 'number' THEN sval END AS sval, NOT bad AND bval AS bval,
+       {gone("event_ms")}, {gone("publish_ms")} FROM flagged""")
     q["ok_observations"] = with_(f, d, o, select="""
 SELECT thing_id, datastream_id, metric, sensor_type, seq, event_time, publish_time, value_kind,
        round(num, 6) AS num, bval, event_ms, publish_ms, arrival_ms, arrival_seq FROM ok""")

@@ -1,4 +1,5 @@
 """Decode, validation reasons in order and DLQ records (V1-V9, FIXTURES.md F3)."""
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from telemetra.operators.decode import decode_observations, dlq_reason_counts, dlq_records, ok_observations
@@ -101,17 +102,59 @@ def test_time_is_utc_in_any_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
-def test_avro_fields_go_through_the_same_checks(spark):
-    """The struct that an Avro reader gives, without the reader."""
-    from telemetra.operators.decode import variant_fields
-    kind = ("_o struct<thing_id:string,datastream_id:string,metric:string,sensor_type:string,seq:int,event_time:string,"
-            "value:struct<member0:double,member1:string,member2:boolean>,publish_time:string>, size_bytes int, arrival_seq bigint")
-    rows = [(("t", "t:door", "door", "state", 3, "1970-01-01T00:00:01Z", (None, "ON", None), "1970-01-01T00:00:02Z"), 9, 0),
-            (("t", "t:x", "x", "analog", 4, "1970-01-01T00:00:01Z", (2.5, None, None), "1970-01-01T00:00:02Z"), 9, 1),
-            (("t", "t:m", "m", "alarm", 5, "1970-01-01T00:00:01Z", (None, None, False), "1970-01-01T00:00:02Z"), 9, 2),
-            (None, 9, 3)]
-    out = variant_fields(spark.createDataFrame(rows, kind), ["arrival_seq"]).orderBy("arrival_seq").select(
-        "_is_obj", *[F.schema_of_variant(f"_w_{n}").alias(n) for n in ("seq", "value")]).collect()
-    assert [tuple(r) for r in out[:3]] == [(True, "BIGINT", "STRING"), (True, "BIGINT", out[1]["value"]), (True, "BIGINT", "BOOLEAN")]
-    assert out[1]["value"].startswith("DECIMAL") or out[1]["value"] == "DOUBLE"
-    assert out[3]["_is_obj"] is False
+RECORD = {"thing_id": "t", "datastream_id": "t:x", "metric": "x", "sensor_type": "analog", "seq": 4,
+          "event_time": "1970-01-01T00:00:01Z", "value": 2.5, "publish_time": "1970-01-01T00:00:02Z"}
+
+
+def avro(spark, payloads):
+    df = spark.createDataFrame([(None if p is None else bytearray(p), i) for i, p in enumerate(payloads)], "payload binary, arrival_seq bigint")
+    return decode_observations(df, wire="avro").orderBy("arrival_seq").collect()
+
+
+def test_avro_members_and_checks(spark):
+    """All four members of the value's union, and the same checks as for JSON."""
+    from telemetra.fixtures.avro_feed import encode, varint
+    state, alarm = {"sensor_type": "state", "value": "ON"}, {"sensor_type": "alarm", "value": False}
+    got = avro(spark, [encode(RECORD), encode({**RECORD, **state}), encode({**RECORD, **alarm}), encode({**RECORD, "value": -70}),
+                       encode({**RECORD, "value": "warm"}), encode({**RECORD, "seq": 1 << 40}), encode({**RECORD, "seq": -3}),
+                       encode({**RECORD, "thing_id": " "}), encode({**RECORD, "metric": "\u00e9\u4e2d" * 90}), encode(RECORD) + b"more"])
+    assert [(r["error"], r["value_kind"], r["num"]) for r in got] == [
+        (None, "number", 2.5), (None, "string", None), (None, "bool", 0.0), (None, "number", -70.0),
+        ("invalid_analog_value", "string", None), ("invalid_seq", "number", 2.5), (None, "number", 2.5),
+        ("invalid_thing_id", "number", 2.5), (None, "number", 2.5), (None, "number", 2.5)]
+    assert [r["sval"] for r in got[:4]] == ["2.5", "ON", "False", "-70"] and [r["bval"] for r in got[:4]] == [True, True, False, True]
+    assert got[6]["seq"] == -3 and got[8]["metric"] == "\u00e9\u4e2d" * 90 and got[0]["event_ms"] == 1000
+    assert varint(-1) == b"\x01" and varint(64) == b"\x80\x01"
+
+
+def test_avro_cut_at_every_byte(spark):
+    from telemetra.fixtures.avro_feed import encode, text, varint
+    whole = encode({**RECORD, "metric": "caf\u00e9"})
+    bad = [whole[:i] for i in range(len(whole))] + [
+        None, b"totally_invalid", b"\xff" * 30, varint(-5) + whole, varint(2) + b"\xc3\x28" + whole[2:],
+        varint(1) + b"\xc3" + varint(1) + b"\xa9" + whole[6:],        # halves of one character in two strings
+        encode({**RECORD, "value": "x"}).replace(varint(1) + text("x"), varint(4) + text("x"))]
+    got = avro(spark, [*bad, whole])
+    assert {r["error"] for r in got[:-1]} == {"decode_failed"} and got[-1]["error"] is None
+    assert all(r["thing_id"] is None and r["seq"] is None and r["num"] is None for r in got[:-1])
+    assert avro(spark, []) == []
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.text(max_size=9), st.integers(-(1 << 62), 1 << 62), st.one_of(
+    st.floats(allow_nan=False), st.text(max_size=5), st.booleans(), st.integers(-(1 << 31), (1 << 31) - 1))), max_size=12))
+def test_avro_round_trip(rows):
+    import pyarrow as pa
+
+    from telemetra.fixtures.avro_feed import encode
+    from telemetra.operators.avro_wire import read_batch
+    payloads = [encode({**RECORD, "thing_id": t, "seq": n, "value": float(v) if isinstance(v, float) and abs(v) > 1e300 else v})
+                if not (isinstance(v, float) and v in (float("inf"), float("-inf"))) else b"" for t, n, v in rows]
+    got = read_batch(pa.array([b"left out", *payloads], pa.binary()).slice(1))
+    for i, (t, n, v) in enumerate(rows):
+        if not payloads[i]:
+            assert not got["_is_obj"][i].as_py()
+            continue
+        assert (got["thing_id"][i].as_py(), got["seq"][i].as_py()) == (t, n)
+        name = "_vbool" if isinstance(v, bool) else "_vstr" if isinstance(v, str) else "_vnum"
+        assert got[name][i].as_py() == v
