@@ -212,3 +212,12 @@ def dlq_json(dlq: DataFrame) -> DataFrame:
 def dlq_reason_counts(dlq: DataFrame, reason_col: str = "error") -> DataFrame:
     """V9: rejected messages per reason (partial + final hash aggregate)."""
     return dlq.groupBy(F.col(reason_col).alias("reason")).agg(F.count(F.lit(1)).alias("dlq_count"))
+
+
+def dlq_window_counts(dlq: DataFrame, window_ms: int, reason_col: str = "error", time_col: str = "arrival_ts") -> DataFrame:
+    """V9 per window of arrival time. On a stream with a watermark on ``time_col`` a window's counts are
+    appended once, when the watermark has passed it; the window is Spark's own state."""
+    window = F.window(F.col(time_col), f"{window_ms} milliseconds")
+    counts = dlq.groupBy(window.alias("w"), F.col(reason_col).alias("reason")).agg(F.count(F.lit(1)).alias("dlq_count"))
+    return counts.select(F.unix_millis("w.start").alias("window_start"), F.unix_millis("w.end").alias("window_end"),
+                         "reason", "dlq_count")

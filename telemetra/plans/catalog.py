@@ -75,6 +75,11 @@ def q_dlq_reasons(spark, sf_dir):
     return D.dlq_reason_counts(D.dlq_records(_decoded(spark, sf_dir)))
 
 
+def q_dlq_reasons_windowed(spark, sf_dir):
+    bad = D.dlq_records(_decoded(spark, sf_dir)).withColumn("arrival_ts", F.timestamp_millis("arrival_ms"))
+    return D.dlq_window_counts(bad, SPEC.window_ms)
+
+
 def _typed(spark, sf_dir):
     return _decoded(spark, sf_dir).filter(F.col("error").isNull() | (F.col("error") != "decode_failed"))
 
@@ -227,6 +232,7 @@ def queries() -> dict[str, Query]:
         "ok_observations": q_ok_observations,
         "dlq_records": q_dlq_records,
         "dlq_reasons": q_dlq_reasons,
+        "dlq_reasons_windowed": q_dlq_reasons_windowed,
         "type_by_metric": q_type_by_metric,
         "type_by_value": q_type_by_value,
         "lateness_classes": q_lateness_classes,

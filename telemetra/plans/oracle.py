@@ -339,6 +339,10 @@ def oracle_queries(spec: WindowSpec = FIXTURE_SPEC) -> dict[str, str]:
 SELECT arrival_seq, error, thing_id, datastream_id, metric, sensor_type, seq, value_kind,
        round(num, 6) AS num, CASE WHEN value_kind <> 'number' THEN sval END AS sval, bval,
        event_ms, publish_ms FROM dec""")
+    q["dlq_reasons_windowed"] = with_(f, d, select=f"""
+SELECT {_wstart('arrival_ms', W)} AS window_start, {_wstart('arrival_ms', W)} + {W} AS window_end,
+       error AS reason, count(*) AS dlq_count
+FROM dec WHERE error IS NOT NULL GROUP BY 1, 2, 3""")
     from telemetra.fixtures.avro_feed import DAMAGED
     gone = lambda c: f"CASE WHEN NOT bad THEN {c} END AS {c}"
     text = ", ".join(gone(c) for c in ("thing_id", "datastream_id", "metric", "sensor_type", "seq"))

@@ -80,7 +80,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder, in whatever store it is."""
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match, in whatever store they are."""
+    fs, p = _file_system(spark, pattern)
+    return [s.getPath().toString() for s in fs.globStatus(p) or []]
+
+
 def remove_cuts(spark: SparkSession) -> None:
     """Delete the intermediate tables of this session once their results have been read."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    delete_path(spark, ensure_checkpoint_dir(spark))

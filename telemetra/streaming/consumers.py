@@ -7,12 +7,13 @@ identity over all batches (R7).
 """
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from telemetra.operators.points import upsert_latest
+from telemetra.session import delete_path, glob_paths
 
 TEXT_SCHEMA = "value string, timestamp_ms bigint"
 
@@ -39,7 +40,8 @@ def kafka_text_stream(spark: SparkSession, servers: str, topic: str, starting_of
     return src.select(value.alias("value"), F.unix_millis("timestamp").alias("timestamp_ms"))
 
 
-POINT_BUCKETS = 64
+#: parts of one level that are merged into one of the next
+MERGE_PARTS = 16
 
 
 def point_sink(stream: DataFrame, to_points: Callable[[DataFrame], DataFrame], identity: list[str],
@@ -47,45 +49,60 @@ def point_sink(stream: DataFrame, to_points: Callable[[DataFrame], DataFrame], i
     """R7 + R9: keep one point per identity: the last write wins, by ``order`` within a
     micro-batch and by micro-batch beyond.
 
-    The table is cut into ``POINT_BUCKETS`` buckets by a hash of the identity. A micro-batch
-    merges its points with the buckets it touches and writes them as the batch's version;
-    ``read_points`` takes every bucket's newest version. A retried batch reads the versions
-    before it and replaces its own, so it changes nothing.
+    A micro-batch appends its own newest points as one part, so it costs what its points cost.
+    ``MERGE_PARTS`` parts of a level are merged into one of the next (``merge_parts``), so that a
+    point is rewritten once a level and few parts are left to read; ``read_points`` takes each
+    identity's newest point over them.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        new = upsert_latest(to_points(batch), identity, order) \
-            .withColumn("bucket", F.pmod(F.xxhash64(*identity), F.lit(POINT_BUCKETS)).cast("int")).persist()
-        touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]     # 64 at most
-        old = _points(spark, path, batch_id, touched)
-        merged = new if old is None else new.unionByName(
-            old.select(*new.columns).join(new.select(*identity), identity, "left_anti"))
-        (merged.withColumn("version", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("version", "bucket").parquet(path))
-        new.unpersist()
+        (upsert_latest(to_points(batch), identity, order).withColumn("_batch", F.lit(batch_id).cast("bigint"))
+         .write.mode("overwrite").parquet(_part(path, 0, batch_id)))
+        merge_parts(batch.sparkSession, path, identity, batch_id)
 
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def _points(spark: SparkSession, path: str, before: int, buckets: list[int] | None = None) -> DataFrame | None:
-    """Rows of every bucket's newest version below ``before``; None while there is no table."""
-    try:
-        table = spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-    table = table.filter(F.col("version") < before)
-    if buckets is not None:
-        table = table.filter(F.col("bucket").isin(buckets))
-    newest = table.groupBy("bucket").agg(F.max("version").alias("version"))
-    return table.join(F.broadcast(newest), ["bucket", "version"])       # a row per bucket
+def _part(path: str, level: int, number: int) -> str:
+    return f"{path}/level={level}/part={number:012d}"
 
 
-def read_points(spark: SparkSession, path: str) -> DataFrame:
+def _finished(spark: SparkSession, path: str) -> set[tuple[int, int]]:
+    """(level, number) of the parts whose write has ended."""
+    found = re.findall(r"/level=(\d+)/part=(\d+)/_SUCCESS", "\n".join(glob_paths(spark, f"{path}/level=*/part=*/_SUCCESS")))
+    return {(int(level), int(number)) for level, number in found}
+
+
+def _newest(points: DataFrame, identity: list[str]) -> DataFrame:
+    rest = [c for c in points.columns if c not in identity]
+    return points.groupBy(*identity).agg(F.max_by(F.struct(*rest), "_batch").alias("_p")).select(*identity, "_p.*")
+
+
+def merge_parts(spark: SparkSession, path: str, identity: list[str], batch_id: int) -> None:
+    """Merge the levels that micro-batch ``batch_id`` completes: part i of a level replaces parts 16 i .. 16 i + 15 below.
+
+    Safe to repeat: a part without its end mark is written anew from the parts below, which go
+    only after it has it.
+    """
+    level = 1
+    while (batch_id + 1) % MERGE_PARTS ** level == 0:
+        number = batch_id // MERGE_PARTS ** level
+        done = _finished(spark, path)
+        below = [_part(path, level - 1, i) for i in range(number * MERGE_PARTS, (number + 1) * MERGE_PARTS) if (level - 1, i) in done]
+        if (level, number) not in done and below:
+            _newest(spark.read.parquet(*below), identity).write.mode("overwrite").parquet(_part(path, level, number))
+        for old in below:
+            delete_path(spark, old)
+        level += 1
+
+
+def read_points(spark: SparkSession, path: str, identity: list[str]) -> DataFrame:
     """The current points: one row per identity."""
-    return _points(spark, path, 1 << 62).drop("bucket", "version")
+    done = _finished(spark, path)
+    covered = {(level - 1, i) for level, number in done if level
+               for i in range(number * MERGE_PARTS, (number + 1) * MERGE_PARTS)}
+    parts = [_part(path, level, number) for level, number in sorted(done - covered)]
+    return _newest(spark.read.parquet(*parts), identity).drop("_batch")
 
 
 def topic_sink(stream: DataFrame, servers: str, topic: str, checkpoint: str, key: str | None = None,

@@ -147,7 +147,7 @@ def test_late_point_sink_on_text_stream(spark):
                        ident, ["_o"], os.path.join(tmp, "out"), os.path.join(tmp, "ck"))
         q.awaitTermination(120)
         assert q.exception() is None
-        return {(r["seq"], r["late_by_seconds"]) for r in read_points(spark, os.path.join(tmp, "out")).collect()}
+        return {(r["seq"], r["late_by_seconds"]) for r in read_points(spark, os.path.join(tmp, "out"), ident).collect()}
 
     assert feed_file("a.txt", lines) == {("3", 2.5), ("4", 1.5)}     # same identity: the later message wins
     # a later batch replaces one point, adds one and leaves one: one row per identity in the table
@@ -155,6 +155,47 @@ def test_late_point_sink_on_text_stream(spark):
     assert feed_file("b.txt", more) == {("3", 9.5), ("4", 1.5), ("5", 1.5)}
 
 
+def test_point_parts_over_many_batches(spark, monkeypatch):
+    """50 micro-batches: the newest point of every identity, few parts left, and a merge may be run again."""
+    from telemetra.streaming import consumers
+    monkeypatch.setattr(consumers, "MERGE_PARTS", 4)
+    path, ident, want = tempfile.mkdtemp(prefix="points-", dir=os.environ.get("TMPDIR", "/tmp")), ["id"], {}
+    current = lambda: {r["id"]: r["v"] for r in consumers.read_points(spark, path, ident).collect()}
+    for b in range(50):
+        rows = [(i, b * 1000 + i) for i in {b % 7, (b * 5) % 11, 100 + b}]
+        want.update(rows)
+        spark.createDataFrame(rows, "id long, v long").withColumn("_batch", F.lit(b).cast("bigint")).coalesce(1) \
+            .write.parquet(consumers._part(path, 0, b))
+        if b == 31:                    # a merged part that lost its end mark, and one whose sources were not deleted yet
+            delete = consumers.delete_path
+            monkeypatch.setattr(consumers, "delete_path", lambda *a: None)
+            consumers.merge_parts(spark, path, ident, b)
+            os.remove(consumers._part(path, 1, 7) + "/_SUCCESS")
+            assert current() == want
+            monkeypatch.setattr(consumers, "delete_path", delete)
+        consumers.merge_parts(spark, path, ident, b)
+    assert current() == want
+    assert len(consumers._finished(spark, path)) <= 3 * 4
+    consumers.merge_parts(spark, path, ident, 47)
+    assert current() == want
+
+
+def test_windowed_reason_counts_on_a_stream(spark):
+    """V9 with append output equals the batch counts of every window that the watermark has passed."""
+    from telemetra.operators.decode import dlq_window_counts
+    raw = feed(spark, ["garbage", obs(1000, seq="x"), "garbage", obs(2000), "more", obs(3000, thing=" "), obs(4000, value=None)], step_ms=4000)
+    tmp = tempfile.mkdtemp(prefix="stream-dlq-", dir=os.environ.get("TMPDIR", "/tmp"))
+    write_batches(raw.orderBy("arrival_seq").collect(), os.path.join(tmp, "in"))
+    stream = decode_observations(raw_file_stream(spark, os.path.join(tmp, "in"))).withWatermark("arrival_ts", "1 second")
+    q = (dlq_window_counts(stream.filter("error IS NOT NULL"), 10_000).writeStream.format("parquet").outputMode("append")
+         .option("path", os.path.join(tmp, "out")).option("checkpointLocation", os.path.join(tmp, "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(180)
+    bad = dlq_records(decode_observations(raw)).withColumn("arrival_ts", F.timestamp_millis("arrival_ms"))
+    want = {tuple(r) for r in dlq_window_counts(bad, 10_000).filter("window_end <= 23000").collect()}
+    assert {tuple(r) for r in spark.read.parquet(os.path.join(tmp, "out")).collect()} == want and len(want) == 3
+
+
 def test_relay_forwards_bytes(spark):
     from telemetra.streaming.processor import relay
     raw = feed(spark, F4)
