@@ -19,9 +19,9 @@ often as they occur. An empty table gives an empty result.
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,19 +35,23 @@ MAX_TOKENS = 2048
 END_ID = 1
 DIMS = 3
 BITS = 10
-#: pieces of text kept with their ids in one Python worker
-CACHE_ENTRIES = 120_000
+#: pieces of text kept with their ids in one Python worker; batches of pieces with a longer one aren't kept
+CACHE_ENTRIES, CACHE_BYTES = 200_000, 256
+#: bytes of ids that a task of the range sort reads
+TASK_BYTES = 64 << 20
 SEQUENCE_SHIFT = 40
-_two_spaces = re.compile(r"[\s\x85][\s\x85]")
+#: a blank that white space or the text's end follows: the vocabulary's split rule may not cut before it
+OPEN_BLANK = r" (?:[\s\v\x{85}\x{1c}-\x{1f}\p{Z}]|\z)"
 
 
 class ByteBpe:
     """The ids of a byte-level BPE vocabulary (``tokenizers`` JSON), without special tokens.
 
-    Text without two white-space characters in a row is cut before every blank, where the
-    vocabulary's own split rule always cuts; pieces are then looked up in a bounded cache
-    and encoded with the rank form of the same merges. Other texts are encoded whole by the
-    rank form, and texts that spell a special token by ``tokenizers`` itself.
+    Before a blank that a character other than white space follows, the vocabulary's own
+    split rule always cuts, so texts are cut there and each distinct piece of a batch is
+    encoded once: looked up among the first ``CACHE_ENTRIES`` pieces met, or encoded together with
+    the batch's other new pieces by the rank form of the same merges. Texts with other blanks are encoded whole
+    by the rank form, and texts that spell a special token by ``tokenizers`` itself.
     """
 
     def __init__(self, path: str):
@@ -60,7 +64,12 @@ class ByteBpe:
         ranks = {bytes(to_byte[c] for c in t): i for t, i in parts["model"]["vocab"].items() if t not in self.special}
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         self.ranks = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.cache: dict[str, bytes] = {}
+        self.size = np.zeros(1 << 16, dtype=np.int64)          # bytes of each id
+        self.size[list(ranks.values())] = [len(t) for t in ranks]
+        # ids of the pieces met first, one after another, and where each piece's are
+        self.known: dict[str, int] = {}
+        self.pool = np.zeros(0, dtype="<u2")
+        self.first, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _whole(self, text: str) -> bytes:
         """By the vocabulary's own library, which is loaded only for texts that need it."""
@@ -69,28 +78,65 @@ class ByteBpe:
             self.full = Tokenizer.from_file(self.path)
         return np.array(self.full.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
 
-    def _encode(self, text: str) -> bytes:
-        return np.array(self.ranks.encode_ordinary(text), dtype="<u2").tobytes()
-
     def encode(self, text: str) -> bytes:
-        """Little-endian 16-bit ids."""
+        """Little-endian 16-bit ids of one text."""
         if any(s in text for s in self.special):
             return self._whole(text)
-        if _two_spaces.search(text):
-            return self._encode(text)
-        cache, out = self.cache, []
-        for i, piece in enumerate(text.split(" ")):
-            if i:
-                piece = " " + piece
-            ids = cache.get(piece)
-            if ids is None:
-                if len(cache) >= CACHE_ENTRIES:
-                    cache.clear()
-                ids = self._encode(piece)
-                if len(piece) <= 64:
-                    cache[piece] = ids
-            out.append(ids)
-        return b"".join(out)
+        return np.array(self.ranks.encode_ordinary(text), dtype="<u2").tobytes()
+
+    def pieces(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, first, length): where among ``ids`` those of each distinct piece, with the blank before it, are."""
+        words = distinct.to_numpy(zero_copy_only=False).tolist()        # much faster than to_pylist
+        slot = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(slot < 0)
+        first, length = self.first[slot] if len(self.first) else slot.copy(), self.length[slot] if len(self.first) else slot.copy()
+        if not len(new):
+            return self.pool, first, length
+        # encoded as one text and cut where the pieces end
+        told = [words[i] for i in new.tolist()]
+        ids = np.array(self.ranks.encode_ordinary(" " + " ".join(told)), dtype="<u2")
+        size = pc.binary_length(distinct).to_numpy()[new]
+        ends = np.searchsorted(np.cumsum(self.size[ids]), np.cumsum(size + 1)) + 1
+        length[new] = np.diff(ends, prepend=0)
+        first[new] = len(self.pool) + ends - length[new]
+        ids = np.concatenate([self.pool, ids])
+        if len(self.known) + len(new) <= CACHE_ENTRIES and size.max() <= CACHE_BYTES:
+            self.known.update(zip(told, range(len(self.known), len(self.known) + len(told))))
+            self.pool = ids
+            self.first, self.length = np.concatenate([self.first, first[new]]), np.concatenate([self.length, length[new]])
+        return ids, first, length
+
+    def needs_whole(self, texts: pa.Array) -> np.ndarray:
+        """Texts that can't be cut at blanks."""
+        hard = pc.match_substring_regex(texts, OPEN_BLANK)
+        for s in self.special:
+            hard = pc.or_(hard, pc.match_substring(texts, s))
+        return hard.to_numpy(zero_copy_only=False)
+
+    def encode_cut(self, texts: pa.Array, towards: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of all texts, each with the end id; their ends; sum of the ids' directions a text) of texts that can be cut."""
+        lists = pc.split_pattern(texts, " ")
+        offsets, flat = np.asarray(lists.offsets, dtype=np.int64), lists.flatten()
+        offsets = offsets - offsets[0]
+        coded = flat.dictionary_encode()
+        at = coded.indices.to_numpy().astype(np.int64)
+        ids, first, length = self.pieces(coded.dictionary)
+        # a text's first piece has no blank before it; its end id is one more piece
+        openings = flat.take(pa.array(offsets[:-1])).dictionary_encode()
+        others = [np.array(self.ranks.encode_ordinary(t), dtype="<u2") for t in openings.dictionary.to_pylist()]
+        others.append(np.array([END_ID], dtype="<u2"))
+        sizes = np.fromiter(map(len, others), np.int64, len(others))
+        at[offsets[:-1]] = len(first) + openings.indices.to_numpy()
+        at = np.insert(at, offsets[1:], len(first) + len(others) - 1)
+        first = np.concatenate([first, len(ids) + np.cumsum(sizes) - sizes])
+        length, ids = np.concatenate([length, sizes]), np.concatenate([ids, *others])
+        n = length[at]
+        ends = np.cumsum(n)
+        taken = ids[np.repeat(first[at] - (ends - n), n) + np.arange(ends[-1])]
+        text_ends = ends[offsets[1:] + np.arange(len(texts))]
+        starts = np.concatenate([[0], text_ends[:-1]])
+        sums = np.stack([np.add.reduceat(towards[:, k][taken], starts, dtype=np.float64) for k in range(towards.shape[1])], axis=1)
+        return taken, text_ends, sums
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -149,23 +195,35 @@ def curve_key(vectors: np.ndarray, bits: int = BITS) -> np.ndarray:
     return hilbert_key(np.clip((spread * (1 << bits)).astype(np.int64), 0, (1 << bits) - 1), bits)
 
 
+def _rows(batch: pa.RecordBatch, ids: np.ndarray, ends: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+    """Output rows for (id, text, tie) rows whose ids end at ``ends``."""
+    n = np.diff(ends, prepend=0)
+    offsets = np.concatenate([[0], 2 * ends]).astype(np.int32)
+    data = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(ids.astype("<u2").tobytes())])
+    return pa.RecordBatch.from_arrays([batch.column(0), pa.array(curve_key(sums / n[:, None])), batch.column(2), pa.array(n), data],
+                                      names=["id", "key", "tie", "n", "ids"])
+
+
 def tokenised(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, key, tie, ids): 16-bit ids with the end id, Hilbert key, tie-break hash."""
+    """(doc_id, key, tie, n, ids): 16-bit ids with the end id and their number, Hilbert key, tie-break hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, towards, end = tokenizer(path), directions(), np.array([END_ID], dtype="<u2").tobytes()
         for whole in batches:
-            sizes = pc.fill_null(pc.utf8_length(whole.column(1)), 0).to_pylist()
-            for i, j in ranges(sizes):
-                batch = whole.slice(i, j - i)
-                ids = [bpe.encode(t or "") + end for t in batch.column(1).to_pylist()]
-                vectors = np.stack([towards[np.frombuffer(b, dtype="<u2")].mean(0) for b in ids])
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0), pa.array(curve_key(vectors), pa.int64()), batch.column(2),
-                    pa.array(ids, pa.binary())], names=["id", "key", "tie", "ids"])
+            texts = pc.fill_null(whole.column(1).cast(pa.string()), "")
+            for i, j in ranges(pc.utf8_length(texts).to_pylist()):
+                batch, part = whole.slice(i, j - i), texts.slice(i, j - i)
+                hard = bpe.needs_whole(part)
+                easy = pa.array(~hard)
+                if not hard.all():
+                    yield _rows(batch.filter(easy), *bpe.encode_cut(part.filter(easy), towards))
+                if hard.any():
+                    ids = [np.frombuffer(bpe.encode(t) + end, dtype="<u2") for t in part.filter(pa.array(hard)).to_pylist()]
+                    sums = np.stack([towards[x].sum(0, dtype=np.float64) for x in ids])
+                    yield _rows(batch.filter(pa.array(hard)), np.concatenate(ids), np.cumsum(list(map(len, ids))), sums)
             release()
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("tie")) \
-        .mapInArrow(run, f"id {kind}, key long, tie long, ids binary")
+        .mapInArrow(run, f"id {kind}, key long, tie long, n long, ids binary")
 
 
 def binary_lengths(n: int) -> list[int]:
@@ -211,8 +269,11 @@ PIECE_COLUMNS = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "o
 def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text",
          max_tokens: int = MAX_TOKENS) -> DataFrame:
     """Pieces (id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of all documents."""
-    ordered = cut(tokenised(docs, path, id_col, text), "packing-ids") \
-        .repartitionByRange("key", "tie", "id").sortWithinPartitions("key", "tie", "id").select("id", "ids")
+    written = cut(tokenised(docs, path, id_col, text), "packing-ids")
+    size = 2 * (written.agg(F.sum("n")).first()[0] or 0)
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES))
+    ordered = written.drop("n").repartitionByRange(tasks, "key", "tie", "id") \
+        .sortWithinPartitions("key", "tie", "id").select("id", "ids")
     kind = docs.schema[id_col].dataType.simpleString()
     doc_type = pa.int64() if kind == "bigint" else None
     schema = f"id {kind}, " + ", ".join(f"{c} long" for c in PIECE_COLUMNS)

@@ -50,8 +50,44 @@ def test_ids_equal_the_vocabulary_library(text):
     from tokenizers import Tokenizer
     global _full
     _full = globals().get("_full") or Tokenizer.from_file(queries.vocabulary())
-    got = np.frombuffer(packing.tokenizer(queries.vocabulary()).encode(text), dtype="<u2").tolist()
-    assert got == _full.encode(text, add_special_tokens=False).ids
+    want = _full.encode(text, add_special_tokens=False).ids
+    bpe = packing.tokenizer(queries.vocabulary())
+    assert np.frombuffer(bpe.encode(text), dtype="<u2").tolist() == want
+    assert cut_ids(bpe, [text, "", text])[::2] == [want, want]
+
+
+def cut_ids(bpe, texts):
+    """Ids by the path that a text takes: cut at blanks where it can be."""
+    import pyarrow as pa
+    hard, out = bpe.needs_whole(pa.array(texts, pa.string())), [None] * len(texts)
+    easy = [i for i in range(len(texts)) if not hard[i]]
+    if easy:
+        ids, ends, sums = bpe.encode_cut(pa.array(["left out", *(texts[i] for i in easy)]).slice(1), packing.directions())
+        for i, part, total in zip(easy, np.split(ids, ends[:-1]), sums):
+            assert part[-1] == packing.END_ID and np.allclose(total, packing.directions()[part].sum(0, dtype=float), atol=1e-4)
+            out[i] = part[:-1].tolist()
+    return [np.frombuffer(bpe.encode(t), dtype="<u2").tolist() if out[i] is None else out[i] for i, t in enumerate(texts)]
+
+
+def test_pieces_in_slices_and_a_full_cache(reference, monkeypatch):
+    """Distinct pieces are encoded together, with a cache that keeps overflowing."""
+    monkeypatch.setattr(packing, "CACHE_ENTRIES", 50)
+    bpe = packing.ByteBpe(queries.vocabulary())
+    texts = [" ".join(f"Wörd{(i * j) % 97}x, y{j}" for j in range(60)) for i in range(40)] + ["a\n b \n c", "x  ", " lead", "", "é" * 300]
+    for part in (texts, texts[::-1]):
+        assert cut_ids(bpe, part) == [reference.encode(t, add_special_tokens=False).ids for t in part]
+    assert len(bpe.known) <= 50
+
+
+def test_neighbours_on_the_curve_share_sequences(spark):
+    """Texts of one kind are packed together: sequences hold far fewer kinds than by chance."""
+    kinds = [[f"{w}{k}" for w in ("stone", "river", "cloud", "ember", "metal")] for k in ("a", "zz", "9", "É")]
+    rows = [(i, " ".join(kinds[i % 4][j % 5] for j in range(60))) for i in range(400)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), queries.vocabulary()).collect()
+    held = defaultdict(set)
+    for r in got:
+        held[r["sequence_id"]].add(r["doc_id"] % 4)
+    assert np.mean([len(v) for v in held.values()]) < 2
 
 
 def test_special_token_text(reference):
