@@ -37,10 +37,6 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 #: bits a character that the best window must reach, by character class
 THRESHOLDS = {"hex": 3.0, "alnum": 3.55, "base64": 3.7}
-#: the allow-list of the reference SQL, which drops a whole candidate
-ALLOWED = (r"(?i)example|placeholder|changeme|your[_-]|xxxx|abcdefgh|01234567|12345678"
-           r"|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
-           r"|^[/_=+-]|//|(?:[a-z]{2,}[_/-]){3}|__|==|\+\+|--")
 #: values that are no secrets, wherever the hit lies
 NO_VALUE = (r"(?i)example|placeholder|changeme|your[_-]|xxxx|abcdefgh|01234567|12345678"
             r"|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$")
@@ -59,53 +55,67 @@ def _span(kind: int, start: Column, end: Column) -> Column:
     return F.struct(start.cast("int").alias("start"), F.lit(kind).alias("kind"), end.cast("int").alias("end"))
 
 
+SPAN = "struct<start:int,kind:int,end:int>"
+#: matches whose spans are gathered in one array before it is put away; bounds what an appended span copies
+SPANS_AT_ONCE = 256
+
+
 def spans_of(text: Column, pattern: str, kind: int, ok=None) -> Column:
     """Array of (start, kind, end): all matches of ``pattern`` in text order."""
-    gaps, found = _pieces(text, pattern, 1), _pieces(text, pattern, 2)
-    walked = F.aggregate(
-        F.arrays_zip(gaps.alias("gap"), found.alias("hit")),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,kind:int,end:int>>").alias("spans")),
-        lambda a, x: F.struct(
-            (a["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("at"),
-            F.concat(a["spans"], F.array(_span(kind, a["at"] + F.length(x["gap"]),
-                                               a["at"] + F.length(x["gap"]) + F.length(x["hit"])))
-                     if ok is None else
-                     F.when(ok(x["hit"]), F.array(_span(kind, a["at"] + F.length(x["gap"]),
-                                                        a["at"] + F.length(x["gap"]) + F.length(x["hit"]))))
-                     .otherwise(F.array().cast("array<struct<start:int,kind:int,end:int>>"))).alias("spans")),
-        lambda a: a["spans"])
-    return walked
-
-
-def _clog(n: Column) -> Column:
+    zipped = F.arrays_zip(_pieces(text, pattern, 1).alias("gap"), _pieces(text, pattern, 2).alias("hit"))
+    none = F.array().cast(f"array<{SPAN}>")
+
+    def one(a: Column, x: Column) -> Column:
+        start = a["at"] + F.length(x["gap"])
+        end = start + F.length(x["hit"])
+        span = F.array(_span(kind, start, end))
+        return F.struct(end.alias("at"), F.concat(a["spans"], span if ok is None else F.when(ok(x["hit"]), span).otherwise(none)).alias("spans"),
+                        a["done"].alias("done"))
+
+    def block(found: Column):
+        # a block's matches, then the block itself is put away
+        return lambda a, b: F.aggregate(
+            F.slice(found, b * SPANS_AT_ONCE + 1, SPANS_AT_ONCE),
+            F.struct(a["at"].alias("at"), none.alias("spans"), a["done"].alias("done")), one,
+            lambda z: F.struct(z["at"].alias("at"), F.concat(z["done"], F.array(z["spans"])).alias("done")))
+
+    def walked(found: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor((F.size(found) - 1) / SPANS_AT_ONCE).cast("int"))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{SPAN}>>").alias("done"))
+        return F.when(F.size(found) > 0, F.aggregate(blocks, start, block(found), lambda a: F.flatten(a["done"]))).otherwise(none)
+    # the matches are found once: a one-element array carries them into the walk
+    return F.transform(F.array(zipped), walked)[0]
+
+
+def _clog(n: int) -> float:
     """n log2 n, 0 at 0."""
-    return F.when(n > 0, n * F.log2(F.greatest(n, F.lit(1)).cast("double"))).otherwise(F.lit(0.0))
+    return n * math.log2(n) if n else 0.0
 
 
 def best_entropy(candidate: Column, window: int = WINDOW) -> Column:
     """Highest Shannon entropy (bits a character) of a window sliding over ``candidate``.
 
-    Needs a candidate of at least ``window`` characters.
+    Needs a candidate of at least ``window`` characters. The window's own characters travel
+    along, so a step costs the same wherever it is in the candidate.
     """
+    # what the sum of c log2 c grows by when a count goes from n to n + 1
+    growth = F.array(*[F.lit(_clog(n + 1) - _clog(n)) for n in range(window + 1)])
+
     def count(where: Column, c: Column) -> Column:
         return F.length(where) - F.length(F.replace(where, c, F.lit("")))
 
-    def char(i: Column) -> Column:
-        return F.substring(candidate, i, F.lit(1))
-
     # the first window fills up one character at a time, later ones also lose one
-    def step(a: Column, i: Column) -> Column:
-        held = F.substring(candidate, F.greatest(i - window, F.lit(1)), F.least(i - 1, F.lit(window)))
-        entering, leaving = char(i), char(i - window)
-        left = F.when(i > window, F.substring(held, F.lit(2), F.lit(window - 1))).otherwise(held)
-        n_out = F.when(i > window, count(held, leaving)).otherwise(F.lit(0))
-        n_in = count(left, entering)
-        s = a["s"] - _clog(n_out) + _clog(F.greatest(n_out - 1, F.lit(0))) - _clog(n_in) + _clog(n_in + 1)
-        return F.struct(s.alias("s"), F.when(i >= window, F.least(a["least"], s)).otherwise(a["least"]).alias("least"))
+    def step(a: Column, entering: Column) -> Column:
+        held, full = a["held"], F.length(a["held"]) == window
+        left = F.when(full, F.substring(held, 2, window - 1)).otherwise(held)
+        lost = F.when(full, F.get(growth, count(held, F.substring(held, 1, 1)) - 1)).otherwise(F.lit(0.0))
+        s = a["s"] + F.get(growth, count(left, entering)) - lost
+        return F.struct(s.alias("s"), F.when(F.length(held) >= window - 1, F.least(a["least"], s)).otherwise(a["least"]).alias("least"),
+                        F.concat(left, entering).alias("held"))
 
     return F.aggregate(
-        F.sequence(F.lit(1), F.length(candidate)),
-        F.struct(F.lit(0.0).alias("s"), F.lit(1e9).alias("least")), step,
+        F.split(candidate, ""),
+        F.struct(F.lit(0.0).alias("s"), F.lit(1e9).alias("least"), F.lit("").alias("held")), step,
         lambda a: F.lit(math.log2(window)) - a["least"] / window)
 
 
@@ -136,7 +146,7 @@ def scan(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFra
     """(id, assign, access, hex, entropy): arrays of (start, kind, end) per row."""
     t = F.coalesce(F.col(text), F.lit(""))
     # a row without the sign that every match needs skips the pattern
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    none = F.array().cast(f"array<{SPAN}>")
     base = docs.select(
         F.col(id_col), t.alias("_text"),
         F.when(t.rlike(r"(?i)(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]"),
@@ -162,18 +172,24 @@ def scan_report(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
 
 
 def sql() -> str:
-    """DuckDB SQL for the rows of op2_secret_scan: matches and the gaps between them give positions."""
+    """DuckDB SQL for the rows of op2_secret_scan: matches and the gaps between them give positions;
+    a window's entropy is computed from its own characters. The patterns' look-around is written
+    as groups that are put back, which RE2 has."""
     quoted = lambda p: "'" + p.replace("'", "''") + "'"
     patterns = [ASSIGN, ACCESS, HEX, CANDIDATE]
     found = " UNION ALL ".join(
         f"SELECT rid, {k} AS kind, regexp_extract_all(t, {quoted(p)}) AS hits, string_split_regex(t, {quoted(p)}) AS gaps FROM d"
         for k, p in enumerate(patterns))
-    entropy = (f"list_max(list_transform(range(0, len(hit) - {WINDOW} + 1), lambda j: list_sum(list_transform("
-               f"list_distinct(string_split(substr(hit, j + 1, {WINDOW}), '')), lambda c: "
-               f"-(({WINDOW} - len(replace(substr(hit, j + 1, {WINDOW}), c, ''))) / {WINDOW}.0) * "
-               f"log2(({WINDOW} - len(replace(substr(hit, j + 1, {WINDOW}), c, ''))) / {WINDOW}.0)))))")
+    entropy = (f"list_max(list_transform(range(0, len(part) - {WINDOW} + 1), lambda j: list_sum(list_transform("
+               f"list_distinct(string_split(substr(part, j + 1, {WINDOW}), '')), lambda c: "
+               f"-(({WINDOW} - len(replace(substr(part, j + 1, {WINDOW}), c, ''))) / {WINDOW}.0) * "
+               f"log2(({WINDOW} - len(replace(substr(part, j + 1, {WINDOW}), c, ''))) / {WINDOW}.0)))))")
     names = "[" + ", ".join(f"'{k}'" for k in KINDS) + "]"
     listed = f"string_agg({names}[kind + 1] || ':' || s || ':' || e, ',' ORDER BY s, kind, e)"
+    words = (rf"(^|[^A-Za-z0-9+])(?:{_WORD}[_/-]+(?:{_WORD}[_/-]+){{2,}}{_WORD}?|{_WORD}(?:__|--){_WORD})")
+    parts = (f"flatten(list_transform(list_filter(string_split(regexp_replace(hit, '=([^=])', chr(1) || '\\1', 'g'), chr(1)), "
+             f"lambda v: NOT regexp_matches(v, {quoted(NO_VALUE)})), "
+             f"lambda v: string_split(regexp_replace(v, {quoted(words)}, '\\1' || chr(1), 'g'), chr(1))))")
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 found AS ({found}),
@@ -184,12 +200,15 @@ placed AS (SELECT rid, kind, hits[i] AS hit,
 spans AS (SELECT rid, kind, hit, s, s + len(hit) AS e FROM placed),
 base AS (SELECT * FROM spans WHERE (kind = 0 AND len(regexp_extract(hit, {quoted(ASSIGN)}, 2)) >= {MIN_ASSIGN})
                                 OR (kind = 1 AND len(hit) >= {MIN_ACCESS}) OR kind = 2),
-candidates AS (SELECT * FROM spans c WHERE kind = 3 AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]')
-               AND NOT regexp_matches(hit, {quoted(ALLOWED)})
+candidates AS (SELECT * FROM spans c WHERE kind = 3
                AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = c.rid AND b.s < c.e AND c.s < b.e)),
-every AS (SELECT * FROM base UNION ALL
-          SELECT * FROM candidates WHERE {entropy} >= CASE WHEN regexp_matches(hit, '^[0-9a-fA-F]+$') THEN {THRESHOLDS['hex']}
-            WHEN regexp_matches(hit, '^[A-Za-z0-9]+$') THEN {THRESHOLDS['alnum']} ELSE {THRESHOLDS['base64']} END),
+parts AS (SELECT rid, kind, hit, s, e, unnest(CASE WHEN regexp_matches(hit, {quoted(BY_PARTS)})
+                 THEN list_filter({parts}, lambda v: len(v) >= {WINDOW}) ELSE [hit] END) AS part FROM candidates),
+secrets AS (SELECT DISTINCT rid, kind, hit, s, e FROM parts
+            WHERE regexp_matches(part, '[0-9]') AND regexp_matches(part, '[A-Za-z]') AND {entropy} >=
+            CASE WHEN regexp_matches(part, '^[0-9a-fA-F]+$') THEN {THRESHOLDS['hex']}
+                 WHEN regexp_matches(part, '^[A-Za-z0-9]+$') THEN {THRESHOLDS['alnum']} ELSE {THRESHOLDS['base64']} END),
+every AS (SELECT * FROM base UNION ALL SELECT * FROM secrets),
 told AS (SELECT rid, count(*) FILTER (WHERE kind = 0) AS a, count(*) FILTER (WHERE kind = 1) AS k,
                 count(*) FILTER (WHERE kind = 2) AS h, count(*) FILTER (WHERE kind = 3) AS n,
                 {listed.replace("ORDER BY s, kind, e)", "ORDER BY s, kind, e) FILTER (WHERE kind < 3)")} AS b, {listed} AS every_one

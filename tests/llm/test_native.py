@@ -119,7 +119,7 @@ def test_secret_sql_tells_the_hand_cases():
 
 
 def test_secrets_with_names_padding_and_signs_are_told(spark):
-    """The reference SQL drops these whole candidates; the operator doesn't."""
+    """Names, values and joined words are judged apart, by the operator and by its SQL."""
     import base64
     import random
     rng = random.Random(3)
@@ -137,6 +137,45 @@ def test_secrets_with_names_padding_and_signs_are_told(spark):
     missed = [t for i, t in enumerate(told) if got[i] != f"entropy:4:{4 + len(t)}"]
     assert not [t for t in missed if t not in coded] and len(missed) <= len(coded) // 50, missed   # chance low entropy
     assert [got[len(told) + i] for i in range(len(not_told))] == [""] * len(not_told)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [list(r) for r in df.collect()])
+    assert dict(con.execute(f"SELECT doc_id, spans FROM ({secrets.sql()})").fetchall()) == got
+
+
+def test_secret_sql_on_random_joined_words(spark):
+    """Random runs of names, words, signs and keys reach every allow rule: the SQL tells what the operator tells."""
+    import random
+    rng = random.Random(11)
+    pieces = ["my", "App", "KEY", "secretName", "your", "example", "xxxx", "12345678", "a1", "Zx9Qk2Lm7Vt4Rb8Np1Wc6Yd", "wJ4lrXUtnF3MIbK7MD9N",
+              "0f3a9c77d2", "camelCaseWord", "v2", "path", "to"]
+    texts = ["".join(rng.choice(pieces) + rng.choice(["_", "-", "/", "=", "==", "__", "--", "+", "", "_"])
+                     for _ in range(rng.randrange(2, 9))) + rng.choice(["", "=", " tail"]) for _ in range(900)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in secrets.scan_report(df).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [list(x) for x in enumerate(texts)])
+    want = dict(con.execute(f"SELECT doc_id, spans FROM ({secrets.sql()})").fetchall())
+    assert [(texts[i], got[i], want[i]) for i in got if got[i] != want[i]] == []
+    assert 100 < sum("entropy" in v for v in got.values()) < 800
+
+
+def test_secret_scan_of_long_runs_and_many_matches(spark):
+    """A run of a million characters, and a text of 20,000 matches: time in proportion to their length."""
+    import random
+    import time
+    rng = random.Random(2)
+    run = "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWabcdefghjkmnpqrstuvw023456789") for _ in range(1_000_000))
+    flat = "a1" * 500_000
+    many = " ".join(f"{i:016x}" for i in range(20_000))
+    df = spark.createDataFrame([(0, f"img {run} end"), (1, flat), (2, many)], "doc_id long, text string").repartition(3)
+    secrets.scan_report(df.limit(1)).collect()
+    began = time.time()
+    got = {r["doc_id"]: r for r in secrets.scan_report(df).collect()}
+    assert time.time() - began < 90
+    assert got[0]["spans"] == f"entropy:4:{4 + len(run)}" and got[1]["spans"] == ""
+    assert got[2]["n_hex"] == 20_000 and got[2]["spans"].endswith(f"hex:{17 * 19_999}:{17 * 20_000 - 1}")
 
 
 def test_sliding_entropy_equals_brute_force(spark):
