@@ -1,42 +1,50 @@
 """Document fingerprints from closed syncmers, with DataFrame functions only.
 
-A text is a sequence of tokens: runs of up to ``TOKEN_CHARS`` non-space characters, each
-hashed to 64 bits. A k-mer is ``K`` tokens in a row, an inner substring ``S`` of them. A
-k-mer is a **closed syncmer** when the smallest hash among its inner substrings is that of
-its first or its last one. Whether a k-mer is chosen depends on the k-mer alone, so the
+A text is a sequence of tokens: runs of letters, of digits and of signs, and single
+characters of scripts that are written without blanks; a cut depends on the two characters
+beside it alone. Tokens are hashed to 64 bits, and the sequence is led and followed by
+``K`` - 1 marks that hash lower than any token. A k-mer is ``K`` tokens in a row; it is a
+**closed syncmer** when the smallest hash among its inner substrings of ``S`` tokens is that
+of its first or its last one. Whether a k-mer is chosen depends on the k-mer alone, so the
 same passage yields the same anchors in any text (no context), and of any K - S + 1
-neighbouring k-mers one at least is chosen.
+neighbouring k-mers one at least is chosen. K-mers that hold marks are always chosen: the
+first and last tokens of a text are anchors of it, so a text of any length has some.
 
-The fingerprint lists the anchors' 32-bit hashes in text order, as hex. Texts of fewer
-than K tokens have one anchor for every token; a text without tokens has none. Likeness of
-two fingerprints is the Jaccard index of their anchors; two empty ones are alike (1.0), an
-empty and a non-empty one are not (0.0).
+The fingerprint lists the anchors' 32-bit hashes in text order, as hex. A text without
+tokens has none. Likeness of two fingerprints is the Jaccard index of their anchors; two
+empty ones are alike (1.0), an empty and a non-empty one are not (0.0).
 
-``anchors`` gives (position, hash) pairs and ``match_positions`` joins two tables of them
-on the hash, grouped by offset, for positional matching.
+``anchors`` gives (position, 64-bit hash) pairs, positions in tokens, and
+``match_positions`` joins two tables of them on the hash, grouped by offset, for positional
+matching.
 
-Null text counts as empty. All work is per row, linear in the text; the one shuffle is
-that of ``with_next``.
+Null text counts as empty. Ids may be of any type that has an order; equal ids follow each
+other by text, and null ids come first. All work is per row, linear in the text; the
+shuffles are those of ``with_next``.
 """
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import IntegralType
 
 from telemetra.llm.common import cut
-
-K = 8
-S = 2
-TOKEN_CHARS = 16
+from telemetra.llm.merkle import ranked
+
+K = 5
+S = 1
+#: scripts whose words follow each other without blanks: every character is a token
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+TOKEN = rf"[{UNSPACED}]|[\p{{L}}\p{{M}}&&[^{UNSPACED}]]+|\p{{N}}+|[^\s\p{{L}}\p{{M}}\p{{N}}]+"
+MARK = -(1 << 63)   # below (or equal to) every hash
 BLOCK = 64          # consecutive ids linked in one window partition
-BLOCKS = 4096       # blocks linked in one window partition of the upper level
-NULL_BLOCK = -(1 << 60)
+PREFIX = 24         # characters of the text that tell blocks of null ids apart
 
 
 def token_hashes(text: Column) -> Column:
-    """Array of 64-bit token hashes; whole words where none is longer than TOKEN_CHARS."""
-    tokens = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"\S{1,%d}" % TOKEN_CHARS), F.lit(0))
+    """Array of 64-bit token hashes."""
+    tokens = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
     return F.transform(tokens, lambda t: F.xxhash64(t))
 
 
@@ -46,6 +54,7 @@ def _let(value: Column, use) -> Column:
 
 
 def _anchors(text: Column, k: int, s: int, positions: bool) -> Column:
+    """Anchor hashes of a text with its marks; with ``positions``, (position, hash) of k-mers without marks."""
     last = k - s      # index of the last inner substring of a k-mer
 
     def inner_of(h: Column) -> Column:
@@ -53,21 +62,22 @@ def _anchors(text: Column, k: int, s: int, positions: bool) -> Column:
                            lambda x, i: F.xxhash64(x, *[F.get(h, i + j) for j in range(1, s)]))
 
     def chosen(h: Column, g: Column) -> Column:
-        code = lambda i: F.hash(*[F.get(h, i + j) for j in range(k)])
-        starts = F.sequence(F.lit(0), F.size(h) - k)
-        closed = F.filter(starts, lambda i: (
-            F.least(*[F.get(g, i + j) for j in range(1, last)]) >= F.least(F.get(g, i), F.get(g, i + last))))
-        return F.transform(closed, lambda i: F.struct(i.alias("position"), code(i).alias("hash")) if positions else code(i))
-
-    def short(h: Column) -> Column:
-        return F.transform(h, lambda x, i: F.struct(i.alias("position"), F.hash(x).alias("hash")) if positions else F.hash(x))
+        tokens = lambda i: [F.get(h, i + j) for j in range(k)]
+        closed = F.filter(F.sequence(F.lit(0), F.size(h) - k), lambda i: (
+            (F.get(h, i) == MARK) | (F.get(h, i + (k - 1)) == MARK)
+            | (F.least(*[F.get(g, i + j) for j in range(1, last)]) >= F.least(F.get(g, i), F.get(g, i + last)))))
+        code = (lambda i: F.struct(i.alias("position"), F.xxhash64(*tokens(i)).alias("hash"))) if positions else (lambda i: F.hash(*tokens(i)))
+        return F.transform(closed, code)
 
-    return _let(token_hashes(text), lambda h: F.when(F.size(h) < k, short(h))
-                .otherwise(_let(inner_of(h), lambda g: chosen(h, g))))
+    none = F.array().cast("array<struct<position:int,hash:bigint>>" if positions else "array<int>")
+    marks = F.array_repeat(F.lit(MARK), k - 1)
+    led = token_hashes(text) if positions else _let(
+        token_hashes(text), lambda h: F.when(F.size(h) > 0, F.concat(marks, h, marks)).otherwise(h))
+    return _let(led, lambda h: F.when(F.size(h) >= k, chosen(h, h) if s == 1 else _let(inner_of(h), lambda g: chosen(h, g))).otherwise(none))
 
 
 def anchors(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = K, s: int = S) -> DataFrame:
-    """One row per anchor: id, token position, hash."""
+    """One row per anchor without marks: id, token position, hash."""
     return docs.select(F.col(id_col), F.explode(_anchors(F.col(text), k, s, True)).alias("a")).select(id_col, "a.*")
 
 
@@ -97,27 +107,28 @@ def with_next(docs: DataFrame, id_col: str, text: str, derive: Callable[[Column]
     """(id, text, own, next, next_own): each row with the text of the next higher id.
 
     ``own`` and ``next_own`` are ``derive`` of the two texts, computed once per row after the
-    shuffle. The last row gets the first. Ids are cut into blocks of ``BLOCK`` consecutive
-    values, one window partition each, so no task sees more than a block's rows at once. The
-    row after a block's last one is the first row of the next block that has rows: a table of
-    one row per block, linked the same way through blocks of blocks. Equal ids follow each
-    other by text; null ids come first.
+    shuffle. The last row gets the first. Rows are cut into blocks in their order: of ``BLOCK``
+    consecutive values for whole numbers, of one id for other types, of texts with one
+    ``PREFIX`` for null ids; each is a window partition. The row after a block's last one is the
+    first of the next block: blocks are numbered by a range sort (``merkle.ranked``) of their
+    keys alone, and joined with the first texts by number. No task sees more than a few
+    blocks, whatever the ids' spread.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")) \
-        .withColumn("block", F.coalesce(F.floor(F.col("id") / BLOCK), F.lit(NULL_BLOCK)))
+    whole = isinstance(docs.schema[id_col].dataType, IntegralType)
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    coarse = F.floor(F.col("id") / BLOCK).cast("long") if whole else F.col("id")
+    rows = rows.withColumn("block", F.struct(
+        F.col("id").isNotNull().alias("known"), coarse.alias("value"),
+        F.coalesce(F.when(F.col("id").isNull(), F.substring("text", 1, PREFIX)), F.lit("")).alias("prefix")))
     firsts = cut(rows.groupBy("block").agg(F.min_by("text", F.struct("id", "text")).alias("first")), "syncmer-blocks")
     w = Window.partitionBy("block").orderBy("id", "text")
     linked = rows.repartition("block").withColumn("own", derive(F.col("text"))) \
         .withColumn("next", F.lead("text").over(w)).withColumn("next_own", F.lead("own").over(w))
-    top = F.floor(F.col("block") / BLOCKS)
-    inner = firsts.select("block", top.alias("top"),
-                          F.lead("first").over(Window.partitionBy(top).orderBy("block")).alias("after"))
-    # one row per BLOCK * BLOCKS ids: few enough for one ordered pass
-    everything = Window.orderBy("top").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    tops = firsts.groupBy(top.alias("top")).agg(F.min_by("first", "block").alias("first")) \
-        .select("top", F.coalesce(F.lead("first").over(Window.orderBy("top")), F.first("first").over(everything)).alias("wrap"))
-    after = inner.join(tops, "top").select("block", F.coalesce("after", "wrap").alias("after"))
-    return linked.join(after, "block").select(
+    numbered = cut(ranked(firsts.select(F.lit("").alias("tree"), "block"), ["block"], "syncmer-order"), "syncmer-numbers")
+    follower = numbered.select(F.pmod(F.col("lo") - 1, F.col("n")).alias("lo"), F.col("block").alias("follower"))
+    after = numbered.select("block", "lo").join(follower, "lo").join(
+        firsts.select(F.col("block").alias("follower"), F.col("first").alias("after")), "follower")
+    return linked.join(after.select("block", "after"), "block").select(
         "id", "text", "own", F.coalesce("next", "after").alias("next"),
         F.when(F.col("next").isNull(), derive(F.col("after"))).otherwise(F.col("next_own")).alias("next_own"))
 
