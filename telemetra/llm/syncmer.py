@@ -117,14 +117,15 @@ def with_next(docs: DataFrame, id_col: str, text: str, derive: Callable[[Column]
     whole = isinstance(docs.schema[id_col].dataType, IntegralType)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     coarse = F.floor(F.col("id") / BLOCK).cast("long") if whole else F.col("id")
-    rows = rows.withColumn("block", F.struct(
-        F.col("id").isNotNull().alias("known"), coarse.alias("value"),
-        F.coalesce(F.when(F.col("id").isNull(), F.substring("text", 1, PREFIX)), F.lit("")).alias("prefix")))
-    firsts = cut(rows.groupBy("block").agg(F.min_by("text", F.struct("id", "text")).alias("first")), "syncmer-blocks")
+    order = {"known": F.col("id").isNotNull(), "value": coarse,
+             "prefix": F.coalesce(F.when(F.col("id").isNull(), F.substring("text", 1, PREFIX)), F.lit(""))}
+    # a block's name: one plain column to partition and join by, so that linked rows stay where they are
+    rows = rows.withColumns(order).withColumn("block", F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in order]))
+    firsts = cut(rows.groupBy("block", *order).agg(F.min_by("text", F.struct("id", "text")).alias("first")), "syncmer-blocks")
     w = Window.partitionBy("block").orderBy("id", "text")
-    linked = rows.repartition("block").withColumn("own", derive(F.col("text"))) \
+    linked = rows.drop(*order).repartition("block").withColumn("own", derive(F.col("text"))) \
         .withColumn("next", F.lead("text").over(w)).withColumn("next_own", F.lead("own").over(w))
-    numbered = cut(ranked(firsts.select(F.lit("").alias("tree"), "block"), ["block"], "syncmer-order"), "syncmer-numbers")
+    numbered = cut(ranked(firsts.select(F.lit("").alias("tree"), "block", *order), list(order), "syncmer-order"), "syncmer-numbers")
     follower = numbered.select(F.pmod(F.col("lo") - 1, F.col("n")).alias("lo"), F.col("block").alias("follower"))
     after = numbered.select("block", "lo").join(follower, "lo").join(
         firsts.select(F.col("block").alias("follower"), F.col("first").alias("after")), "follower")
