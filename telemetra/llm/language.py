@@ -107,6 +107,8 @@ def build(samples: dict[str, list[str]]) -> Model | None:
         table = np.tile(again, (len(step), 1))
         table[0] = np.where(first >= 0, (first * width + offset) << 2, offset << 2 | 1)
         table[rows, cols] = (to * width + offset) << 2
+        if int(table.max()) >= 1 << 31:
+            raise ValueError(f"the automata of {len(folded)} languages don't fit 32-bit tables: lower the sample a language")
         tables.append(table.astype(np.int32).ravel())
         roots.append(offset)
         offset += table.size
