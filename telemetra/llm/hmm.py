@@ -5,26 +5,34 @@
 **Counts.** Word counts of the training documents are gathered from the whole corpus by a
 shuffle (partial counts a task, bounded), and written below ``spark.checkpoint.dir``.
 
-**Symbols.** The ``OWN`` most frequent words (and the end) have a symbol of their own; any
-other word has the symbol of its ending (a hash of its last three bytes, ``CLASSES`` of
-them). A state emits a symbol, a symbol emits a word with its smoothed share of the
-symbol's training tokens: (c + 0.1) / (C + 0.1 (V + 1)) with C tokens and V distinct words
-in the class, one slot of it for unknown words. All probabilities add up to one.
+**Ids and symbols.** Every frequent word (relative frequency over ``FREQUENT``: fewer than
+1 / FREQUENT words whatever the corpus) and the end have an id that all tasks know; the other
+words of a document are numbered in the document. While the rounds run, words of relative
+frequency over ``OWN`` have a symbol of their own and others share that of their ending (a
+hash of the last three bytes, ``CLASSES`` of them), so that states settle on few parameters.
 
 **Training.** Every round reads all training documents: each task runs a scaled
 forward-backward pass over its symbol sequences (in segments of ``SEGMENT`` tokens; a later
 segment starts from the state occupancy, not from the start distribution) and emits its
-expected counts; Spark adds them up by (state, symbol) and (state, state), and the
-new parameters - a fixed number - are broadcast. ``STATES``, ``ROUNDS`` are parameters.
-
-**Scoring.** The scaled forward recursion over the whole sequence gives its exact
-likelihood; many documents are advanced one token at a time side by side.
-
-Counts of frequent words (relative frequency over ``FREQUENT``: fewer than 1 / FREQUENT
-words whatever the corpus) are broadcast; the other words of each document meet their
-counts in a shuffled join. Null text counts as empty (the end token alone); repeated rows
-keep one row each; null ids count as training documents. With no training token at all the
-model is uniform over one unknown slot.
+expected counts; Spark adds them up, in units of 1 / ``UNIT``, and the new parameters are
+broadcast. ``STATES``, ``ROUNDS`` are parameters. The last round takes the expected counts of
+every word by state, without ties: those of rare words are a table over the whole vocabulary
+that is combined within tasks, shuffled by word and written; it never reaches the driver.
+
+**Emissions.** With expected counts E, word counts c, N training tokens, V distinct words and
+``SHRINK`` = a, a state s emits a known word w with probability (N r + 0.1) / (N + 0.1 (V + CLASSES)),
+r = (E(s,w) + a c(w)) / (E(s) + a N). An unknown word of ending k has
+0.1 CLASSES g(s,k) / (N + 0.1 (V + CLASSES)), g being the state's shares of the endings of tied
+words, plus one each. A state's probabilities add up to one, one slot an ending for unknown words.
+
+**Scoring.** The rare words of each document meet their expected counts in a shuffled join
+and come back to their document; the scaled forward recursion over the whole sequence gives
+its exact likelihood, many documents advanced one token at a time side by side.
+
+Null text counts as empty (the end token alone); repeated rows keep one row each; null ids
+count as training documents; words of equal count are taken in byte order; other columns,
+whatever their names, are left aside; a very long text is one sequence of its task. With no
+training token at all only the end and unknown slots are left, all equally likely; an empty table gives no rows.
 """
 from __future__ import annotations
 
@@ -32,6 +40,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,12 +51,15 @@ from telemetra.llm.common import cut, ranges, release
 
 STATES = 6
 ROUNDS = 3
-OWN = 600
 CLASSES = 256
 SEGMENT = 256
 LANES = 1024            # sequences advanced side by side
 FREQUENT = 2e-6
+OWN = 1e-4              # fewer than 1 / OWN words have a symbol of their own
 SMOOTH = 0.1
+SHRINK = 0.01           # pull of a word's state shares towards its plain count
+UNIT = 1 << 16          # expected counts are added up in these fractions
+TOKENS_AT_ONCE = 500_000
 COUNTER_WORDS = 200_000  # distinct words a task holds before it hands its counts on
 END = b"\n"              # never a word
 LOG10 = math.log(10.0)
@@ -63,7 +75,7 @@ def class_of(word: bytes) -> int:
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(word, c, cls): counts of all tokens of ``docs``, the end token included."""
+    """(word, c): counts of all tokens of ``docs``, the end token included."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[bytes] = Counter()
 
@@ -79,91 +91,111 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                     counts.clear()
             release()
         yield out()
-    return docs.select(text).mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")) \
-        .withColumn("cls", (F.crc32(F.substring("word", -3, 3)) % CLASSES).cast("int"))
+    return docs.select(text).mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 class Vocabulary:
-    """Broadcast part of the counts: frequent words, own symbols, class sizes, totals."""
+    """Broadcast part of the counts: frequent words with their symbols and counts, totals."""
 
-    def __init__(self, frequent: dict[bytes, int], total: int, distinct: int, c_size: np.ndarray, c_words: np.ndarray):
+    def __init__(self, frequent: dict[bytes, int], total: int, distinct: int):
         self.total, self.distinct = total, distinct
-        own = sorted((w for w in frequent if w != END), key=lambda w: (-frequent[w], w))[:OWN]
-        self.own = {w: i + 1 for i, w in enumerate(own)} | {END: 0}
-        self.symbols = len(self.own) + CLASSES
-        size, n = c_size.astype(float), c_words.astype(float)
-        for w in own:
-            size[class_of(w)] -= frequent[w]
-            n[class_of(w)] -= 1
-        end = class_of(END)
-        if END in frequent:
-            size[end] -= frequent[END]
-            n[end] -= 1
-        #: natural log of each class's share of 1
-        self.class_log = np.log(size + SMOOTH * (n + 1))
+        own = sorted((w for w in frequent if w != END), key=lambda w: (-frequent[w], w))
+        self.own = {w: i for i, w in enumerate([END, *own])}
+        self.c = np.array([frequent.get(w, 0) for w in self.own], dtype=float)
+        #: symbol of each id: the words above OWN come first, since ids go by falling count
+        alone = 1 + sum(frequent[w] > total * OWN for w in own)
+        self.symbol = np.array([i if i < alone else alone + class_of(w) for w, i in self.own.items()], dtype=np.int64)
+        self.alone = alone
         self.base_log = math.log(total + SMOOTH * (distinct + 1))
-        #: word -> (symbol, log(c + 0.1), known in-class part is wanted)
-        base = len(self.own)
-        self.known = {w: (self.own.get(w, base + class_of(w)), math.log(c + SMOOTH), w not in self.own)
-                      for w, c in frequent.items()}
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
     total = counts.agg(F.sum("c"), F.count("*")).first()
     n, v = total[0] or 0, total[1]
-    classes = counts.groupBy("cls").agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect()
-    size, n_words = np.zeros(CLASSES), np.zeros(CLASSES)
-    for r in classes:
-        size[r["cls"]], n_words[r["cls"]] = r["c"], r["n"]
     # fewer than 1 / FREQUENT rows by definition; long strings stay in the shuffled part
     frequent = counts.filter(((F.col("c") > n * FREQUENT) & (F.length("word") <= 64)) | (F.col("word") == F.lit(END)))
-    return Vocabulary({bytes(r["word"]): r["c"] for r in frequent.select("word", "c").collect()}, n, v, size, n_words)
+    found = frequent.select("word", "c").toArrow()
+    return Vocabulary(dict(zip(found["word"].to_pylist(), found["c"].to_pylist())), n, v)
+
+
+def _binary(parts: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """One binary value a row: ``parts`` cut into runs of ``lengths`` items."""
+    offsets = np.concatenate([[0], np.cumsum(lengths)]) * parts.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets.astype("<i4").tobytes()),
+                                                             pa.py_buffer(parts.tobytes())])
 
 
 def symbolise(docs: DataFrame, vocab, id_col: str, text: str, train: str) -> DataFrame:
-    """One row per document: symbols (16 bit) and the sums over its frequent words; other words by list."""
+    """One row per document: ``ids`` (32 bit: a symbol of its own, or after those the place of a
+    rare word in ``rare``), sums over its frequent words, its rare words with counts and classes."""
     kind = docs.schema[id_col].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v: Vocabulary = vocab.value
-        known, base, log_c = v.known, len(v.own), v.class_log
-        own_end = known.get(END, (0, math.log(SMOOTH), False))
+        log_c = np.log(v.c + SMOOTH)
         for whole in batches:
             sizes = pc.fill_null(pc.utf8_length(whole.column("text")), 0).to_pylist()
             for first, last in ranges(sizes):
-                yield one(whole.slice(first, last - first), known, base, log_c, own_end)
+                yield one(whole.slice(first, last - first), v, log_c)
             release()
 
-    def one(batch: pa.RecordBatch, known: dict, base: int, log_c: np.ndarray, own_end: tuple) -> pa.RecordBatch:
-        out = {k: [] for k in ("symbols", "n_tokens", "n_frequent", "sum_log", "class_log", "rare", "rare_n")}
-        for t in batch.column("text").to_pylist():
-            ws = words(t)
-            symbols, rare = np.empty(len(ws) + 1, dtype="<u2"), Counter()
-            sum_log, in_class, n_frequent = own_end[1], 0.0, int(END in known)
-            for i, w in enumerate(ws):
-                hit = known.get(w)
-                if hit is None:
-                    rare[w] += 1
-                    c = class_of(w)
-                    symbols[i] = base + c
-                    in_class -= log_c[c]
-                else:
-                    symbols[i], n_frequent = hit[0], n_frequent + 1
-                    sum_log += hit[1]
-                    if hit[2]:
-                        in_class += hit[1] - log_c[hit[0] - base]
-            symbols[-1] = 0
-            for k, x in zip(out, (symbols.tobytes(), len(ws) + 1, n_frequent, sum_log, in_class,
-                                  list(rare), list(rare.values()))):
-                out[k].append(x)
-        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-                 pa.list_(pa.binary()), pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("train"), *(pa.array(x, k) for x, k in zip(out.values(), kinds))],
-            names=["id", "train", *out])
+    def one(batch: pa.RecordBatch, v: Vocabulary, log_c: np.ndarray) -> pa.RecordBatch:
+        lists = [words(t) + [END] for t in batch.column("text").to_pylist()]
+        n, own = len(lists), len(v.own)
+        length = np.fromiter(map(len, lists), np.int64, n)
+        coded = pa.array(chain.from_iterable(lists), pa.binary()).dictionary_encode()
+        spelled, code = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        symbol = np.fromiter((v.own.get(w, -1) for w in spelled), np.int64, len(spelled))
+        ids, doc = symbol[code], np.repeat(np.arange(n), length)
+        known = ids >= 0
+        rare, place, times = np.unique(doc[~known] * len(spelled) + code[~known], return_inverse=True, return_counts=True)
+        per_doc = np.bincount(rare // len(spelled), minlength=n)
+        opening = np.cumsum(per_doc) - per_doc
+        ids[~known] = own + place - opening[doc[~known]]
+        rare_code = rare % len(spelled)
+        cls = np.fromiter((class_of(w) if k < 0 else 0 for w, k in zip(spelled, symbol)), np.uint8, len(spelled))
+        offsets = pa.array(np.concatenate([opening, [len(rare)]]).astype(np.int32))
+        columns = {
+            "ids": _binary(ids.astype("<u4"), length), "n_tokens": pa.array(length),
+            "n_frequent": pa.array(np.bincount(doc, weights=known & (v.c[np.where(known, ids, 0)] > 0), minlength=n).astype(np.int64)),
+            "sum_log": pa.array(np.bincount(doc[known], weights=log_c[ids[known]], minlength=n)),
+            "rare": pa.ListArray.from_arrays(offsets, coded.dictionary.take(pa.array(rare_code))),
+            "rare_n": pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int64))),
+            "rare_cls": _binary(cls[rare_code], per_doc)}
+        return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("train"), *columns.values()],
+                                          names=["id", "train", *columns])
     return docs.select(F.col(id_col).alias("id"), F.col(train).alias("train"), F.col(text).alias("text")).mapInArrow(
-        run, f"id {kind.simpleString()}, train boolean, symbols binary, n_tokens long, n_frequent long, sum_log double, "
-             "class_log double, rare array<binary>, rare_n array<long>")
+        run, f"id {kind.simpleString()}, train boolean, ids binary, n_tokens long, n_frequent long, sum_log double, "
+             "rare array<binary>, rare_n array<long>, rare_cls binary")
+
+
+class Sequences:
+    """The documents of a batch as flat arrays: ``ids`` with rare words numbered through the batch."""
+
+    def __init__(self, batch: pa.RecordBatch, symbol: np.ndarray, alone: int):
+        ids, cls = (batch.column(c).to_pylist() for c in ("ids", "rare_cls"))
+        self.cls = np.frombuffer(b"".join(cls), dtype=np.uint8).astype(np.int64)
+        flat = np.frombuffer(b"".join(ids), dtype="<u4").astype(np.int64)
+        self.lengths = np.fromiter((len(b) // 4 for b in ids), np.int64, len(ids))
+        n_rare = np.fromiter(map(len, cls), np.int64, len(cls))
+        rare = flat >= len(symbol)
+        flat[rare] += np.repeat(np.cumsum(n_rare) - n_rare, self.lengths)[rare]
+        self.ids = flat
+        #: symbol of each id of the batch
+        self.symbol_of = np.concatenate([symbol, alone + self.cls])
+
+    @property
+    def symbols(self) -> np.ndarray:
+        return self.symbol_of[self.ids]
+
+
+def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that a part has at most TOKENS_AT_ONCE tokens (or one document)."""
+    for whole in batches:
+        sizes = [len(b) // 4 for b in whole.column("ids").to_pylist()]
+        for first, last in ranges(sizes, TOKENS_AT_ONCE):
+            yield whole.slice(first, last - first)
+        release()
 
 
 class Parameters:
@@ -195,10 +227,13 @@ def lanes(lengths: np.ndarray) -> Iterator[np.ndarray]:
 
 def log_likelihood(p: Parameters, sequences: list[np.ndarray]) -> np.ndarray:
     """Natural log-likelihood of each symbol sequence by the scaled forward recursion."""
-    out = np.zeros(len(sequences))
-    emit = np.ascontiguousarray(p.emit.T)
     lengths = np.fromiter(map(len, sequences), np.int64, len(sequences))
-    flat = np.concatenate(sequences) if sequences else np.zeros(0, np.int64)
+    return forward(p, np.ascontiguousarray(p.emit.T), np.concatenate(sequences) if sequences else np.zeros(0, np.int64), lengths)
+
+
+def forward(p: Parameters, emit: np.ndarray, flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The same for sequences laid end to end, of ids with the emissions ``emit`` (a row an id)."""
+    out = np.zeros(len(lengths))
     starts = np.cumsum(lengths) - lengths
     for group in lanes(lengths):
         size, at = lengths[group], starts[group]
@@ -214,14 +249,13 @@ def log_likelihood(p: Parameters, sequences: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def expected_counts(p: Parameters, sequences: list[np.ndarray], sums: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
-    """Add the expected start, transition and emission counts of the sequences to ``sums``."""
-    start_sum, step_sum, emit_sum = sums
-    k, emit = len(p.start), np.ascontiguousarray(p.emit.T)
-    lengths = np.fromiter(map(len, sequences), np.int64, len(sequences))
-    flat = np.concatenate(sequences)
+def expected_counts(p: Parameters, emit: np.ndarray, seqs: Sequences, start_sum: np.ndarray, step_sum: np.ndarray) -> np.ndarray:
+    """Expected counts of the sequences by (id, state); starts and transitions are added to the sums."""
+    k, lengths, ids = len(p.start), seqs.lengths, seqs.ids
+    flat = seqs.symbols
+    out = np.zeros((len(seqs.symbol_of), k))
     blocks = -(-lengths // SEGMENT)
-    of = np.repeat(np.arange(len(sequences)), blocks)
+    of = np.repeat(np.arange(len(lengths)), blocks)
     nth = np.arange(len(of)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
     seg_at = np.repeat(np.cumsum(lengths) - lengths, blocks) + nth * SEGMENT
     seg_len = np.minimum(SEGMENT, np.repeat(lengths, blocks) - nth * SEGMENT)
@@ -239,51 +273,111 @@ def expected_counts(p: Parameters, sequences: list[np.ndarray], sums: tuple[np.n
             seen.append(e)
             scales.append(scale)
         beta = np.ones((len(group), k))
-        gammas, symbols = [], []
+        gammas, seen_ids = [], []
         for t in range(steps - 1, -1, -1):
             n = live[t]
             gamma = alphas[t] * beta[:n]
             gammas.append(gamma)
-            symbols.append(flat.take(at[:n] + t))
+            seen_ids.append(ids.take(at[:n] + t))
             if t:
                 ahead = seen[t] * beta[:n] / scales[t]
                 step_sum += p.step * (alphas[t - 1][:n].T @ ahead)
                 beta[:n] = ahead @ p.step.T
             else:
                 start_sum += gamma[opening].sum(0)
-        gamma, symbol = np.concatenate(gammas), np.concatenate(symbols)
+        gamma, of_id = np.concatenate(gammas), np.concatenate(seen_ids)
         for s in range(k):
-            emit_sum[s] += np.bincount(symbol, weights=gamma[:, s], minlength=emit_sum.shape[1])
+            out[:, s] += np.bincount(of_id, weights=gamma[:, s], minlength=len(out))
+    return out
+
 
+def _cells(keys: pa.Array, n: np.ndarray, e: np.ndarray) -> pa.RecordBatch:
+    """Expected counts as rows (key, n, e0, e1, ...), in units."""
+    units = np.rint(e * UNIT).astype(np.int64)
+    return pa.RecordBatch.from_arrays([keys, pa.array(n.astype(np.int64)), *(pa.array(x) for x in units.T)],
+                                      names=["key", "n", *(f"e{s}" for s in range(e.shape[1]))])
 
-def _sequences(batch: pa.RecordBatch, name: str = "symbols") -> list[np.ndarray]:
-    return [np.frombuffer(b, dtype="<u2").astype(np.int64) for b in batch.column(name).to_pylist()]
 
+def _cell_key(i: int) -> bytes:
+    """Key of a parameter row: never a word, since it begins with the end token."""
+    return END + i.to_bytes(4, "big")
 
-def baum_welch(sequences: DataFrame, symbols: int, states: int = STATES, rounds: int = ROUNDS) -> Parameters:
-    """Train on all rows of ``sequences`` (column ``symbols``); counts are added up by Spark."""
+
+def baum_welch(sequences: DataFrame, symbol: np.ndarray, alone: int, states: int = STATES,
+               rounds: int = ROUNDS) -> tuple[Parameters, np.ndarray, DataFrame]:
+    """Train on all rows of ``sequences`` (``ids``, ``rare``, ``rare_n``, ``rare_cls``).
+
+    ``symbol`` gives each id its symbol, of which ``alone`` are single words, the others classes.
+    Returns the parameters over symbols, the last round's expected counts of ids and of the classes
+    of rare words, by state, and those of all rare words: a written table (key, n, e0, ...).
+    """
+    own, symbols = len(symbol), alone + CLASSES
     p = Parameters.first(symbols, states)
-    for _ in range(rounds):
-        shared = sequences.sparkSession.sparkContext.broadcast(p)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros(states), np.zeros((states, states)), np.zeros((states, symbols))
-            for batch in batches:
-                if batch.num_rows:
-                    expected_counts(shared.value, _sequences(batch), sums)
-                release()
-            flat = np.concatenate([sums[0], sums[1].ravel(), sums[2].ravel()])
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], names=["cell", "n"])
-        cells = sequences.select("symbols").mapInArrow(run, "cell long, n double").groupBy("cell").agg(F.sum("n").alias("n"))
-        flat = np.zeros(states + states * states + states * symbols)
-        for r in cells.collect():       # a fixed number of cells
-            flat[r["cell"]] = r["n"]
-        if not flat.any():
-            break
-        p = Parameters.from_counts(flat[:states], flat[states:states * (1 + states)].reshape(states, states),
-                                   flat[states * (1 + states):].reshape(states, symbols))
+    names = [f"e{s}" for s in range(states)]
+    symbol_of_cell = np.concatenate([symbol, alone + np.arange(CLASSES)])
+    n_cells = own + CLASSES
+    for r in range(rounds):
+        shared, last = sequences.sparkSession.sparkContext.broadcast((p, symbol)), r == rounds - 1
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:
+            p, symbol = shared.value
+            emit = np.ascontiguousarray(p.emit.T)
+            # rows: ids, classes of rare words, the start, transitions from each state
+            sums = np.zeros((n_cells + 1 + states, states))
+            for part in in_parts(batches):
+                seqs = Sequences(part, symbol, alone)
+                found = expected_counts(p, emit, seqs, sums[n_cells], sums[n_cells + 1:])
+                sums[:own] += found[:own]
+                for s in range(states):
+                    sums[own:n_cells, s] += np.bincount(seqs.cls, weights=found[own:, s], minlength=CLASSES)
+                if last and len(seqs.cls):
+                    word = part.column("rare").flatten().dictionary_encode()
+                    code, size = word.indices.to_numpy(), len(word.dictionary)
+                    n = np.bincount(code, weights=part.column("rare_n").flatten().to_numpy(), minlength=size)
+                    yield _cells(word.dictionary, n, np.stack([np.bincount(code, weights=found[own:, s], minlength=size)
+                                                               for s in range(states)], axis=1))
+            used = np.flatnonzero(sums.any(1))
+            yield _cells(pa.array([_cell_key(int(i)) for i in used], pa.binary()), np.zeros(len(used)), sums[used])
+        cells = sequences.select("ids", "rare_cls", *(("rare", "rare_n") if last else ())).mapInArrow(
+            run, "key binary, n long, " + ", ".join(f"{e} long" for e in names)) \
+            .groupBy("key").agg(*(F.sum(x).alias(x) for x in ("n", *names)))
+        if last:
+            cells = cut(cells, "hmm-cells")
+        # fewer rows than 1 / FREQUENT + CLASSES + STATES + 2
+        found = cells.filter(F.substring("key", 1, 1) == F.lit(END)).toArrow()
+        at = np.array([int.from_bytes(k[1:], "big") for k in found["key"].to_pylist()], dtype=np.int64)
+        sums = np.zeros((n_cells + 1 + states, states))
+        sums[at] = np.stack([found[e].to_numpy() for e in names], axis=1) / UNIT
+        by_symbol = np.stack([np.bincount(symbol_of_cell, weights=sums[:n_cells, s], minlength=symbols) for s in range(states)])
+        p = Parameters.from_counts(sums[n_cells], sums[n_cells + 1:], by_symbol)
         shared.unpersist()
-    return p
+    return p, sums[:n_cells], cells.filter(F.substring("key", 1, 1) != F.lit(END))
+
+
+class Emissions:
+    """Probabilities of words by state, from the expected counts without ties."""
+
+    def __init__(self, v: Vocabulary, cells: np.ndarray, shrink: float = SHRINK):
+        self.n, self.shrink = v.total, shrink
+        self.slots = v.total + SMOOTH * (max(v.distinct, 1) + CLASSES)    # the end is known without training, too
+        self.state = np.maximum(cells.sum(0) + shrink * v.total, 1e-300)
+        own = len(v.own)
+        self.own = self.known(v.c, cells[:own])
+        classes = cells[own:].copy()
+        tied = v.symbol >= v.alone
+        np.add.at(classes, v.symbol[tied] - v.alone, cells[:own][tied])
+        classes += shrink * classes.sum(1, keepdims=True) + 1
+        self.unknown = SMOOTH * CLASSES * classes / classes.sum(0) / self.slots
+
+    def known(self, c: np.ndarray, e: np.ndarray) -> np.ndarray:
+        """Emissions of words with counts ``c`` and expected counts ``e`` by state."""
+        return (self.n * (e + self.shrink * c[:, None]) / self.state + SMOOTH) / self.slots
+
+    def rows(self, cls: np.ndarray, at: np.ndarray, c: np.ndarray, units: np.ndarray) -> np.ndarray:
+        """Emissions of rare words of classes ``cls``; those numbered ``at`` are known."""
+        out = self.unknown[cls]
+        out[at] = self.known(c, units / UNIT)
+        return out
 
 
 def score(docs: DataFrame, train: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -292,29 +386,41 @@ def score(docs: DataFrame, train: str, id_col: str = "doc_id", text: str = "text
     ``train`` is the boolean column that marks training rows. Scores are log10.
     """
     sc = docs.sparkSession.sparkContext
-    counts = cut(word_counts(docs.filter(F.col(train)), text), "hmm-counts")
-    v = vocabulary(counts)
+    v = vocabulary(cut(word_counts(docs.filter(F.col(train)), text), "hmm-counts"))
     vocab = sc.broadcast(v)
     rows = cut(symbolise(docs, vocab, id_col, text, train).withColumn("row", F.monotonically_increasing_id()), "hmm-rows")
-    model = sc.broadcast(baum_welch(rows.filter("train"), v.symbols))
+    p, sums, known = baum_welch(rows.filter("train"), v.symbol, v.alone)
+    model = sc.broadcast((p, Emissions(v, sums), v.symbol, v.alone))
+    names = [f"e{s}" for s in range(len(p.start))]
+
+    rare = rows.select("row", F.posexplode(F.arrays_zip("rare", "rare_n")).alias("j", "r")) \
+        .select("row", "j", F.col("r.rare").alias("key"), F.col("r.rare_n").alias("times"))
+    found = F.col("n").isNotNull()
+    met = rare.join(known, "key", "left").groupBy("row").agg(
+        F.sum(F.when(found, F.col("times")).otherwise(0)).alias("rare_known"),
+        F.sum(F.col("times") * F.log(F.coalesce("n", F.lit(0)) + F.lit(SMOOTH))).alias("rare_log"),
+        F.collect_list(F.when(found, F.struct("j", "n", *names))).alias("met"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ll = log_likelihood(model.value, _sequences(batch)) if batch.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in named), pa.array(ll)], names=[*named, "ll"])
-    named = ["row", "id", "train", "n_tokens", "n_frequent", "sum_log", "class_log"]
-    scored = rows.select(*named, "symbols").mapInArrow(
-        run, f"row long, id {docs.schema[id_col].dataType.simpleString()}, train boolean, n_tokens long, n_frequent long, "
-             "sum_log double, class_log double, ll double")
-    rare = rows.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("r")) \
-        .select("row", F.col("r.rare").alias("word"), F.col("r.rare_n").alias("n"))
-    met = rare.join(counts.select("word", "c"), "word", "left").groupBy("row").agg(
-        F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("rare_known"),
-        F.sum(F.col("n") * F.log(F.coalesce("c", F.lit(0)) + F.lit(SMOOTH))).alias("rare_log"))
+        p, emissions, symbol, alone = model.value
+        for part in in_parts(batches):
+            seqs = Sequences(part, symbol, alone)
+            n_rare = np.fromiter(map(len, part.column("rare_cls").to_pylist()), np.int64, part.num_rows)
+            met, here = part.column("met"), pc.fill_null(pc.list_value_length(part.column("met")), 0).to_numpy()
+            flat = dict(zip(("j", "n", *names), met.flatten().flatten()))
+            at = flat["j"].to_numpy() + np.repeat(np.cumsum(n_rare) - n_rare, here)
+            units = np.stack([flat[e].to_numpy() for e in names], axis=1)
+            emit = np.concatenate([emissions.own, emissions.rows(seqs.cls, at, flat["n"].to_numpy(), units)])
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(forward(p, emit, seqs.ids, seqs.lengths))],
+                                             names=[*kept, "ll"])
+    kept = ["id", "train", "n_tokens", "n_frequent", "sum_log", "rare_known", "rare_log"]
+    scored = rows.select("row", *kept[:5], "ids", "rare_cls").join(met, "row", "left").drop("row").mapInArrow(
+        run, f"id {docs.schema[id_col].dataType.simpleString()}, train boolean, n_tokens long, n_frequent long, "
+             "sum_log double, rare_known long, rare_log double, ll double")
     logs = F.col("sum_log") + F.coalesce("rare_log", F.lit(0.0))
-    return scored.join(met, "row", "left").select(
+    return scored.select(
         F.col("id").alias(id_col), "train", "n_tokens",
         (F.col("n_frequent") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(v.total).cast("long").alias("train_tokens"),
         ((logs - F.col("n_tokens") * F.lit(v.base_log)) / LOG10).alias("base_score"),
-        ((F.col("ll") + F.col("class_log") + F.coalesce("rare_log", F.lit(0.0))) / LOG10).alias("score"))
+        (F.col("ll") / LOG10).alias("score"))

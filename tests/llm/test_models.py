@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from corpus_helpers import ODD_TEXTS, documents, empty
+from corpus_helpers import ODD_TEXTS, corpus, documents, empty  # noqa: F401
 from pyspark.sql import functions as F
 
 from telemetra.llm import hmm, quality_pu, queries, text_arrays, toxicity
@@ -135,31 +135,107 @@ def test_forward_recursion_is_exact():
 def test_baum_welch_never_lowers_the_likelihood(spark):
     rng = np.random.default_rng(2)
     seqs = [np.array([(i // 3 + rng.integers(0, 2)) % 6 for i in range(rng.integers(1, 60))]) for _ in range(80)]
-    df = spark.createDataFrame([(bytearray(s.astype("<u2").tobytes()),) for s in seqs], "symbols binary").repartition(3)
-    last = hmm.log_likelihood(hmm.Parameters.first(6, 3), seqs).sum()
+    df = spark.createDataFrame([(bytearray(s.astype("<u4").tobytes()), [], [], bytearray()) for s in seqs],
+                               "ids binary, rare array<binary>, rare_n array<long>, rare_cls binary").repartition(3)
+    last = hmm.log_likelihood(hmm.Parameters.first(6 + hmm.CLASSES, 3), seqs).sum()
     for rounds in (1, 2, 4):
-        now = hmm.log_likelihood(hmm.baum_welch(df, 6, 3, rounds), seqs).sum()
-        assert now > last - 1e-6
+        p, counts, rare = hmm.baum_welch(df, np.arange(6), 6, 3, rounds)
+        now = hmm.log_likelihood(p, seqs).sum()
+        assert now > last - 1e-6 and rare.isEmpty()
+        assert np.allclose(counts[:6].sum(1), np.bincount(np.concatenate(seqs), minlength=6), atol=1e-3)
         last = now
 
 
-def test_model_probabilities_add_up_to_one(spark):
-    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a b c", "b c d e", "A a", ""])], "doc_id long, text string")
+def small_alphabet(monkeypatch):
+    """Make most words rare, and tie most of those with an id, though the table is small."""
+    monkeypatch.setattr(hmm, "FREQUENT", 5e-4)
+    monkeypatch.setattr(hmm, "OWN", 4e-3)
+
+
+def plain_model(texts, train, states=hmm.STATES, rounds=hmm.ROUNDS):
+    """log10 probability of each text, and each state's whole mass: one document at a time, words by dictionaries."""
+    docs = [(t or "").encode().lower().split() + [hmm.END] for t in texts]
+    counts = Counter(w for d, known in zip(docs, train) if known for w in d)
+    n, v = sum(counts.values()), len(counts)
+    alone = [hmm.END] + sorted((w for w in counts if w != hmm.END and counts[w] > n * max(hmm.OWN, hmm.FREQUENT)),
+                               key=lambda w: (-counts[w], w))
+    symbol = lambda w: alone.index(w) if w in alone else len(alone) + zlib.crc32(w[-3:]) % hmm.CLASSES
+    symbols = {w: symbol(w) for d in docs for w in d}
+    p = hmm.Parameters.first(len(alone) + hmm.CLASSES, states)
+    for _ in range(rounds):
+        start, step, by_word = np.zeros(states), np.zeros((states, states)), {w: np.zeros(states) for w in counts}
+        for d, known in zip(docs, train):
+            for at in range(0, len(d) if known else 0, hmm.SEGMENT):
+                e = [p.emit[:, symbols[w]] for w in d[at:at + hmm.SEGMENT]]
+                alpha = [(p.occupancy if at else p.start) * e[0]]
+                for x in e[1:]:
+                    alpha[-1] = alpha[-1] / alpha[-1].sum()
+                    alpha.append((alpha[-1] @ p.step) * x)
+                beta = np.ones(states)
+                for t in range(len(e) - 1, -1, -1):
+                    gamma = alpha[t] * beta
+                    by_word[d[at + t]] += gamma / gamma.sum()
+                    if t:
+                        joint = p.step * np.outer(alpha[t - 1], e[t] * beta)
+                        step += joint / joint.sum()
+                        beta = p.step @ (e[t] * beta)
+                        beta /= beta.sum()
+                    elif not at:
+                        start += gamma / gamma.sum()
+        tied = np.zeros((states, len(alone) + hmm.CLASSES))
+        for w, x in by_word.items():
+            tied[:, symbols[w]] += x
+        p = hmm.Parameters.from_counts(start, step, tied)
+    size, slots = sum(by_word.values()), n + 0.1 * (v + hmm.CLASSES)
+    emit = {w: (n * (by_word[w] + hmm.SHRINK * counts[w]) / (size + hmm.SHRINK * n) + 0.1) / slots for w in counts}
+    ends = tied[:, len(alone):].T
+    ends = ends + hmm.SHRINK * ends.sum(1, keepdims=True) + 1
+    unknown = 0.1 * hmm.CLASSES * ends / ends.sum(0) / slots
+    out = []
+    for d in docs:
+        a, total = p.start, 0.0
+        for t, w in enumerate(d):
+            a = (a @ p.step if t else a) * emit.get(w, unknown[symbols[w] - len(alone)])
+            total += math.log10(a.sum())
+            a = a / a.sum()
+        out.append(total)
+    return out, sum(emit.values()) + unknown.sum(0)
+
+
+def test_word_model_equals_plain_training(spark, corpus, monkeypatch):
+    small_alphabet(monkeypatch)
+    texts = [r["text"] for r in corpus] + ["", None, "Never seen wordsing here"]
+    train = [i % 7 != 3 for i in range(len(corpus))] + [False, True, False]
+    docs = spark.createDataFrame([(i, t, k) for i, (t, k) in enumerate(zip(texts, train))],
+                                 "doc_id long, text string, train boolean").repartition(5)
+    v = hmm.vocabulary(hmm.word_counts(docs.filter("train")))
+    assert 1 < v.alone < len(v.own) < v.distinct / 2            # single symbols, tied ids, rare words
+    want, mass = plain_model(texts, train)
+    assert np.allclose(mass, 1)
+    got = {r["doc_id"]: r["score"] for r in hmm.score(docs, "train").collect()}
+    for i, w in enumerate(want):
+        assert abs(got[i] - w) < 1e-3 * max(1, abs(w)), i
+
+
+def test_expected_counts_cover_every_word(spark, corpus, monkeypatch):
+    small_alphabet(monkeypatch)
+    docs = spark.createDataFrame([(r["doc_id"], r["text"], True) for r in corpus], "doc_id long, text string, train boolean")
     counts = hmm.word_counts(docs)
-    assert {bytes(r["word"]): r["c"] for r in counts.collect()} == {b"a": 3, b"b": 2, b"c": 2, b"d": 1, b"e": 1, b"\n": 4}
-    for r in counts.collect():
-        assert r["cls"] == hmm.class_of(bytes(r["word"]))
     v = hmm.vocabulary(counts)
-    own = {w for w in v.own}
-    for c in range(hmm.CLASSES):
-        words = [bytes(r["word"]) for r in counts.collect() if hmm.class_of(bytes(r["word"])) == c and bytes(r["word"]) not in own]
-        mass = sum(math.exp(v.known[w][1] - v.class_log[c]) for w in words) + math.exp(math.log(0.1) - v.class_log[c])
-        assert abs(mass - 1) < 1e-9
+    rows = hmm.symbolise(docs, spark.sparkContext.broadcast(v), "doc_id", "text", "train")
+    _, cells, rare = hmm.baum_welch(rows, v.symbol, v.alone)
+    c = {bytes(r["word"]): r["c"] for r in counts.collect()}
+    assert np.allclose(cells[:len(v.own)].sum(1), [c[w] for w in v.own], atol=0.01)
+    found = {bytes(r["key"]): r for r in rare.collect()}
+    assert set(found) == set(c) - set(v.own)                    # a row for every word, however rare
+    for w, r in found.items():
+        assert r["n"] == c[w] and abs(sum(r[f"e{s}"] for s in range(hmm.STATES)) / hmm.UNIT - c[w]) < 0.01
 
 
 @pytest.mark.parametrize("share", [True, False])
-def test_word_model_odd_rows(spark, share):
-    clash = ("row", "id", "n", "c", "word", "ll", "symbols", "score")
+def test_word_model_odd_rows(spark, share, monkeypatch):
+    monkeypatch.setattr(hmm, "FREQUENT", 1e-3)
+    clash = ("row", "id", "n", "c", "word", "ll", "ids", "key", "met", "score")
     docs = documents(spark, ODD_TEXTS, clash=clash).withColumn("train", F.lit(share))
     rows = hmm.score(docs, "train").collect()
     assert len(rows) == len(ODD_TEXTS) + 2
