@@ -14,10 +14,10 @@ hash of the last three bytes, ``CLASSES`` of them), so that states settle on few
 **Training.** Every round reads all training documents: each task runs a scaled
 forward-backward pass over its symbol sequences (in segments of ``SEGMENT`` tokens; a later
 segment starts from the state occupancy, not from the start distribution) and emits its
-expected counts; Spark adds them up, in units of 1 / ``UNIT``, and the new parameters are
-broadcast. ``STATES``, ``ROUNDS`` are parameters. The last round takes the expected counts of
+expected counts; Spark adds them up and the new parameters are broadcast. ``STATES``, ``ROUNDS`` are parameters. The last round takes the expected counts of
 every word by state, without ties: those of rare words are a table over the whole vocabulary
-that is combined within tasks, shuffled by word and written; it never reaches the driver.
+that is combined by batch, written and shuffled by word; it never reaches the driver. They
+are whole numbers of 1 / ``UNIT``, as many states to a 64-bit number as the largest count allows.
 
 **Emissions.** With expected counts E, word counts c, N training tokens, V distinct words and
 ``SHRINK`` = a, a state s emits a known word w with probability (N r + 0.1) / (N + 0.1 (V + CLASSES)),
@@ -58,7 +58,7 @@ FREQUENT = 2e-6
 OWN = 1e-4              # fewer than 1 / OWN words have a symbol of their own
 SMOOTH = 0.1
 SHRINK = 0.01           # pull of a word's state shares towards its plain count
-UNIT = 1 << 16          # expected counts are added up in these fractions
+UNIT = 1 << 9           # expected counts of rare words are added up in these fractions
 TOKENS_AT_ONCE = 500_000
 COUNTER_WORDS = 200_000  # distinct words a task holds before it hands its counts on
 END = b"\n"              # never a word
@@ -94,11 +94,37 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(text).mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+class Packed:
+    """Expected counts of a word by state as a few 64-bit numbers that can be added up.
+
+    ``most`` is the largest count of any word, so that no state's sum leaves its bits. The states'
+    units add up to exactly UNIT times the count.
+    """
+
+    def __init__(self, most: int, states: int = STATES):
+        self.states, self.bits = states, max(1, int(most * UNIT).bit_length())
+        self.each = max(1, 63 // self.bits)
+        self.names = [f"p{i}" for i in range(-(-states // self.each))]
+
+    def pack(self, n: np.ndarray, e: np.ndarray) -> list[np.ndarray]:
+        units = np.rint(e * UNIT).astype(np.int64)
+        units[np.arange(len(units)), units.argmax(1)] += n * UNIT - units.sum(1)
+        out = [np.zeros(len(units), dtype=np.int64) for _ in self.names]
+        for s in range(self.states):
+            out[s // self.each] += units[:, s] << (s % self.each * self.bits)
+        return out
+
+    def unpack(self, numbers: list[np.ndarray]) -> np.ndarray:
+        """Units by (word, state)."""
+        mask = (1 << self.bits) - 1
+        return np.stack([(numbers[s // self.each] >> (s % self.each * self.bits)) & mask for s in range(self.states)], axis=1)
+
+
 class Vocabulary:
     """Broadcast part of the counts: frequent words with their symbols and counts, totals."""
 
-    def __init__(self, frequent: dict[bytes, int], total: int, distinct: int):
-        self.total, self.distinct = total, distinct
+    def __init__(self, frequent: dict[bytes, int], total: int, distinct: int, most_rare: int):
+        self.total, self.distinct, self.packed = total, distinct, Packed(most_rare)
         own = sorted((w for w in frequent if w != END), key=lambda w: (-frequent[w], w))
         self.own = {w: i for i, w in enumerate([END, *own])}
         self.c = np.array([frequent.get(w, 0) for w in self.own], dtype=float)
@@ -115,7 +141,9 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     # fewer than 1 / FREQUENT rows by definition; long strings stay in the shuffled part
     frequent = counts.filter(((F.col("c") > n * FREQUENT) & (F.length("word") <= 64)) | (F.col("word") == F.lit(END)))
     found = frequent.select("word", "c").toArrow()
-    return Vocabulary(dict(zip(found["word"].to_pylist(), found["c"].to_pylist())), n, v)
+    # the largest count of the others: only long words are above the threshold there
+    rest = counts.filter((F.col("c") <= n * FREQUENT) | (F.length("word") > 64)).agg(F.max("c")).first()[0] or 0
+    return Vocabulary(dict(zip(found["word"].to_pylist(), found["c"].to_pylist())), n, v, rest)
 
 
 def _binary(parts: np.ndarray, lengths: np.ndarray) -> pa.Array:
@@ -127,7 +155,7 @@ def _binary(parts: np.ndarray, lengths: np.ndarray) -> pa.Array:
 
 def symbolise(docs: DataFrame, vocab, id_col: str, text: str, train: str) -> DataFrame:
     """One row per document: ``ids`` (32 bit: a symbol of its own, or after those the place of a
-    rare word in ``rare``), sums over its frequent words, its rare words with counts and classes."""
+    rare word in ``rare``), sums over its frequent words, its rare words with their classes."""
     kind = docs.schema[id_col].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,7 +176,7 @@ def symbolise(docs: DataFrame, vocab, id_col: str, text: str, train: str) -> Dat
         symbol = np.fromiter((v.own.get(w, -1) for w in spelled), np.int64, len(spelled))
         ids, doc = symbol[code], np.repeat(np.arange(n), length)
         known = ids >= 0
-        rare, place, times = np.unique(doc[~known] * len(spelled) + code[~known], return_inverse=True, return_counts=True)
+        rare, place = np.unique(doc[~known] * len(spelled) + code[~known], return_inverse=True)
         per_doc = np.bincount(rare // len(spelled), minlength=n)
         opening = np.cumsum(per_doc) - per_doc
         ids[~known] = own + place - opening[doc[~known]]
@@ -158,15 +186,14 @@ def symbolise(docs: DataFrame, vocab, id_col: str, text: str, train: str) -> Dat
         columns = {
             "ids": _binary(ids.astype("<u4"), length), "n_tokens": pa.array(length),
             "n_frequent": pa.array(np.bincount(doc, weights=known & (v.c[np.where(known, ids, 0)] > 0), minlength=n).astype(np.int64)),
-            "sum_log": pa.array(np.bincount(doc[known], weights=log_c[ids[known]], minlength=n)),
+            "sum_log": pa.array(np.bincount(doc[known], weights=log_c[ids[known]], minlength=n).astype(float)),
             "rare": pa.ListArray.from_arrays(offsets, coded.dictionary.take(pa.array(rare_code))),
-            "rare_n": pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int64))),
             "rare_cls": _binary(cls[rare_code], per_doc)}
         return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("train"), *columns.values()],
                                           names=["id", "train", *columns])
     return docs.select(F.col(id_col).alias("id"), F.col(train).alias("train"), F.col(text).alias("text")).mapInArrow(
         run, f"id {kind.simpleString()}, train boolean, ids binary, n_tokens long, n_frequent long, sum_log double, "
-             "rare array<binary>, rare_n array<long>, rare_cls binary")
+             "rare array<binary>, rare_cls binary")
 
 
 class Sequences:
@@ -180,7 +207,10 @@ class Sequences:
         n_rare = np.fromiter(map(len, cls), np.int64, len(cls))
         rare = flat >= len(symbol)
         flat[rare] += np.repeat(np.cumsum(n_rare) - n_rare, self.lengths)[rare]
-        self.ids = flat
+        self.ids, self.own = flat, len(symbol)
+        #: occurrences of each rare word, and its document
+        self.times = np.bincount(flat, minlength=self.own + len(self.cls))[self.own:]
+        self.n_rare, self.doc_of_rare = n_rare, np.repeat(np.arange(len(ids)), n_rare)
         #: symbol of each id of the batch
         self.symbol_of = np.concatenate([symbol, alone + self.cls])
 
@@ -291,26 +321,20 @@ def expected_counts(p: Parameters, emit: np.ndarray, seqs: Sequences, start_sum:
     return out
 
 
-def _cells(keys: pa.Array, n: np.ndarray, e: np.ndarray) -> pa.RecordBatch:
-    """Expected counts as rows (key, n, e0, e1, ...), in units."""
-    units = np.rint(e * UNIT).astype(np.int64)
-    return pa.RecordBatch.from_arrays([keys, pa.array(n.astype(np.int64)), *(pa.array(x) for x in units.T)],
-                                      names=["key", "n", *(f"e{s}" for s in range(e.shape[1]))])
-
-
 def _cell_key(i: int) -> bytes:
     """Key of a parameter row: never a word, since it begins with the end token."""
     return END + i.to_bytes(4, "big")
 
 
 def baum_welch(sequences: DataFrame, symbol: np.ndarray, alone: int, states: int = STATES,
-               rounds: int = ROUNDS) -> tuple[Parameters, np.ndarray, DataFrame]:
-    """Train on all rows of ``sequences`` (``ids``, ``rare``, ``rare_n``, ``rare_cls``).
+               rounds: int = ROUNDS, packed: Packed | None = None) -> tuple[Parameters, np.ndarray, DataFrame]:
+    """Train on all rows of ``sequences`` (``ids``, ``rare``, ``rare_cls``).
 
     ``symbol`` gives each id its symbol, of which ``alone`` are single words, the others classes.
     Returns the parameters over symbols, the last round's expected counts of ids and of the classes
-    of rare words, by state, and those of all rare words: a written table (key, n, e0, ...).
+    of rare words, by state, and those of all rare words (key, numbers of ``packed``).
     """
+    packed = packed or Packed(1, states)
     own, symbols = len(symbol), alone + CLASSES
     p = Parameters.first(symbols, states)
     names = [f"e{s}" for s in range(states)]
@@ -333,25 +357,32 @@ def baum_welch(sequences: DataFrame, symbol: np.ndarray, alone: int, states: int
                 if last and len(seqs.cls):
                     word = part.column("rare").flatten().dictionary_encode()
                     code, size = word.indices.to_numpy(), len(word.dictionary)
-                    n = np.bincount(code, weights=part.column("rare_n").flatten().to_numpy(), minlength=size)
-                    yield _cells(word.dictionary, n, np.stack([np.bincount(code, weights=found[own:, s], minlength=size)
-                                                               for s in range(states)], axis=1))
+                    n = np.bincount(code, weights=seqs.times, minlength=size).astype(np.int64)
+                    e = [np.bincount(code, weights=found[own:, s], minlength=size) for s in range(states)]
+                    yield rows(word.dictionary, None, packed.pack(n, np.stack(e, axis=1)))
             used = np.flatnonzero(sums.any(1))
-            yield _cells(pa.array([_cell_key(int(i)) for i in used], pa.binary()), np.zeros(len(used)), sums[used])
-        cells = sequences.select("ids", "rare_cls", *(("rare", "rare_n") if last else ())).mapInArrow(
-            run, "key binary, n long, " + ", ".join(f"{e} long" for e in names)) \
-            .groupBy("key").agg(*(F.sum(x).alias(x) for x in ("n", *names)))
+            yield rows(pa.array([_cell_key(int(i)) for i in used], pa.binary()), sums[used].T, None)
+
+        def rows(key: pa.Array, e, numbers) -> pa.RecordBatch:
+            nothing = [None] * len(key)
+            return pa.RecordBatch.from_arrays(
+                [key, *(pa.array(nothing if e is None else e[s], pa.float64()) for s in range(states)),
+                 *(pa.array(nothing if numbers is None else numbers[i], pa.int64()) for i in range(len(packed.names)))],
+                names=["key", *names, *packed.names])
+        cells = sequences.select("ids", "rare_cls", *(("rare",) if last else ())).mapInArrow(
+            run, "key binary, " + ", ".join([f"{e} double" for e in names] + [f"{x} long" for x in packed.names]))
         if last:
             cells = cut(cells, "hmm-cells")
         # fewer rows than 1 / FREQUENT + CLASSES + STATES + 2
-        found = cells.filter(F.substring("key", 1, 1) == F.lit(END)).toArrow()
+        found = cells.filter("e0 IS NOT NULL").groupBy("key").agg(*(F.sum(x).alias(x) for x in names)).toArrow()
         at = np.array([int.from_bytes(k[1:], "big") for k in found["key"].to_pylist()], dtype=np.int64)
         sums = np.zeros((n_cells + 1 + states, states))
-        sums[at] = np.stack([found[e].to_numpy() for e in names], axis=1) / UNIT
+        sums[at] = np.stack([found[e].to_numpy() for e in names], axis=1)
         by_symbol = np.stack([np.bincount(symbol_of_cell, weights=sums[:n_cells, s], minlength=symbols) for s in range(states)])
         p = Parameters.from_counts(sums[n_cells], sums[n_cells + 1:], by_symbol)
         shared.unpersist()
-    return p, sums[:n_cells], cells.filter(F.substring("key", 1, 1) != F.lit(END))
+    words_seen = cells.filter("p0 IS NOT NULL").groupBy("key").agg(*(F.sum(x).alias(x) for x in packed.names))
+    return p, sums[:n_cells], words_seen
 
 
 class Emissions:
@@ -373,10 +404,10 @@ class Emissions:
         """Emissions of words with counts ``c`` and expected counts ``e`` by state."""
         return (self.n * (e + self.shrink * c[:, None]) / self.state + SMOOTH) / self.slots
 
-    def rows(self, cls: np.ndarray, at: np.ndarray, c: np.ndarray, units: np.ndarray) -> np.ndarray:
+    def rows(self, cls: np.ndarray, at: np.ndarray, c: np.ndarray, e: np.ndarray) -> np.ndarray:
         """Emissions of rare words of classes ``cls``; those numbered ``at`` are known."""
         out = self.unknown[cls]
-        out[at] = self.known(c, units / UNIT)
+        out[at] = self.known(c, e)
         return out
 
 
@@ -389,38 +420,35 @@ def score(docs: DataFrame, train: str, id_col: str = "doc_id", text: str = "text
     v = vocabulary(cut(word_counts(docs.filter(F.col(train)), text), "hmm-counts"))
     vocab = sc.broadcast(v)
     rows = cut(symbolise(docs, vocab, id_col, text, train).withColumn("row", F.monotonically_increasing_id()), "hmm-rows")
-    p, sums, known = baum_welch(rows.filter("train"), v.symbol, v.alone)
+    packed = v.packed
+    p, sums, known = baum_welch(rows.filter("train"), v.symbol, v.alone, packed=packed)
     model = sc.broadcast((p, Emissions(v, sums), v.symbol, v.alone))
-    names = [f"e{s}" for s in range(len(p.start))]
-
-    rare = rows.select("row", F.posexplode(F.arrays_zip("rare", "rare_n")).alias("j", "r")) \
-        .select("row", "j", F.col("r.rare").alias("key"), F.col("r.rare_n").alias("times"))
-    found = F.col("n").isNotNull()
-    met = rare.join(known, "key", "left").groupBy("row").agg(
-        F.sum(F.when(found, F.col("times")).otherwise(0)).alias("rare_known"),
-        F.sum(F.col("times") * F.log(F.coalesce("n", F.lit(0)) + F.lit(SMOOTH))).alias("rare_log"),
-        F.collect_list(F.when(found, F.struct("j", "n", *names))).alias("met"))
+    met = rows.select("row", F.posexplode("rare").alias("j", "key")).join(known, "key") \
+        .groupBy("row").agg(F.collect_list(F.struct("j", *packed.names)).alias("met"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, emissions, symbol, alone = model.value
         for part in in_parts(batches):
             seqs = Sequences(part, symbol, alone)
-            n_rare = np.fromiter(map(len, part.column("rare_cls").to_pylist()), np.int64, part.num_rows)
             met, here = part.column("met"), pc.fill_null(pc.list_value_length(part.column("met")), 0).to_numpy()
-            flat = dict(zip(("j", "n", *names), met.flatten().flatten()))
-            at = flat["j"].to_numpy() + np.repeat(np.cumsum(n_rare) - n_rare, here)
-            units = np.stack([flat[e].to_numpy() for e in names], axis=1)
-            emit = np.concatenate([emissions.own, emissions.rows(seqs.cls, at, flat["n"].to_numpy(), units)])
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(forward(p, emit, seqs.ids, seqs.lengths))],
-                                             names=[*kept, "ll"])
-    kept = ["id", "train", "n_tokens", "n_frequent", "sum_log", "rare_known", "rare_log"]
-    scored = rows.select("row", *kept[:5], "ids", "rare_cls").join(met, "row", "left").drop("row").mapInArrow(
+            j, *numbers = (x.to_numpy() for x in met.flatten().flatten())
+            at = j + np.repeat(np.cumsum(seqs.n_rare) - seqs.n_rare, here)
+            e, c = packed.unpack(numbers) / UNIT, np.zeros(len(seqs.cls))
+            c[at] = e.sum(1)
+            emit = np.concatenate([emissions.own, emissions.rows(seqs.cls, at, c[at], e)])
+            rare_known = np.bincount(seqs.doc_of_rare, weights=seqs.times * (c > 0), minlength=part.num_rows).astype(np.int64)
+            rare_log = np.bincount(seqs.doc_of_rare, weights=seqs.times * np.log(c + SMOOTH), minlength=part.num_rows).astype(float)
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(c) for c in kept), pa.array(rare_known), pa.array(rare_log),
+                 pa.array(forward(p, emit, seqs.ids, seqs.lengths))], names=[*kept, "rare_known", "rare_log", "ll"])
+    kept = ["id", "train", "n_tokens", "n_frequent", "sum_log"]
+    scored = rows.select("row", *kept, "ids", "rare_cls").join(met, "row", "left").drop("row").mapInArrow(
         run, f"id {docs.schema[id_col].dataType.simpleString()}, train boolean, n_tokens long, n_frequent long, "
              "sum_log double, rare_known long, rare_log double, ll double")
-    logs = F.col("sum_log") + F.coalesce("rare_log", F.lit(0.0))
+    logs = F.col("sum_log") + F.col("rare_log")
     return scored.select(
         F.col("id").alias(id_col), "train", "n_tokens",
-        (F.col("n_frequent") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
+        (F.col("n_frequent") + F.col("rare_known")).alias("n_known"),
         F.lit(v.total).cast("long").alias("train_tokens"),
         ((logs - F.col("n_tokens") * F.lit(v.base_log)) / LOG10).alias("base_score"),
         (F.col("ll") / LOG10).alias("score"))

@@ -135,8 +135,8 @@ def test_forward_recursion_is_exact():
 def test_baum_welch_never_lowers_the_likelihood(spark):
     rng = np.random.default_rng(2)
     seqs = [np.array([(i // 3 + rng.integers(0, 2)) % 6 for i in range(rng.integers(1, 60))]) for _ in range(80)]
-    df = spark.createDataFrame([(bytearray(s.astype("<u4").tobytes()), [], [], bytearray()) for s in seqs],
-                               "ids binary, rare array<binary>, rare_n array<long>, rare_cls binary").repartition(3)
+    df = spark.createDataFrame([(bytearray(s.astype("<u4").tobytes()), [], bytearray()) for s in seqs],
+                               "ids binary, rare array<binary>, rare_cls binary").repartition(3)
     last = hmm.log_likelihood(hmm.Parameters.first(6 + hmm.CLASSES, 3), seqs).sum()
     for rounds in (1, 2, 4):
         p, counts, rare = hmm.baum_welch(df, np.arange(6), 6, 3, rounds)
@@ -223,13 +223,24 @@ def test_expected_counts_cover_every_word(spark, corpus, monkeypatch):
     counts = hmm.word_counts(docs)
     v = hmm.vocabulary(counts)
     rows = hmm.symbolise(docs, spark.sparkContext.broadcast(v), "doc_id", "text", "train")
-    _, cells, rare = hmm.baum_welch(rows, v.symbol, v.alone)
+    _, cells, rare = hmm.baum_welch(rows, v.symbol, v.alone, packed=v.packed)
     c = {bytes(r["word"]): r["c"] for r in counts.collect()}
     assert np.allclose(cells[:len(v.own)].sum(1), [c[w] for w in v.own], atol=0.01)
     found = {bytes(r["key"]): r for r in rare.collect()}
     assert set(found) == set(c) - set(v.own)                    # a row for every word, however rare
     for w, r in found.items():
-        assert r["n"] == c[w] and abs(sum(r[f"e{s}"] for s in range(hmm.STATES)) / hmm.UNIT - c[w]) < 0.01
+        assert v.packed.unpack([np.array([r[x]]) for x in v.packed.names]).sum() == c[w] * hmm.UNIT
+
+
+@pytest.mark.parametrize("most", [1, 170, 12_345, 10**9])
+def test_packed_counts_add_up(most):
+    rng = np.random.default_rng(most)
+    packed = hmm.Packed(most)
+    parts = [rng.dirichlet(np.full(hmm.STATES, 0.2), 50) * n for n in (most - most // 3, most // 3)]
+    numbers = [packed.pack(np.rint(e.sum(1)).astype(np.int64), e) for e in parts]
+    units = packed.unpack([a + b for a, b in zip(*numbers)])
+    assert (units.sum(1) == most * hmm.UNIT).all() and (units >= 0).all()
+    assert np.abs(units / hmm.UNIT - sum(parts)).max() <= 2 * hmm.STATES / hmm.UNIT
 
 
 @pytest.mark.parametrize("share", [True, False])
