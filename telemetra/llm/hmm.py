@@ -338,22 +338,24 @@ def baum_welch(sequences: DataFrame, symbol: np.ndarray, alone: int, states: int
     own, symbols = len(symbol), alone + CLASSES
     p = Parameters.first(symbols, states)
     names = [f"e{s}" for s in range(states)]
-    symbol_of_cell = np.concatenate([symbol, alone + np.arange(CLASSES)])
-    n_cells = own + CLASSES
     for r in range(rounds):
         shared, last = sequences.sparkSession.sparkContext.broadcast((p, symbol)), r == rounds - 1
+        # counted by symbol, and in the last round by id
+        cell_of = symbol if not last else np.arange(own)
+        n_cells = symbols if not last else own + CLASSES
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, last=last, cell_of=cell_of,
+                n_cells=n_cells) -> Iterator[pa.RecordBatch]:
             p, symbol = shared.value
             emit = np.ascontiguousarray(p.emit.T)
-            # rows: ids, classes of rare words, the start, transitions from each state
+            # rows: symbols (or ids and classes of rare words), the start, transitions from each state
             sums = np.zeros((n_cells + 1 + states, states))
             for part in in_parts(batches):
                 seqs = Sequences(part, symbol, alone)
                 found = expected_counts(p, emit, seqs, sums[n_cells], sums[n_cells + 1:])
-                sums[:own] += found[:own]
                 for s in range(states):
-                    sums[own:n_cells, s] += np.bincount(seqs.cls, weights=found[own:, s], minlength=CLASSES)
+                    sums[:n_cells, s] += np.bincount(cell_of, weights=found[:own, s], minlength=n_cells)
+                    sums[n_cells - CLASSES:n_cells, s] += np.bincount(seqs.cls, weights=found[own:, s], minlength=CLASSES)
                 if last and len(seqs.cls):
                     word = part.column("rare").flatten().dictionary_encode()
                     code, size = word.indices.to_numpy(), len(word.dictionary)
@@ -378,7 +380,8 @@ def baum_welch(sequences: DataFrame, symbol: np.ndarray, alone: int, states: int
         at = np.array([int.from_bytes(k[1:], "big") for k in found["key"].to_pylist()], dtype=np.int64)
         sums = np.zeros((n_cells + 1 + states, states))
         sums[at] = np.stack([found[e].to_numpy() for e in names], axis=1)
-        by_symbol = np.stack([np.bincount(symbol_of_cell, weights=sums[:n_cells, s], minlength=symbols) for s in range(states)])
+        to = np.arange(symbols) if not last else np.concatenate([symbol, alone + np.arange(CLASSES)])
+        by_symbol = np.stack([np.bincount(to, weights=sums[:n_cells, s], minlength=symbols) for s in range(states)])
         p = Parameters.from_counts(sums[n_cells], sums[n_cells + 1:], by_symbol)
         shared.unpersist()
     words_seen = cells.filter("p0 IS NOT NULL").groupBy("key").agg(*(F.sum(x).alias(x) for x in packed.names))
