@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from telemetra.constants import BROKEN_TIME, GARBAGE_PAYLOAD
 from telemetra.functions.timeparse import millis_to_iso
+from telemetra.session import compile_wide_rows
 
 # --- fixed values: event type -> (sensor type, metric of thing 0, 1, 2, 3, 4) ------------
 EVENT_SENSOR = {
@@ -35,6 +36,7 @@ BLANK_METRIC, BROKEN_EVENT_TIME, BLANK_STREAM, GARBAGE, BLANK_THING, UNKNOWN_TYP
 TEXT_SEQ, DECIMAL_SEQ, HUGE_SEQ, NULL_VALUE, BROKEN_PUBLISH_TIME, ODD_VALUE = 7, 8, 9, 10, 11, 12
 TRUNCATED, TRAILING, LED_BY_BLANK, NOT_AN_OBJECT, HIDDEN_TRAILING = 13, 14, 15, 16, 17
 HUGE = 1_099_511_627_776       # beyond 32 bits
+ROWS_PER_TASK = 20_000         # events that one task encodes and decodes
 
 
 def _sensor_type() -> Column:
@@ -54,16 +56,18 @@ def _scaled(metric: Column, value: Column) -> Column:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a source that arrives in fewer splits than the cluster has cores.
+    """Deal a source's rows evenly over tasks of at most ``ROWS_PER_TASK`` rows, one a core at least.
 
-    Decoding is CPU-bound per row; a small table stored as one row group would
-    otherwise run in a single task. With many input splits (the normal case at
-    scale) this is a no-op and adds no shuffle.
+    Encoding and decoding are CPU-bound per row, and input splits say little about rows: a file's
+    rows may lie in few row groups, and then most of its splits are empty. The rows dealt are the
+    raw table's, much smaller than the messages made from them.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    return df.repartition(tasks_for(df.count(), df.sparkSession.sparkContext.defaultParallelism))
+
+
+def tasks_for(rows: int, cores: int) -> int:
+    """Tasks for so many rows: their number grows with the rows, so that a task's work does not."""
+    return max(cores, -(-rows // ROWS_PER_TASK))
 
 
 def observation_rows(events: DataFrame) -> DataFrame:
@@ -144,4 +148,5 @@ def observation_feed(events: DataFrame) -> DataFrame:
 
 
 def read_events(spark, sf_dir: str) -> DataFrame:
+    compile_wide_rows(spark)
     return spark.read.parquet(f"{sf_dir}/events.parquet")

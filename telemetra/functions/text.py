@@ -12,4 +12,5 @@ def py_strip(col: Column) -> Column:
 
 
 def is_blank(col: Column) -> Column:
-    return py_strip(col) == F.lit("")
+    """Nothing but Unicode whitespace: one search that ends at the first other character."""
+    return ~col.rlike(r"(?U)\S")

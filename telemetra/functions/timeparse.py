@@ -13,13 +13,14 @@ DAY_MS = 86_400_000
 
 
 def _normalised(col: Column) -> Column:
-    """Text with ``.`` before a fraction, ``+hh:mm`` and always an offset: a naive time is UTC
-    whatever the session's time zone."""
-    c = F.regexp_replace(col, r"^(.{19}),", "$1.")
-    c = F.regexp_replace(c, r"^(.{16})($|Z|[+-])", "$1:00$2")
-    c = F.regexp_replace(c, r"(:\d{2}|[.]\d{1,6})([+-]\d{2})(\d{2})$", "$1$2:$3")
-    return (F.when(F.length(c) == 10, F.concat(c, F.lit("T00:00:00Z")))
-            .when(c.rlike(r"(Z|[+-]\d{2}:\d{2})$"), c).otherwise(F.concat(c, F.lit("Z"))))
+    """An accepted text with ``.`` before a fraction, seconds and always an offset: a naive time is UTC
+    whatever the session's time zone. Accepted texts have fixed places, so no pattern is matched again,
+    and each part is taken from the text itself (``$`` has let one line end pass)."""
+    c = F.rtrim(F.translate(col, ",", "."), F.lit("\r\n"))
+    seconds = F.when(F.substring(c, 17, 1) == ":", F.lit("")).otherwise(F.lit(":00"))
+    zoned = F.endswith(c, F.lit("Z")) | F.substring(c, -6, 1).isin("+", "-") | F.substring(c, -5, 1).isin("+", "-")
+    time = F.concat(F.substring(c, 1, 16), seconds, F.substring(c, 17, 64), F.when(zoned, F.lit("")).otherwise(F.lit("Z")))
+    return F.when(F.length(col) == 10, F.concat(col, F.lit("T00:00:00Z"))).otherwise(time)
 
 
 def parse_iso(col: Column) -> Column:

@@ -50,11 +50,12 @@ def wire_fields(raw: DataFrame, payload_col: str = "payload") -> DataFrame:
     """V1: payload bytes -> ``_is_obj`` and one VARIANT ``_w_<field>`` per wire field, other columns kept."""
     keep = [c for c in raw.columns if c != payload_col]
     size = F.octet_length(payload_col).alias("size_bytes")
-    parsed = raw.select(*keep, size, _json_object(F.col(payload_col).cast("string")).alias("_o"))
-    return parsed.select(
-        *keep, "size_bytes",
-        F.coalesce(F.schema_of_variant("_o").startswith("OBJECT<o: OBJECT<"), F.lit(False)).alias("_is_obj"),
-        *[F.variant_get("_o", f"$.o.{f}", "variant").alias(f"_w_{f}") for f in WIRE_FIELDS])
+    parsed = raw.select(*keep, size, _json_object(F.col(payload_col).cast("string")).alias("_v"))
+    # one walk over the object finds all fields; a value that is no object has no struct
+    fields = ", ".join(f"{f}: variant" for f in WIRE_FIELDS)
+    parsed = parsed.select(*keep, "size_bytes", F.try_variant_get("_v", "$.o", f"struct<{fields}>").alias("_o"))
+    return parsed.select(*keep, "size_bytes", F.col("_o").isNotNull().alias("_is_obj"),
+                         *[F.col(f"_o.{f}").alias(f"_w_{f}") for f in WIRE_FIELDS])
 
 
 def parse_payload(raw: DataFrame, payload_col: str = "payload", wire: str = "json") -> DataFrame:
@@ -78,12 +79,13 @@ def parse_payload(raw: DataFrame, payload_col: str = "payload", wire: str = "jso
     cols += [
         F.try_variant_get(o("seq"), "$", "bigint").alias("seq"),
         F.schema_of_variant(o("seq")).alias("_seq_kind"),
-        _value_kind(F.schema_of_variant(o("value"))).alias("value_kind"),
+        F.schema_of_variant(o("value")).alias("_value_type"),
         F.try_variant_get(o("value"), "$", "double").alias("_vnum"),
         F.try_variant_get(o("value"), "$", "string").alias("_vstr"),
         F.try_variant_get(o("value"), "$", "boolean").alias("_vbool"),
     ]
-    return wire_fields(raw, payload_col).select(*cols)
+    # a projection of its own: the type is found once, not once for each kind that it is compared with
+    return wire_fields(raw, payload_col).select(*cols).withColumn("value_kind", _value_kind(F.col("_value_type")))
 
 
 def _bad_string(name: str) -> Column:
@@ -96,7 +98,8 @@ def validation_error() -> Column:
     sensor_type = F.col("sensor_type")
     kind = F.col("value_kind")
     numeric = kind == "number"
-    bad_time = lambda n: _bad_string(n) | F.col(f"_{n}_ts").isNull()
+    # a blank text is no time either
+    bad_time = lambda n: F.col(f"_{n}_kind").isNull() | (F.col(f"_{n}_kind") != "STRING") | F.col(f"_{n}_ts").isNull()
     return (
         F.when(~F.col("_is_obj"), F.lit(DECODE_FAILED))
         .when(_bad_string("thing_id"), F.lit("invalid_thing_id"))
@@ -125,7 +128,7 @@ def decode_observations(raw: DataFrame, payload_col: str = "payload", wire: str
     """
     p = parse_payload(raw, payload_col, wire)
     p = p.select("*", *[is_blank(F.col(n)).alias(f"_{n}_blank")
-                        for n in ("thing_id", "datastream_id", "metric", "event_time", "publish_time")],
+                        for n in ("thing_id", "datastream_id", "metric")],
                  parse_iso(F.col("event_time")).alias("_event_time_ts"),
                  parse_iso(F.col("publish_time")).alias("_publish_time_ts"))
     kind = F.col("value_kind")

@@ -9,6 +9,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# HotSpot never compiles a method above this many bytes: it would run interpreted, several times slower
+JIT_LIMIT = "8000"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   driver_memory: str = "8g") -> SparkSession:
     """Session for tests and the local bench. On a cluster use the provided session."""
@@ -26,8 +30,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         # constraint inference grows with the size of CASE chains pushed through
         # projections (fault limits, validation reasons) and can stall the optimizer
         .config("spark.sql.constraintPropagation.enabled", "false")
-        # generated methods above HotSpot's 8000-byte JIT limit would run interpreted
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.sql.codegen.hugeMethodLimit", JIT_LIMIT)
         .config("spark.driver.memory", driver_memory)
     )
     spark = builder.getOrCreate()
@@ -56,6 +59,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def compile_wide_rows(spark: SparkSession) -> None:
+    """Let Spark split generated code that HotSpot would not compile, also in a session that we did not make.
+
+    Decoding is one wide projection; as one method it is beyond ``JIT_LIMIT``. Results are the same.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", JIT_LIMIT)
+
+
 def materialize(df: DataFrame, enabled: bool = True, name: str = "table") -> DataFrame:
     """Cut lineage by writing ``df`` as Parquet under the session's checkpoint directory.
 

@@ -62,3 +62,13 @@ def test_uuid5_keys_match_python(spark):
 def test_py_strip_unicode(spark):
     got = one(spark, py_strip(F.col("s")), [("  a b\t\n",), ("   ",)], "s string")
     assert got == ["a b", ""]
+
+
+def test_iso_forms_and_blank_texts(spark):
+    from telemetra.functions import is_blank
+    same = ["2024-01-01T10:00:00Z", "2024-01-01 10:00", "2024-01-01T12:00+02:00", "2024-01-01T08:30:00.0-0130",
+            "2024-01-01T10:00:00,000", "2024-01-01T10:00Z\n", "2024-01-01T12:00:00+0200\n"]
+    got = one(spark, iso_to_millis(F.col("s")), [(s,) for s in same + ["2024-01-01", "2024-01-01\n", "2024-01-01T10:00+02:00\u0085"]], "s string")
+    assert got == [1704103200000] * len(same) + [1704067200000, None, None]
+    blanks = ["", " \t\n", " 　", " a ", "​", None]
+    assert one(spark, is_blank(F.col("s")), [(s,) for s in blanks], "s string") == [True, True, True, False, False, None]

@@ -59,3 +59,23 @@ def test_a_silent_source_lets_go(spark):
 
 def test_empty(spark):
     assert idle_thresholds(spark.createDataFrame([], COLUMNS), SPEC, 20).isEmpty()
+
+
+def test_rows_of_one_row_group_are_dealt_over_all_tasks(spark, tmp_path):
+    """A file of more splits than cores whose rows lie in one row group: every task gets its share."""
+    from telemetra.fixtures.feed import ROWS_PER_TASK, spread, tasks_for
+    spark.range(4000).selectExpr("id as event_id", "uuid() as props").coalesce(1).write.parquet(str(tmp_path / "events"))
+    held = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in held:
+            spark.conf.set(k, "1k")
+        df = spark.read.parquet(str(tmp_path / "events"))
+        cores = spark.sparkContext.defaultParallelism
+        assert df.rdd.getNumPartitions() >= cores
+        sizes = spread(df).rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 4000 and len(sizes) == cores and max(sizes) <= 2 * 4000 / cores
+    # beyond that the number of tasks grows with the rows
+    assert tasks_for(1000 * ROWS_PER_TASK, cores) == 1000 and tasks_for(0, cores) == cores

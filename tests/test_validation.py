@@ -158,3 +158,9 @@ def test_avro_round_trip(rows):
         assert (got["thing_id"][i].as_py(), got["seq"][i].as_py()) == (t, n)
         name = "_vbool" if isinstance(v, bool) else "_vstr" if isinstance(v, str) else "_vnum"
         assert got[name][i].as_py() == v
+
+
+def test_texts_that_are_no_single_object(spark):
+    texts = ['{}', '[{"thing_id":"a"}]', '"x"', '1', 'null', '1,"p":{}', '{"a":1},"p":2', '{"a":1} x', '{"a":1}} x', ' {"thing_id":null} ']
+    got = reasons(spark, texts)
+    assert got == ["invalid_thing_id"] + ["decode_failed"] * 8 + ["invalid_thing_id"]
