@@ -75,8 +75,7 @@ class Bucket:
             setattr(self, name, value if held is None else pick(held, value, key=key))
 
     def add(self, rows: Rows) -> None:
-        """Merge rows, which are in arrival order."""
-        self.seen = np.concatenate([self.seen, rows["seq"]])
+        """Merge rows, which are in arrival order; ``seen`` is the caller's, once a call."""
         self.n += len(rows["seq"])
         for name, column in (("max_ev", "event_ms"), ("max_pub", "publish_ms"), ("max_arr", "arrival_ms")):
             self._keep(name, int(rows[column].max()), max)
@@ -139,6 +138,8 @@ def step(bucket: Bucket | None, rows: Rows | None, stream: str, start: int, wate
     bucket = bucket or Bucket()
     first = np.sort(np.unique(rows["seq"], return_index=True)[1])            # the first arrival of each
     fresh = first[~np.isin(rows["seq"][first], bucket.seen)]
+    # once for all: a copy of the window's numbers for every late row would be quadratic
+    bucket.seen = np.concatenate([bucket.seen, rows["seq"][fresh]])
     if watermark < closes:
         if len(fresh):
             bucket.add(_picked(rows, fresh))
