@@ -26,7 +26,7 @@ r = (E(s,w) + a c(w)) / (E(s) + a N). An unknown word of ending k has
 words, plus one each. A state's probabilities add up to one, one slot an ending for unknown words.
 
 **Scoring.** The rare words of each document meet their expected counts in a shuffled join
-and come back to their document; the scaled forward recursion over the whole sequence gives
+that is written, and come back to their document; a table is deleted when the next one has been written; the scaled forward recursion over the whole sequence gives
 its exact likelihood, many documents advanced one token at a time side by side.
 
 Null text counts as empty (the end token alone); repeated rows keep one row each; null ids
@@ -47,7 +47,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from telemetra.llm.common import cut, ranges, release
+from telemetra.llm.common import ranges, release, staged
+from telemetra.session import delete_path
 
 STATES = 6
 ROUNDS = 3
@@ -374,7 +375,7 @@ def baum_welch(sequences: DataFrame, symbol: np.ndarray, alone: int, states: int
         cells = sequences.select("ids", "rare_cls", *(("rare",) if last else ())).mapInArrow(
             run, "key binary, " + ", ".join([f"{e} double" for e in names] + [f"{x} long" for x in packed.names]))
         if last:
-            cells = cut(cells, "hmm-cells")
+            cells, cells_at = staged(cells, "hmm-cells")
         # fewer rows than 1 / FREQUENT + CLASSES + STATES + 2
         found = cells.filter("e0 IS NOT NULL").groupBy("key").agg(*(F.sum(x).alias(x) for x in names)).toArrow()
         at = np.array([int.from_bytes(k[1:], "big") for k in found["key"].to_pylist()], dtype=np.int64)
@@ -385,6 +386,8 @@ def baum_welch(sequences: DataFrame, symbol: np.ndarray, alone: int, states: int
         p = Parameters.from_counts(sums[n_cells], sums[n_cells + 1:], by_symbol)
         shared.unpersist()
     words_seen = cells.filter("p0 IS NOT NULL").groupBy("key").agg(*(F.sum(x).alias(x) for x in packed.names))
+    words_seen, _ = staged(words_seen, "hmm-known")
+    delete_path(sequences.sparkSession, cells_at)
     return p, sums[:n_cells], words_seen
 
 
@@ -420,14 +423,18 @@ def score(docs: DataFrame, train: str, id_col: str = "doc_id", text: str = "text
     ``train`` is the boolean column that marks training rows. Scores are log10.
     """
     sc = docs.sparkSession.sparkContext
-    v = vocabulary(cut(word_counts(docs.filter(F.col(train)), text), "hmm-counts"))
+    counts, counts_at = staged(word_counts(docs.filter(F.col(train)), text), "hmm-counts")
+    v = vocabulary(counts)
+    delete_path(docs.sparkSession, counts_at)
     vocab = sc.broadcast(v)
-    rows = cut(symbolise(docs, vocab, id_col, text, train).withColumn("row", F.monotonically_increasing_id()), "hmm-rows")
+    rows, _ = staged(symbolise(docs, vocab, id_col, text, train).withColumn("row", F.monotonically_increasing_id()), "hmm-rows")
     packed = v.packed
     p, sums, known = baum_welch(rows.filter("train"), v.symbol, v.alone, packed=packed)
     model = sc.broadcast((p, Emissions(v, sums), v.symbol, v.alone))
-    met = rows.select("row", F.posexplode("rare").alias("j", "key")).join(known, "key") \
-        .groupBy("row").agg(F.collect_list(F.struct("j", *packed.names)).alias("met"))
+    # written before the second shuffle, so that the two don't lie on disk together
+    met, _ = staged(rows.select("row", F.posexplode("rare").alias("j", "key")).join(known, "key")
+                    .select("row", "j", *packed.names), "hmm-met")
+    met = met.groupBy("row").agg(F.collect_list(F.struct("j", *packed.names)).alias("met"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, emissions, symbol, alone = model.value

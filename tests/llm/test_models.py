@@ -1,6 +1,7 @@
 """Quality, toxicity and the word model: held-out accuracy, brute force, odd rows."""
 import itertools
 import math
+import os
 import zlib
 from collections import Counter
 
@@ -10,6 +11,8 @@ from corpus_helpers import ODD_TEXTS, corpus, documents, empty  # noqa: F401
 from pyspark.sql import functions as F
 
 from telemetra.llm import hmm, quality_pu, queries, text_arrays, toxicity
+from telemetra.llm.common import SHUFFLE_CLEANUP
+from telemetra.session import ensure_checkpoint_dir
 
 SF = "/root/testdata/sf0.01"
 
@@ -255,3 +258,14 @@ def test_word_model_odd_rows(spark, share, monkeypatch):
     assert by_id[8]["n_tokens"] == 60_001 and math.isfinite(by_id[8]["score"])
     assert all(math.isfinite(r["score"]) and math.isfinite(r["base_score"]) for r in rows)
     assert hmm.score(empty(spark).withColumn("train", F.lit(True)), "train").isEmpty()
+
+
+def test_word_model_keeps_only_the_tables_that_it_reads(spark, monkeypatch):
+    monkeypatch.setattr(hmm, "FREQUENT", 1e-3)
+    folder, before = ensure_checkpoint_dir(spark).removeprefix("file:"), spark.conf.get(SHUFFLE_CLEANUP, None)
+    there = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    docs = documents(spark, ODD_TEXTS).withColumn("train", F.col("doc_id") != 3)
+    assert hmm.score(docs.fillna(True, ["train"]), "train").count() == len(ODD_TEXTS) + 2
+    kept = {name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - there if name.startswith("hmm-")}
+    assert kept == {"hmm-rows", "hmm-known", "hmm-met"}      # counts and cells are gone
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == before
