@@ -38,9 +38,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -61,7 +59,7 @@ SMOOTH = 0.1
 SHRINK = 0.01           # pull of a word's state shares towards its plain count
 UNIT = 1 << 9           # expected counts of rare words are added up in these fractions
 TOKENS_AT_ONCE = 500_000
-COUNTER_WORDS = 200_000  # distinct words a task holds before it hands its counts on
+CHARS_SPLIT = 3_000_000  # characters whose words a task splits and counts at once
 END = b"\n"              # never a word
 LOG10 = math.log(10.0)
 
@@ -71,6 +69,16 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").lower().split()
 
 
+def word_batch(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``words`` of every text, laid end to end, and their number by text."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat, whole = lists.flatten().cast(pa.binary()), pc.list_value_length(lists).to_numpy()
+    # a text that begins or ends with white space, or has none but that, has empty parts
+    word = pc.greater(pc.binary_length(flat), 0)
+    of = np.repeat(np.arange(len(texts)), whole)
+    return flat.filter(word), np.bincount(of[word.to_numpy(zero_copy_only=False)], minlength=len(texts))
+
+
 def class_of(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % CLASSES
 
@@ -78,20 +86,14 @@ def class_of(word: bytes) -> int:
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """(word, c): counts of all tokens of ``docs``, the end token included."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()),
-                                               pa.array(list(counts.values()), pa.int64())], names=["word", "c"])
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                counts.update(words(t))
-                counts[END] += 1
-                if len(counts) >= COUNTER_WORDS:
-                    yield out()
-                    counts.clear()
+            sizes = pc.fill_null(pc.utf8_length(batch.column(0)), 0).to_pylist()
+            for first, last in ranges(sizes, CHARS_SPLIT):
+                found = word_batch(batch.column(0).slice(first, last - first))[0].value_counts()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.concat_arrays([found.field("values"), pa.array([END], pa.binary())]),
+                     pa.concat_arrays([found.field("counts"), pa.array([last - first], pa.int64())])], names=["word", "c"])
             release()
-        yield out()
     return docs.select(text).mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
@@ -164,16 +166,19 @@ def symbolise(docs: DataFrame, vocab, id_col: str, text: str, train: str) -> Dat
         log_c = np.log(v.c + SMOOTH)
         for whole in batches:
             sizes = pc.fill_null(pc.utf8_length(whole.column("text")), 0).to_pylist()
-            for first, last in ranges(sizes):
+            for first, last in ranges(sizes, CHARS_SPLIT):
                 yield one(whole.slice(first, last - first), v, log_c)
             release()
 
     def one(batch: pa.RecordBatch, v: Vocabulary, log_c: np.ndarray) -> pa.RecordBatch:
-        lists = [words(t) + [END] for t in batch.column("text").to_pylist()]
-        n, own = len(lists), len(v.own)
-        length = np.fromiter(map(len, lists), np.int64, n)
-        coded = pa.array(chain.from_iterable(lists), pa.binary()).dictionary_encode()
-        spelled, code = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        flat, length = word_batch(batch.column("text"))
+        n, own = len(length), len(v.own)
+        coded = flat.dictionary_encode()
+        spelled = [*coded.dictionary.to_pylist(), END]
+        # the end token follows the words of each document
+        code = np.full(len(flat) + n, len(spelled) - 1)
+        code[np.arange(len(flat)) + np.repeat(np.arange(n), length)] = coded.indices.to_numpy()
+        length = length + 1
         symbol = np.fromiter((v.own.get(w, -1) for w in spelled), np.int64, len(spelled))
         ids, doc = symbol[code], np.repeat(np.arange(n), length)
         known = ids >= 0

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from corpus_helpers import ODD_TEXTS, corpus, documents, empty  # noqa: F401
 from pyspark.sql import functions as F
@@ -260,6 +261,15 @@ def test_word_model_odd_rows(spark, share, monkeypatch):
     assert hmm.score(empty(spark).withColumn("train", F.lit(True)), "train").isEmpty()
 
 
+def test_words_of_a_batch_are_those_of_each_text():
+    texts = [*ODD_TEXTS, " A\x0bB\x0cC\x1cd\x85e\u00a0F\u2003\u0130 ", "x", "\r\n"]
+    for part in (texts, texts[:3], [None], []):
+        array = pa.array([None, *part], pa.string()).slice(1)
+        flat, n = hmm.word_batch(array)
+        assert flat.to_pylist() == [w for t in part for w in hmm.words(t)]
+        assert n.tolist() == [len(hmm.words(t)) for t in part]
+
+
 def test_word_model_keeps_only_the_tables_that_it_reads(spark, monkeypatch):
     monkeypatch.setattr(hmm, "FREQUENT", 1e-3)
     folder, before = ensure_checkpoint_dir(spark).removeprefix("file:"), spark.conf.get(SHUFFLE_CLEANUP, None)
