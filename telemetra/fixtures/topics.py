@@ -86,5 +86,6 @@ def results_topic(results: DataFrame, window_ms: int) -> DataFrame:
                .when(k == 5, bad_byte)
                .when(k == 6, F.encode(F.expr("substring(value, 1, length(value) - 1)"), "UTF-8"))
                .otherwise(raw))
-    return msgs.select(payload.alias("value"), "result_time", "datastream_id", "window_start",
-                       "fire_index")
+    # a barrier: hygiene's filters would inline the payload many times, more code than Spark can compile
+    return evaluation_barrier(msgs.select(payload.alias("value"), "result_time", "datastream_id", "window_start",
+                                          "fire_index"))

@@ -3,7 +3,10 @@ import json
 
 from pyspark.sql import functions as F
 
+from telemetra.fixtures import topics as TP
 from telemetra.operators import points as P
+from telemetra.operators.windows import plain_window_results
+from telemetra.session import materialize
 
 
 def msgs(spark, payloads, col="value", binary=False):
@@ -103,3 +106,20 @@ def test_dlq_and_late_messages_that_are_no_objects_or_lack_keys(spark):
     df = spark.createDataFrame([(t, 7) for t in texts], "value string, timestamp_ms bigint")
     got = sorted((r["metric"], r["seq"], r["late_by_seconds"]) for r in late_points(df).collect())
     assert got == [("m", "3", 1.5), ("m", "NA", 1.5), ("m", "None", 1.5), ("unknown", "3", 0.0)]
+
+
+def test_detector_gate_over_damaged_results_compiles(spark):
+    """The gate's stage is compiled, not interpreted row by row (Spark logs a failed compilation and goes on)."""
+    row = "thing_id string, datastream_id string, metric string, sensor_type string, seq bigint, event_ms bigint, " \
+          "publish_ms bigint, arrival_ms bigint, arrival_seq bigint, num double, sval string, bval boolean"
+    ok = spark.createDataFrame([("t-0", "t-0:temperature", "temperature", "analog", i, i * 1000, i * 1000, i * 1000, i,
+                                 1.0, "1.0", True) for i in range(0, 180, 2)], row)
+    results = materialize(plain_window_results(ok, 10_000))
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        gated = P.detector_gate(P.payload_hygiene(TP.results_topic(results, 10_000), "value")).collect()
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
+    # of 18 windows, 5 of each 9 are damaged beyond reading: null, empty, led by NUL, blank, not JSON
+    assert sorted(r["window_start"] // 10_000 for r in gated) == [i for i in range(18) if (i + 1) % 9 in (0, 5, 7, 8)]
+    assert {r["average"] for r in gated} == {1.0}
